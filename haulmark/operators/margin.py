@@ -94,14 +94,14 @@ def return_share(revenue: DataFrame, city: str = "shipping_city") -> DataFrame:
         "rto_per", ratio("returned_orders", F.col("delivered_orders") + F.col("returned_orders")))
 
 
-def return_weighted_factor(costs: DataFrame, shares: DataFrame, city: str = "shipping_city") -> DataFrame:
+def return_weighted_factor(costs: DataFrame, shares: DataFrame, city: str = "shipping_city", cost: str = "cost") -> DataFrame:
     """Mid-mile cost per order where a return counts twice, rounded to two places, halves to even.
 
     A city without returns has no factor, as its return count is unknown.
     """
     weight = F.col("delivered_orders") + F.col("returned_orders") * 2
     return costs.join(shares, city, "left").withColumn(
-        "r_factor", F.rint(ratio("cost", weight) * 100) / 100)
+        "r_factor", F.rint(ratio(cost, weight) * 100) / 100)
 
 
 def mid_mile_cpo(rows: DataFrame, factors: DataFrame, city: str = "shipping_city") -> DataFrame:
