@@ -86,11 +86,33 @@ BINDINGS = {
       case when n_nationkey % 6 = 0 then 'franchise_hub' else 'own_hub' end as node_type,
       concat({CODE}, ' / ', n_name) as sort_codes, {CITY} as city, {CODE} as city_name
       from nation join region on n_regionkey = r_regionkey""",
+    # rider master as the payout and program runs see it
+    "crew": """select rider_id, locus_rider_id, rider_name, phone, payout_structure, fuel_payout_automation, created_at, city, node_type, node_id,
+      case when node_name = 'NATION_1' then 'DS BOM KDWL' when node_name = 'NATION_11' then 'DS BOM SWRI' when node_name = 'NATION_12' then 'BLDR-Franchise'
+        when node_name = 'NATION_6' then 'GRGN-Franchise' when node_type = 'franchise_hub' then concat(node_name, '-Franchise') else node_name end as hub,
+      concat('vendor ', cast(vendor_id as varchar(4))) as vendor_name,
+      case when node_type = 'franchise_hub' then 'franchise' else 'own' end as hub_type
+      from rider join node using (node_id)""",
+    # pay by pincode
+    "rate": """select c_custkey % 500 as pincode, cast(max(c_custkey % 9) as double) / 2 as delivered_rate from customer where c_custkey % 500 <> 13 group by 1""",
+    # shipment table with milestones taken from the attempts
+    "ops": """select s.awb, s.shipment_id, s.shipping_city, s.hub as last_mile_hub, s.user_name, s.shipment_status, s.shipper_id, s.sort_code, s.city,
+      s.warehouse_city, s.pincode as shipping_pincode, s.created_date, t.pickuptime, t.first_ofd_time, t.last_ofd, t.delivertime, t.edd,
+      t.last_scan_time, t.delivery_attempts, case when s.shipment_status = 'RTO Delivered' then t.last_scan_time end as rto_delivered_time,
+      case when s.shipment_status in ('Delivered', 'RTO Delivered', 'Lost', 'Cancelled') then 'closed' else 'open' end as closure_status,
+      case when s.shipper_id = 301 then 'Hyperlocal' when s.shipper_id = 2 then 'Delhivery' else 'B2B' end as shipping_partner
+      from shipment s join (select awb, min(dispatch_time) - interval '20' hour as pickuptime, min(dispatch_time) as first_ofd_time,
+          max(dispatch_time) as last_ofd, min(case when status = 'COMPLETED' then dispatch_time end) as delivertime,
+          min(dispatch_time - hour(dispatch_time) * interval '1' hour) + interval '1' day as edd, max(dispatch_time) + interval '3' hour as last_scan_time,
+          count(*) as delivery_attempts from task group by awb) t on s.awb = t.awb""",
     # revenue per order: client, lane, charge
     "charge": """select l_orderkey as order_id, sum(cast(l_extendedprice * (1 - l_discount) * 100 as bigint)) as cents
       from lineitem group by l_orderkey""",
 }
 
+# Bindings that read other bindings.
+DEPENDS = {"crew": "rider node", "ops": "task shipment"}
+
 _registered: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
@@ -108,7 +130,9 @@ def register(spark: SparkSession, sf_dir: str) -> None:
 def bind(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A binding, or a driver table, as a DataFrame."""
     register(spark, sf_dir)
-    return spark.sql(BINDINGS[name]) if name in BINDINGS else spark.table(name)
+    if name not in BINDINGS:
+        return spark.table(name)
+    return spark.sql(sql(DEPENDS.get(name, ""), BINDINGS[name]))
 
 
 def sql(needs: str, body: str) -> str:
@@ -116,7 +140,10 @@ def sql(needs: str, body: str) -> str:
 
     ``body`` is a select, or further CTEs followed by a select and starting with WITH.
     """
-    ctes = ", ".join(f"{n} as ({BINDINGS[n]})" for n in needs.split())
+    wanted: list[str] = []
+    for n in needs.split():
+        wanted += [d for d in (*DEPENDS.get(n, "").split(), n) if d not in wanted]
+    ctes = ", ".join(f"{n} as ({BINDINGS[n]})" for n in wanted)
     text = body.strip()
     if text.lower().startswith("with "):
         return f"with {ctes}, {text[5:]}" if ctes else text
