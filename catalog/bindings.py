@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import weakref
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -132,7 +132,14 @@ def bind(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     register(spark, sf_dir)
     if name not in BINDINGS:
         return spark.table(name)
-    return spark.sql(sql(DEPENDS.get(name, ""), BINDINGS[name]))
+    return run(spark, sql(DEPENDS.get(name, ""), BINDINGS[name]))
+
+
+def run(spark: SparkSession, text: str) -> DataFrame:
+    """A SQL text over the driver's tables; times come out without zone, as they are stored."""
+    df = spark.sql(text)
+    zoned = {c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"}
+    return df.withColumns(zoned) if zoned else df
 
 
 def sql(needs: str, body: str) -> str:

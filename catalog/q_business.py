@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.bindings import bind, sql
+from catalog.bindings import bind, run, sql
 from catalog.registry import AS_OF_TASK, query
 from haulmark import rules
 from haulmark.functions import clock, text
@@ -49,7 +49,6 @@ def outlier_flag(spark, sf):
     seen = F.col("first_ofd_time") - F.make_dt_interval(((F.col("awb") % 2) * 2).cast("int"))
     a, b = clock.plus("delivertime", days=-3), clock.plus("delivertime", days=-40)
     # Each pair of times is shifted so that every arm of the rule occurs in the data.
-    late = service.outlier_flag("delivertime", ideal, "pickuptime", seen, F.lit(None).cast("timestamp_ntz"))
     early = service.outlier_flag(a, F.lit(None).cast("timestamp_ntz"), "pickuptime", F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz"))
     born = service.outlier_flag(b, F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz"), "created_date")
     only_late = service.outlier_flag("delivertime", ideal, F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz"))
@@ -72,7 +71,7 @@ PENDING = f"pending as (select *, {DUE_DAY} as action_date from (select *, {BUCK
 
 def pending(spark, sf):
     bind(spark, sf, "ops").createOrReplaceTempView("ops")
-    return service.action_date(service.action_bucket(spark.sql(PENDING_COLUMNS), AS_OF_TASK))
+    return service.action_date(service.action_bucket(run(spark, PENDING_COLUMNS), AS_OF_TASK))
 
 
 @query("o_10_18_action_bucket", sql("ops", f"with {PENDING} select awb, action_bucket, action_date from pending"))
@@ -137,7 +136,7 @@ def first_attempt_success(spark, sf):
 def productivity(spark, sf):
     days = service.rider_days(ranked_tasks(spark, sf).withColumn("dispatch_month", clock.month("dispatch_time")), ["shipping_city", "hub", "dispatch_month"])
     bind(spark, sf, "nation")
-    target = spark.sql("select r_name as shipping_city, n_name as hub, cast(n_nationkey % 4 + 1 as double) / 10 as target_productivity from nation join region on n_regionkey = r_regionkey")
+    target = run(spark, "select r_name as shipping_city, n_name as hub, cast(n_nationkey % 4 + 1 as double) / 10 as target_productivity from nation join region on n_regionkey = r_regionkey")
     return service.productivity(days, ["shipping_city", "hub"], target)
 
 
@@ -177,13 +176,14 @@ def cohort_sql(scheduled: bool) -> str:
     where b.fasr < 0.84 and b.rider_age >= 10 and ({' or '.join('(' + ' and '.join('b.' + y for y in x[1:-1].split(' and ')) + ')' for x in weak)})"""
 
 
-BUSY = """select task_id, awb, status, dispatch_time, cod_amount, tour_id, rider_id % 3 as rider_id from task"""
+# Every order its own parcel, four riders, twelve weeks: weekly cells then hold several orders each.
+BUSY = """select task_id, task_id as awb, status, timestamp '2001-01-01 00:00:00' + (task_id % 2016) * interval '1' hour as dispatch_time, cod_amount, tour_id,
+  rider_id % 4 as rider_id from task"""
 
 
 def busy_ranked(spark, sf):
-    """Attempts spread over few riders, so that weekly cells hold several orders."""
     bind(spark, sf, "task").createOrReplaceTempView("task")
-    rows = spark.sql(BUSY)
+    rows = run(spark, BUSY)
     hot = resolve_hot(rows, ["awb"], "auto")
     return salted_join(attempts.attempt_rank(rows, hot=hot), bind(spark, sf, "shipment").select("awb", "shipping_city"), ["awb"], "left", hot=hot)
 
@@ -196,8 +196,6 @@ def crew(spark, sf):
     return bind(spark, sf, "crew").select("rider_id", "rider_name", "hub", "hub_type", "vendor_name", "created_at")
 
 
-# The thresholds on delivered orders need dense weeks; the test data is sparse, so the
-# selection is registered over city-less parcels too: one city per rider.
 @query("o_10_24_cohort_select", sql("task shipment crew", busy(cohort_sql(False)).replace(", s.shipping_city,", ", 'all' as shipping_city,")))
 def cohort_select(spark, sf):
     days = cohort.slot_days(busy_ranked(spark, sf).withColumn("shipping_city", F.lit("all")))
