@@ -30,7 +30,7 @@ def main() -> int:
             df = fn(spark, sf)
             if name in ORACLES:
                 problem = difference(df, con, ORACLES[name])
-                n = ""
+                n = " rows=%d" % con.execute(f"select count(*) from ({ORACLES[name]}) q").fetchall()[0][0]
             else:
                 n = f" rows={df.count()} (no SQL)"
                 problem = None
