@@ -106,7 +106,7 @@ BINDINGS = {
           min(dispatch_time - hour(dispatch_time) * interval '1' hour) + interval '1' day as edd, max(dispatch_time) + interval '3' hour as last_scan_time,
           count(*) as delivery_attempts from task group by awb) t on s.awb = t.awb""",
     # revenue per order: client, lane, charge
-    "charge": """select l_orderkey as order_id, sum(cast(l_extendedprice * (1 - l_discount) * 100 as bigint)) as cents
+    "charge": """select l_orderkey as order_id, sum(cast(floor(l_extendedprice * (1 - l_discount) * 100) as bigint)) as cents
       from lineitem group by l_orderkey""",
 }
 
