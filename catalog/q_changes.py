@@ -212,7 +212,7 @@ def evolve_schema(spark, sf):
 
 # Contract rates per client and city.
 RATES = """select distinct user_id, case city when 'Jaipur' then 'Delhi' else city end as city, cast(user_id % 7 as double) + 20 as forward_rpo, 0.25::double as rto_multiplier,
-  case when user_id % 2 = 0 then 'Yes' else 'No' end as cod_charge from shipment where user_id % 9 <> 4"""
+  case when user_id % 2 = 0 then 'Yes' else 'No' end as cod_charge from shipment where total_shipment_value > 5000"""
 BILLED = """select t.task_id as awb, s.user_id, s.user_name, s.city as shipping_city, case t.status when 'COMPLETED' then 'Delivered' when 'CANCELLED' then 'RTO Delivered' else 'In-Transit' end as shipment_status,
   cod_amount / 100 as final_total_charges, cast(t.task_id % 40 as double) as finops_cod_charge from task t join shipment s on s.awb = t.awb"""
 

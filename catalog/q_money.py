@@ -377,18 +377,18 @@ def return_weighted(spark, sf):
 @query("o_10_38_cost_per_order", sql("task", f"""
     with p as (select rider_id, {cents('cod_amount')} / 1000 as total_pay from task group by 1), o as (select rider_id, count(awb) as orders from task where status = 'COMPLETED' group by 1),
       c as (select p.*, orders, total_pay / nullif(orders, 0)::double as rider_pay_cpo, concat('K', cast(rider_id as varchar)) as key from p left join o using (rider_id)),
-      v as (select distinct concat('K', cast(rider_id as varchar)) as key, cast(rider_id % 7 as double) / 100 as extra_per_rs from task where rider_id % 7 <> 3)
+      v as (select distinct concat('K', cast(rider_id as varchar)) as key, cast(rider_id % 7 as double) / 100 as extra_per_rs from task where cod_amount > 490000)
     select c.*, coalesce(rider_pay_cpo * extra_per_rs, 0) as vendor_cpo from c left join v using (key)"""))
 def cost_per_order(spark, sf):
     task = bind(spark, sf, "task")
     pays = task.groupBy("rider_id").agg((exact_sum("cod_amount") / 1000).alias("total_pay"))
     orders = task.filter("status = 'COMPLETED'").groupBy("rider_id").agg(F.count("awb").alias("orders"))
     key = F.concat(F.lit("K"), F.col("rider_id").cast("string"))
-    vendors = task.select("rider_id").distinct().filter("rider_id % 7 <> 3").select(key.alias("key"), ((F.col("rider_id") % 7).cast("double") / 100).alias("extra_per_rs"))
+    vendors = task.filter("cod_amount > 490000").select("rider_id").distinct().select(key.alias("key"), ((F.col("rider_id") % 7).cast("double") / 100).alias("extra_per_rs"))
     return margin.vendor_cpo(margin.cpo(pays, orders, "rider_id").withColumn("key", key), vendors)
 
 
-MARGIN_ROWS = f"""{LANE_COST}, fuel as (select distinct rider_id, cast(rider_id % 6 as double) / 4 as fuel_cpo from task where rider_id % 9 <> 0),
+MARGIN_ROWS = f"""{LANE_COST}, fuel as (select distinct rider_id, cast(rider_id % 6 as double) / 4 as fuel_cpo from task where cod_amount > 490000),
   cost as (select o.*, coalesce(awb_pay, 0) + coalesce(self_mm_fm_cpo + intercity_fm_cpo + intercity_mm_cpo, 0) + coalesce(fuel_cpo, 0) + coalesce(awb_pay * 0.06, 0) as total_cost
     from o left join lc using (warehouse_city, city) left join fuel using (rider_id)),
   rev as (select * replace ({merged('shipping_city')} as shipping_city, {merged('warehouse_city')} as warehouse_city) from ({REVENUE}) x),
@@ -398,7 +398,7 @@ MARGIN_ROWS = f"""{LANE_COST}, fuel as (select distinct rider_id, cast(rider_id
 def margin_rows(spark, sf):
     from haulmark.plans.margins import order_margin
     views(spark, sf, "task", "shipment", "charge", "node")
-    fuel = bind(spark, sf, "task").select("rider_id").distinct().filter("rider_id % 9 <> 0").withColumn("fuel_cpo", (F.col("rider_id") % 6).cast("double") / 4)
+    fuel = bind(spark, sf, "task").filter("cod_amount > 490000").select("rider_id").distinct().withColumn("fuel_cpo", (F.col("rider_id") % 6).cast("double") / 4)
     revenue = run(spark, REVENUE).select("awb", "user_name", "drop_pincode", "shipping_city", "warehouse_city", "shipment_status", "shipment_charges")
     return order_margin(revenue, run(spark, DONE_ORDERS), run(spark, LANES), fuel)
 

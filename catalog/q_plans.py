@@ -97,7 +97,7 @@ HEADER = """select shipment_id, awb, concat('SO', cast(shipment_id as varchar(12
   created_date + interval '50' hour as modified_date, shipment_chargeable_weight, abs(total_shipment_value) as cod_amount, total_shipment_value, concat('phone ', cast(shipment_id as varchar(12))) as shipping_phone from shipment"""
 PROMISE = """select shipment_id, created_date + interval '254160' hour as shipment_edd, created_date + interval '254170' hour as shipment_edd_logops, created_date + interval '254120' hour as ideal_pickup_time,
   created_date + interval '254130' hour as ideal_packed_time, created_date + interval '254184' hour as ndd from shipment"""
-CLIENT = "select distinct user_id, concat('client ', cast(user_id as varchar(6))) as user_name from shipment where user_id % 8 <> 3"
+CLIENT = "select distinct user_id, concat('client ', cast(user_id as varchar(6))) as user_name from shipment where total_shipment_value > 9500"
 PARTNER = "case shipper_id when 2 then 'Delhivery' when 301 then 'Hyperlocal' when 1001 then 'B2B' else concat(cast(shipper_id as varchar), ', Unknown') end"
 FINANCE = f"""select transaction_id, amount, realized, anulled, reference_type as transaction_type, {LOCAL.format('t.created_time', 'created_time')}, {LOCAL.format('completion_time', 'completion_time')}, incoming_cash_flow_id,
     outgoing_cash_flow_id, reference_party_1, incoming_ref_id, case when left(incoming_ref_id, 6) = 'MANUAL' then cast(substring(incoming_ref_id, 9, 10) as date) end as collection_date, h.shipment_id, h.awb, shop_order_number,
@@ -226,3 +226,83 @@ def lost_attribution(spark, sf):
     views(spark, sf, "scan_wide")
     head, _, _ = header_views(spark, sf)
     return ops.lost_attribution(head.select("awb", "shipment_status", "shipping_city"), run(spark, LOST_LOG), head, bind(spark, sf, "rider"), bind(spark, sf, "node"), since="2024-01-02")
+
+
+# ---------------------------------------------------------------- daily hub table
+KPI_OPS = """select awb, shipment_id, city as shipping_city, last_mile_hub, user_name, shipment_status, shipping_partner, created_date, pickuptime, first_ofd_time, last_ofd, delivertime, edd, last_scan_time,
+  delivery_attempts, closure_status, edd + interval '1' day as next_delivery_date, last_ofd as last_failed_date, last_scan_time + interval '20' hour as modified_date,
+  case when awb % 10 = 0 then 'GS' else 'client' end as op_owner from ops"""
+KPI_EVENTS = "select shipment_id, last_ofd, last_scan_time as lost_mark_time, last_scan_time - interval '2' hour as rto_freeze_time, last_scan_time as rto_ofd_time from ops"
+KPI_RATING = "select awb, cast(task_id % 5 + 1 as double) as shipper_rating from task where status = 'COMPLETED'"
+KPI_TASK = "select t.*, t.pincode as customer_pincode, concat('HB', cast(n.node_id as varchar(4))) as location_id from task t join shipment s on s.awb = t.awb join node n on n.node_name = s.hub"
+KPI_NODE = "select *, concat('HB', cast(node_id as varchar(4))) as home_base_id from node"
+KPI_TRIP = "select task_id, case task_id % 3 when 0 then 'Manual__hub' when 1 then 'upi' end as collected_by, cod_amount from task"
+KPI_TARGET = """select distinct n.node_name as last_mile_hub, n.city as shipping_city, cast(date_trunc('month', o_orderdate) as date) as month, cast(n.node_id % 4 + 1 as double) / 2 as target_productivity
+  from node n join customer on c_nationkey = n.node_id join orders on o_custkey = c_custkey where o_totalprice > 400000"""
+KPI_START, KPI_END = "1995-01-01", "2001-09-30"
+KPI_NOW = f"timestamp '{AS_OF_TASK} 00:00:00'"
+HUB = "shipping_city, last_mile_hub"
+
+
+def midnight(c):
+    return f"date_trunc('day', {c})::timestamp"
+
+
+def per(num, den):
+    return f"{num} / nullif({den}, 0)::double"
+
+
+def same_day(side):
+    return f"left join {side} on {side}.shipping_city = g.shipping_city and {side}.last_mile_hub = g.last_mile_hub and {side}.datetime = g.datetime"
+
+
+def kpi_sql() -> str:
+    """Checking SQL: one aggregation per side, joined to the grid."""
+    fresh, done, cod = "attempt_number = 1", "status = 'COMPLETED'", "cod_amount > 0"
+    return f"""with o as ({KPI_OPS}), ev as ({KPI_EVENTS}), dims as (select awb, max(length * breadth * height) as vol, max(weight) as wt from weight group by 1),
+      stars as (select awb, sum(shipper_rating) as rs, count(shipper_rating) as rn from ({KPI_RATING}) r group by 1),
+      b0 as (select o.awb, o.shipping_city, n.node_name as last_mile_hub, o.shipment_status, {midnight('pickuptime')} as pickup_date, case when op_owner = 'GS' then o.created_date else pickuptime end as datetime,
+          case when {midnight('delivertime')} <= edd then 1 else 0 end as otd, case when {midnight('first_ofd_time')} <= edd then 1 else 0 end as ofd, edd, next_delivery_date as ndd, last_failed_date::date as last_failed_date,
+          modified_date::date as modified_date, rto_freeze_time::date as rto_freeze_date, rto_ofd_time::date as rto_ofd_date, ev.last_ofd, delivery_attempts, last_scan_time, lost_mark_time, closure_status, rs, rn,
+          greatest(s.shipment_chargeable_weight, vol / 5000.0, wt) as weight
+        from o join node n on trim(split_part(n.sort_codes, '/', 2)) = o.last_mile_hub left join ev on ev.shipment_id = o.shipment_id left join shipment s on s.shipment_id = o.shipment_id
+          left join dims on dims.awb = o.awb left join stars on stars.awb = o.awb where shipping_partner = 'Hyperlocal'),
+      b1 as (select *, case when shipment_status = 'Picked-up' and datetime is not null then 'pickup' when shipment_status = 'Reached Nearest Hub' then 'fresh_attempt' when shipment_status = 'NDR Initiated' then 'reattempt'
+          when shipment_status = 'Failed Delivered' then 'ndr_required' when shipment_status = 'Out for Delivery' and last_ofd::date = {KPI_NOW}::date then 'action_taken'
+          when shipment_status = 'Out for Delivery' and delivery_attempts >= 1 then 'reattempt' when shipment_status = 'Out for Delivery' then 'fresh_attempt' when shipment_status = 'RTO Freeze' then 'RTO OFD'
+          when shipment_status = 'RTO Out for Delivery' then 'RTO Delivery' when shipment_status = 'Lost' then 'Lost' else 'action_taken' end as bucket from b0),
+      b as (select *, case when bucket = 'pickup' then edd when bucket in ('fresh_attempt', 'reattempt') then ndd when bucket = 'ndr_required' then last_failed_date::timestamp when bucket = 'RTO OFD' then rto_freeze_date::timestamp
+          when bucket = 'RTO Delivery' then rto_ofd_date + interval 1 day when bucket = 'Lost' then {midnight('lost_mark_time')} else modified_date::timestamp end as action_date from b1),
+      g as (select h.*, d as datetime from (select distinct {HUB} from b where shipping_city is not null and last_mile_hub <> '') h,
+          (select unnest(generate_series(timestamp '{KPI_START}', timestamp '{KPI_END}', interval 1 day)) as d) s),
+      intake as (select {HUB}, {midnight('datetime')} as datetime, count(distinct awb) as drr, cast(sum(case when weight >= 2000 then 1 else 0 end) as bigint) as heavy_shipments from b where datetime is not null group by 1, 2, 3),
+      due as (select {HUB}, edd as datetime, cast(sum(otd) as bigint) as otd, cast(sum(ofd) as bigint) as ofd, count(*) filter (shipment_status = 'Delivered') as delivered, count(distinct awb) as efd,
+          cast(sum(coalesce(rn, 0)) as bigint) as no_ratings, {per('sum(rs)', 'sum(coalesce(rn, 0))')} as avg_rating from b where pickup_date is not null group by 1, 2, 3),
+      pend as (select {HUB}, action_date as datetime, count(distinct awb) filter (bucket = 'fresh_attempt') as fresh_pending, count(distinct awb) filter (bucket = 'reattempt') as reattempt_pending,
+          count(distinct awb) filter (bucket = 'pickup') as pickup_pending, count(distinct awb) filter (bucket = 'Lost') as lost_marked from b group by 1, 2, 3),
+      miss as (select {HUB}, {midnight('last_scan_time')} as datetime, count(distinct awb) as missing_shipment from b where last_scan_time <= {KPI_NOW} - interval 24 hour and closure_status <> 'closed' and pickup_date is not null group by 1, 2, 3),
+      lt as (select t.*, n.node_name as last_mile_hub, n.city as shipping_city, {midnight('dispatch_time')} as datetime, rank() over (partition by t.awb order by dispatch_time) as attempt_number, p.collected_by, p.cod_amount as paid
+        from ({KPI_TASK}) t left join ({KPI_NODE}) n on n.home_base_id = t.location_id left join ({KPI_TRIP}) p on p.task_id = t.task_id),
+      att as (select {HUB}, datetime, count(*) filter ({fresh} and {done}) as fresh_delivered, count(*) filter ({fresh}) as fresh_attempted, count(*) filter ({fresh} and {done} and not {cod}) as prepaid_fresh_delivered,
+          count(*) filter ({fresh} and not {cod}) as prepaid_fresh_attempted, count(*) filter ({fresh} and {done} and {cod}) as cod_fresh_delivered, count(*) filter ({fresh} and {cod}) as cod_fresh_attempted,
+          count(*) filter ({done}) as locus_delivered, {cents("case when lower(collected_by) not like '%manual%' then paid else 0 end")} as upi_collection,
+          {cents("case when lower(collected_by) like '%manual%' then paid else 0 end")} as cash_collection, count(distinct rider_id) as mandays, count(distinct customer_pincode) as distinct_pincodes from lt group by 1, 2, 3)
+    select concat(strftime(g.datetime, '%d/%m/%Y'), '-', g.shipping_city, '-', g.last_mile_hub) as key, g.datetime, g.shipping_city, g.last_mile_hub, drr, heavy_shipments, otd, ofd, delivered, efd,
+      otd // nullif(efd, 0) as otd_pct, ofd // nullif(efd, 0) as ofd_pct, delivered // nullif(efd, 0) as del_pct, {per('otd', 'efd')} as otd_ratio, {per('ofd', 'efd')} as ofd_ratio, {per('delivered', 'efd')} as del_ratio,
+      no_ratings, avg_rating, prepaid_fresh_delivered, prepaid_fresh_attempted, cod_fresh_delivered, cod_fresh_attempted, fresh_delivered, fresh_attempted, mandays,
+      {per('prepaid_fresh_delivered', 'prepaid_fresh_attempted')} as prepaid_fasr, {per('cod_fresh_delivered', 'cod_fresh_attempted')} as cod_fasr, {per('fresh_delivered', 'fresh_attempted')} as fasr,
+      upi_collection, cash_collection, locus_delivered, {per('locus_delivered', 'mandays')} as productivity, distinct_pincodes, {per('locus_delivered', 'distinct_pincodes')} as load_per_pincode,
+      fresh_pending, reattempt_pending, pickup_pending, lost_marked, missing_shipment, target_productivity, {per('locus_delivered', 'mandays')} / nullif(target_productivity, 0) as cap_util
+    from g {' '.join(same_day(x) for x in ('intake', 'due', 'att', 'pend', 'miss'))}
+      left join ({KPI_TARGET}) t on t.last_mile_hub = g.last_mile_hub and t.shipping_city = g.shipping_city and t.month = date_trunc('month', g.datetime)::date"""
+
+
+@query("p_09_main_metric_table", sql("ops weight node", kpi_sql()))
+def main_metric_table(spark, sf):
+    views(spark, sf, "task", "shipment", "ops", "node")
+    nodes = run(spark, KPI_NODE)
+    base = kpi.shipment_base(run(spark, KPI_OPS), run(spark, KPI_EVENTS), bind(spark, sf, "shipment"), bind(spark, sf, "weight").withColumnRenamed("awb", "shipment_awb"),
+                             run(spark, KPI_RATING), nodes, AS_OF_TASK, months=None, created_owners=["GS"])
+    attempts = kpi.attempt_metrics(run(spark, KPI_TASK), nodes, run(spark, KPI_TRIP), AS_OF_TASK, months=None)
+    folder = workdir(spark)
+    return kpi.main_metric_table(base, attempts, run(spark, KPI_TARGET), AS_OF_TASK, start=KPI_START, end=KPI_END, keep=lambda df: cut_lineage(df, folder))
