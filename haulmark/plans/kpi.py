@@ -14,6 +14,9 @@ from haulmark.operators.pick import max_dims
 from haulmark.operators.service import PENDING, action_bucket, action_date, hub_grid, on_time_known
 
 BY = ["shipping_city", "last_mile_hub"]
+OPS_COLUMNS = ["awb", "shipment_id", "shipping_city", "last_mile_hub", "user_name", "shipment_status", "shipping_partner",
+               "created_date", "pickuptime", "first_ofd_time", "delivertime", "edd", "last_scan_time", "delivery_attempts",
+               "closure_status", "next_delivery_date", "last_failed_date", "modified_date", "op_owner"]
 
 
 def shipment_base(ops: DataFrame, events: DataFrame, headers: DataFrame, weights: DataFrame, ratings: DataFrame,
@@ -25,7 +28,7 @@ def shipment_base(ops: DataFrame, events: DataFrame, headers: DataFrame, weights
     multiplies. For the listed owners and clients the creation time counts as intake.
     """
     now = clock.moment(as_of)
-    rows = ops.filter((F.col("shipping_partner") == rules.OWN_CARRIER) & F.col("shipping_city").isNotNull())
+    rows = ops.select(*OPS_COLUMNS).filter((F.col("shipping_partner") == rules.OWN_CARRIER) & F.col("shipping_city").isNotNull())
     if months is not None:
         rows = rows.filter(F.col("created_date") >= clock.months_before(clock.month(now), months))
     hubs = nodes.select(text.part("sort_codes", "/", 2).alias("last_mile_hub"), "node_name")
