@@ -156,28 +156,28 @@ ORDER_PARTS = ["order_base_0_pay", "order_base_3000_pay", "order_base_5000_pay",
 PAYOUT_TOTALS = {"order_subtotal": ORDER_PARTS, "total_pay": [*ORDER_PARTS, "fixed_pay", "fixed_milestone_pay"]}
 
 
-def attendance_bonus(days: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Month attendance (3 or more delivered) and the bonus for enough days above 3."""
-    least = rules.ATTENDANCE_MIN_DELIVERED
+def attendance_bonus(days: DataFrame, by: Sequence[str], card: str = "april") -> DataFrame:
+    """Days present and the bonus for enough full days."""
+    rule = rules.ATTENDANCE[card]
     per_day = days.groupBy(*by, "dispatch_date").agg(F.max("delivered").alias("_top"))
-    counted = per_day.groupBy(*by).agg(
-        F.count_if(F.col("_top") >= least).alias("attendance"), F.count_if(F.col("_top") > least).alias("_full"))
-    needed = lookup.decode("city", rules.ATTENDANCE_DAYS, rules.ATTENDANCE_DAYS_OTHER)
+    counted = per_day.groupBy(*by).agg(F.count_if(F.col("_top") >= rule.present_from).alias("attendance"),
+                                       F.count_if(F.col("_top") >= rule.bonus_from).alias("_full"))
+    needed = lookup.decode("city", rule.days, rule.days_other) if rule.days else F.lit(rule.days_other)
     return counted.withColumn("attendance_incentive", F.when(
         F.col("_full") >= needed, float(rules.ATTENDANCE_BONUS)).otherwise(0.0)).drop("_full")
 
 
-def rider_month(days: DataFrame) -> DataFrame:
+def rider_month(days: DataFrame, card: str = "april") -> DataFrame:
     """Month totals per rider, hub and pay structure."""
     by = ["dispatch_month", "city", "rider_id", "hub", "payout_structure"]
     dated = days.withColumn("dispatch_month", clock.month("dispatch_date"))
     parts = ["org_id_pay", "delivery_pay", "heavy_pay", "vfd_pay", "evening_pay", "mg_payed"]
-    least = rules.ATTENDANCE_MIN_DELIVERED
-    needed = lookup.decode("city", rules.ATTENDANCE_DAYS, rules.ATTENDANCE_DAYS_OTHER)
+    rule = rules.ATTENDANCE[card]
+    needed = lookup.decode("city", rule.days, rule.days_other) if rule.days else F.lit(rule.days_other)
     # A rider-day is one row here, so distinct days are plain counts.
     out = dated.groupBy(*by).agg(
-        F.count_if(F.col("delivered") >= least).alias("attendance"),
-        F.count_if(F.col("delivered") > least).alias("_full"), F.sum("delivered").alias("delivered"),
+        F.count_if(F.col("delivered") >= rule.present_from).alias("attendance"),
+        F.count_if(F.col("delivered") >= rule.bonus_from).alias("_full"), F.sum("delivered").alias("delivered"),
         *[exact_sum(p).alias(p) for p in parts], exact_sum("fixed_pay").alias("fixed_pay"))
     variable = (F.col("org_id_pay") + F.col("delivery_pay") + F.col("vfd_pay") + F.col("evening_pay")
                 + F.col("mg_payed") + F.col("heavy_pay"))

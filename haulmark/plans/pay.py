@@ -62,7 +62,7 @@ def own_payout(orders: DataFrame, card: str = "april") -> dict[str, DataFrame]:
     """Orders with pay, rider days, rider months, hub months, and cost per delivered order."""
     paid = payout.order_pay(orders, rules.ORDER_CARDS[card])
     days = payout.rider_day(paid, card)
-    months = payout.rider_month(days)
+    months = payout.rider_month(days, card)
     return {"orders": paid, "days": days, "months": months, "hubs": payout.hub_month(months),
             "costs": payout.allocate_to_orders(paid, days)}
 

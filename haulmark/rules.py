@@ -276,10 +276,22 @@ FRANCHISE_WEIGHT = [
 
 # Success-rate bonus per delivered order, first match wins.
 FASR_BONUS = [(0.9, 2), (0.85, 1)]
+@dataclass(frozen=True)
+class Attendance:
+    """Deliveries that count as present, deliveries of a full day, full days needed by city."""
+    present_from: int
+    bonus_from: int
+    days: dict
+    days_other: int
+
+
 # Attendance bonus.
 ATTENDANCE_BONUS = 1000
-ATTENDANCE_DAYS = {"Mumbai": 28, "Bangalore": 28}
-ATTENDANCE_DAYS_OTHER, ATTENDANCE_MIN_DELIVERED = 26, 3
+ATTENDANCE = {
+    "april": Attendance(3, 4, {"Mumbai": 28, "Bangalore": 28}, 26),
+    "zone": Attendance(3, 4, {"Mumbai": 28, "Bangalore": 28}, 26),
+    "legacy": Attendance(2, 0, {}, 26),
+}
 # Unbroken-attendance windows by city as (first day, last day) of the month.
 UNBROKEN_WINDOWS = {
     "longer-consecutive-attendance": {"Mumbai": (8, 19), "Bangalore": (6, 19), "Hyderabad": (7, 19)},
