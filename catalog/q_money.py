@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.bindings import bind, cents, run, sql
-from catalog.registry import AS_OF_TASK, query
+from catalog.registry import AS_OF_TASK, query, workdir
 from haulmark import rules
 from haulmark.functions import clock
 from haulmark.functions.numbers import exact_sum, ratio
 from haulmark.operators import cash, margin, payout, report
-from haulmark.operators.joins import not_in  # noqa: F401
 from haulmark.plans import pay
+from haulmark.session import cut_lineage
 from haulmark.sources.readers import inline_table
 
 # ---------------------------------------------------------------- payout input
@@ -234,8 +234,9 @@ ALLOCATED = """select task_id, awb, p.rider_id, date_trunc('day', dispatch_time)
 
 @query("o_10_32_allocate_to_orders", sql(NEEDS, f"with {dense(OWN)}, {APRIL}, {days_sql('april')} {ALLOCATED}"))
 def allocate(spark, sf):
-    orders = payout.order_pay(dense_rows(spark, sf), rules.ORDER_CARDS["april"])
-    return payout.allocate_to_orders(orders, payout.rider_day(orders, "april")).select("task_id", "awb", "rider_id", "dispatch_date", "awb_pay")
+    folder = workdir(spark)
+    costs = pay.own_payout(dense_rows(spark, sf), keep=lambda df: cut_lineage(df, folder))["costs"]
+    return costs.select("task_id", "awb", "rider_id", "dispatch_date", "awb_pay")
 
 
 # Tours of the test attempts: facts per tour and its rider.

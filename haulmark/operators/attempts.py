@@ -12,6 +12,7 @@ from haulmark.functions.numbers import ratio
 from haulmark.operators.joins import interval_latest, neighbours
 from haulmark.operators.ordered import rank, running
 from haulmark.operators.sets import union_all
+from haulmark.operators.skew import resolve_hot, salted_join
 
 COMPLETED, CANCELLED = "COMPLETED", "CANCELLED"
 
@@ -134,16 +135,17 @@ def attempt_timeline(shipments: DataFrame, attempts: DataFrame, replies: DataFra
     ``replies``: awb, reply_id, timestamp, message, deferred_date (text), re_attempt_slot.
     ``since`` drops replies older than that moment.
     """
+    listed = resolve_hot(attempts.select("awb").unionByName(replies.select("awb")), ["awb"], hot)
     picked = shipments.filter(F.col("pickuptime").isNotNull())
     zero = attempt_promise(picked.withColumnRenamed("pickuptime", "dispatch_time")).select(
         "awb", "shipping_city", "shipment_status",
         F.concat(F.col("awb").cast("string"), F.lit("-zero-attempt")).alias("task_id"),
         "dispatch_time", F.lit(0).alias("attempt_number"), "min_reattempt_time")
-    real = attempts.filter(F.col("awb").isNotNull()).join(
-        picked.select("awb", "shipping_city", "shipment_status"), "awb", "inner")
-    real = min_reattempt(attempt_rank(real, hot=hot)).withColumn("task_id", F.col("task_id").cast("string"))
+    real = salted_join(attempts.filter(F.col("awb").isNotNull()),
+                       picked.select("awb", "shipping_city", "shipment_status"), ["awb"], "inner", hot=listed)
+    real = min_reattempt(attempt_rank(real, hot=listed)).withColumn("task_id", F.col("task_id").cast("string"))
     rows = union_all(zero, real.select(*zero.columns, F.col("status").alias("task_status"), "cancellation_remarks"))
     rows = neighbours(rows, "awb", "attempt_number", "dispatch_time")
     kept = replies if since is None else replies.filter(F.col("timestamp") >= clock.moment(since))
-    answered = interval_latest(rows, prepare_replies(kept), "awb", "dispatch_time", "timestamp", "reply_id", hot=hot)
+    answered = interval_latest(rows, prepare_replies(kept), "awb", "dispatch_time", "timestamp", "reply_id", hot=listed)
     return pendency_flags(ideal_next_attempt(answered))

@@ -10,12 +10,14 @@ from haulmark.functions.numbers import exact_sum
 from haulmark.operators.attempts import COMPLETED
 from haulmark.operators.joins import on_cast
 from haulmark.operators.sets import union_distinct
+from haulmark.operators.skew import resolve_hot, salted_join
 
 LEDGER = ["delivery_date", "rider_id", "rider_name", "awb", "amount", "hub_name", "shipping_city", "collected",
           "deposited", "collected_on", "collected_by", "trip_id", "deposited_on"]
 
 
-def cod_ledger(trips: DataFrame, transactions: DataFrame, cashflows: DataFrame, as_of=None, months: int = 3) -> DataFrame:
+def cod_ledger(trips: DataFrame, transactions: DataFrame, cashflows: DataFrame, as_of=None, months: int = 3,
+               hot="auto") -> DataFrame:
     """Money still with riders, and money collected with its deposit date.
 
     ``trips``: trip_id, awb, shipment_id, rider_id, rider_name, status, completed_at,
@@ -40,7 +42,9 @@ def cod_ledger(trips: DataFrame, transactions: DataFrame, cashflows: DataFrame,
     flows = cashflows.select(F.col("id").alias("incoming_cash_flow_id"),
                              F.col("created_time").cast("date").alias("deposited_on"))
     taken = base.filter(F.col("is_collected") | F.col("is_realized")).drop("amount")
-    paid = taken.join(lines, "shipment_id", "inner").join(flows, "incoming_cash_flow_id", "left").select(
+    # Lines without a cash flow share the null key, so they are spread over tasks.
+    no_flow = resolve_hot(transactions, ["incoming_cash_flow_id"], hot)
+    paid = salted_join(taken.join(lines, "shipment_id", "inner"), flows, ["incoming_cash_flow_id"], "left", hot=no_flow).select(
         "delivery_date", "rider_id", "rider_name", "awb", "amount", "hub_name", "shipping_city",
         F.lit(1).alias("collected"), F.col("incoming_cash_flow_id").isNotNull().cast("int").alias("deposited"),
         F.col("reconciled_at").cast("date").alias("collected_on"),

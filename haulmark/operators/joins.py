@@ -19,18 +19,21 @@ def star(fact: DataFrame, *dims: tuple[DataFrame, Sequence[str] | str]) -> DataF
 
 
 def on_expressions(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, Column]],
-                   how: str = "inner") -> DataFrame:
+                   how: str = "inner", hot=None) -> DataFrame:
     """Join on computed keys: they become columns first, so the join stays an equi join."""
     names = [f"_j{i}" for i in range(len(pairs))]
     l = left.withColumns({n: p[0] for n, p in zip(names, pairs)})
     r = right.withColumns({n: p[1] for n, p in zip(names, pairs)})
-    return l.join(r, names, how).drop(*names)
+    return salted_join(l, r, names, how, hot=hot).drop(*names)
 
 
 def on_cast(left: DataFrame, right: DataFrame, left_key: str, right_key: str, to: str = "decimal(38,0)",
-            how: str = "left") -> DataFrame:
-    """Text key against numeric key; text that is not a number matches nothing."""
-    return on_expressions(left, right, [(F.col(left_key).try_cast(to), F.col(right_key).cast(to))], how)
+            how: str = "left", hot="auto") -> DataFrame:
+    """Text key against numeric key; text that is not a number matches nothing.
+
+    Such rows share the null key, which is spread like any other hot key.
+    """
+    return on_expressions(left, right, [(F.col(left_key).try_cast(to), F.col(right_key).cast(to))], how, hot)
 
 
 def full_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

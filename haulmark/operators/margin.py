@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from haulmark import rules
 from haulmark.functions.numbers import exact_sum, ratio, round_half_even
 from haulmark.operators.joins import full_null_safe
-from haulmark.operators.skew import salted_join
+from haulmark.operators.skew import resolve_hot, salted_join
 
 DELIVERED, RETURNED = "Delivered", "RTO Delivered"
 
@@ -44,11 +44,12 @@ def lane_cost_allocation(lanes: DataFrame, costs: DataFrame) -> DataFrame:
                       (self_part + inter_part + mid_part).alias("total_mm_cost"))
 
 
-def order_total_cost(orders: DataFrame, lane_costs: DataFrame, fuel: DataFrame | None = None) -> DataFrame:
+def order_total_cost(orders: DataFrame, lane_costs: DataFrame, fuel: DataFrame | None = None, hot="auto") -> DataFrame:
     """Pay, mid-mile, fuel and vendor share per order; missing parts count as 0."""
+    listed = None if fuel is None else resolve_hot(orders, ["rider_id"], hot)
     joined = orders.join(lane_costs.select("warehouse_city", "city", "total_mm_cost"), ["warehouse_city", "city"], "left")
     if fuel is not None:
-        joined = salted_join(joined, fuel.select("rider_id", "fuel_cpo"), ["rider_id"], "left")
+        joined = salted_join(joined, fuel.select("rider_id", "fuel_cpo"), ["rider_id"], "left", hot=listed)
     else:
         joined = joined.withColumn("fuel_cpo", F.lit(0.0))
     filled = joined.withColumn("vendor_comm", F.col("awb_pay") * rules.VENDOR_SHARE).na.fill(

@@ -11,7 +11,7 @@ from haulmark.functions import clock, lookup, text
 from haulmark.operators.aggregate import milestones
 from haulmark.operators.ordered import least_so_far, previous_seen, running
 from haulmark.operators.pick import collapse_runs
-from haulmark.operators.skew import salted_join
+from haulmark.operators.skew import resolve_hot, salted_join
 
 OFD, FAILED = "Out for Delivery", "Failed Delivered"
 
@@ -73,11 +73,12 @@ def delivery_runs(log: DataFrame, key: str = "shipment_id", hot="auto") -> DataF
 
 def attempt_window(log: DataFrame, key: str = "shipment_id", hot="auto") -> DataFrame:
     """Attempts, first and last out-for-delivery, first and last failure after the first of them."""
-    runs = delivery_runs(log, key, hot)
+    listed = resolve_hot(log, [key], hot)
+    runs = delivery_runs(log, key, listed)
     ofd = (runs.filter(F.col("shipment_status") == OFD).groupBy(key)
            .agg(F.count_distinct("tracking_id").alias("no_attempts"), F.min("update_time").alias("first_ofd"),
                 F.max("update_time").alias("last_ofd")))
-    late = (salted_join(runs.filter(F.col("shipment_status") == FAILED), ofd, [key], "inner", hot=hot)
+    late = (salted_join(runs.filter(F.col("shipment_status") == FAILED), ofd, [key], "inner", hot=listed)
             .filter(F.col("update_time") > F.col("first_ofd")))
     failed = late.groupBy(key).agg(F.min("update_time").alias("first_failed_delivered"),
                                    F.max("update_time").alias("last_failed_delivered"))
@@ -86,9 +87,10 @@ def attempt_window(log: DataFrame, key: str = "shipment_id", hot="auto") -> Data
 
 def failed_remarks(log: DataFrame, key: str = "shipment_id", hot="auto") -> DataFrame:
     """Remarks of the first and last (by id) counted failure."""
-    runs = delivery_runs(log, key, hot)
+    listed = resolve_hot(log, [key], hot)
+    runs = delivery_runs(log, key, listed)
     first = runs.filter(F.col("shipment_status") == OFD).groupBy(key).agg(F.min("update_time").alias("first_ofd"))
-    late = (salted_join(runs.filter(F.col("shipment_status") == FAILED), first, [key], "inner", hot=hot)
+    late = (salted_join(runs.filter(F.col("shipment_status") == FAILED), first, [key], "inner", hot=listed)
             .filter(F.col("update_time") > F.col("first_ofd")))
     return late.groupBy(key).agg(F.min_by("remark", "tracking_id").alias("first_failed_delivered_remarks"),
                                  F.max_by("remark", "tracking_id").alias("last_failed_delivered_remarks"))
@@ -182,13 +184,14 @@ def shipment_facts(log: DataFrame, key: str = "shipment_id", hot="auto") -> Data
     delivery status and the earliest out-for-delivery so far; with those two
     values every count and time below is an ordinary aggregate.
     """
+    listed = resolve_hot(log, [key], hot)
     raw = location_class(log.filter(F.col("shipment_status").isNotNull()))
     canon = normalise_status(raw)
     status, ts, scan = F.col("shipment_status"), F.col("update_time"), F.col("tracking_id")
     prepared = canon.withColumns({
         "_state": F.when(status.isin(OFD, FAILED), status),
         "_ofd_at": F.when(status == OFD, ts)})
-    passed = running(prepared, [key], "update_time", ["tracking_id"], hot=hot,
+    passed = running(prepared, [key], "update_time", ["tracking_id"], hot=listed,
                      _before=previous_seen("_state"), _first_ofd=least_so_far("_ofd_at"))
     starts_run = F.col("_state").isNotNull() & (F.col("_before").isNull() | (F.col("_before") != F.col("_state")))
     attempt = starts_run & (status == OFD)

@@ -9,7 +9,7 @@ from haulmark.functions import lookup
 from haulmark.functions.numbers import exact_sum, ratio
 from haulmark.operators import margin
 from haulmark.operators.pick import keep_argmax
-from haulmark.operators.skew import salted_join
+from haulmark.operators.skew import resolve_hot, salted_join
 
 
 def merge_cities(df: DataFrame, *columns: str) -> DataFrame:
@@ -39,7 +39,7 @@ def rider_margin(rows: DataFrame, by=("shipping_city", "rider_id"), cost: str =
 
 
 def monthly_costs(delivered: DataFrame, rider_pay: DataFrame, franchise_pay: DataFrame, vendors: DataFrame, fuel: DataFrame,
-                  ignored_hubs=()) -> DataFrame:
+                  ignored_hubs=(), hot="auto") -> DataFrame:
     """Cost parts per delivered parcel for one month.
 
     ``delivered``: awb, trip_id, num_rider_id, node_name, shipping_city, dispatch_time; the
@@ -47,6 +47,8 @@ def monthly_costs(delivered: DataFrame, rider_pay: DataFrame, franchise_pay: Dat
     total_pay, key. ``franchise_pay``: hub, total_pay. ``vendors``: key, extra_per_rs.
     ``fuel``: city, amount. Rows with an unknown part are dropped, as in the month-end run.
     """
+    hot_riders = resolve_hot(delivered, ["num_rider_id"], hot)
+    hot_hubs = resolve_hot(delivered, ["node_name"], hot)
     one = keep_argmax(delivered, ["awb"], "dispatch_time", "trip_id").na.drop("any")
     per_rider = one.groupBy("num_rider_id").agg(F.count("awb").alias("orders"))
     per_hub = one.groupBy("node_name").agg(F.count("awb").alias("orders")).filter(~F.col("node_name").isin(list(ignored_hubs)))
@@ -57,8 +59,8 @@ def monthly_costs(delivered: DataFrame, rider_pay: DataFrame, franchise_pay: Dat
         "node_name", F.col("node_name").alias("vendor_name_fill"), F.lit("ORDER").alias("payout_structure_fill"),
         F.col("rider_pay_cpo").alias("rider_pay_cpo_fill"), F.col("node_name").alias("key_fill"))
     from haulmark.operators.shape import coalesce_from
-    rows = salted_join(one, riders, ["num_rider_id"], "left")
-    rows = salted_join(rows, hubs, ["node_name"], "left")
+    rows = salted_join(one, riders, ["num_rider_id"], "left", hot=hot_riders)
+    rows = salted_join(rows, hubs, ["node_name"], "left", hot=hot_hubs)
     rows = coalesce_from(rows, ["vendor_name", "payout_structure", "rider_pay_cpo", "key"]).na.drop("any")
     rows = margin.vendor_cpo(rows, vendors).drop("key")
     fuel_city = fuel.groupBy(F.col("city").alias("shipping_city")).agg(exact_sum("amount").alias("_amount"))

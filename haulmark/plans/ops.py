@@ -15,7 +15,7 @@ from haulmark.operators.cash import loss_attribution
 from haulmark.operators.pick import distinct_on
 from haulmark.operators.service import on_time, outlier_flag
 from haulmark.operators.sets import union_distinct
-from haulmark.operators.skew import salted_join
+from haulmark.operators.skew import resolve_hot, salted_join
 
 
 def carrier_name(carrier_id: Column) -> Column:
@@ -37,6 +37,7 @@ def task_brief(tasks: DataFrame, riders: DataFrame, headers: DataFrame,
 
     ``order`` decides which of several rows of one task is kept.
     """
+    listed = resolve_hot(tasks.select(F.col("scan_id").alias("awb")), ["awb"], hot)
     t = distinct_on(tasks, ["task_id"], list(order))
     drift = haversine_km("planned_location_lat", "planned_location_lng", "actual_location_lat", "actual_location_lng")
     def given(c):
@@ -60,7 +61,7 @@ def task_brief(tasks: DataFrame, riders: DataFrame, headers: DataFrame,
     named = out.join(riders.select(F.col("locus_rider_id").alias("rider_id"), "rider_name", F.col("phone").alias("rider_phone")),
                      "rider_id", "left")
     codes = headers.filter(F.col("awb").isNotNull()).groupBy("awb").agg(F.max_by("sort_code", "shipment_id").alias("sort_code"))
-    return salted_join(named, codes, ["awb"], "left", hot=hot)
+    return salted_join(named, codes, ["awb"], "left", hot=listed)
 
 
 def tour_brief(tours: DataFrame, tasks: DataFrame, riders: DataFrame, road_time_divisor: float = 1000.0) -> DataFrame:
@@ -100,7 +101,7 @@ MANUAL_MARK = "MANUAL"
 
 
 def finance_lines(transactions: DataFrame, headers: DataFrame, companies: DataFrame, cashflows: DataFrame,
-                  since=FINANCE_START) -> DataFrame:
+                  since=FINANCE_START, hot="auto") -> DataFrame:
     """Transactions of known shipments with client, carrier and cash flow.
 
     ``reference_id`` is text; a reference that is not a number belongs to no shipment.
@@ -118,7 +119,9 @@ def finance_lines(transactions: DataFrame, headers: DataFrame, companies: DataFr
     head = headers.select("shipment_id", "awb", "shop_order_number", "user_id", "shipper_id", "shipment_status")
     flow = cashflows.select(F.col("id").alias("incoming_cash_flow_id"), local("created_time").alias("cashflow_time"),
                             F.col("txn_id").alias("cashflow_ref_id"), F.col("verified").alias("cashflow_verified"))
-    out = (lines.join(head, "shipment_id", "inner").join(flow, "incoming_cash_flow_id", "left")
+    # Most lines have no cash flow yet: the null key counts as hot and its rows are spread.
+    flows_of = resolve_hot(transactions, ["incoming_cash_flow_id"], hot)
+    out = (salted_join(lines.join(head, "shipment_id", "inner"), flow, ["incoming_cash_flow_id"], "left", hot=flows_of)
            .join(companies.select("user_id", "user_name"), "user_id", "left"))
     return out.withColumn("shipping_partner", carrier_name(F.col("shipper_id"))).drop("user_id", "shipper_id")
 

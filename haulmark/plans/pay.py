@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,12 +37,12 @@ def pay_input(attempts: DataFrame, headers: DataFrame, weights: DataFrame, info:
     The month filter comes before the rank, so attempt 1 is the first one in the
     month. Hub selection too happens before the rank. ``rates``: pincode, delivered_rate.
     """
+    listed = resolve_hot(attempts, ["awb"], hot)
     rows = attempts.filter(F.col("awb").isNotNull())
     if month is not None:
         rows = rows.filter(clock.in_month("dispatch_time", month))
     side = payout.is_franchise("hub")
     rows = rows.join(info.filter(side if franchise else ~side).filter(~F.col("hub").isin(list(excluded_hubs))), "rider_id", "inner")
-    listed = resolve_hot(rows, ["awb"], hot)
     ranked = order_type(attempt_rank(rows, hot=listed))
     head = headers.select("awb", "user_id", "warehouse_city", "pincode", "shipment_chargeable_weight")
     dims = max_dims(weights).withColumnRenamed("shipment_awb", "awb")
@@ -58,10 +58,15 @@ def pay_input(attempts: DataFrame, headers: DataFrame, weights: DataFrame, info:
         "fuel_amount", F.coalesce("fuel_amount", F.lit(0.0)))
 
 
-def own_payout(orders: DataFrame, card: str = "april") -> dict[str, DataFrame]:
-    """Orders with pay, rider days, rider months, hub months, and cost per delivered order."""
-    paid = payout.order_pay(orders, rules.ORDER_CARDS[card])
-    days = payout.rider_day(paid, card)
+def own_payout(orders: DataFrame, card: str = "april",
+               keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
+    """Orders with pay, rider days, rider months, hub months, and cost per delivered order.
+
+    Paid orders and rider days are read several times; pass a ``keep`` that writes or
+    checkpoints them when more than one of the results is used.
+    """
+    paid = keep(payout.order_pay(orders, rules.ORDER_CARDS[card]))
+    days = keep(payout.rider_day(paid, card))
     months = payout.rider_month(days, card)
     return {"orders": paid, "days": days, "months": months, "hubs": payout.hub_month(months),
             "costs": payout.allocate_to_orders(paid, days)}

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulmark.operators.quality import require_unique
+from haulmark.session import cut_lineage
 
 
 def materialize(df: DataFrame, path: str, key: Sequence[str] | None = None,
@@ -77,3 +78,19 @@ def write_partitioned_report(df: DataFrame, path: str, by: Sequence[str] = ("cit
 def ctas_reordered(df: DataFrame, table: str, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """A new version with another column order, sorted inside its files."""
     return materialize(df.select(*columns).sortWithinPartitions(*order_by), table)
+
+
+def upsert_partitions(path: str, source: DataFrame, key: Sequence[str], partition: str, update_when=None) -> None:
+    """Upsert into a partitioned Parquet table, rewriting only the partitions the source touches.
+
+    A key must always carry the same partition value (a creation day, say). The
+    touched partitions are found by a semi join on the partition column, which prunes
+    the scan of the table; other partitions are neither read nor written.
+    """
+    from haulmark.operators.mutate import upsert
+
+    spark = source.sparkSession
+    target = spark.read.parquet(path)
+    touched = target.join(source.select(partition).distinct(), partition, "left_semi")
+    merged = cut_lineage(upsert(touched, source, key, update_when), path + "__work")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
