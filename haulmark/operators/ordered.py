@@ -50,7 +50,7 @@ def previous_seen(column: str) -> Spec:
 
 
 def seen_before(column: str) -> Spec:
-    """Latest non-null value at a strictly earlier time."""
+    """Latest non-null value at a strictly earlier time; null for rows without a time."""
     return Spec("seen_before", column)
 
 
@@ -76,9 +76,9 @@ def _windowed(spec: Spec, groups: Sequence[str], ts: str, tie: Sequence[str]) ->
     if spec.kind == "least_so_far":
         return F.min(spec.column).over(upto)
     if spec.kind == "seen_before":
-        earlier = (Window.partitionBy(*groups).orderBy("_micros")
+        earlier = (Window.partitionBy(*groups).orderBy(F.col("_micros").asc_nulls_last())
                    .rangeBetween(Window.unboundedPreceding, -1))
-        return F.last(spec.column, ignorenulls=True).over(earlier)
+        return F.when(F.col(ts).isNotNull(), F.last(spec.column, ignorenulls=True).over(earlier))
     raise ValueError(spec.kind)
 
 
@@ -153,6 +153,8 @@ def running(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = ()
             cols[name] = F.when(final_row, x).otherwise(local)
         elif s.kind == "least_so_far":
             cols[name] = F.least(local, x)
+        elif s.kind == "seen_before":
+            cols[name] = F.when(F.col(ts).isNotNull(), F.coalesce(local, x))
         else:
             cols[name] = F.coalesce(local, x)
     out = out.withColumns(cols)
