@@ -9,17 +9,15 @@ from catalog.registry import AS_OF_TASK, query
 from haulmark import rules
 from haulmark.functions import clock, text
 from haulmark.operators import attempts, cohort, service
-from haulmark.operators.skew import resolve_hot, salted_join
+from haulmark.operators.skew import salted_join
 
 NOW = f"timestamp '{AS_OF_TASK} 00:00:00'"
 
 
 def ranked_tasks(spark, sf, *more):
-    """Attempts with rank and the parcel's city and hub; one hot-key list serves both steps."""
-    task = bind(spark, sf, "task")
-    hot = resolve_hot(task, ["awb"], "auto")
+    """Attempts with rank and the parcel's city and hub, in one shuffle of the attempts."""
     ship = bind(spark, sf, "shipment").select("awb", "shipping_city", "hub", *more)
-    return salted_join(attempts.attempt_rank(task, hot=hot), ship, ["awb"], "left", hot=hot)
+    return attempts.attempt_rank(bind(spark, sf, "task"), attach=ship)
 
 
 RANKED = """ranked as (select t.*, s.shipping_city, s.hub, s.sort_code, rank() over (partition by t.awb order by dispatch_time) as attempt_number
@@ -183,9 +181,7 @@ BUSY = """select task_id, task_id as awb, status, timestamp '2001-01-01 00:00:00
 
 def busy_ranked(spark, sf):
     bind(spark, sf, "task").createOrReplaceTempView("task")
-    rows = run(spark, BUSY)
-    hot = resolve_hot(rows, ["awb"], "auto")
-    return salted_join(attempts.attempt_rank(rows, hot=hot), bind(spark, sf, "shipment").select("awb", "shipping_city"), ["awb"], "left", hot=hot)
+    return attempts.attempt_rank(run(spark, BUSY), attach=bind(spark, sf, "shipment").select("awb", "shipping_city"))
 
 
 def busy(check: str) -> str:

@@ -12,15 +12,18 @@ from haulmark.functions.numbers import ratio
 from haulmark.operators.joins import interval_latest, neighbours
 from haulmark.operators.ordered import rank, running
 from haulmark.operators.sets import union_all
-from haulmark.operators.skew import resolve_hot, salted_join
+from haulmark.operators.skew import resolve_hot
 
 COMPLETED, CANCELLED = "COMPLETED", "CANCELLED"
 
 
 def attempt_rank(df: DataFrame, key: str = "awb", ts: str = "dispatch_time", out: str = "attempt_number",
-                 hot="auto") -> DataFrame:
-    """Rank of the attempt within its parcel; equal times share a rank."""
-    return running(df, [key], ts, hot=hot, **{out: rank()})
+                 hot="auto", attach: DataFrame | None = None) -> DataFrame:
+    """Rank of the attempt within its parcel; equal times share a rank.
+
+    ``attach`` adds the columns of a parcel-level frame in the same shuffle.
+    """
+    return running(df, [key], ts, hot=hot, attach=attach, **{out: rank()})
 
 
 def order_type(df: DataFrame, number: str = "attempt_number", fresh: str = "Fresh",
@@ -141,9 +144,9 @@ def attempt_timeline(shipments: DataFrame, attempts: DataFrame, replies: DataFra
         "awb", "shipping_city", "shipment_status",
         F.concat(F.col("awb").cast("string"), F.lit("-zero-attempt")).alias("task_id"),
         "dispatch_time", F.lit(0).alias("attempt_number"), "min_reattempt_time")
-    real = salted_join(attempts.filter(F.col("awb").isNotNull()),
-                       picked.select("awb", "shipping_city", "shipment_status"), ["awb"], "inner", hot=listed)
-    real = min_reattempt(attempt_rank(real, hot=listed)).withColumn("task_id", F.col("task_id").cast("string"))
+    known = picked.select("awb", "shipping_city", "shipment_status", F.lit(True).alias("_picked"))
+    real = attempt_rank(attempts.filter(F.col("awb").isNotNull()), hot=listed, attach=known).filter("_picked")
+    real = min_reattempt(real).withColumn("task_id", F.col("task_id").cast("string"))
     rows = union_all(zero, real.select(*zero.columns, F.col("status").alias("task_status"), "cancellation_remarks"))
     rows = neighbours(rows, "awb", "attempt_number", "dispatch_time")
     kept = replies if since is None else replies.filter(F.col("timestamp") >= clock.moment(since))

@@ -88,26 +88,70 @@ def _with_micros(df: DataFrame, ts: str, specs: dict[str, Spec]) -> DataFrame:
     return df
 
 
+# Segment of ordinary keys; hours of hot keys lie above it.
+NO_SEGMENT = -(2 ** 62)
+
+
 def running(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = (),
-            hot: DataFrame | str | int | None = "auto", **specs: Spec) -> DataFrame:
-    """Add one column per spec, in the order of ``ts`` (nulls last) and ``tie`` within each key."""
+            hot: DataFrame | str | int | None = "auto", attach: DataFrame | None = None, **specs: Spec) -> DataFrame:
+    """Add one column per spec, in the order of ``ts`` (nulls last) and ``tie`` within each key.
+
+    ``attach`` is a frame to left-join on the same keys. The lookup and the windows then
+    share one shuffle of ``df``.
+    """
     keys = list(keys)
     listed = resolve_hot(df, keys, hot)
     if listed is None:
-        out = _with_micros(df, ts, specs)
+        out = df if attach is None else df.join(attach, keys, "left")
+        out = _with_micros(out, ts, specs)
         return out.withColumns({n: _windowed(s, keys, ts, tie) for n, s in specs.items()}).drop("_micros")
 
-    # Non-null stand-ins for the keys, so that the carry join and the windows share one shuffle.
+    # Non-null stand-ins for the keys, so that the lookups and the windows share one shuffle.
     types = dict(df.dtypes)
     stand_ins, groups = {}, []
     for i, k in enumerate(keys):
         stand_ins[f"_k{i}"] = F.coalesce(F.col(k), F.lit(0).cast(types[k]))
         stand_ins[f"_n{i}"] = F.col(k).isNull()
         groups += [f"_k{i}", f"_n{i}"]
+    inside = [*groups, "_seg"]
     hour = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 3600).cast("bigint")
-    segment = F.when(F.col("_hot"), F.coalesce(hour, F.lit(2 ** 62))).otherwise(F.lit(0)).cast("bigint")
+    segment = F.when(F.col("_hot"), F.coalesce(hour, F.lit(-NO_SEGMENT))).otherwise(F.lit(NO_SEGMENT)).cast("bigint")
     marked = mark_hot(df, keys, listed).withColumns(stand_ins).withColumn("_seg", segment)
 
+    carry = _carry(marked.filter(F.col("_seg") > NO_SEGMENT), groups, ts, tie, specs)
+    out = marked.join(carry, inside, "left")
+    extra = []
+    if attach is not None:
+        extra = [c for c in attach.columns if c not in keys]
+        right = mark_hot(attach.dropna(subset=keys), keys, listed).withColumns(stand_ins).drop(*keys)
+        plain = right.filter(~F.col("_hot")).withColumn("_seg", F.lit(NO_SEGMENT).cast("bigint"))
+        repeated = right.filter("_hot").join(carry.select(*inside), groups)
+        out = out.join(plain.unionByName(repeated).drop("_hot"), inside, "left")
+    out = _with_micros(out, ts, specs)
+    ordered = Window.partitionBy(*inside).orderBy(F.col(ts).asc_nulls_last(), *tie)
+    first = F.row_number().over(ordered) == 1
+    final_row = F.lead(F.lit(1)).over(ordered).isNull()
+    cols = {}
+    for name, s in specs.items():
+        local = _windowed(s, inside, ts, tie)
+        x = F.col(f"_x_{name}") if s.kind not in ("rank", "row_number") else None
+        if s.kind in ("rank", "row_number"):
+            cols[name] = (local + F.coalesce(F.col("_before"), F.lit(0))).cast("int")
+        elif s.kind == "lag":
+            cols[name] = F.when(first, x).otherwise(local)
+        elif s.kind == "lead":
+            cols[name] = F.when(final_row, x).otherwise(local)
+        elif s.kind == "least_so_far":
+            cols[name] = F.least(local, x)
+        elif s.kind == "seen_before":
+            cols[name] = F.when(F.col(ts).isNotNull(), F.coalesce(local, x))
+        else:
+            cols[name] = F.coalesce(local, x)
+    return out.withColumns(cols).select(*df.columns, *extra, *specs)
+
+
+def _carry(hot_rows: DataFrame, groups: Sequence[str], ts: str, tie: Sequence[str], specs: dict[str, Spec]) -> DataFrame:
+    """What each segment needs from its neighbours: one row per hot key and hour."""
     order = F.struct(*[F.col(c) for c in (ts, *tie)])
     summary = {"_n": F.count(F.lit(1))}
     for name, s in specs.items():
@@ -119,8 +163,7 @@ def running(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = ()
             summary[f"_c_{name}"] = F.max_by(s.column, F.when(F.col(s.column).isNotNull(), order))
         elif s.kind == "least_so_far":
             summary[f"_c_{name}"] = F.min(s.column)
-    segments = (marked.filter("_hot").groupBy(*groups, "_seg")
-                .agg(*[c.alias(n) for n, c in summary.items()]))
+    segments = hot_rows.groupBy(*groups, "_seg").agg(*[c.alias(n) for n, c in summary.items()])
     by_segment = Window.partitionBy(*groups).orderBy("_seg")
     earlier = by_segment.rowsBetween(Window.unboundedPreceding, -1)
     carried = {"_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0))}
@@ -134,28 +177,4 @@ def running(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = ()
             carried[f"_x_{name}"] = F.last(c, ignorenulls=True).over(earlier)
         elif s.kind == "least_so_far":
             carried[f"_x_{name}"] = F.min(c).over(earlier)
-    carry = segments.select(*groups, "_seg", *[c.alias(n) for n, c in carried.items()])
-
-    inside = [*groups, "_seg"]
-    out = _with_micros(marked.join(carry, inside, "left"), ts, specs)
-    first = F.row_number().over(Window.partitionBy(*inside).orderBy(F.col(ts).asc_nulls_last(), *tie)) == 1
-    final_row = F.lead(F.lit(1)).over(
-        Window.partitionBy(*inside).orderBy(F.col(ts).asc_nulls_last(), *tie)).isNull()
-    cols = {}
-    for name, s in specs.items():
-        local = _windowed(s, inside, ts, tie)
-        x = F.col(f"_x_{name}") if f"_x_{name}" in carried else None
-        if s.kind in ("rank", "row_number"):
-            cols[name] = (local + F.coalesce(F.col("_before"), F.lit(0))).cast("int")
-        elif s.kind == "lag":
-            cols[name] = F.when(first, x).otherwise(local)
-        elif s.kind == "lead":
-            cols[name] = F.when(final_row, x).otherwise(local)
-        elif s.kind == "least_so_far":
-            cols[name] = F.least(local, x)
-        elif s.kind == "seen_before":
-            cols[name] = F.when(F.col(ts).isNotNull(), F.coalesce(local, x))
-        else:
-            cols[name] = F.coalesce(local, x)
-    out = out.withColumns(cols)
-    return out.select(*df.columns, *specs)
+    return segments.select(*groups, "_seg", *[c.alias(n) for n, c in carried.items()])

@@ -13,7 +13,7 @@ from haulmark.operators import payout
 from haulmark.operators.attempts import attempt_rank, order_type, payment_mode
 from haulmark.operators.pick import max_dims
 from haulmark.operators.sets import union_distinct
-from haulmark.operators.skew import resolve_hot, salted_join
+from haulmark.operators.skew import resolve_hot
 
 
 def rider_info(riders: DataFrame, nodes: DataFrame, vendors: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
@@ -43,14 +43,13 @@ def pay_input(attempts: DataFrame, headers: DataFrame, weights: DataFrame, info:
         rows = rows.filter(clock.in_month("dispatch_time", month))
     side = payout.is_franchise("hub")
     rows = rows.join(info.filter(side if franchise else ~side).filter(~F.col("hub").isin(list(excluded_hubs))), "rider_id", "inner")
-    ranked = order_type(attempt_rank(rows, hot=listed))
     head = headers.select("awb", "user_id", "warehouse_city", "pincode", "shipment_chargeable_weight")
     dims = max_dims(weights).withColumnRenamed("shipment_awb", "awb")
     per_awb = head.join(dims, "awb", "left").select(
         "awb", "user_id", "warehouse_city", "pincode",
         chargeable_weight("shipment_chargeable_weight", "dwh_volume", "dwh_weight").alias("chargeable_weight"))
-    keep = [c for c in ranked.columns if c not in ("pincode",)]
-    out = salted_join(ranked.select(*keep), per_awb, ["awb"], "left", hot=listed).join(rates, "pincode", "left")
+    own = [c for c in rows.columns if c not in per_awb.columns or c == "awb"]
+    out = order_type(attempt_rank(rows.select(*own), hot=listed, attach=per_awb)).join(rates, "pincode", "left")
     out = out.withColumns({"slot": clock.slot_of("dispatch_time", "payout"), "mop": payment_mode()})
     if fuel is None:
         return out.withColumn("fuel_amount", F.lit(0.0))

@@ -46,6 +46,14 @@ def test_salted_join_equals_join(log, rows, how):
     assert salted.columns == plain.columns
 
 
+def test_attached_columns_equal_a_join(log, rows):
+    dims = rows([("hot", 1), ("a", 2), ("a", 3), (None, 4), ("z", 5)], "k string, v int")
+    plain = running(log, ["k"], "at", ["id"], hot=None, r=rank()).join(dims, ["k"], "left").select("id", "k", "v")
+    for limit in (None, 1, 60, 1000):
+        both = running(log, ["k"], "at", ["id"], hot=limit, attach=dims, r=rank())
+        assert sorted(map(repr, both.select("id", "k", "v").collect())) == sorted(map(repr, plain.collect())), limit
+
+
 def test_exact_copies_of_a_hot_row_are_all_kept(spark):
     copies = spark.range(1000, numPartitions=8).select(F.lit("k").alias("k"), F.lit(1).alias("v"))
     dims = spark.createDataFrame([("k", "d")], "k string, d string")
