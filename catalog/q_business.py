@@ -168,7 +168,7 @@ def cohort_sql(scheduled: bool) -> str:
         from weeks {'left ' if scheduled else ''}join crew using (rider_id) {'' if scheduled else "where hub_type <> 'franchise'"})
     select concat(strftime(b.w + interval 7 day, '%Y%m%d'), '-', cast(b.rider_id as varchar)) as key, cast(b.w + interval 7 day as date) as pip_date, b.shipping_city, b.rider_id,
       b.rider_name, b.hub, b.vendor_name, b.rider_age, concat({', '.join(x.replace(c + '_f', 'b.' + c + '_f') for x, c in zip(texts, [f'{s}_{m}'.lower() for s, m, _ in CELLS]))}) as need_improvement,
-      cast(trunc(cast(b.fasr * 100 as decimal(38,15))) as double) as starting_fasr, cast(trunc(cast(c.fasr * 100 as decimal(38,15))) as double) as closing_fasr,
+      cast(trunc(cast(cast(b.fasr * 100 as varchar) as decimal(38,15))) as double) as starting_fasr, cast(trunc(cast(cast(c.fasr * 100 as varchar) as decimal(38,15))) as double) as closing_fasr,
       'running' as pip_status, '' as pip_result
     from r b left join r c on c.w = b.w + interval 7 day and c.rider_id = b.rider_id
     where b.fasr < 0.84 and b.rider_age >= 10 and ({' or '.join('(' + ' and '.join('b.' + y for y in x[1:-1].split(' and ')) + ')' for x in weak)})"""
@@ -211,7 +211,7 @@ WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday",
 
 def scorecard_sql(closing: bool) -> str:
     kept = "where tour_id not in (select tour_id from ranked group by rider_id, tour_id having count(*) filter (status = 'COMPLETED') = 0)" if closing else ""
-    cut = "cast(floor(cast({} as decimal(38,15)) * 100) as double) / 100"
+    cut = "cast(floor(cast(cast({} as varchar) as decimal(38,15)) * 100) as double) / 100"
     fail = "avg_fasr < threshold or avg_fasr is null" if closing else "avg_fasr < threshold"
     pivot = ", ".join(f"sum(f) filter (isodow(d) = {i + 1}) as {w}" for i, w in enumerate(WEEKDAYS))
     return f"""with {RANKED}, pip as ({FOLLOWED}),

@@ -273,7 +273,7 @@ def greatest_least(spark, sf):
 
 
 @query("o_9_18_rounding", sql("task", """
-    select task_id, cast(trunc(cast(cod_amount / 1000 as decimal(38,15)) * 100) as double) / 100 as cut, cast(floor(cod_amount) as bigint) as floored,
+    select task_id, cast(trunc(cast(cast(cod_amount / 1000 as varchar) as decimal(38,15)) * 100) as double) / 100 as cut, cast(floor(cod_amount) as bigint) as floored,
       round(cod_amount) as rounded, cast(cod_amount / 7 as int) as as_int, cast(ceil(cod_amount) as bigint) as up from task"""))
 def rounding(spark, sf):
     c = F.col("cod_amount")
