@@ -45,18 +45,10 @@ def scan_stream(spark, sf):
 def stream_milestones(spark, sf):
     folder = workdir(spark)
     table = f"{folder}/milestones"
-    state = {"written": False}
-
-    def merge(batch, _):
-        rows = batch.withColumns({n: F.col(n).cast("timestamp_ntz") for n in SPEC})
-        if state["written"]:
-            rows = streams.merge_milestones(batch.sparkSession.read.parquet(table), rows, "shipment_id", stream_spec())
-        writers.materialize(rows, table, ["shipment_id"])
-        state["written"] = True
-
     out = streams.stream_milestones(scan_stream(spark, sf), "shipment_id", "update_time", stream_spec())
-    streams.run_available(out, f"{folder}/checkpoint", "update", each=merge)
-    return spark.read.parquet(table)
+    streams.run_available(out, f"{folder}/checkpoint", "update", each=streams.milestone_sink(table))
+    current = streams.read_milestones(spark, table, "shipment_id", stream_spec())
+    return current.withColumns({n: F.col(n).cast("timestamp_ntz") for n in SPEC})
 
 
 @query("o_11_03_stream_daily_counts", sql("scan", """

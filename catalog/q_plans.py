@@ -93,7 +93,7 @@ RAW_FLOW = "select o_orderkey as id, o_orderdate + interval '20' hour as created
 # Header, promises and clients for the view graph.
 HEADER = """select shipment_id, awb, concat('SO', cast(shipment_id as varchar(12))) as shop_order_number, shipment_id * 3 as order_id, user_id, shipper_id, shipment_status, 'forward' as shipment_type, shipping_zone,
   shipment_id % 6 + 180 as warehouse_id, concat('WH ', cast(shipment_id % 6 as varchar(2))) as warehouse_name, warehouse_city, city as shipping_city, pincode as shipping_pincode, sort_code,
-  case when shipment_id % 2 = 0 then 'COD' else 'Prepaid' end as payment_type, case when shipment_id % 10 = 0 then 'GS' else 'client' end as op_owner, case when shipment_id % 4 = 0 then 2 end as delivery_attempts, created_date,
+  case when shipment_id % 2 = 0 then 'COD' else 'Prepaid' end as payment_type, case when shipment_id % 10 = 0 then 'house' else 'client' end as op_owner, case when shipment_id % 4 = 0 then 2 end as delivery_attempts, created_date,
   created_date + interval '50' hour as modified_date, shipment_chargeable_weight, abs(total_shipment_value) as cod_amount, total_shipment_value, concat('phone ', cast(shipment_id as varchar(12))) as shipping_phone from shipment"""
 PROMISE = """select shipment_id, created_date + interval '254160' hour as shipment_edd, created_date + interval '254170' hour as shipment_edd_logops, created_date + interval '254120' hour as ideal_pickup_time,
   created_date + interval '254130' hour as ideal_packed_time, created_date + interval '254184' hour as ndd from shipment"""
@@ -231,7 +231,7 @@ def lost_attribution(spark, sf):
 # ---------------------------------------------------------------- daily hub table
 KPI_OPS = """select awb, shipment_id, city as shipping_city, last_mile_hub, user_name, shipment_status, shipping_partner, created_date, pickuptime, first_ofd_time, last_ofd, delivertime, edd, last_scan_time,
   delivery_attempts, closure_status, edd + interval '1' day as next_delivery_date, last_ofd as last_failed_date, last_scan_time + interval '20' hour as modified_date,
-  case when awb % 10 = 0 then 'GS' else 'client' end as op_owner from ops"""
+  case when awb % 10 = 0 then 'house' else 'client' end as op_owner from ops"""
 KPI_EVENTS = "select shipment_id, last_ofd, last_scan_time as lost_mark_time, last_scan_time - interval '2' hour as rto_freeze_time, last_scan_time as rto_ofd_time from ops"
 KPI_RATING = "select awb, cast(task_id % 5 + 1 as double) as shipper_rating from task where status = 'COMPLETED'"
 KPI_TASK = "select t.*, t.pincode as customer_pincode, concat('HB', cast(n.node_id as varchar(4))) as location_id from task t join shipment s on s.awb = t.awb join node n on n.node_name = s.hub"
@@ -261,7 +261,7 @@ def kpi_sql() -> str:
     fresh, done, cod = "attempt_number = 1", "status = 'COMPLETED'", "cod_amount > 0"
     return f"""with o as ({KPI_OPS}), ev as ({KPI_EVENTS}), dims as (select awb, max(length * breadth * height) as vol, max(weight) as wt from weight group by 1),
       stars as (select awb, sum(shipper_rating) as rs, count(shipper_rating) as rn from ({KPI_RATING}) r group by 1),
-      b0 as (select o.awb, o.shipping_city, n.node_name as last_mile_hub, o.shipment_status, {midnight('pickuptime')} as pickup_date, case when op_owner = 'GS' then o.created_date else pickuptime end as datetime,
+      b0 as (select o.awb, o.shipping_city, n.node_name as last_mile_hub, o.shipment_status, {midnight('pickuptime')} as pickup_date, case when op_owner = 'house' then o.created_date else pickuptime end as datetime,
           case when {midnight('delivertime')} <= edd then 1 else 0 end as otd, case when {midnight('first_ofd_time')} <= edd then 1 else 0 end as ofd, edd, next_delivery_date as ndd, last_failed_date::date as last_failed_date,
           modified_date::date as modified_date, rto_freeze_time::date as rto_freeze_date, rto_ofd_time::date as rto_ofd_date, ev.last_ofd, delivery_attempts, last_scan_time, lost_mark_time, closure_status, rs, rn,
           greatest(s.shipment_chargeable_weight, vol / 5000.0, wt) as weight
@@ -302,7 +302,7 @@ def main_metric_table(spark, sf):
     views(spark, sf, "task", "shipment", "ops", "node")
     nodes = run(spark, KPI_NODE)
     base = kpi.shipment_base(run(spark, KPI_OPS), run(spark, KPI_EVENTS), bind(spark, sf, "shipment"), bind(spark, sf, "weight").withColumnRenamed("awb", "shipment_awb"),
-                             run(spark, KPI_RATING), nodes, AS_OF_TASK, months=None, created_owners=["GS"])
+                             run(spark, KPI_RATING), nodes, AS_OF_TASK, months=None, created_owners=["house"])
     attempts = kpi.attempt_metrics(run(spark, KPI_TASK), nodes, run(spark, KPI_TRIP), AS_OF_TASK, months=None)
     folder = workdir(spark)
     return kpi.main_metric_table(base, attempts, run(spark, KPI_TARGET), AS_OF_TASK, start=KPI_START, end=KPI_END, keep=lambda df: cut_lineage(df, folder))

@@ -18,9 +18,10 @@ MAX_HOT_KEYS = 1000
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_MIN_ROWS,
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None,
              max_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """Keys with many rows, counted exactly so that a re-run task sees the same list."""
+    min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("hot_rows"))
     return (counted.filter(F.col("hot_rows") >= min_rows)
             .orderBy(F.desc("hot_rows"), *keys).limit(max_keys).select(*keys))

@@ -39,6 +39,31 @@ def merge_milestones(stored: DataFrame, batch: DataFrame, key: str, spec: Mappin
     return both.groupBy(key).agg(*[pick[how](n).alias(n) for n, (how, _) in spec.items()])
 
 
+def milestone_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Store the changed rows of each batch in a folder of its own.
+
+    A batch writes only the keys it changed, and a repeated batch replaces its own
+    folder. :func:`read_milestones` merges on reading; :func:`compact_milestones`
+    folds the batches from time to time.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return store
+
+
+def read_milestones(spark: SparkSession, path: str, key: str, spec: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """Current milestone per key. First and last times merge in any order."""
+    pick = {"min": F.min, "max": F.max}
+    stored = spark.read.option("basePath", path).parquet(path)
+    return stored.groupBy(key).agg(*[pick[how](n).alias(n) for n, (how, _) in spec.items()])
+
+
+def compact_milestones(spark: SparkSession, path: str, into: str, key: str, spec: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """Write the merged state as batch 0 of a new folder."""
+    read_milestones(spark, path, key, spec).write.mode("overwrite").parquet(f"{into}/batch=0")
+    return read_milestones(spark, into, key, spec)
+
+
 def stream_daily_counts(log: DataFrame, by: Sequence[str], ts: str, ident: str, late: str = "2 days",
                         rsd: float = 0.01) -> DataFrame:
     """Scans and (approximately) distinct shipments per day and group, with late data up to ``late``."""
