@@ -146,6 +146,7 @@ def slot_rules(spark, sf):
 
 
 CELLS = [("Morning", "Prepaid", 0.85), ("Morning", "COD", 0.6), ("Evening", "Prepaid", 0.8), ("Evening", "COD", 0.5)]
+LABELS = {("Morning", "Prepaid"): "Morning Prepaid (", ("Morning", "COD"): "Morning COD(", ("Evening", "Prepaid"): "Evening Prepaid (", ("Evening", "COD"): "Evening COD ("}
 SLOT = "case when hour(dispatch_time) <= 12 then 'Morning' else 'Evening' end"
 
 
@@ -157,7 +158,7 @@ def cohort_sql(scheduled: bool) -> str:
         sums += [f"sum({m}_d) filter (slot = '{s}') as {c}_d", f"sum({m}_a) filter (slot = '{s}') as {c}_a", f"count(*) filter (slot = '{s}') as {c}_n"]
         rates += [f"{c}_d / nullif({c}_a, 0)::double as {c}_f", f"{c}_d / nullif({c}_n, 0)::double as {c}_o"]
         weak.append(f"({c}_f < {t} and {c}_o >= 3)")
-        texts.append(f"case when {c}_f < {t} then concat('{s} {m} (', cast(cast({c}_f * 100 as int) as varchar), '%) ') end")
+        texts.append(f"case when {c}_f < {t} then concat('{LABELS[s, m]}', cast(cast({c}_f * 100 as int) as varchar), '%) ') end")
     return f"""with {RANKED}, days as (select date_trunc('day', dispatch_time)::timestamp as d, shipping_city, {SLOT} as slot, rider_id,
         {n('attempt_number = 1')} as fa, {n("attempt_number = 1 and status = 'COMPLETED'")} as fd, {n('attempt_number = 1 and cod_amount = 0')} as Prepaid_a,
         {n("attempt_number = 1 and status = 'COMPLETED' and cod_amount = 0")} as Prepaid_d, {n('attempt_number = 1 and cod_amount <> 0')} as COD_a,
@@ -279,11 +280,11 @@ def pincode_day(spark, sf):
 
 
 @query("o_10_45_lead_nodes", """
-    select s_suppkey % 50 as rider_id, 8 + c_custkey / 100.0 as lat, 70 + c_custkey / 50.0 as lng from customer join supplier on c_custkey % 120 = s_suppkey where s_suppkey % 9 = 4""")
+    select s_suppkey % 50 as rider_id, 8 + c_custkey / 100.0 as lat, 70 + c_custkey / 50.0 as lng from customer join supplier on c_custkey % 120 = s_suppkey where s_nationkey = 4""")
 def lead_nodes(spark, sf):
     nodes = bind(spark, sf, "customer").select((F.lit(8) + F.col("c_custkey") / 100.0).alias("lat"), (F.lit(70) + F.col("c_custkey") / 50.0).alias("lng"),
                                                (F.col("c_custkey") % 120).alias("assigned_rider_id"))
-    riders = bind(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") % 50).alias("rider_id"), (F.col("s_suppkey") % 9).alias("job_id"))
+    riders = bind(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") % 50).alias("rider_id"), F.col("s_nationkey").alias("job_id"))
     return service.lead_nodes(nodes, riders, 4)
 
 

@@ -101,7 +101,7 @@ CLIENT = "select distinct user_id, concat('client ', cast(user_id as varchar(6))
 PARTNER = "case shipper_id when 2 then 'Delhivery' when 301 then 'Hyperlocal' when 1001 then 'B2B' else concat(cast(shipper_id as varchar), ', Unknown') end"
 FINANCE = f"""select transaction_id, amount, realized, anulled, reference_type as transaction_type, {LOCAL.format('t.created_time', 'created_time')}, {LOCAL.format('completion_time', 'completion_time')}, incoming_cash_flow_id,
     outgoing_cash_flow_id, reference_party_1, incoming_ref_id, case when left(incoming_ref_id, 6) = 'MANUAL' then cast(substring(incoming_ref_id, 9, 10) as date) end as collection_date, h.shipment_id, h.awb, shop_order_number,
-    shipment_status, {LOCAL.format('f.created_time', 'cashflow_time')}, txn_id as cashflow_ref_id, verified as cashflow_verified, user_name, {PARTNER} as shipping_partner
+    shipment_status, {LOCAL.format('f.created_time', 'cashflow_time')}, txn_id as cashflow_ref_id, verified as cashflow_verified, user_name, {PARTNER.replace("when 1001 then 'B2B' ", "")} as shipping_partner
   from ({RAW_TXN}) t join ({HEADER}) h on try_cast(t.reference_id as bigint) = h.shipment_id left join ({RAW_FLOW}) f on f.id = t.incoming_cash_flow_id left join ({CLIENT}) c using (user_id)
   where coalesce(wallet_id, 0) <> 1 and t.created_time >= timestamp '1995-06-01'"""
 
@@ -299,10 +299,33 @@ def kpi_sql() -> str:
 
 @query("p_09_main_metric_table", sql("ops weight node", kpi_sql()))
 def main_metric_table(spark, sf):
+    return hub_table(spark, sf)
+
+
+def older_kpi_sql() -> str:
+    """Attempts at the shipment's own city and hub, own-network shipments only."""
+    text = kpi_sql()
+    i, j = text.index("      lt as (select"), text.index("      att as (select")
+    own = f"""      lt as (select t.*, b.last_mile_hub, b.shipping_city, {midnight('dispatch_time')} as datetime, rank() over (partition by t.awb order by dispatch_time) as attempt_number, p.collected_by, p.cod_amount as paid
+        from ({KPI_TASK}) t join b on b.awb = t.awb left join ({KPI_TRIP}) p on p.task_id = t.task_id),
+"""
+    text = text[:i].rstrip() + "\n" + own + text[j:]
+    return text.replace(" as cap_util\n", " as cap_util, delivered / nullif(mandays, 0)::double as delivered_productivity\n")
+
+
+@query("p_09_main_metric_table_older", sql("ops weight node", older_kpi_sql()))
+def main_metric_table_older(spark, sf):
+    return kpi.with_delivered_productivity(hub_table(spark, sf, older=True))
+
+
+def hub_table(spark, sf, older=False):
     views(spark, sf, "task", "shipment", "ops", "node")
     nodes = run(spark, KPI_NODE)
     base = kpi.shipment_base(run(spark, KPI_OPS), run(spark, KPI_EVENTS), bind(spark, sf, "shipment"), bind(spark, sf, "weight").withColumnRenamed("awb", "shipment_awb"),
                              run(spark, KPI_RATING), nodes, AS_OF_TASK, months=None, created_owners=["house"])
-    attempts = kpi.attempt_metrics(run(spark, KPI_TASK), nodes, run(spark, KPI_TRIP), AS_OF_TASK, months=None)
+    if older:
+        attempts = kpi.attempt_metrics_of(run(spark, KPI_TASK), base, run(spark, KPI_TRIP))
+    else:
+        attempts = kpi.attempt_metrics(run(spark, KPI_TASK), nodes, run(spark, KPI_TRIP), AS_OF_TASK, months=None)
     folder = workdir(spark)
     return kpi.main_metric_table(base, attempts, run(spark, KPI_TARGET), AS_OF_TASK, start=KPI_START, end=KPI_END, keep=lambda df: cut_lineage(df, folder))

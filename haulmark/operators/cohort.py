@@ -57,7 +57,7 @@ def _improvement_text() -> Column:
     """Cells below their threshold, as text."""
     parts = []
     for slot, mode, bound, name in cells():
-        label = F.concat(F.lit(f"{slot} {mode} ("), round_to_int(F.col(f"{name}_fasr") * 100).cast("string"), F.lit("%) "))
+        label = F.concat(F.lit(rules.PROGRAM_TEXT[slot, mode]), round_to_int(F.col(f"{name}_fasr") * 100).cast("string"), F.lit("%) "))
         parts.append(F.when(F.col(f"{name}_fasr") < bound, label))
     return F.concat_ws("", *parts)
 

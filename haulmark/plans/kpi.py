@@ -105,7 +105,19 @@ def attempt_metrics(tasks: DataFrame, nodes: DataFrame, trips: DataFrame, as_of,
     hubs = nodes.select(F.col("home_base_id").alias("location_id"), F.col("node_name").alias("last_mile_hub"),
                         lookup.decode("city_name", rules.CITY_CODES, F.col("city_name")).alias("shipping_city"))
     paid = trips.select("task_id", "collected_by", F.col("cod_amount").alias("_paid"))
-    ranked = attempt_rank(rows, hot=hot).join(hubs, "location_id", "left").join(paid, "task_id", "left")
+    return _attempt_figures(attempt_rank(rows, hot=hot).join(hubs, "location_id", "left").join(paid, "task_id", "left"))
+
+
+def attempt_metrics_of(tasks: DataFrame, base: DataFrame, trips: DataFrame, hot="auto") -> DataFrame:
+    """Older form: attempts of the shipments in ``base`` only, at the shipment's city and hub, without a horizon."""
+    places = base.select("awb", *BY, F.lit(True).alias("_known"))
+    rows = tasks.filter(F.col("dispatch_time").isNotNull() & F.col("awb").isNotNull())
+    paid = trips.select("task_id", "collected_by", F.col("cod_amount").alias("_paid"))
+    ranked = attempt_rank(rows.drop(*BY), hot=hot, attach=places).filter("_known").join(paid, "task_id", "left")
+    return _attempt_figures(ranked)
+
+
+def _attempt_figures(ranked: DataFrame) -> DataFrame:
     manual = F.lower(F.col("collected_by")).contains("manual")
     fresh, done = F.col("attempt_number") == 1, F.col("status") == COMPLETED
     cod = F.coalesce(F.col("cod_amount") > 0, F.lit(False))
@@ -127,6 +139,11 @@ def attempt_metrics(tasks: DataFrame, nodes: DataFrame, trips: DataFrame, as_of,
         "productivity": ratio("locus_delivered", "mandays"), "load_per_pincode": ratio("locus_delivered", "distinct_pincodes")})
 
 
+def with_delivered_productivity(table: DataFrame) -> DataFrame:
+    """Older productivity: shipments delivered by due day over the rider days of that day."""
+    return table.withColumn("delivered_productivity", ratio("delivered", "mandays"))
+
+
 def main_metric_table(base: DataFrame, attempts: DataFrame, targets: DataFrame, as_of, start=None, end=None,
                       months: int = 2, days_ahead: int = 10, keep: Callable[[DataFrame], DataFrame] = lambda df: df,
                       missing_hours: int = 24, literal_lost: bool = False) -> DataFrame:

@@ -18,9 +18,9 @@ from haulmark.operators.sets import union_distinct
 from haulmark.operators.skew import resolve_hot, salted_join
 
 
-def carrier_name(carrier_id: Column) -> Column:
+def carrier_name(carrier_id: Column, carriers=rules.CARRIERS) -> Column:
     unknown = F.concat_ws("", carrier_id.cast("string"), F.lit(", "), F.lit("Unknown"))
-    return F.coalesce(lookup.decode(carrier_id.cast("int"), rules.CARRIERS), unknown)
+    return F.coalesce(lookup.decode(carrier_id.cast("int"), carriers), unknown)
 
 
 def short_status(carrier: str = "shipper_id", status: str = "shipment_status") -> Column:
@@ -123,7 +123,8 @@ def finance_lines(transactions: DataFrame, headers: DataFrame, companies: DataFr
     flows_of = resolve_hot(transactions, ["incoming_cash_flow_id"], hot)
     out = (salted_join(lines.join(head, "shipment_id", "inner"), flow, ["incoming_cash_flow_id"], "left", hot=flows_of)
            .join(companies.select("user_id", "user_name"), "user_id", "left"))
-    return out.withColumn("shipping_partner", carrier_name(F.col("shipper_id"))).drop("user_id", "shipper_id")
+    return out.withColumn("shipping_partner", carrier_name(F.col("shipper_id"), rules.FINANCE_CARRIERS)).drop(
+        "user_id", "shipper_id")
 
 
 def outflow_table(log: DataFrame, outflows: DataFrame, warehouses: DataFrame, headers: DataFrame, suborders: DataFrame,

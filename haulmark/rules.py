@@ -74,6 +74,8 @@ CARRIERS = {
     1: "Shadowfax", 2: "Delhivery", 3: "Xpressbees", 4: "FedEx", 5: "Bluedart",
     6: "Smartr", 7: "Ekart", 8: "DTDC", 301: "Hyperlocal", 1001: "B2B",
 }
+# The finance table does not know the business carrier by name.
+FINANCE_CARRIERS = {k: v for k, v in CARRIERS.items() if k != 1001}
 # City code -> city.
 CITY_CODES = {"DEL": "Delhi", "BLR": "Bangalore", "HYD": "Hyderabad", "NCR": "NCR",
               "BOM": "Mumbai", "JPR": "Jaipur"}
@@ -143,6 +145,9 @@ HEAVY_GRAMS, HEAVY_GRAMS_PRODUCTIVITY = 2000, 1800
 # Slot, payment, success threshold.
 PROGRAM_THRESHOLDS = [("Morning", "Prepaid", 0.85), ("Morning", "COD", 0.6),
                       ("Evening", "Prepaid", 0.8), ("Evening", "COD", 0.5)]
+# How a weak cell is written, in front of the percentage.
+PROGRAM_TEXT = {("Morning", "Prepaid"): "Morning Prepaid (", ("Morning", "COD"): "Morning COD(",
+                ("Evening", "Prepaid"): "Evening Prepaid (", ("Evening", "COD"): "Evening COD ("}
 PROGRAM_ENTRY_FASR, PROGRAM_MIN_ORDERS, PROGRAM_MIN_AGE_DAYS = 0.84, 3, 10
 
 # ---------------------------------------------------------------- rider stars

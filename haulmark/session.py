@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Leave out the call site of every column expression: plans of this library are built from many small ones.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -122,6 +122,28 @@ def test_guarantee_and_allocation(rows):
     assert values(per_rider, "rider_id", "s") == [(1, 600.0), (2, 642.0)]
 
 
+def test_fuel_per_task(rows):
+    df = rows([("t1", "true", 100.0, 4), ("t2", "false", 100.0, 4), ("t3", "true", 100.0, 0), ("t4", "true", None, 2)], "tour_id string, fuel_payout_automation string, fuel_payout double, completed_tasks int")
+    assert values(payout.fuel_per_task(df), "tour_id", "fuel_amount") == [("t1", 25.0), ("t2", 0.0), ("t3", 0.0), ("t4", 0.0)]
+
+
+def test_pay_input_carries_fuel_and_weight(rows):
+    from haulmark.plans import pay
+    attempts_ = rows([(1, "a", "COMPLETED", 1, "2024-04-02 16:00:00", 0.0, "t1", None), (2, "a", "CANCELLED", 1, "2024-04-01 10:00:00", 5.0, "t9", None), (3, "a", "COMPLETED", 1, "2024-03-01 10:00:00", 5.0, "t9", None)],
+                     "task_id int, awb string, status string, rider_id int, dispatch_time ts, cod_amount double, tour_id string, cancellation_remarks string")
+    headers = rows([("a", 7, "Delhi", 110001, 100.0)], "awb string, user_id int, warehouse_city string, pincode int, shipment_chargeable_weight double")
+    weights = rows([("a", 10.0, 10.0, 100.0, 50.0), ("a", 1.0, 1.0, 1.0, 4500.0)], "shipment_awb string, length double, breadth double, height double, weight double")
+    info = rows([(1, "Hub", "Delhi", "ORDER")], "rider_id int, hub string, city string, payout_structure string")
+    rates = rows([(110001, 2.5)], "pincode int, delivered_rate double")
+    fuel = rows([("t1", 3.0)], "tour_id string, fuel_amount double")
+    for hot in (None, 1):
+        out = pay.pay_input(attempts_, headers, weights, info, rates, fuel, month="2024-04-01", hot=hot)
+        assert values(out, "task_id", "attempt_number", "chargeable_weight", "delivered_rate", "slot", "fuel_amount") == [
+            (1, 2, 4500.0, 2.5, "evening", 3.0), (2, 1, 4500.0, 2.5, "morning", 0.0)]
+        paid = payout.order_pay(out, rules.ORDER_CARDS["april"])
+        assert values(paid, "task_id", "delivery_incentive", "weight_incentive", "evening_order_incentive") == [(1, 22.5, 30.0, 5.0), (2, 0.0, 0.0, 0.0)]
+
+
 def test_bonus_counts_fresh_orders(rows):
     """The success bonus follows the intended spelling of the order type."""
     data = [(i, "COMPLETED", "ORDER", "Mumbai", "m", 1, "2024-04-01 10:00:00", None, None, None, 1, "morning", "Fresh", 0.0) for i in range(5)]
