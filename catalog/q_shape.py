@@ -173,7 +173,7 @@ def substring(spark, sf):
                                               text.substring("sort_code", 9).alias("tail"), text.substring("sort_code", 3, 4).alias("middle"))
 
 
-@query("o_9_04_position", sql("scan", "select tracking_id, position('>' in location) as arrow, position('purchase' in remark) as bought from scan"))
+@query("o_9_04_position", sql("scan", "select tracking_id, cast(position('>' in location) as int) as arrow, cast(position('purchase' in remark) as int) as bought from scan"))
 def position(spark, sf):
     return bind(spark, sf, "scan").select("tracking_id", text.position("location", ">").alias("arrow"), text.position("remark", "purchase").alias("bought"))
 

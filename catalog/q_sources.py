@@ -36,7 +36,7 @@ def read_sql_file(spark, sf):
 
 
 @query("o_1_04_read_master_csv", """
-    select year(o_orderdate) as year, o_orderstatus as head, cast(date_trunc('year', o_orderdate) as date) as month,
+    select cast(year(o_orderdate) as int) as year, o_orderstatus as head, cast(date_trunc('year', o_orderdate) as date) as month,
       cast(round(sum(cast(o_totalprice as decimal(18,2)))) as double) as amount, cast(0.0521 as double) as commission
     from orders group by all""")
 def read_master_csv(spark, sf):
