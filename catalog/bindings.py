@@ -118,7 +118,7 @@ _registered: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 def register(spark: SparkSession, sf_dir: str) -> None:
     """Make the driver's tables visible under their names, once per session and folder."""
-    if _registered.get(spark) == sf_dir:
+    if _registered.get(spark) == sf_dir and spark.catalog.tableExists("orders"):
         return
     for name in TABLES:
         path = f"{sf_dir.rstrip('/')}/{name}.parquet"
