@@ -15,6 +15,8 @@ from haulmark.session import shared_folder
 #: A word is a run of anything but blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+#: Rows in a batch between Spark and its Python workers.
+BATCH_ROWS = 512
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +24,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per session, so that functions run there wherever it is installed."""
+    """Send this package to the Python workers, once per session, so that functions run there wherever it is installed.
+
+    Also keeps Arrow batches short: rows hold whole texts, and a worker's memory should not follow the longest of them.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_haulmark_shipped", False):
         return

@@ -4,7 +4,7 @@ Every distinct shingle set has a signature of k coordinate-value pairs. A set is
 sets are compared when enough of their pairs collide: the count of collisions must reach ``match`` of k. Since two sets
 that share ``match`` pairs share one among the k - match + 1 rarest of either, only that prefix of each set is merged;
 pairs that occur in one set alone drop out of the merge at once. Collision counts reach the threshold for a link of
-similarity 0.8 but in about two of 10^8 cases (k = 64, match = 32). What is retained is confirmed on the full sets.
+similarity 0.8 but in about eight of 10^7 cases (k = 48, match = 24). What is retained is confirmed on the full sets.
 
 Groups of copies need no pairs within: equal sets are one node, first every posting list is compared with one member of
 its own, and lists whose members are then in one component are skipped. Only sets of different components are compared
@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,66 +50,82 @@ def _sets(width: int, k: int):
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                keys, sets = [], []
-                for text in part.column("text"):
-                    s = shingles.shingle_set(text.as_py(), width)
-                    keys.append(shingles.set_key(s))
-                    sets.append(s.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
-                                                 ["key", "hashes"])
+            keys, sets = [], []
+            for text in batch.column("text"):
+                s = shingles.shingle_set(text.as_py(), width)
+                keys.append(shingles.set_key(s))
+                sets.append(s.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
+                                             ["node", "key", "hashes"])
     return run
 
 
+def _block_pairs(chunk, root, tokens, match, best_only):
+    """Row numbers (i, j) within a block: pairs of different components that collide in ``match`` coordinates or more."""
+    first = np.flatnonzero(chunk == chunk[0])
+    rest = np.flatnonzero(chunk != chunk[0])
+    right = rest if len(rest) else first
+    x, y = tokens[first], tokens[right]
+    hits = np.zeros((len(x), len(y)), np.uint8)
+    for c in range(x.shape[1]):
+        hits += x[:, c, None] == y[None, :, c]
+    hits[root[first][:, None] == root[right][None, :]] = 0
+    hits[hits < match] = 0
+    if not hits.any():
+        return right[:0], right[:0]
+    if best_only:
+        keep = np.zeros(hits.shape, bool)
+        keep[np.arange(len(x)), hits.argmax(axis=1)] = True
+        keep[hits.argmax(axis=0), np.arange(len(y))] = True
+        hits[~keep] = 0
+    i, j = np.nonzero(hits)
+    return first[i], right[j]
+
+
 def _blocks(match: int, best_only: bool):
-    """Rows of a block follow each other; compare its two chunks and yield pairs of different components that match."""
-    def pairs(rows: pd.DataFrame) -> pd.DataFrame | None:
-        first = rows["chunk"].to_numpy() == rows["one"].to_numpy()[0]
-        same = rows["one"].iloc[0] == rows["two"].iloc[0]
-        left = rows[first]
-        right = left if same else rows[~first]
-        if len(left) == 0 or len(right) == 0:
-            return None
-        x, y = (np.stack(r["tokens"].to_numpy()) for r in (left, right))
-        hits = np.zeros((len(x), len(y)), np.int16)
-        for c in range(x.shape[1]):
-            hits += x[:, c, None] == y[None, :, c]
-        roots = pd.factorize(pd.concat([left["root"], right["root"]], ignore_index=True))[0]
-        hits[roots[:len(x), None] == roots[None, len(x):]] = 0
-        hits[hits < match] = 0
-        if best_only:
-            keep = np.zeros_like(hits, bool)
-            i = np.arange(len(x))
-            keep[i, hits.argmax(axis=1)] = True
-            j = np.arange(len(y))
-            keep[hits.argmax(axis=0), j] = True
-            hits[~keep] = 0
-        i, j = np.nonzero(np.triu(hits, 1) if same else hits)
-        if len(i) == 0:
-            return None
-        return pd.DataFrame({"a": left["key"].to_numpy()[i], "b": right["key"].to_numpy()[j]})
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of a block follow each other, those of its two chunks mixed; yields pairs (a, b)."""
+    def columns(batch):
+        flat = batch.column("tokens").flatten().to_numpy(zero_copy_only=False)
+        return [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "one", "two", "chunk", "node", "root")] + [
+            flat.reshape(batch.num_rows, -1).astype(np.uint32)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
-        for frame in frames:
-            frame = frame if kept is None else pd.concat([kept, frame], ignore_index=True)
-            block = frame[["token", "one", "two"]].to_numpy()
-            cuts = np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1
-            starts = [0, *cuts.tolist()]
-            for s, e in zip(starts[:-1], starts[1:]):
-                if (out := pairs(frame.iloc[s:e])) is not None:
-                    yield out
-            kept = frame.iloc[starts[-1]:]
-        if kept is not None and len(kept) and (out := pairs(kept)) is not None:
-            yield out
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            now = columns(batch)
+            now = now if kept is None else [np.concatenate(p) for p in zip(kept, now)]
+            starts = _starts(now)
+            yield from _emit(now, starts[:-1], starts[1:], match, best_only)
+            kept = [c[starts[-1]:] for c in now]
+        if kept is not None:
+            yield from _emit(kept, [0], [len(kept[0])], match, best_only)
     return run
 
 
+def _starts(cols) -> list[int]:
+    token, one, two = cols[:3]
+    return [0, *(np.flatnonzero((token[1:] != token[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])) + 1).tolist()]
+
+
+def _emit(cols, starts, ends, match, best_only):
+    chunk, node, root, tokens = cols[3:]
+    a, b = [], []
+    for s, e in zip(starts, ends):
+        if e - s < 2 or (root[s:e] == root[s]).all():
+            continue
+        i, j = _block_pairs(chunk[s:e], root[s:e], tokens[s:e], match, best_only)
+        a.append(node[s:e][i])
+        b.append(node[s:e][j])
+    if a:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, match: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose collision count and then whose full sets are similar enough."""
     def side(frame, name, *cols):
-        return frame.select(F.col("key").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in cols])
+        return frame.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in cols])
 
     near = (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             .join(side(nodes, "a", "n_shingles", "tokens"), "a").join(side(nodes, "b", "n_shingles", "tokens"), "b")
@@ -121,67 +136,63 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, match: int,
     return (near.join(side(sets, "a", "hashes"), "a").join(side(sets, "b", "hashes"), "b")
             .withColumn("both", both)
             .filter(100 * F.col("both") >= percent * (F.size("a_hashes") + F.size("b_hashes") - F.col("both")))
-            .select("a", "b"))
+            .select("a", "b").distinct())
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64, match: int = 32) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48, match: int = 24) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Texts are linked when 100 * shared shingles >= ``percent`` * shingles of either; components are what links reach.
     Edge cases: a null or wordless text has no shingles, is linked with nothing and is its own component; a text of fewer
-    than ``width`` words is one shingle. Repeated rows each get a row; rows of one doc_id with different texts are nodes
-    of their own. A null doc_id links like any other row but never names a component; a component of null ids alone has a
-    null id and its rows are kept. Other columns are ignored. An empty table gives an empty result.
+    than ``width`` words is one shingle. Repeated rows each get a row; rows of one doc_id with different texts are one
+    document, linked by any of them. A null doc_id names no component: such a row joins the component of an equal set, else
+    its component is null and it is kept. Other columns are ignored. An empty table gives an empty result.
     """
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     prep = table(docs.mapInArrow(_sets(width, k), "doc_id long, key binary, n_shingles long, tokens array<long>"), "signatures")
-    full = prep.filter(F.col("key").isNotNull())
-    least = full.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    # One row per distinct set; equal sets have equal signatures, so any of their rows will do.
-    nodes = table(full.join(least.select("key", F.col("doc_id").alias("rep")), "key")
-                  .filter(F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["key"])
-                  .select("key", "doc_id", "n_shingles", "tokens"), "nodes")
-
-    posts = nodes.select("key", F.explode("tokens").alias("token"))
-    lists = posts.groupBy("token").agg(F.count("*").alias("c"), F.min("key").alias("hub")).filter(F.col("c") > 1)
-    hits = posts.join(lists, "token")
+    # Equal sets have one key; the smallest id stands for them.
+    least = (prep.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
+             .groupBy("key").agg(F.min("doc_id").alias("node")))
+    least = table(least, "classes")
+    nodes = table(prep.select(F.col("doc_id").alias("node"), "key", "n_shingles", "tokens").join(least, ["node", "key"])
+                  .dropDuplicates(["node", "key"]), "nodes")
+
+    posts = nodes.select("node", "key", F.explode("tokens").alias("token"))
+    lists = posts.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("hub")).filter(F.col("c") > 1)
     prefix = k - match + 1
     ordered = F.sort_array(F.collect_list(F.struct("c", "token", "hub")))
+    # Pairs of one set alone come first in the prefix and merge with nothing.
     spare = F.greatest(F.lit(0), F.lit(prefix - k) + F.size("list"))
-    merged = table(hits.groupBy("key").agg(ordered.alias("list"))
-                   .select("key", F.explode(F.slice("list", F.lit(1), spare)).alias("p")).select("key", "p.*"), "prefixes")
+    merged = table(posts.join(lists, "token").groupBy("node", "key").agg(ordered.alias("list"))
+                   .select("node", F.explode(F.slice("list", F.lit(1), spare)).alias("p")).select("node", "p.*"), "prefixes")
 
-    stars = merged.filter(F.col("hub") != F.col("key")).select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
-    involved = table(merged.select("key").union(merged.select(F.col("hub").alias("key"))).distinct(), "involved")
-    texts = nodes.join(involved, "key").filter(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    wanted = docs.filter(F.col("text").isNotNull()).join(texts, "doc_id", "left_semi").unionByName(
-        docs.filter(F.col("doc_id").isNull() & F.col("text").isNotNull()))
-    sets = table(wanted.mapInArrow(_full_sets(width), "key binary, hashes array<long>")
-                 .join(involved, "key", "left_semi").dropDuplicates(["key"]), "sets")
+    stars = merged.filter(F.col("hub") != F.col("node")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    involved = table(merged.select("node").union(merged.select(F.col("hub").alias("node"))).distinct()
+                     .join(nodes.select("node", "key"), "node"), "involved")
+    wanted = docs.join(involved.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = table(wanted.mapInArrow(_full_sets(width), "node long, key binary, hashes array<long>")
+                 .join(involved, ["node", "key"], "left_semi").drop("key"), "sets")
 
     links = table(_confirmed(stars, nodes, sets, match, percent), "links")
     roots = components(links)
     for best_only in (True, False):
-        placed = merged.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        placed = merged.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         open_lists = (placed.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("n"))
                       .filter(F.col("r1") != F.col("r2")).select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")))
-        left = (placed.join(open_lists, "token").join(nodes.select("key", "tokens"), "key")
-                .withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks").cast("long")).cast("int"))
+        left = (placed.join(open_lists, "token").join(nodes.select("node", "tokens"), "node")
+                .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
                 .select("token", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
-                        "chunk", "key", "root", "tokens"))
+                        "chunk", "node", "root", "tokens"))
         found = (left.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two")
-                 .mapInPandas(_blocks(match, best_only), "a binary, b binary"))
+                 .mapInArrow(_blocks(match, best_only), "a long, b long"))
         more = table(_confirmed(found, nodes, sets, match, percent), "links")
-        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
-        roots = components(links)
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
-    named = (least.join(roots.withColumnRenamed("node", "key"), "key", "left")
-             .withColumn("root", F.coalesce("root", "key")))
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_key = named.join(smallest, "root").select("key", "component_id")
+    of_key = (least.join(roots, "node", "left")
+              .select("key", F.coalesce("root", "node").alias("component_id")))
     return (prep.select("doc_id", "key", "n_shingles").join(of_key, "key", "left")
             .withColumn("component_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "n_shingles", "component_id",
-                    F.coalesce(F.col("doc_id").eqNullSafe(F.col("component_id")), F.lit(True)).alias("kept")))
+                    F.coalesce(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("component_id").isNull(), F.lit(True)).alias("kept")))

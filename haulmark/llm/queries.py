@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from haulmark.llm import near_dup
+from haulmark.llm import chat, near_dup, quality_rules, sharding, topk
 from haulmark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,36 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality_rules(spark, sf_dir):
+    return quality_rules.report(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_quality_rules"] = quality_rules.SQL
+
+
+@query
+def op2_chat_format(spark, sf_dir):
+    return chat.digests(chat.format_chats(chat.with_probe(read(spark, sf_dir, "conversations"))))
+
+
+ORACLES["op2_chat_format"] = chat.SQL
+
+
+@query
+def op3_exact_topk(spark, sf_dir):
+    vectors = topk.quantised(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
+ORACLES["op3_exact_topk"] = topk.brute_sql()
+
+
 @query
 def op5_minhash(spark, sf_dir):
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"), width=2)
+
+
+@query
+def op8_sharding(spark, sf_dir):
+    return sharding.layout(read(spark, sf_dir, "documents"), shards=40)

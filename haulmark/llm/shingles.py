@@ -50,17 +50,16 @@ def set_key(hashes: np.ndarray) -> bytes | None:
 
 def coefficients(k: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    return rng.integers(1, 2**63, k, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**63, k, dtype=np.uint64)
+    return rng.integers(1, 2**32, k, dtype=np.uint32) | np.uint32(1), rng.integers(0, 2**32, k, dtype=np.uint32)
 
 
-def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 512) -> np.ndarray:
-    """For each of k hash functions the smallest value over the set, tagged with its coordinate: k longs."""
+def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 256) -> np.ndarray:
+    """For each of k permutations of 32-bit numbers the smallest value over the set, tagged with its coordinate: k longs."""
     k = len(a)
-    low = np.full(k, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(hashes), block):
-        part = hashes[i:i + block, None]
-        mixed = part * a + b
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    low = np.full(k, np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(short), block):
+        mixed = short[i:i + block, None] ^ b
+        mixed *= a
         np.minimum(low, mixed.min(axis=0), out=low)
-    return ((np.arange(k, dtype=np.int64) << 32) | (low >> np.uint64(32)).astype(np.int64))
+    return (np.arange(k, dtype=np.int64) << 32) | low.astype(np.int64)
