@@ -44,12 +44,17 @@ def ship(spark: SparkSession) -> None:
     sc._haulmark_shipped = True
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the one that all executors share."""
+    return f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex[:12]}/{name}"
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write a frame below the shared folder of the cluster and read it back.
 
     Cuts the lineage: what follows reads files every executor can reach, so a lost executor costs only its own tasks.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex[:12]}/{name}"
+    path = new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, near_dup, quality_rules, sharding, topk
+from haulmark.llm import chat, mixing, near_dup, packing, quality_model, quality_rules, sharding, tokens, topk, training_order
 from haulmark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,11 +44,31 @@ def op3_exact_topk(spark, sf_dir):
 ORACLES["op3_exact_topk"] = topk.brute_sql()
 
 
+@query
+def op4_packing(spark, sf_dir):
+    return packing.packed_documents(read(spark, sf_dir, "documents"), tokens.default_path(), capacity=1024)
+
+
 @query
 def op5_minhash(spark, sf_dir):
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"), width=2)
 
 
+@query
+def op6_quality_model(spark, sf_dir):
+    return quality_model.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op7_training_order(spark, sf_dir):
+    return training_order.training_order(read(spark, sf_dir, "documents"), tokens.default_path())
+
+
 @query
 def op8_sharding(spark, sf_dir):
     return sharding.layout(read(spark, sf_dir, "documents"), shards=40)
+
+
+@query
+def op9_mixing(spark, sf_dir):
+    return mixing.report(read(spark, sf_dir, "documents"))
