@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, mixing, near_dup, packing, quality_model, quality_rules, sharding, tokens, topk, training_order
+from haulmark.llm import chat, mixing, near_dup, packing, page_text, quality_model, quality_rules, sharding, tokens, topk, training_order
 from haulmark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op8_sharding(spark, sf_dir):
 @query
 def op9_mixing(spark, sf_dir):
     return mixing.report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_page_text(spark, sf_dir):
+    return page_text.main_text(read(spark, sf_dir, "pages"))
