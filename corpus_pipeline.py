@@ -1,14 +1,61 @@
-"""The training-data pipeline: stages over the documents table, each one operator of haulmark.llm."""
+"""The training-data pipeline: stages over the documents table, each one operator of haulmark.llm.
+
+Every stage works on all rows its predecessor kept, which are written as Parquet and read again in between.
+"""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from haulmark.llm import mixing, near_dup, packing, quality_model, quality_rules, tokens
+from haulmark.llm.common import read, table
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores 0.5 or more."""
+    return quality_model.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects."""
+    return quality_rules.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return near_dup.keep_one(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated or left out so that sources come to their target weights."""
+    return mixing.mix(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in training sequences."""
+    return packing.packed_documents(docs, tokens.default_path())
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("quality rules", rules),
+    ("MinHash near-dedup", near_duplicates),
+    ("mixing sources to target weights", mixture),
+    ("best-fit packing", packed),
+]
 
 #: SQL cannot express trained scores, signatures or planned slots; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents`` of ``sf_dir``."""
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
+    if unset and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="haulmark-"))
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

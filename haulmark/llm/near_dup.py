@@ -42,8 +42,8 @@ def _sets(width: int, k: int):
                     sizes.append(len(s))
                     tokens.append(shingles.signature(s, a, b) if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                     pa.array(tokens, pa.list_(pa.int64()))], ["doc_id", "key", "n_shingles", "tokens"])
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
+                     pa.array(tokens, pa.list_(pa.int64()))], ["doc_id", "text_hash", "key", "n_shingles", "tokens"])
     return run
 
 
@@ -139,18 +139,12 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, match: int,
             .select("a", "b").distinct())
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48, match: int = 24) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
-
-    Texts are linked when 100 * shared shingles >= ``percent`` * shingles of either; components are what links reach.
-    Edge cases: a null or wordless text has no shingles, is linked with nothing and is its own component; a text of fewer
-    than ``width`` words is one shingle. Repeated rows each get a row; rows of one doc_id with different texts are one
-    document, linked by any of them. A null doc_id names no component: such a row joins the component of an equal set, else
-    its component is null and it is kept. Other columns are ignored. An empty table gives an empty result.
-    """
+def linked(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48, match: int = 24) -> DataFrame:
+    """``near_duplicates`` with a hash of the text, which tells the rows of one id apart."""
     ship(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    prep = table(docs.mapInArrow(_sets(width, k), "doc_id long, key binary, n_shingles long, tokens array<long>"), "signatures")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    prep = table(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _sets(width, k), "doc_id long, text_hash long, key binary, n_shingles long, tokens array<long>"), "signatures")
     # Equal sets have one key; the smallest id stands for them.
     least = (prep.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("key").agg(F.min("doc_id").alias("node")))
@@ -192,7 +186,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 
     of_key = (least.join(roots, "node", "left")
               .select("key", F.coalesce("root", "node").alias("component_id")))
-    return (prep.select("doc_id", "key", "n_shingles").join(of_key, "key", "left")
+    return (prep.select("doc_id", "text_hash", "key", "n_shingles").join(of_key, "key", "left")
             .withColumn("component_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-            .select("doc_id", "n_shingles", "component_id",
+            .select("doc_id", "text_hash", "n_shingles", "component_id",
                     F.coalesce(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("component_id").isNull(), F.lit(True)).alias("kept")))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48, match: int = 24) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+
+    Texts are linked when 100 * shared shingles >= ``percent`` * shingles of either; components are what links reach.
+    Edge cases: a null or wordless text has no shingles, is linked with nothing and is its own component; a text of fewer
+    than ``width`` words is one shingle. Repeated rows each get a row; rows of one doc_id with different texts are one
+    document, linked by any of them. A null doc_id names no component: such a row joins the component of an equal set, else
+    its component is null and it is kept. Other columns are ignored. An empty table gives an empty result.
+    """
+    return linked(docs, width, percent, k, match).drop("text_hash")
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """One row of ``docs`` per component, all columns as they are: a row of the smallest doc_id.
+
+    Of rows that repeat an id one stays; rows without an id stay when no row with an id has their shingles, one per text.
+    """
+    kept = linked(docs, **options).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")).distinct()
+    marked = docs.withColumn("__hash", F.xxhash64("text"))
+    one = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__text")), "left_semi")
+    return (one.withColumn("__hash", F.when(F.col("doc_id").isNull(), F.col("__hash")))
+            .dropDuplicates(["doc_id", "__hash"]).drop("__hash"))
