@@ -6,15 +6,16 @@ that share ``match`` pairs share one among the k - match + 1 rarest of either, o
 pairs that occur in one set alone drop out of the merge at once. Collision counts reach the threshold for a link of
 similarity 0.8 but in about eight of 10^7 cases (k = 48, match = 24). What is retained is confirmed on the full sets.
 
-Groups of copies need no pairs within: equal sets are one node, first every posting list is compared with one member of
-its own, and lists whose members are then in one component are skipped. Only sets of different components are compared
-after that, in blocks of bounded size: first each set with its best partner, then whatever is left, so no link between
-components is lost.
+Groups of copies need no pairs within: equal sets are one node, and first every posting list is compared with one member
+of its own. Lists whose members are then in one component are skipped. In the others only sets of different components are
+compared: short lists whole, long ones in blocks of bounded size, first each set with its best partner, then whatever is
+left, so no link between components is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,119 +25,215 @@ from pyspark.sql import functions as F
 from haulmark.llm import shingles
 from haulmark.llm.common import components, ship, table
 
-#: Members of a posting list that one block holds.
-BLOCK = 256
+#: Posting lists up to this long are compared whole in one go; members of a longer one that a block holds.
+SHORT, BLOCK = 32, 256
+MERGED = "a long, b long"
 
 
-def _sets(width: int, k: int):
+def _signatures(width: int, k: int):
     a, b = shingles.coefficients(k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                keys, sizes, tokens = [], [], []
-                for text in part.column("text"):
-                    s = shingles.shingle_set(text.as_py(), width)
-                    keys.append(shingles.set_key(s))
-                    sizes.append(len(s))
-                    tokens.append(shingles.signature(s, a, b) if len(s) else None)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                     pa.array(tokens, pa.list_(pa.int64()))], ["doc_id", "text_hash", "key", "n_shingles", "tokens"])
+            keys, sizes, tokens, sketches = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                s = shingles.shingle_set(text, width)
+                keys.append(shingles.set_key(s))
+                sizes.append(len(s))
+                low = shingles.signature(s, a, b) if len(s) else None
+                tokens.append(shingles.tagged(low) if len(s) else None)
+                sketches.append(shingles.sketch(low) if len(s) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
+                 pa.array(tokens, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                ["doc_id", "text_hash", "key", "n_shingles", "tokens", "sketch"])
     return run
 
 
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sets = [], []
-            for text in batch.column("text"):
-                s = shingles.shingle_set(text.as_py(), width)
-                keys.append(shingles.set_key(s))
-                sets.append(s.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
-                                             ["node", "key", "hashes"])
+            found = [shingles.shingle_set(text, width) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([shingles.set_key(s) for s in found], pa.binary()),
+                                              pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["node", "key", "hashes"])
     return run
 
 
-def _block_pairs(chunk, root, tokens, match, best_only):
-    """Row numbers (i, j) within a block: pairs of different components that collide in ``match`` coordinates or more."""
-    first = np.flatnonzero(chunk == chunk[0])
-    rest = np.flatnonzero(chunk != chunk[0])
+class _Rows:
+    """Posted members as arrays, those of one list or block next to each other."""
+
+    def __init__(self, group, chunk, node, root, size, sketch):
+        self.columns = group, chunk, node, root, size, sketch
+        self.group, self.chunk, self.node, self.root, self.size, self.sketch = self.columns
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> _Rows:
+        group = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "one", "two")], axis=1)
+        flat = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8)
+        return _Rows(group, *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("chunk", "node", "root", "n_shingles")),
+                     flat.reshape(batch.num_rows, -1))
+
+    def then(self, other: _Rows) -> _Rows:
+        return _Rows(*(np.concatenate(p) for p in zip(self.columns, other.columns)))
+
+    def cut(self, start: int, end: int | None = None) -> _Rows:
+        return _Rows(*(c[start:end] for c in self.columns))
+
+    def starts(self) -> np.ndarray:
+        return np.concatenate([[0], np.flatnonzero((self.group[1:] != self.group[:-1]).any(axis=1)) + 1])
+
+
+def _fit(rows: _Rows, i: np.ndarray, j: np.ndarray, match: int, percent: int) -> np.ndarray:
+    """Which of the row pairs lie in different components, can be similar by size, and collide often enough."""
+    n, m = rows.size[i], rows.size[j]
+    ok = (rows.root[i] != rows.root[j]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+    at = np.flatnonzero(ok)
+    ok[at] = (rows.sketch[i[at]] == rows.sketch[j[at]]).sum(axis=1) >= match
+    return ok
+
+
+def _stars(rows: _Rows, starts: np.ndarray, match: int, percent: int):
+    """Every member with the first of its list."""
+    hub = np.repeat(starts, np.diff(np.append(starts, len(rows.node))))
+    i = np.flatnonzero(hub != np.arange(len(hub)))
+    ok = _fit(rows, hub[i], i, match, percent)
+    return hub[i][ok], i[ok]
+
+
+def _short_lists(rows: _Rows, starts: np.ndarray, match: int, percent: int):
+    """All pairs of different components in lists of at most SHORT members: each row with the one ``step`` rows on."""
+    lengths = np.diff(np.append(starts, len(rows.node)))
+    number = np.repeat(np.arange(len(starts)), lengths)
+    left = np.repeat(lengths, lengths) - (np.arange(len(number)) - starts[number])
+    left[np.repeat(lengths, lengths) > SHORT] = 0
+    out = []
+    for step in range(1, SHORT):
+        i = np.flatnonzero(left > step)
+        if len(i) == 0:
+            break
+        ok = _fit(rows, i, i + step, match, percent)
+        out.append((i[ok], i[ok] + step))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, int), np.empty(0, int))
+
+
+def _block(rows: _Rows, match: int, percent: int, best_only: bool):
+    """Pairs of different components between the two chunks of one block, or for each row just the best."""
+    first = np.flatnonzero(rows.chunk == rows.chunk[0])
+    rest = np.flatnonzero(rows.chunk != rows.chunk[0])
     right = rest if len(rest) else first
-    x, y = tokens[first], tokens[right]
-    hits = np.zeros((len(x), len(y)), np.uint8)
-    for c in range(x.shape[1]):
-        hits += x[:, c, None] == y[None, :, c]
-    hits[root[first][:, None] == root[right][None, :]] = 0
-    hits[hits < match] = 0
-    if not hits.any():
-        return right[:0], right[:0]
+    hits = np.zeros((len(first), len(right)), np.uint8)
+    for c in range(rows.sketch.shape[1]):
+        hits += rows.sketch[first, c][:, None] == rows.sketch[right, c][None, :]
+    n, m = rows.size[first][:, None], rows.size[right][None, :]
+    hits[(rows.root[first][:, None] == rows.root[right][None, :]) | (100 * np.minimum(n, m) < percent * np.maximum(n, m)) | (hits < match)] = 0
     if best_only:
         keep = np.zeros(hits.shape, bool)
-        keep[np.arange(len(x)), hits.argmax(axis=1)] = True
-        keep[hits.argmax(axis=0), np.arange(len(y))] = True
+        keep[np.arange(len(first)), hits.argmax(axis=1)] = True
+        keep[hits.argmax(axis=0), np.arange(len(right))] = True
         hits[~keep] = 0
     i, j = np.nonzero(hits)
     return first[i], right[j]
 
 
-def _blocks(match: int, best_only: bool):
-    """The rows of a block follow each other, those of its two chunks mixed; yields pairs (a, b)."""
-    def columns(batch):
-        flat = batch.column("tokens").flatten().to_numpy(zero_copy_only=False)
-        return [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "one", "two", "chunk", "node", "root")] + [
-            flat.reshape(batch.num_rows, -1).astype(np.uint32)]
+def _merge(mode: str, match: int, percent: int):
+    """Pairs out of sorted posting lists: "star", "short", or blocks of long lists with "best" partners or "all" of them."""
+    def found(rows: _Rows, starts: np.ndarray):
+        if mode == "star":
+            return _stars(rows, starts, match, percent)
+        if mode == "short":
+            return _short_lists(rows, starts, match, percent)
+        parts = []
+        for s, e in zip(starts, np.append(starts[1:], len(rows.node))):
+            if e - s > 1:
+                i, j = _block(rows.cut(s, e), match, percent, mode == "best")
+                parts.append((i + s, j + s))
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, int), np.empty(0, int))
+
+    def pairs(rows: _Rows, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        i, j = found(rows, starts)
+        if len(i):
+            both = np.unique(np.sort(np.stack([rows.node[i], rows.node[j]], axis=1), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            now = columns(batch)
-            now = now if kept is None else [np.concatenate(p) for p in zip(kept, now)]
-            starts = _starts(now)
-            yield from _emit(now, starts[:-1], starts[1:], match, best_only)
-            kept = [c[starts[-1]:] for c in now]
-        if kept is not None:
-            yield from _emit(kept, [0], [len(kept[0])], match, best_only)
+            rows = _Rows.of(batch) if kept is None else kept.then(_Rows.of(batch))
+            starts = rows.starts()
+            if mode == "star":  # the first member is all that is needed of a list that goes on
+                yield from pairs(rows, starts)
+                kept = rows.cut(starts[-1], starts[-1] + 1)
+                continue
+            if len(starts) > 1:
+                yield from pairs(rows.cut(0, starts[-1]), starts[:-1])
+            kept = rows.cut(starts[-1])
+        if kept is not None and mode != "star":
+            yield from pairs(kept, np.zeros(1, int))
     return run
 
 
-def _starts(cols) -> list[int]:
-    token, one, two = cols[:3]
-    return [0, *(np.flatnonzero((token[1:] != token[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])) + 1).tolist()]
-
-
-def _emit(cols, starts, ends, match, best_only):
-    chunk, node, root, tokens = cols[3:]
-    a, b = [], []
-    for s, e in zip(starts, ends):
-        if e - s < 2 or (root[s:e] == root[s]).all():
-            continue
-        i, j = _block_pairs(chunk[s:e], root[s:e], tokens[s:e], match, best_only)
-        a.append(node[s:e][i])
-        b.append(node[s:e][j])
-    if a:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
-
-
-def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, match: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose collision count and then whose full sets are similar enough."""
-    def side(frame, name, *cols):
-        return frame.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in cols])
-
-    near = (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            .join(side(nodes, "a", "n_shingles", "tokens"), "a").join(side(nodes, "b", "n_shingles", "tokens"), "b")
-            .filter(100 * F.least("a_n_shingles", "b_n_shingles") >= percent * F.greatest("a_n_shingles", "b_n_shingles"))
-            .filter(F.size(F.array_intersect("a_tokens", "b_tokens")) >= match)
-            .select("a", "b"))
+def _candidates(posted: DataFrame, roots: DataFrame | None, mode: str, match: int, percent: int) -> DataFrame:
+    """Pairs (a, b) from lists that still hold members of different components."""
+    if roots is None:
+        left = posted.withColumn("root", F.col("node")).withColumn("chunks", F.lit(1))
+    else:
+        placed = posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        size = F.count("*")
+        right_length = size <= SHORT if mode == "short" else size > SHORT
+        lists = (placed.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), size.alias("n"), right_length.alias("wanted"))
+                 .filter((F.col("r1") != F.col("r2")) & F.col("wanted")))
+        chunks = F.lit(1) if mode == "short" else F.ceil(F.col("n") / BLOCK).cast("int")
+        left = placed.join(lists.select("token", chunks.alias("chunks")), "token")
+    spread = (left.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+              .select("token", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
+                      "chunk", "node", "root", "n_shingles", "sketch"))
+    dealt = spread.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "node")
+    return table(dealt.mapInArrow(_merge(mode, match, percent), MERGED).distinct(), "pairs")
+
+
+class _Sets:
+    """Full sets of the nodes that pairs ask for, computed from the texts once and written."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, width: int):
+        self.docs, self.nodes, self.width, self.known = docs.select(F.col("doc_id").alias("node"), "text"), nodes, width, None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        if self.known is not None:
+            asked = asked.join(self.known.select("node"), "node", "left_anti")
+        asked = table(asked, "asked")
+        texts = self.docs.join(asked.filter(F.col("node") > F.lit(-(2**63))), "node", "left_semi")
+        with _bloom(self.docs.sparkSession):
+            new = table(texts.mapInArrow(_full_sets(self.width), "node long, key binary, hashes array<long>")
+                        .join(self.nodes.select("node", "key"), ["node", "key"], "left_semi").drop("key"), "sets")
+        self.known = new if self.known is None else self.known.unionByName(new)
+        return self.known
+
+
+@contextmanager
+def _bloom(spark):
+    """Let Spark filter the texts by a Bloom filter of the ids asked for, of bounded size, before it shuffles them."""
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _confirmed(pairs: DataFrame, sets: _Sets, percent: int) -> DataFrame:
+    """Pairs whose full sets are similar enough."""
+    full = sets.of(pairs)
     both = F.size(F.array_intersect("a_hashes", "b_hashes"))
-    return (near.join(side(sets, "a", "hashes"), "a").join(side(sets, "b", "hashes"), "b")
+    return (pairs.join(full.select(F.col("node").alias("a"), F.col("hashes").alias("a_hashes")), "a")
+            .join(full.select(F.col("node").alias("b"), F.col("hashes").alias("b_hashes")), "b")
             .withColumn("both", both)
             .filter(100 * F.col("both") >= percent * (F.size("a_hashes") + F.size("b_hashes") - F.col("both")))
-            .select("a", "b").distinct())
+            .select("a", "b"))
 
 
 def linked(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48, match: int = 24) -> DataFrame:
@@ -144,48 +241,30 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48, matc
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     prep = table(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        _sets(width, k), "doc_id long, text_hash long, key binary, n_shingles long, tokens array<long>"), "signatures")
+        _signatures(width, k), "doc_id long, text_hash long, key binary, n_shingles long, tokens array<long>, sketch binary"), "signatures")
     # Equal sets have one key; the smallest id stands for them.
-    least = (prep.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
-             .groupBy("key").agg(F.min("doc_id").alias("node")))
-    least = table(least, "classes")
-    nodes = table(prep.select(F.col("doc_id").alias("node"), "key", "n_shingles", "tokens").join(least, ["node", "key"])
+    classes = table(prep.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
+                    .groupBy("key").agg(F.min("doc_id").alias("node")), "classes")
+    nodes = table(prep.select(F.col("doc_id").alias("node"), "key", "n_shingles", "tokens", "sketch").join(classes, ["node", "key"])
                   .dropDuplicates(["node", "key"]), "nodes")
 
-    posts = nodes.select("node", "key", F.explode("tokens").alias("token"))
-    lists = posts.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("hub")).filter(F.col("c") > 1)
-    prefix = k - match + 1
-    ordered = F.sort_array(F.collect_list(F.struct("c", "token", "hub")))
-    # Pairs of one set alone come first in the prefix and merge with nothing.
-    spare = F.greatest(F.lit(0), F.lit(prefix - k) + F.size("list"))
-    merged = table(posts.join(lists, "token").groupBy("node", "key").agg(ordered.alias("list"))
-                   .select("node", F.explode(F.slice("list", F.lit(1), spare)).alias("p")).select("node", "p.*"), "prefixes")
-
-    stars = merged.filter(F.col("hub") != F.col("node")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    involved = table(merged.select("node").union(merged.select(F.col("hub").alias("node"))).distinct()
-                     .join(nodes.select("node", "key"), "node"), "involved")
-    wanted = docs.join(involved.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = table(wanted.mapInArrow(_full_sets(width), "node long, key binary, hashes array<long>")
-                 .join(involved, ["node", "key"], "left_semi").drop("key"), "sets")
-
-    links = table(_confirmed(stars, nodes, sets, match, percent), "links")
-    roots = components(links)
-    for best_only in (True, False):
-        placed = merged.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_lists = (placed.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("n"))
-                      .filter(F.col("r1") != F.col("r2")).select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")))
-        left = (placed.join(open_lists, "token").join(nodes.select("node", "tokens"), "node")
-                .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int"))
-                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-                .select("token", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
-                        "chunk", "node", "root", "tokens"))
-        found = (left.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two")
-                 .mapInArrow(_blocks(match, best_only), "a long, b long"))
-        more = table(_confirmed(found, nodes, sets, match, percent), "links")
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-
-    of_key = (least.join(roots, "node", "left")
-              .select("key", F.coalesce("root", "node").alias("component_id")))
+    posts = nodes.select("node", F.explode("tokens").alias("token")).repartition("token")
+    shared = posts.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > 1)
+    # Pairs of one set alone come first in its prefix of the k - match + 1 rarest and merge with nothing.
+    spare = F.greatest(F.lit(0), F.lit(1 - match) + F.size("list"))
+    prefixes = (posts.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("list"))
+                .select("node", F.explode(F.slice("list", F.lit(1), spare)).alias("p")).select("node", F.col("p.token").alias("token")))
+    posted = table(prefixes.join(nodes.select("node", "n_shingles", "sketch"), "node"), "posted")
+
+    sets = _Sets(docs, nodes, width)
+    roots = None
+    for mode in ("star", "short", "best", "all"):
+        links = _confirmed(_candidates(posted, roots, mode, match, percent), sets, percent)
+        if roots is not None:
+            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = components(links)
+
+    of_key = classes.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component_id"))
     return (prep.select("doc_id", "text_hash", "key", "n_shingles").join(of_key, "key", "left")
             .withColumn("component_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "text_hash", "n_shingles", "component_id",

@@ -54,7 +54,7 @@ def coefficients(k: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 256) -> np.ndarray:
-    """For each of k permutations of 32-bit numbers the smallest value over the set, tagged with its coordinate: k longs."""
+    """For each of k permutations of 32-bit numbers the smallest value over the set."""
     k = len(a)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     low = np.full(k, np.iinfo(np.uint32).max, np.uint32)
@@ -62,4 +62,14 @@ def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 256
         mixed = short[i:i + block, None] ^ b
         mixed *= a
         np.minimum(low, mixed.min(axis=0), out=low)
-    return (np.arange(k, dtype=np.int64) << 32) | low.astype(np.int64)
+    return low
+
+
+def tagged(values: np.ndarray) -> np.ndarray:
+    """Coordinate-value pairs of a signature as longs."""
+    return (np.arange(len(values), dtype=np.int64) << 32) | values.astype(np.int64)
+
+
+def sketch(values: np.ndarray) -> bytes:
+    """One byte per coordinate: equal values have equal bytes, different ones in 255 of 256 cases not."""
+    return ((values * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
