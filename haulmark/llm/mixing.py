@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,10 @@ SHARE = 1.5
 MOST = 2
 STEPS = 80
 TOLERANCE = 1e-7
+#: Copies that move at most between sizes of a source after rounding.
+MOVES = 16
+#: Share of a source's target that rounding may miss before documents may get a second extra copy.
+NEAR = 0.005
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -87,19 +92,60 @@ def multipliers(histogram: DataFrame, sources: DataFrame, most: int = MOST) -> D
     return state.select("no", "lam", "mean")
 
 
-def _round_sizes(rows: pd.DataFrame) -> pd.DataFrame:
-    """Extra copies per size of one source, from the largest size: whole numbers that keep the sum of words on its way."""
+def round_copies(size: np.ndarray, n: np.ndarray, part: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Whole extra copies per size (falling, positive), ``room`` at most, so that their words come to sum(n * part * size).
+
+    Each size takes up what the ones before missed, with one extra copy of a document at most; single copies then move
+    between sizes while that closes the gap left, in the end with second extra copies where a source has few documents.
+    """
+    extra, owed = np.zeros(len(size), np.int64), 0.0
+    once = np.minimum(n, room)
+    wanted = n * part * size
+    for i, (s, want, most) in enumerate(zip(size.tolist(), wanted.tolist(), once.tolist())):
+        owed += want
+        extra[i] = min(most, max(0, math.floor(owed / s + 0.5)))
+        owed -= int(extra[i]) * s
+    extra, owed = _closed(size, extra, once, owed)
+    if abs(owed) > NEAR * wanted.sum():
+        extra, owed = _closed(size, extra, room, owed)
+    return extra
+
+
+def _closed(size, extra, room, owed):
+    for _ in range(MOVES):
+        up, down, gap = _best_move(size, extra, room, owed)
+        if gap >= abs(owed) - 0.5:
+            break
+        for i, step in ((up, 1), (down, -1)):
+            if i is not None:
+                extra[i] += step
+                owed -= step * size[i]
+    return extra, owed
+
+
+def _best_move(size, extra, room, owed):
+    """One more copy of a size, one less, or one more of one and one less of another, found by bisection."""
+    more, less = np.flatnonzero(extra < room), np.flatnonzero(extra > 0)
+    moves = [(None, None, abs(owed))]
+    moves += [(int(i), None, abs(owed - size[i])) for i in more[:: max(1, len(more) // 64)]]
+    moves += [(None, int(j), abs(owed + size[j])) for j in less[:: max(1, len(less) // 64)]]
+    if len(more) and len(less):
+        rising = more[::-1]
+        at = np.searchsorted(size[rising], owed + size[less])
+        for side in (np.minimum(at, len(rising) - 1), np.maximum(at - 1, 0)):
+            gap = np.abs(owed - size[rising[side]] + size[less])
+            best = int(gap.argmin())
+            moves.append((int(rising[side[best]]), int(less[best]), float(gap[best])))
+    return min(moves, key=lambda m: m[2])
+
+
+def _plan_source(rows: pd.DataFrame, most: int) -> pd.DataFrame:
     rows = rows.sort_values("size", ascending=False)
-    extra, owed = [], 0.0
-    for size, n, part in zip(rows["size"], rows["n"], rows["part"]):
-        if size == 0:
-            extra.append(0)
-            continue
-        owed += n * part * size
-        k = min(int(n), max(0, math.floor(owed / size + 0.5)))
-        owed -= k * size
-        extra.append(k)
-    return rows[["no", "size", "base"]].assign(extra=extra)
+    words = rows["size"].to_numpy() > 0
+    extra = np.zeros(len(rows), np.int64)
+    size, n, part, base = (rows[c].to_numpy()[words] for c in ("size", "n", "part", "base"))
+    extra[words] = round_copies(size, n, part, n * (most - base))
+    return rows[["no", "size", "n", "base"]].assign(extra=extra)
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -123,10 +169,11 @@ def copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     rated = (histogram.join(solved, "no").withColumn("rate", rate).withColumn("base", F.floor("rate").cast("long"))
              .select("no", "size", "n", "base", (F.col("rate") - F.col("base")).alias("part")))
     # One row per size of a source: the sizes of a source, not its documents, meet in a task.
-    planned = table(rated.groupBy("no").applyInPandas(_round_sizes, "no int, size long, base long, extra long"), "planned")
+    planned = table(rated.groupBy("no").applyInPandas(lambda rows: _plan_source(rows, most), "no int, size long, n long, base long, extra long"), "planned")
     ranked = rank_within(named, ["no", "size"], [id_col], "rank")
     return (ranked.join(planned, ["no", "size"])
-            .withColumn("copies", F.col("base") + F.when(F.col("rank") < F.col("extra"), 1).otherwise(0))
+            .withColumn("copies", F.col("base") + F.floor(F.col("extra") / F.col("n"))
+                        + F.when(F.col("rank") < F.col("extra") % F.col("n"), 1).otherwise(0))
             .select(id_col, "size", "source_size", "target", "copies"))
 
 
