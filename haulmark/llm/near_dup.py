@@ -7,9 +7,10 @@ pairs that occur in one set alone drop out of the merge at once. Collision count
 similarity 0.8 but in about eight of 10^7 cases (k = 48, match = 24). What is retained is confirmed on the full sets.
 
 Groups of copies need no pairs within: equal sets are one node, and first every posting list is compared with one member
-of its own. Lists whose members are then in one component are skipped. In the others only sets of different components are
-compared: short lists whole, long ones in blocks of bounded size, first each set with its best partner, then whatever is
-left, so no link between components is lost.
+of its own. Of what then lies in different components, the pairs that collide often enough are gathered in clusters, for
+which a forest of them is enough. Within a cluster the full sets meet in blocks of bounded size, counted by products of 0-1
+matrices, and again only a forest of the links leaves a task: no link between components is lost, and the rows that are
+made grow with the members, not with their pairs.
 """
 
 from __future__ import annotations
@@ -25,9 +26,13 @@ from pyspark.sql import functions as F
 from haulmark.llm import shingles
 from haulmark.llm.common import components, ship, table
 
-#: Posting lists up to this long are compared whole in one go; members of a longer one that a block holds.
-SHORT, BLOCK = 32, 256
-MERGED = "a long, b long"
+#: Posting lists up to this long are compared in one go.
+SHORT = 32
+#: Members of a chunk of a longer list, and of a cluster whose full sets meet; a block holds two chunks.
+LIST_CHUNK, CLUSTER_CHUNK = 256, 128
+#: Columns of the dense matrices that count shared shingles.
+SLAB = 2048
+EDGES = "a long, b long"
 
 
 def _signatures(width: int, k: int):
@@ -60,24 +65,31 @@ def _full_sets(width: int):
 
 
 class _Rows:
-    """Posted members as arrays, those of one list or block next to each other."""
+    """Members as arrays, those of one list or block next to each other."""
 
-    def __init__(self, group, chunk, node, root, size, sketch):
-        self.columns = group, chunk, node, root, size, sketch
-        self.group, self.chunk, self.node, self.root, self.size, self.sketch = self.columns
+    def __init__(self, group, chunk, node, root, size, sketch, hashes=None):
+        self.group, self.chunk, self.node, self.root, self.size, self.sketch, self.hashes = group, chunk, node, root, size, sketch, hashes
 
     @staticmethod
-    def of(batch: pa.RecordBatch) -> _Rows:
-        group = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "one", "two")], axis=1)
+    def of(batch: pa.RecordBatch, key: str) -> _Rows:
+        group = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (key, "one", "two")], axis=1)
         flat = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8)
+        hashes = None
+        if "hashes" in batch.schema.names:
+            hashes = np.empty(batch.num_rows, object)
+            for i, x in enumerate(batch.column("hashes")):
+                hashes[i] = x.values.to_numpy()
         return _Rows(group, *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("chunk", "node", "root", "n_shingles")),
-                     flat.reshape(batch.num_rows, -1))
+                     flat.reshape(batch.num_rows, -1), hashes)
+
+    def columns(self):
+        return self.group, self.chunk, self.node, self.root, self.size, self.sketch, self.hashes
 
     def then(self, other: _Rows) -> _Rows:
-        return _Rows(*(np.concatenate(p) for p in zip(self.columns, other.columns)))
+        return _Rows(*(None if a is None else np.concatenate([a, b]) for a, b in zip(self.columns(), other.columns())))
 
-    def cut(self, start: int, end: int | None = None) -> _Rows:
-        return _Rows(*(c[start:end] for c in self.columns))
+    def at(self, rows) -> _Rows:
+        return _Rows(*(None if c is None else c[rows] for c in self.columns()))
 
     def starts(self) -> np.ndarray:
         return np.concatenate([[0], np.flatnonzero((self.group[1:] != self.group[:-1]).any(axis=1)) + 1])
@@ -101,7 +113,7 @@ def _stars(rows: _Rows, starts: np.ndarray, match: int, percent: int):
 
 
 def _short_lists(rows: _Rows, starts: np.ndarray, match: int, percent: int):
-    """All pairs of different components in lists of at most SHORT members: each row with the one ``step`` rows on."""
+    """All pairs that fit in lists of at most SHORT members: each row with the one ``step`` rows on."""
     lengths = np.diff(np.append(starts, len(rows.node)))
     number = np.repeat(np.arange(len(starts)), lengths)
     left = np.repeat(lengths, lengths) - (np.arange(len(number)) - starts[number])
@@ -116,8 +128,8 @@ def _short_lists(rows: _Rows, starts: np.ndarray, match: int, percent: int):
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, int), np.empty(0, int))
 
 
-def _block(rows: _Rows, match: int, percent: int, best_only: bool):
-    """Pairs of different components between the two chunks of one block, or for each row just the best."""
+def _block(rows: _Rows, match: int, percent: int):
+    """Row numbers of the two sides of a block, and which of their pairs fit."""
     first = np.flatnonzero(rows.chunk == rows.chunk[0])
     rest = np.flatnonzero(rows.chunk != rows.chunk[0])
     right = rest if len(rest) else first
@@ -125,32 +137,100 @@ def _block(rows: _Rows, match: int, percent: int, best_only: bool):
     for c in range(rows.sketch.shape[1]):
         hits += rows.sketch[first, c][:, None] == rows.sketch[right, c][None, :]
     n, m = rows.size[first][:, None], rows.size[right][None, :]
-    hits[(rows.root[first][:, None] == rows.root[right][None, :]) | (100 * np.minimum(n, m) < percent * np.maximum(n, m)) | (hits < match)] = 0
-    if best_only:
-        keep = np.zeros(hits.shape, bool)
-        keep[np.arange(len(first)), hits.argmax(axis=1)] = True
-        keep[hits.argmax(axis=0), np.arange(len(right))] = True
-        hits[~keep] = 0
-    i, j = np.nonzero(hits)
-    return first[i], right[j]
-
-
-def _merge(mode: str, match: int, percent: int):
-    """Pairs out of sorted posting lists: "star", "short", or blocks of long lists with "best" partners or "all" of them."""
-    def found(rows: _Rows, starts: np.ndarray):
+    return first, right, ((hits >= match) & (rows.root[first][:, None] != rows.root[right][None, :])
+                          & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+
+
+def _forest(first: np.ndarray, right: np.ndarray, fits: np.ndarray):
+    """Edges that connect what ``fits`` connects, at most one per row."""
+    at, on = fits.any(axis=1), fits.any(axis=0)
+    names = np.unique(np.concatenate([first[at], right[on]]))
+    linked = np.zeros((len(names), len(names)), bool)
+    linked[np.ix_(np.searchsorted(names, first[at]), np.searchsorted(names, right[on]))] = fits[at][:, on]
+    linked |= linked.T
+    new = np.ones(len(names), bool)
+    a, b = [], []
+    for start in range(len(names)):
+        if not new[start]:
+            continue
+        new[start] = False
+        todo = [start]
+        while todo:
+            u = todo.pop()
+            found = np.flatnonzero(linked[u] & new)
+            if len(found):
+                new[found] = False
+                a.append(np.full(len(found), u))
+                b.append(found)
+                todo.extend(found.tolist())
+    return (names[np.concatenate(a)], names[np.concatenate(b)]) if a else (np.empty(0, int), np.empty(0, int))
+
+
+def _joining(i: np.ndarray, j: np.ndarray):
+    """Those of the pairs that join what the pairs before them have not joined."""
+    above: dict[int, int] = {}
+
+    def top(x):
+        while (y := above.get(x, x)) != x:
+            above[x] = x = above.get(y, y)
+        return x
+
+    keep = []
+    for n, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
+        x, y = top(x), top(y)
+        if x != y:
+            above[x] = y
+            keep.append(n)
+    return i[keep], j[keep]
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of 0-1 matrices over the shingles that occur twice."""
+    rows = [*left, *right]
+    lengths = np.array([len(x) for x in rows])
+    known, column, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1
+    row = np.repeat(np.arange(len(rows)), lengths)
+    many = times[column] > 1
+    row, column = row[many], number[column[many]]
+    out = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, SLAB):
+        s, e = np.searchsorted(column, [low, low + SLAB])
+        dense = np.zeros((len(rows), SLAB), np.float32)
+        dense[row[s:e], column[s:e] - low] = 1
+        out += dense[:len(left)] @ dense[len(left):].T
+    return np.rint(out).astype(np.int64)
+
+
+def _merge(mode: str, key: str, match: int, percent: int):
+    """Edges out of members sorted by ``key`` and block.
+
+    "star": each member of a list with its first. "lists": a forest over the pairs of a list that fit. "links": a forest
+    over the pairs of a cluster that fit and whose full sets are similar enough.
+    """
+    def block_edges(rows: _Rows):
+        first, right, fits = _block(rows, match, percent)
+        if mode == "links" and fits.any():
+            at, on = np.flatnonzero(fits.any(axis=1)), np.flatnonzero(fits.any(axis=0))
+            first, right, fits = first[at], right[on], fits[np.ix_(at, on)]
+            both = _shared(list(rows.hashes[first]), list(rows.hashes[right]))
+            fits &= 100 * both >= percent * (rows.size[first][:, None] + rows.size[right][None, :] - both)
+        return _forest(first, right, fits)
+
+    def edges(rows: _Rows, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         if mode == "star":
-            return _stars(rows, starts, match, percent)
-        if mode == "short":
-            return _short_lists(rows, starts, match, percent)
-        parts = []
-        for s, e in zip(starts, np.append(starts[1:], len(rows.node))):
-            if e - s > 1:
-                i, j = _block(rows.cut(s, e), match, percent, mode == "best")
-                parts.append((i + s, j + s))
-        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, int), np.empty(0, int))
-
-    def pairs(rows: _Rows, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        i, j = found(rows, starts)
+            found = [_stars(rows, starts, match, percent)]
+        else:
+            ends = np.append(starts[1:], len(rows.node))
+            short = SHORT if mode == "lists" else 1
+            found = [_joining(*_short_lists(rows, starts, match, percent))] if mode == "lists" else []
+            for s, e in zip(starts, ends):
+                if e - s > short:
+                    i, j = block_edges(rows.at(slice(s, e)))
+                    found.append((i + s, j + s))
+        i, j = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, int), np.empty(0, int))
         if len(i):
             both = np.unique(np.sort(np.stack([rows.node[i], rows.node[j]], axis=1), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
@@ -160,38 +240,36 @@ def _merge(mode: str, match: int, percent: int):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            rows = _Rows.of(batch) if kept is None else kept.then(_Rows.of(batch))
+            rows = _Rows.of(batch, key) if kept is None else kept.then(_Rows.of(batch, key))
             starts = rows.starts()
             if mode == "star":  # the first member is all that is needed of a list that goes on
-                yield from pairs(rows, starts)
-                kept = rows.cut(starts[-1], starts[-1] + 1)
+                yield from edges(rows, starts)
+                kept = rows.at(slice(starts[-1], starts[-1] + 1))
                 continue
             if len(starts) > 1:
-                yield from pairs(rows.cut(0, starts[-1]), starts[:-1])
-            kept = rows.cut(starts[-1])
+                yield from edges(rows.at(slice(0, starts[-1])), starts[:-1])
+            kept = rows.at(slice(starts[-1], None))
         if kept is not None and mode != "star":
-            yield from pairs(kept, np.zeros(1, int))
+            yield from edges(kept, np.zeros(1, int))
     return run
 
 
-def _candidates(posted: DataFrame, roots: DataFrame | None, mode: str, match: int, percent: int) -> DataFrame:
-    """Pairs (a, b) from lists that still hold members of different components."""
-    if roots is None:
-        left = posted.withColumn("root", F.col("node")).withColumn("chunks", F.lit(1))
-    else:
-        placed = posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        size = F.count("*")
-        right_length = size <= SHORT if mode == "short" else size > SHORT
-        lists = (placed.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), size.alias("n"), right_length.alias("wanted"))
-                 .filter((F.col("r1") != F.col("r2")) & F.col("wanted")))
-        chunks = F.lit(1) if mode == "short" else F.ceil(F.col("n") / BLOCK).cast("int")
-        left = placed.join(lists.select("token", chunks.alias("chunks")), "token")
-    spread = (left.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int"))
+def _edges(members: DataFrame, mode: str, key: str, match: int, percent: int) -> DataFrame:
+    """Distinct edges (a, b) from ``members``, whose ``chunks`` says into how many chunks a list or cluster is cut."""
+    rest = ["node", "root", "n_shingles", "sketch", *(["hashes"] if mode == "links" else [])]
+    spread = (members.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-              .select("token", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
-                      "chunk", "node", "root", "n_shingles", "sketch"))
-    dealt = spread.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "node")
-    return table(dealt.mapInArrow(_merge(mode, match, percent), MERGED).distinct(), "pairs")
+              .select(key, F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"), "chunk", *rest))
+    dealt = spread.repartition(key, "one", "two").sortWithinPartitions(key, "one", "two", "node")
+    return table(dealt.mapInArrow(_merge(mode, key, match, percent), EDGES).distinct(), "edges")
+
+
+def _cut(members: DataFrame, key: str, chunk: int, whole: int) -> DataFrame:
+    """``members`` of lists or clusters that hold more than one component, with the number of their chunks."""
+    n = F.count("*")
+    lists = (members.groupBy(key).agg(F.min("root").alias("r1"), F.max("root").alias("r2"), n.alias("n")).filter(F.col("r1") != F.col("r2"))
+             .select(key, F.when(F.col("n") <= whole, 1).otherwise(F.ceil(F.col("n") / chunk)).cast("int").alias("chunks")))
+    return members.join(lists, key)
 
 
 class _Sets:
@@ -200,8 +278,8 @@ class _Sets:
     def __init__(self, docs: DataFrame, nodes: DataFrame, width: int):
         self.docs, self.nodes, self.width, self.known = docs.select(F.col("doc_id").alias("node"), "text"), nodes, width, None
 
-    def of(self, pairs: DataFrame) -> DataFrame:
-        asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    def of(self, asked: DataFrame) -> DataFrame:
+        """(node, hashes) at least of the nodes in ``asked``."""
         if self.known is not None:
             asked = asked.join(self.known.select("node"), "node", "left_anti")
         asked = table(asked, "asked")
@@ -227,7 +305,7 @@ def _bloom(spark):
 
 def _confirmed(pairs: DataFrame, sets: _Sets, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
-    full = sets.of(pairs)
+    full = sets.of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
     both = F.size(F.array_intersect("a_hashes", "b_hashes"))
     return (pairs.join(full.select(F.col("node").alias("a"), F.col("hashes").alias("a_hashes")), "a")
             .join(full.select(F.col("node").alias("b"), F.col("hashes").alias("b_hashes")), "b")
@@ -257,12 +335,17 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48, matc
     posted = table(prefixes.join(nodes.select("node", "n_shingles", "sketch"), "node"), "posted")
 
     sets = _Sets(docs, nodes, width)
-    roots = None
-    for mode in ("star", "short", "best", "all"):
-        links = _confirmed(_candidates(posted, roots, mode, match, percent), sets, percent)
-        if roots is not None:
-            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(links)
+    alone = posted.withColumn("root", F.col("node")).withColumn("chunks", F.lit(1))
+    roots = components(_confirmed(_edges(alone, "star", "token", match, percent), sets, percent))
+
+    # What is left to compare: pairs of different components that collide often enough. Clusters hold all of them.
+    placed = posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    clusters = components(_edges(_cut(placed, "token", LIST_CHUNK, SHORT), "lists", "token", match, percent))
+    members = (clusters.withColumnRenamed("root", "cluster").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+               .join(nodes.select("node", "n_shingles", "sketch"), "node"))
+    members = _cut(members, "cluster", CLUSTER_CHUNK, CLUSTER_CHUNK).join(sets.of(clusters.select("node")), "node")
+    links = _edges(members, "links", "cluster", match, percent)
+    roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
     of_key = classes.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component_id"))
     return (prep.select("doc_id", "text_hash", "key", "n_shingles").join(of_key, "key", "left")

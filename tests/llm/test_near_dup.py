@@ -90,23 +90,58 @@ def test_large_groups_of_near_copies(spark, folder):
     assert found(out) == sorted(groups(rows, 2), key=repr)
 
 
-def test_merging_modes_find_the_same_pairs():
-    rng = np.random.default_rng(1)
-    n = 90
-    sketch = rng.integers(0, 3, (n, 48)).astype(np.uint8)
+def connected(edges, n):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in edges:
+        root[find(i)] = find(j)
+    return [find(i) for i in range(n)]
+
+
+def same_partition(a, b):
+    return len(set(zip(a, b))) == len(set(a)) == len(set(b))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_merging_connects_what_pairs_connect(seed):
+    rng = np.random.default_rng(seed)
+    n = 150
+    sketch = rng.integers(0, 4, (n, 48)).astype(np.uint8)
     group = np.zeros((n, 3), np.int64)
     group[:, 0] = np.sort(rng.integers(0, 9, n))
-    rows = near_dup._Rows(group, np.zeros(n, np.int32), np.arange(n), rng.integers(0, 30, n), np.full(n, 100), sketch)
+    rows = near_dup._Rows(group, np.zeros(n, np.int32), np.arange(n), rng.integers(0, 60, n), rng.integers(70, 100, n), sketch)
     starts = rows.starts()
     expected = {(i, j) for i in range(n) for j in range(i + 1, n) if group[i, 0] == group[j, 0] and rows.root[i] != rows.root[j]
-                and (sketch[i] == sketch[j]).sum() >= 18}
-    i, j = near_dup._short_lists(rows, starts, 18, 80)
+                and 100 * min(rows.size[i], rows.size[j]) >= 80 * max(rows.size[i], rows.size[j]) and (sketch[i] == sketch[j]).sum() >= 16}
+    i, j = near_dup._short_lists(rows, starts, 16, 80)
     assert {(min(a, b), max(a, b)) for a, b in zip(i, j)} == expected
-    blocks = set()
+    a, b = near_dup._joining(i, j)
+    assert same_partition(connected(zip(a, b), n), connected(expected, n)) and len(a) < n
+    forest = []
     for s, e in zip(starts, [*starts[1:], n]):
-        a, b = near_dup._block(rows.cut(s, e), 18, 80, False)
-        blocks |= {(min(x, y) + s, max(x, y) + s) for x, y in zip(a, b)}
-    assert blocks == expected
+        for chunks in (np.zeros(e - s, np.int32), np.arange(e - s) % 2):
+            part = rows.at(slice(s, e))
+            part.chunk = chunks
+            first, right, fits = near_dup._block(part, 16, 80)
+            a, b = near_dup._forest(first, right, fits)
+            assert len(a) < e - s
+            inside = {(x - s, y - s) for x, y in expected if s <= x < e and (chunks.max() == 0 or chunks[x - s] != chunks[y - s])}
+            assert same_partition(connected(zip(a, b), e - s), connected(inside, e - s))
+            if chunks.max() == 0:
+                forest += [(x + s, y + s) for x, y in zip(a, b)]
+    assert same_partition(connected(forest, n), connected(expected, n))
+
+
+def test_shared_counts_intersections():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 3000))) for _ in range(12)]
+    got = near_dup._shared(sets[:5], sets[5:])
+    assert got.tolist() == [[len(np.intersect1d(x, y)) for y in sets[5:]] for x in sets[:5]]
 
 
 def test_signature_estimates_similarity():
