@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.bindings import bind, cents, run, sql
-from catalog.registry import AS_OF_TASK, query, workdir
+from catalog.registry import AS_OF_TASK, query
 from haulmark import rules
 from haulmark.functions import clock
 from haulmark.functions.numbers import exact_sum, ratio
@@ -234,8 +234,7 @@ ALLOCATED = """select task_id, awb, p.rider_id, date_trunc('day', dispatch_time)
 
 @query("o_10_32_allocate_to_orders", sql(NEEDS, f"with {dense(OWN)}, {APRIL}, {days_sql('april')} {ALLOCATED}"))
 def allocate(spark, sf):
-    folder = workdir(spark)
-    costs = pay.own_payout(dense_rows(spark, sf), keep=lambda df: cut_lineage(df, folder))["costs"]
+    costs = pay.own_payout(dense_rows(spark, sf), keep=cut_lineage)["costs"]
     return costs.select("task_id", "awb", "rider_id", "dispatch_date", "awb_pay")
 
 

@@ -9,7 +9,7 @@ from catalog.q_business import RANKED, cohort_sql  # noqa: F401
 from catalog.q_money import (APRIL, DONE_ORDERS, FRANCHISE, LANES, LEDGER, MARGIN_ROWS, NEEDS, OWN, REVENUE, TRIPS as COD_TRIPS, days_sql, dense, dense_rows,
                              ledger, margin_rows, views)
 from catalog.q_tracking import ALL_MILESTONES, CANON, STAGE_LOG
-from catalog.registry import AS_OF_SCAN, AS_OF_TASK, query, workdir
+from catalog.registry import AS_OF_SCAN, AS_OF_TASK, query
 from haulmark import rules
 from haulmark.functions import clock
 from haulmark.operators import cohort, payout, service, tracking
@@ -190,9 +190,8 @@ OPS = f"""e as ({EVENTS}), b as ({TASK_BRIEF}), fin as ({FINANCE}), outf as ({OU
 def ops_frames(spark, sf):
     """Events, tasks and the shipment table; the first two are read by several stages and written out."""
     head, clients, promises = header_views(spark, sf)
-    folder = workdir(spark)
-    events = cut_lineage(tracking.tracking_events(bind(spark, sf, "scan_wide")), folder)
-    tasks = cut_lineage(task_brief(spark, sf), folder)
+    events = cut_lineage(tracking.tracking_events(bind(spark, sf, "scan_wide")))
+    tasks = cut_lineage(task_brief(spark, sf))
     main = ops.ops_main(head, clients, events, promises, tasks, outflow(spark, sf, events), finance(spark, sf), STAGE_AS_OF)
     return head, events, tasks, main
 
@@ -327,5 +326,4 @@ def hub_table(spark, sf, older=False):
         attempts = kpi.attempt_metrics_of(run(spark, KPI_TASK), base, run(spark, KPI_TRIP))
     else:
         attempts = kpi.attempt_metrics(run(spark, KPI_TASK), nodes, run(spark, KPI_TRIP), AS_OF_TASK, months=None)
-    folder = workdir(spark)
-    return kpi.main_metric_table(base, attempts, run(spark, KPI_TARGET), AS_OF_TASK, start=KPI_START, end=KPI_END, keep=lambda df: cut_lineage(df, folder))
+    return kpi.main_metric_table(base, attempts, run(spark, KPI_TARGET), AS_OF_TASK, start=KPI_START, end=KPI_END, keep=cut_lineage)

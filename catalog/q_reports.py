@@ -9,7 +9,7 @@ from catalog.q_business import followed, ranked_tasks  # noqa: F401
 from catalog.q_changes import COHORT_DUCK, cohort_rows
 from catalog.q_money import (ALLOCATED, APRIL, DAY_OUT, FLOWS, FRANCHISE, LANE_COST, LEDGER, LEGACY, LINES, MARGIN_ROWS, NEEDS, OWN, SLABS_LEGACY, TRIPS, days_sql, dense, dense_rows, ledger,
                              margin_rows, merged, rider_margin_sql, views)
-from catalog.registry import AS_OF_TASK, query, workdir
+from catalog.registry import AS_OF_TASK, query
 from haulmark import rules
 from haulmark.functions import clock, text
 from haulmark.functions.numbers import exact_sum
@@ -93,8 +93,7 @@ def franchise_ctes() -> str:
     with {dense(OWN)}, {APRIL}, {days_sql('april')}, a as (select k.*, p.slot, p.city, p.warehouse_city, p.hub, p.status, p.payout_structure from ({ALLOCATED}) k join p on p.task_id = k.task_id), {franchise_ctes()}
     select {COST_OUT} from a union select awb, task_id, date_trunc('day', dispatch_time)::timestamp, slot, city, warehouse_city, hub, rider_id, {F_PAY}, status, payout_structure from fx where status = 'COMPLETED'"""))
 def order_costs(spark, sf):
-    folder = workdir(spark)
-    own = pay.own_payout(dense_rows(spark, sf), keep=lambda df: cut_lineage(df, folder))["costs"]
+    own = pay.own_payout(dense_rows(spark, sf), keep=cut_lineage)["costs"]
     return pay.order_costs(own, dense_rows(spark, sf, franchise=True))
 
 

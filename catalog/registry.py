@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmark.session import shared_folder
+from haulmark.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,7 +27,5 @@ def query(name: str, oracle: str | None = None):
 
 
 def workdir(spark: SparkSession) -> str:
-    """A fresh folder below the shared folder of the session; a temporary one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    root = shared_folder(spark, None if named else tempfile.mkdtemp(prefix="haulmark-"))
-    return f"{root.rstrip('/')}/haulmark-{uuid.uuid4().hex[:12]}"
+    """A fresh folder below the shared folder of the session."""
+    return new_folder(spark)

@@ -1,72 +1,84 @@
-"""Hot keys: find them, and join without sending one key's rows to one task.
-
-A key is hot when it holds at least ``min_rows`` rows. Only the ``max_keys``
-largest keys are listed, so the list has a fixed size bound; Catalyst knows the
-bound from the limit and broadcasts the list on its own. A key left off the list
-holds less than 1/``max_keys`` of the rows. The list only decides how rows are
-placed, never which rows are kept.
+"""Hot keys: find them once, and join without sending one key's rows to one task.
+
+A key is hot when it holds at least ``min_rows`` rows. Keys are counted exactly,
+once per table and key: the list is written below the shared folder and read back,
+so a re-run task sees the same list, its size is known to the planner, and it can
+be passed on to every step that uses the key. At most rows / ``min_rows`` keys can
+be hot, which bounds the list; no key is left off. The list only decides how rows
+are placed, never which rows are kept, so a list counted on a base table also serves
+frames made from it.
 """
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from haulmark.session import written
+
 HOT_MIN_ROWS = 2_000_000
-MAX_HOT_KEYS = 1000
-SALTS = 64
 
+_listed: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None,
-             max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys with many rows, counted exactly so that a re-run task sees the same list."""
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame:
+    """Keys with many rows and their ``hot_parts``: the number of tasks that share them."""
     min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("hot_rows"))
-    return (counted.filter(F.col("hot_rows") >= min_rows)
-            .orderBy(F.desc("hot_rows"), *keys).limit(max_keys).select(*keys))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows)
+    return counted.select(*keys, (F.floor(F.col("_rows") / min_rows) + 1).cast("int").alias("hot_parts"))
 
 
 def resolve_hot(df: DataFrame, keys: Sequence[str], hot) -> DataFrame | None:
-    """``"auto"`` counts the keys, an int sets the row limit, None means groups are bounded."""
+    """The list to use: ``"auto"`` counts the keys of ``df`` now, an int sets the row limit, None means groups are bounded.
+
+    Gives None when no key is hot, so that plans without hot keys stay plain. Give ``"auto"`` a
+    base table, not a joined frame: it is read once for the count.
+    """
     if hot is None or isinstance(hot, DataFrame):
         return hot
-    if hot == "auto":
-        return hot_keys(df, keys)
-    return hot_keys(df, keys, min_rows=int(hot))
-
-
-def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, flag: str = "_hot") -> DataFrame:
-    """Add a boolean flag; null keys are matched too."""
-    listed = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], F.lit(True).alias("_in"))
+    limit = HOT_MIN_ROWS if hot == "auto" else int(hot)
+    known = _listed.setdefault(df.sparkSession, {})
+    narrow = df.select(*keys)
+    name = (narrow.semanticHash(), tuple(keys), limit)
+    if name not in known:
+        stored = written(hot_keys(narrow, keys, limit), "hot")
+        known[name] = None if stored.isEmpty() else stored
+    return known[name]
+
+
+def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, parts: str = "_parts") -> DataFrame:
+    """Add the number of parts of each row's key, null for ordinary keys; null keys are matched too."""
+    listed = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], F.col("hot_parts").alias(parts))
     cond = None
     for i, k in enumerate(keys):
         c = F.col(k).eqNullSafe(F.col(f"_hk{i}"))
         cond = c if cond is None else cond & c
-    return (df.join(listed, cond, "left")
-            .withColumn(flag, F.coalesce(F.col("_in"), F.lit(False)))
-            .drop("_in", *[f"_hk{i}" for i in range(len(keys))]))
+    return df.join(listed, cond, "left").drop(*[f"_hk{i}" for i in range(len(keys))])
 
 
-def _salt(columns: Sequence[str], salts: int) -> Column:
+def _salt(columns: Sequence[str], parts: Column) -> Column:
     # The partition id spreads exact copies of a row; it is the same when a task is run again.
-    return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), parts).cast("int")
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                hot: DataFrame | str | int | None = "auto", salts: int = SALTS) -> DataFrame:
+                hot: DataFrame | str | int | None = "auto") -> DataFrame:
     """Equi join whose left side may hold a few very frequent keys.
 
-    Rows of a hot key on the left are spread over ``salts`` tasks, and only the
-    right rows of those keys are repeated. ``how`` is inner, left, left_semi or left_anti.
+    Rows of a hot key on the left are spread over as many tasks as its rows ask
+    for, and only the right rows of those keys are repeated. ``how`` is inner,
+    left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
     listed = resolve_hot(left, on, hot)
     if listed is None:
         return left.join(right, list(on), how)
-    spread = F.when(F.col("_hot"), _salt(left.columns, salts)).otherwise(F.lit(0))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    lhs = mark_hot(left, on, listed).withColumn("_salt", spread).drop("_hot")
-    rhs = mark_hot(right, on, listed).withColumn("_salt", F.explode(copies)).drop("_hot")
+    parts = F.col("_parts")
+    spread = F.when(parts.isNotNull(), _salt(left.columns, parts)).otherwise(F.lit(0))
+    copies = F.when(parts.isNotNull(), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
+    lhs = mark_hot(left, on, listed).withColumn("_salt", spread).drop("_parts")
+    rhs = mark_hot(right, on, listed).withColumn("_salt", F.explode(copies)).drop("_parts")
     return lhs.join(rhs, [*on, "_salt"], how).drop("_salt")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -34,23 +36,35 @@ def spark_session(app: str = "haulmark", master: str | None = None,
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    ``fallback`` is used only where the setting is absent, as in tests.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; there is no other."""
     named = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    folder = named or fallback
-    if not folder:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-    return folder
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named
+
+
+def new_folder(spark: SparkSession, name: str = "work") -> str:
+    """A fresh folder below the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/haulmark-{uuid.uuid4().hex[:12]}-{name}"
+
+
+def written(df: DataFrame, name: str = "work") -> DataFrame:
+    """Write a frame below the shared folder and read it back.
+
+    Cuts the lineage, and tells the planner the size of the rows: a small side is then
+    broadcast before the other side is shuffled, a large one never.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_lineage(df: DataFrame, fallback: str | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(spark, fallback))
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

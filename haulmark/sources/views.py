@@ -5,7 +5,7 @@ from __future__ import annotations
 import inspect
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from haulmark.session import cut_lineage, shared_folder
 from haulmark.sources.writers import materialize
@@ -31,6 +31,6 @@ def view_dag(tables: Mapping[str, DataFrame], stages: Mapping[str, Callable[...,
     return {n: built[n] for n in stages}
 
 
-def refresh(tables, stages, as_of=None, keep=(), keys=None, spark=None, fallback: str | None = None):
+def refresh(spark: SparkSession, tables, stages, as_of=None, keep=(), keys=None) -> dict[str, DataFrame]:
     """``view_dag`` with its kept stages below the shared folder of the session."""
-    return view_dag(tables, stages, as_of, keep, keys, f"{shared_folder(spark, fallback)}/views")
+    return view_dag(tables, stages, as_of, keep, keys, f"{shared_folder(spark)}/views")

@@ -92,5 +92,5 @@ def upsert_partitions(path: str, source: DataFrame, key: Sequence[str], partitio
     spark = source.sparkSession
     target = spark.read.parquet(path)
     touched = target.join(source.select(partition).distinct(), partition, "left_semi")
-    merged = cut_lineage(upsert(touched, source, key, update_when), path + "__work")
+    merged = cut_lineage(upsert(touched, source, key, update_when))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -21,7 +22,8 @@ def main() -> int:
         skew.HOT_MIN_ROWS = int(os.environ["HOT_MIN_ROWS"])
     sf = sys.argv[1]
     wanted = sys.argv[2:]
-    spark = spark_session(master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "12g"})
+    shared = tempfile.mkdtemp(prefix="haulmark-check-")
+    spark = spark_session(master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "12g", "spark.checkpoint.dir": shared})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     bad = 0

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,8 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 @pytest.fixture(scope="session")
 def spark():
     from haulmark.session import spark_session
-    session = spark_session("tests", "local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "6g"})
+    shared = tempfile.mkdtemp(prefix="haulmark-tests-")
+    session = spark_session("tests", "local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "6g", "spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("ERROR")
     yield session
 
