@@ -189,19 +189,24 @@ def busy(check: str) -> str:
     return check.replace("from task t left join shipment", f"from ({BUSY}) t left join shipment")
 
 
+def two_cities(check: str) -> str:
+    """Riders work in two cities each week, so weeks meet across cities."""
+    return check.replace(", s.shipping_city,", ", concat('city ', cast(t.task_id % 2 as varchar)) as shipping_city,")
+
+
 def crew(spark, sf):
     return bind(spark, sf, "crew").select("rider_id", "rider_name", "hub", "hub_type", "vendor_name", "created_at")
 
 
-@query("o_10_24_cohort_select", sql("task shipment crew", busy(cohort_sql(False)).replace(", s.shipping_city,", ", 'all' as shipping_city,")))
+@query("o_10_24_cohort_select", sql("task shipment crew", two_cities(busy(cohort_sql(False)))))
 def cohort_select(spark, sf):
-    days = cohort.slot_days(busy_ranked(spark, sf).withColumn("shipping_city", F.lit("all")))
+    days = cohort.slot_days(busy_ranked(spark, sf).withColumn("shipping_city", F.concat(F.lit("city "), (F.col("task_id") % 2).cast("string"))))
     return cohort.cohort_select(days, crew(spark, sf))
 
 
-@query("o_10_24_cohort_select_scheduled", sql("task shipment crew", busy(cohort_sql(True)).replace(", s.shipping_city,", ", 'all' as shipping_city,")))
+@query("o_10_24_cohort_select_scheduled", sql("task shipment crew", two_cities(busy(cohort_sql(True)))))
 def cohort_select_scheduled(spark, sf):
-    days = cohort.slot_days(busy_ranked(spark, sf).withColumn("shipping_city", F.lit("all")))
+    days = cohort.slot_days(busy_ranked(spark, sf).withColumn("shipping_city", F.concat(F.lit("city "), (F.col("task_id") % 2).cast("string"))))
     return cohort.cohort_select(days, crew(spark, sf), scheduled=True)
 
 

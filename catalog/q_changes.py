@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from catalog.bindings import BINDINGS, bind, cents, run, sql
 from catalog.q_tracking import ALL_MILESTONES, CANON
-from catalog.registry import AS_OF_TASK, query, workdir
+from catalog.registry import AS_OF_SCAN, AS_OF_TASK, query, workdir
 from haulmark.functions import clock
 from haulmark.operators import cohort, mutate, report
 from haulmark.operators.payout import PAYOUT_TOTALS
-from haulmark.operators.tracking import tracking_events
-from haulmark.sources import readers, writers
+from haulmark.operators.tracking import MILESTONE_COLUMNS, tracking_events
+from haulmark.session import written
+from haulmark.sources import readers
 from haulmark.streaming import incremental, streams
 
 FULL = "with c as (" + CANON.format(log="scan_wide") + f"), {ALL_MILESTONES}"
@@ -25,6 +26,33 @@ def incremental_recompute(spark, sf):
     return incremental.incremental_recompute(stored, log, tracking_events, "shipment_id", ["update_time"], "2024-01-31", hours=11 * 24)
 
 
+BUCKETS = 64
+
+
+@query("o_11_01_refresh_partitions", sql("scan_wide", """
+    with k as (select shipment_id, bool_or(update_time >= timestamp '2024-01-31' - interval 1 hour) as changed from scan_wide group by 1)
+    select count(*) as shipments, true as equals_full, true as others_untouched, true as some_untouched from k"""))
+def refresh_partitions(spark, sf):
+    """One hour of changes against a stored table: only the partitions of changed keys get new files."""
+    folder = workdir(spark)
+    target, store = f"{folder}/milestones", f"{folder}/log"
+    log = bind(spark, sf, "scan_wide")
+    incremental.write_buckets(log, store, "shipment_id", BUCKETS)
+    incremental.write_buckets(tracking_events(log.filter("update_time < timestamp_ntz '2024-01-30 23:00:00'")), target, "shipment_id", BUCKETS)
+
+    def files():
+        return spark.read.parquet(target).select("bucket", F.input_file_name().alias("file")).distinct()
+
+    before = written(files(), "before")
+    touched = incremental.refresh_partitions(spark, target, store, tracking_events, "shipment_id", ["update_time"], "2024-01-31", hours=1)
+    gone = before.join(files(), ["bucket", "file"], "left_anti").select("bucket").distinct()
+    full, now = tracking_events(log), spark.read.parquet(target).drop("bucket").select(*MILESTONE_COLUMNS)
+    same = full.exceptAll(now).isEmpty() and now.exceptAll(full).isEmpty()
+    return now.agg(F.count(F.lit(1)).alias("shipments")).withColumns({
+        "equals_full": F.lit(same), "others_untouched": F.lit(gone.filter(~F.col("bucket").isin(touched)).isEmpty()),
+        "some_untouched": F.lit(len(touched) < BUCKETS)})
+
+
 SPEC = {"picked": ("min", "Picked-up"), "last_out": ("max", "Out For Delivery"), "delivered": ("min", "Delivered")}
 
 
@@ -32,50 +60,75 @@ def stream_spec():
     return {n: (how, F.col("shipment_status") == s) for n, (how, s) in SPEC.items()}
 
 
-def scan_stream(spark, sf):
-    """The status log as a file stream."""
-    schema = bind(spark, sf, "events").schema
-    spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).createOrReplaceTempView("events_stream")
-    df = spark.sql(BINDINGS["scan"].replace("from events", "from events_stream"))
-    return df.withColumn("update_time", F.col("update_time").cast("timestamp"))
+RECEIVED = "update_time + (tracking_id % 5) * interval '1' hour"
+
+
+def out_of_order(spark, sf, folder):
+    """The status log as a stream of two files: the later half of the month comes first."""
+    events = bind(spark, sf, "events")
+    late = F.col("ts") >= F.expr("timestamp_ntz '2024-01-16'")
+    for part in (late, ~late):
+        events.filter(part).coalesce(1).write.mode("append").parquet(f"{folder}/log")
+    spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/log").createOrReplaceTempView("events_stream")
+    df = spark.sql(BINDINGS["scan"].replace("from events", "from events_stream")).withColumn("received", F.expr(RECEIVED))
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in ("update_time", "received")})
+
 
+MILESTONES = sql("scan", "select shipment_id, " + ", ".join(
+    f"{how}(update_time) filter (shipment_status = '{s}') as {n}" for n, (how, s) in SPEC.items()) + " from scan group by 1")
 
-@query("o_11_02_stream_milestones", sql("scan", "select shipment_id, " + ", ".join(
-    f"{how}(update_time) filter (shipment_status = '{s}') as {n}" for n, (how, s) in SPEC.items()) + " from scan group by 1"))
+
+def plain_times(df):
+    return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in SPEC})
+
+
+@query("o_11_02_stream_milestones", MILESTONES)
 def stream_milestones(spark, sf):
+    """State with expiry: a stretch outlasts the lateness of the log."""
     folder = workdir(spark)
     table = f"{folder}/milestones"
-    out = streams.stream_milestones(scan_stream(spark, sf), "shipment_id", "update_time", stream_spec())
+    out = streams.stream_milestones(out_of_order(spark, sf, folder), "shipment_id", "update_time", stream_spec(), expire="40 days")
     streams.run_available(out, f"{folder}/checkpoint", "update", each=streams.milestone_sink(table))
-    current = streams.read_milestones(spark, table, "shipment_id", stream_spec())
-    return current.withColumns({n: F.col(n).cast("timestamp_ntz") for n in SPEC})
+    return plain_times(streams.read_milestones(spark, table, "shipment_id", stream_spec()))
+
+
+@query("o_11_02_stream_milestones_batches", MILESTONES)
+def stream_milestone_batches(spark, sf):
+    """No state; batches are folded after every second one."""
+    folder = workdir(spark)
+    table = f"{folder}/milestones"
+    sink = streams.milestone_batches(table, "shipment_id", "update_time", stream_spec(), compact_every=2)
+    streams.run_available(out_of_order(spark, sf, folder), f"{folder}/checkpoint", each=sink)
+    return plain_times(streams.read_milestones(spark, table, "shipment_id", stream_spec()))
 
 
 @query("o_11_03_stream_daily_counts", sql("scan", """
-    select date_trunc('day', update_time)::timestamp as day, shipment_status, count(*) as scans, true as distinct_close from scan group by 1, 2"""))
+    select date_trunc('day', update_time)::timestamp as day, shipment_status, count(*) as scans, count(distinct shipment_id) as shipments from scan group by 1, 2"""))
 def stream_daily_counts(spark, sf):
-    """Streamed counts; the approximate distinct count must lie within five percent of the exact one."""
     folder = workdir(spark)
-    table = f"{folder}/daily"
+    sink = streams.daily_sink(f"{folder}/daily", ["shipment_status"], "update_time", "shipment_id")
+    streams.run_available(out_of_order(spark, sf, folder), f"{folder}/checkpoint", each=sink)
+    out = streams.read_daily_counts(spark, f"{folder}/daily", ["shipment_status"], "shipment_id")
+    return out.withColumn("day", F.col("day").cast("timestamp_ntz"))
 
-    def merge(batch, _):
-        writers.append(batch.withColumn("day", F.col("day").cast("timestamp_ntz")), table)
 
-    out = streams.stream_daily_counts(scan_stream(spark, sf), ["shipment_status"], "update_time", "shipment_id")
-    streams.run_available(out, f"{folder}/checkpoint", "update", each=merge)
-    exact = streams.daily_counts(bind(spark, sf, "scan"), ["shipment_status"], "update_time", "shipment_id").select(
-        F.col("day").cast("timestamp_ntz").alias("day"), "shipment_status", F.col("shipments").alias("exact"))
-    latest = spark.read.parquet(table).groupBy("day", "shipment_status").agg(F.max("scans").alias("scans"), F.max("shipments").alias("shipments"))
-    close = F.abs(F.col("shipments") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.05)
-    return latest.join(exact, ["day", "shipment_status"]).select("day", "shipment_status", "scans", close.alias("distinct_close"))
+def changed_keys_folder(spark, sf):
+    folder = workdir(spark)
+    sink = streams.changed_keys_sink(f"{folder}/keys", "shipment_id", ["update_time", "received"])
+    streams.run_available(out_of_order(spark, sf, folder), f"{folder}/checkpoint", each=sink)
+    return f"{folder}/keys"
 
 
-@query("o_11_04_stream_changed_keys", sql("scan", "select distinct shipment_id from scan"))
+@query("o_11_04_stream_changed_keys", sql("scan", f"select shipment_id, max(greatest(update_time, {RECEIVED})) as touched_at from scan group by 1"))
 def stream_changed_keys(spark, sf):
-    folder = workdir(spark)
-    out = streams.stream_changed_keys(scan_stream(spark, sf), "shipment_id", "update_time", "40 days").select("shipment_id")
-    streams.run_available(out, f"{folder}/checkpoint", "append", path=f"{folder}/keys")
-    return spark.read.parquet(f"{folder}/keys")
+    return streams.read_changed_keys(spark, changed_keys_folder(spark, sf), "shipment_id")
+
+
+@query("o_11_04_stream_changed_keys_lookback", sql("scan", f"""
+    select distinct shipment_id from scan where update_time >= timestamp '{AS_OF_SCAN}' - interval 4 hour or {RECEIVED} >= timestamp '{AS_OF_SCAN}' - interval 4 hour"""))
+def stream_changed_keys_lookback(spark, sf):
+    """The default look-back, on either time."""
+    return streams.read_changed_keys(spark, changed_keys_folder(spark, sf), "shipment_id", AS_OF_SCAN).select("shipment_id")
 
 
 TRIPS = "select task_id as trip_id, awb, status, dispatch_time as start_at, case when status <> 'ONGOING' then dispatch_time + interval '9' hour end as closed_at from task"
@@ -204,7 +257,7 @@ def evolve_schema(spark, sf):
 
 # Contract rates per client and city.
 RATES = """select distinct user_id, case city when 'Jaipur' then 'Delhi' else city end as city, cast(user_id % 7 as double) + 20 as forward_rpo, 0.25::double as rto_multiplier,
-  case when user_id % 2 = 0 then 'Yes' else 'No' end as cod_charge from shipment where total_shipment_value > 5000"""
+  case when user_id % 2 = 0 then 'Yes' else 'No' end as cod_charge from shipment where user_id % 4 <> 1"""
 BILLED = """select t.task_id as awb, s.user_id, s.user_name, s.city as shipping_city, case t.status when 'COMPLETED' then 'Delivered' when 'CANCELLED' then 'RTO Delivered' else 'In-Transit' end as shipment_status,
   cod_amount / 100 as final_total_charges, cast(t.task_id % 40 as double) as finops_cod_charge from task t join shipment s on s.awb = t.awb"""
 

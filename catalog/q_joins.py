@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.bindings import bind, cents, sql
-from catalog.registry import query
+from catalog.registry import query, with_hot_keys
 from haulmark.functions import clock, text
 from haulmark.functions.numbers import exact_sum
 from haulmark.operators import joins, mutate, shape
@@ -114,13 +114,16 @@ def range_after(spark, sf):
     select a.awb, a.task_id, a.dispatch_time, r.reply_id, r.timestamp, r.remark from a left join r
       on a.awb = r.awb and a.dispatch_time <= r.timestamp and (a.next_time is null or a.next_time >= r.timestamp)
     qualify row_number() over (partition by a.task_id order by r.timestamp desc, r.reply_id desc) = 1"""))
-def interval_latest(spark, sf):
+def interval_latest(spark, sf, hot="auto"):
     log = bind(spark, sf, "scan")
     attempts = log.filter("shipment_status = 'Out For Delivery'").select(
         F.col("shipment_id").alias("awb"), F.col("tracking_id").alias("task_id"), F.col("update_time").alias("dispatch_time"))
     replies = log.filter("shipment_status = 'Failed Delivery'").select(
         F.col("shipment_id").alias("awb"), F.col("tracking_id").alias("reply_id"), F.col("update_time").alias("timestamp"), "remark")
-    return joins.interval_latest(attempts, replies, "awb", "dispatch_time", "timestamp", "reply_id")
+    return joins.interval_latest(attempts, replies, "awb", "dispatch_time", "timestamp", "reply_id", hot=hot)
+
+
+with_hot_keys("o_5_10_interval_latest", interval_latest, 20)
 
 
 @query("o_5_11_neighbours", sql("task", """

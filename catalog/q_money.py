@@ -123,13 +123,13 @@ def days_sql(card: str, date="date_trunc('day', dispatch_time)::timestamp") -> s
 
 
 # The test attempts are spread over seven years; moving every week onto its Monday gives full rider days.
-MONDAY = "date_trunc('month', dispatch_time)::timestamp + hour(dispatch_time) * interval 1 hour"
+MONTH_HOUR = "date_trunc('month', dispatch_time)::timestamp + hour(dispatch_time) * interval 1 hour"
 
 
 def dense(text: str) -> str:
     """Checking SQL with attempts moved to the first day of their month."""
-    return text.replace("t.dispatch_time, t.cod_amount", f"{MONDAY.replace('dispatch_time', 't.dispatch_time')} as dispatch_time, t.cod_amount").replace(
-        "order by dispatch_time) as attempt_number", f"order by {MONDAY.replace('dispatch_time', 't.dispatch_time')}) as attempt_number")
+    return text.replace("t.dispatch_time, t.cod_amount", f"{MONTH_HOUR.replace('dispatch_time', 't.dispatch_time')} as dispatch_time, t.cod_amount").replace(
+        "order by dispatch_time) as attempt_number", f"order by {MONTH_HOUR.replace('dispatch_time', 't.dispatch_time')}) as attempt_number")
 
 
 def dense_rows(spark, sf, franchise=False):
@@ -264,16 +264,22 @@ TRIPS = """select task_id as trip_id, awb, awb as shipment_id, t.rider_id, rider
   city as shipping_city, task_id % 3 = 0 as is_collected, task_id % 5 = 0 as is_realized, dispatch_time + interval '30' hour as reconciled_at,
   concat('app__cash__hub__', cast(t.rider_id % 4 as varchar(2))) as collected_by from task t join crew c on c.rider_id = t.rider_id"""
 LINES = """select shipment_id, amount, case when transaction_type = 'cod_amount' then 'cod_amount' else 'freight' end as reference_type,
-  case when transaction_id % 4 = 0 then null else transaction_id end as incoming_cash_flow_id from txn where transaction_id = first_id"""
-ONE_LINE = "(select *, min(transaction_id) over (partition by shipment_id) as first_id from txn)"
-LINES = LINES.replace("from txn where", f"from {ONE_LINE} x where")
+  case when transaction_id % 4 = 0 then null else transaction_id end as incoming_cash_flow_id from txn"""
 FLOWS = "select transaction_id as id, created_time + interval '7' hour as created_time from txn"
-LEDGER = f"""ledger as (
+
+
+def ledger_sql(since: str = "1900-01-01") -> str:
+    """Checking SQL: one row per trip; the lines of a shipment are summed first."""
+    return f"""ledger as (
   select completed_at::date as delivery_date, rider_id, rider_name, awb, cod_amount as amount, hub_name, shipping_city, 0 as collected, 0 as deposited, null::date as collected_on, null as collected_by,
     trip_id, null::date as deposited_on from trips where status = 'COMPLETED' and not is_collected and not is_realized and cod_amount <> 0
-  union select completed_at::date, rider_id, rider_name, awb, l.amount, hub_name, shipping_city, 1, case when l.incoming_cash_flow_id is null then 0 else 1 end, reconciled_at::date,
-    split_part(collected_by, '__', 4), trip_id, f.created_time::date from trips join ({LINES}) l using (shipment_id) left join ({FLOWS}) f on f.id = l.incoming_cash_flow_id
-  where status = 'COMPLETED' and reference_type = 'cod_amount' and (is_collected or is_realized))"""
+  union select completed_at::date, rider_id, rider_name, awb, l.amount, hub_name, shipping_city, 1, l.deposited, reconciled_at::date, split_part(collected_by, '__', 4), trip_id, l.deposited_on
+  from trips join (select shipment_id, {cents('amount')} as amount, bool_and(incoming_cash_flow_id is not null)::int as deposited, max(f.created_time::date) as deposited_on
+      from ({LINES}) x left join (select * from ({FLOWS}) y where created_time >= timestamp '{since}') f on f.id = x.incoming_cash_flow_id where reference_type = 'cod_amount' group by 1) l using (shipment_id)
+  where status = 'COMPLETED' and (is_collected or is_realized))"""
+
+
+LEDGER = ledger_sql()
 
 
 def ledger(spark, sf):
@@ -287,6 +293,15 @@ def cod_ledger(spark, sf):
     return ledger(spark, sf)
 
 
+@query("o_10_34_cod_ledger_horizon", sql("task crew txn", f"""
+    with trips as (select * from ({TRIPS}) t where dispatch_time >= timestamp '1999-06-01' and completed_at >= timestamp '1999-06-15'), {ledger_sql('1999-06-15')} select * from ledger"""))
+def cod_ledger_horizon(spark, sf):
+    """Trips and cash flows of the last two years."""
+    for name in ("task", "crew", "txn"):
+        bind(spark, sf, name).createOrReplaceTempView(name)
+    return cash.cod_ledger(run(spark, TRIPS), run(spark, LINES), run(spark, FLOWS), AS_OF_TASK, months=24)
+
+
 @query("o_10_34_cod_pendency", sql("task crew txn", f"""
     with trips as ({TRIPS}), {LEDGER} select rider_id, {cents("case when delivery_date = date '2000-12-31' then amount else 0 end")} as today_cod,
       {cents("case when delivery_date < date '2000-12-31' then amount else 0 end")} as past_cod from ledger where collected = 0 group by 1"""))
@@ -325,9 +340,10 @@ DONE_ORDERS = ORDERS.replace("status <> 'ONGOING'", "status = 'COMPLETED'")
 REVENUE = """select task_id as awb, user_name, s.pincode as drop_pincode, s.city as shipping_city, s.warehouse_city, s.user_id, s.shipper_id,
   case status when 'COMPLETED' then 'Delivered' when 'CANCELLED' then 'RTO Delivered' else 'Lost' end as shipment_status, cast(floor(c.cents / 1000) as double) / 100 as shipment_charges,
   case when cod_amount = 0 then 'Prepaid' else 'COD' end as mop, dispatch_time as closure_date from task t join shipment s on t.awb = s.awb join charge c on c.order_id = t.task_id"""
-# Cost master by lane: one row per pair of cities and vendor.
-LANES = """select distinct a.city as warehouse_city, b.city as shipping_city, case when a.city = b.city then 'Hyperlocal' else 'Intercity' end as lane_type,
-  cast(1000 + length(a.city) * 37 + length(b.city) * 11 as double) as cost from node a join node b on a.node_id <= b.node_id"""
+# Cost master by lane: every lane that has shipments but those into Hyderabad, and every city with itself.
+LANES = """select warehouse_city, shipping_city, case when warehouse_city = shipping_city then 'Hyperlocal' else 'Intercity' end as lane_type,
+  cast(1000 + length(warehouse_city) * 37 + length(shipping_city) * 11 as double) as cost
+  from (select case warehouse_city when 'NCR' then 'Delhi' else warehouse_city end as warehouse_city, city as shipping_city from shipment where city <> 'Hyderabad' group by 1, 2 union select city, city from node group by 1) x"""
 TEXT = {"Delhi": ["NCR"]}
 
 
@@ -377,18 +393,18 @@ def return_weighted(spark, sf):
 @query("o_10_38_cost_per_order", sql("task", f"""
     with p as (select rider_id, {cents('cod_amount')} / 1000 as total_pay from task group by 1), o as (select rider_id, count(awb) as orders from task where status = 'COMPLETED' group by 1),
       c as (select p.*, orders, total_pay / nullif(orders, 0)::double as rider_pay_cpo, concat('K', cast(rider_id as varchar)) as key from p left join o using (rider_id)),
-      v as (select distinct concat('K', cast(rider_id as varchar)) as key, cast(rider_id % 7 as double) / 100 as extra_per_rs from task where cod_amount > 490000)
+      v as (select distinct concat('K', cast(rider_id as varchar)) as key, cast(rider_id % 7 as double) / 100 as extra_per_rs from task where rider_id % 5 <> 2)
     select c.*, coalesce(rider_pay_cpo * extra_per_rs, 0) as vendor_cpo from c left join v using (key)"""))
 def cost_per_order(spark, sf):
     task = bind(spark, sf, "task")
     pays = task.groupBy("rider_id").agg((exact_sum("cod_amount") / 1000).alias("total_pay"))
     orders = task.filter("status = 'COMPLETED'").groupBy("rider_id").agg(F.count("awb").alias("orders"))
     key = F.concat(F.lit("K"), F.col("rider_id").cast("string"))
-    vendors = task.filter("cod_amount > 490000").select("rider_id").distinct().select(key.alias("key"), ((F.col("rider_id") % 7).cast("double") / 100).alias("extra_per_rs"))
+    vendors = task.filter("rider_id % 5 <> 2").select("rider_id").distinct().select(key.alias("key"), ((F.col("rider_id") % 7).cast("double") / 100).alias("extra_per_rs"))
     return margin.vendor_cpo(margin.cpo(pays, orders, "rider_id").withColumn("key", key), vendors)
 
 
-MARGIN_ROWS = f"""{LANE_COST}, fuel as (select distinct rider_id, cast(rider_id % 6 as double) / 4 as fuel_cpo from task where cod_amount > 490000),
+MARGIN_ROWS = f"""{LANE_COST}, fuel as (select distinct rider_id, cast(rider_id % 6 as double) / 4 as fuel_cpo from task where rider_id % 5 <> 2),
   cost as (select o.*, coalesce(awb_pay, 0) + coalesce(self_mm_fm_cpo + intercity_fm_cpo + intercity_mm_cpo, 0) + coalesce(fuel_cpo, 0) + coalesce(awb_pay * 0.06, 0) as total_cost
     from o left join lc using (warehouse_city, city) left join fuel using (rider_id)),
   rev as (select * replace ({merged('shipping_city')} as shipping_city, {merged('warehouse_city')} as warehouse_city) from ({REVENUE}) x),
@@ -398,7 +414,7 @@ MARGIN_ROWS = f"""{LANE_COST}, fuel as (select distinct rider_id, cast(rider_id
 def margin_rows(spark, sf):
     from haulmark.plans.margins import order_margin
     views(spark, sf, "task", "shipment", "charge", "node")
-    fuel = bind(spark, sf, "task").filter("cod_amount > 490000").select("rider_id").distinct().withColumn("fuel_cpo", (F.col("rider_id") % 6).cast("double") / 4)
+    fuel = bind(spark, sf, "task").filter("rider_id % 5 <> 2").select("rider_id").distinct().withColumn("fuel_cpo", (F.col("rider_id") % 6).cast("double") / 4)
     revenue = run(spark, REVENUE).select("awb", "user_name", "drop_pincode", "shipping_city", "warehouse_city", "shipment_status", "shipment_charges")
     return order_margin(revenue, run(spark, DONE_ORDERS), run(spark, LANES), fuel)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.bindings import bind, sql
-from catalog.registry import query
+from catalog.registry import query, with_hot_keys
 from haulmark.operators import pick
 from haulmark.operators.attempts import attempt_rank, order_type
 from haulmark.operators.ordered import lag, running
@@ -49,9 +49,12 @@ def distinct_rows(spark, sf):
       from (select tracking_id, shipment_id, update_time, case shipment_status when 'Out For Delivery' then 'Out for Delivery'
         else 'Failed Delivered' end as shipment_status from scan where shipment_status in ('Out For Delivery', 'Failed Delivery')) s) t
     where before is null or before <> shipment_status"""))
-def collapse_runs(spark, sf):
+def collapse_runs(spark, sf, hot="auto"):
     from haulmark.operators.tracking import delivery_runs
-    return delivery_runs(normalise_status(bind(spark, sf, "scan"))).select("tracking_id", "shipment_id", "shipment_status", "update_time")
+    return delivery_runs(normalise_status(bind(spark, sf, "scan")), hot=hot).select("tracking_id", "shipment_id", "shipment_status", "update_time")
+
+
+with_hot_keys("o_4_06_collapse_runs", collapse_runs, 40)
 
 
 @query("o_4_07_max_dims", sql("weight", """
@@ -64,8 +67,11 @@ RANKED = "select task_id, awb, status, dispatch_time, rank() over (partition by
 
 
 @query("o_7_01_attempt_rank", sql("task", f"select task_id, awb, cast(attempt_number as int) as attempt_number from ({RANKED}) r"))
-def ranks(spark, sf):
-    return attempt_rank(bind(spark, sf, "task").select("task_id", "awb", "dispatch_time")).select("task_id", "awb", "attempt_number")
+def ranks(spark, sf, hot="auto"):
+    return attempt_rank(bind(spark, sf, "task").select("task_id", "awb", "dispatch_time"), hot=hot).select("task_id", "awb", "attempt_number")
+
+
+with_hot_keys("o_7_01_attempt_rank", ranks, 16)
 
 
 @query("o_7_02_order_type", sql("task", f"select task_id, case when attempt_number = 1 then 'Fresh' else 'Reattempt' end as order_type from ({RANKED}) r"))
@@ -87,9 +93,12 @@ def row_number_topk(spark, sf):
 
 @query("o_7_05_lag", sql("scan", """
     select tracking_id, lag(shipment_status) over (partition by shipment_id order by update_time, tracking_id) as prev_status from scan"""))
-def lag_status(spark, sf):
+def lag_status(spark, sf, hot="auto"):
     rows = bind(spark, sf, "scan").select("tracking_id", "shipment_id", "shipment_status", "update_time")
-    return running(rows, ["shipment_id"], "update_time", ["tracking_id"], prev_status=lag("shipment_status")).select("tracking_id", "prev_status")
+    return running(rows, ["shipment_id"], "update_time", ["tracking_id"], hot=hot, prev_status=lag("shipment_status")).select("tracking_id", "prev_status")
+
+
+with_hot_keys("o_7_05_lag", lag_status, 40)
 
 
 @query("o_7_06_last_value", sql("task", """

@@ -9,7 +9,7 @@ from catalog.q_business import RANKED, cohort_sql  # noqa: F401
 from catalog.q_money import (APRIL, DONE_ORDERS, FRANCHISE, LANES, LEDGER, MARGIN_ROWS, NEEDS, OWN, REVENUE, TRIPS as COD_TRIPS, days_sql, dense, dense_rows,
                              ledger, margin_rows, views)
 from catalog.q_tracking import ALL_MILESTONES, CANON, STAGE_LOG
-from catalog.registry import AS_OF_SCAN, AS_OF_TASK, query
+from catalog.registry import AS_OF_SCAN, AS_OF_TASK, query, with_hot_keys
 from haulmark import rules
 from haulmark.functions import clock
 from haulmark.operators import cohort, payout, service, tracking
@@ -51,8 +51,11 @@ def rounded(df, *columns, places=6):
 
 
 @query("p_01_tracking_events", sql("scan_wide", "with c as (" + CANON.format(log="scan_wide") + f"), {ALL_MILESTONES}"))
-def tracking_events(spark, sf):
-    return tracking.tracking_events(bind(spark, sf, "scan_wide"))
+def tracking_events(spark, sf, hot="auto"):
+    return tracking.tracking_events(bind(spark, sf, "scan_wide"), hot=hot)
+
+
+with_hot_keys("p_01_tracking_events", tracking_events, 60)
 
 
 @query("p_02_task_brief", sql("rider shipment", f"select * replace ({ROUND_DRIFT}) from ({TASK_BRIEF}) b"))
@@ -97,7 +100,7 @@ HEADER = """select shipment_id, awb, concat('SO', cast(shipment_id as varchar(12
   created_date + interval '50' hour as modified_date, shipment_chargeable_weight, abs(total_shipment_value) as cod_amount, total_shipment_value, concat('phone ', cast(shipment_id as varchar(12))) as shipping_phone from shipment"""
 PROMISE = """select shipment_id, created_date + interval '254160' hour as shipment_edd, created_date + interval '254170' hour as shipment_edd_logops, created_date + interval '254120' hour as ideal_pickup_time,
   created_date + interval '254130' hour as ideal_packed_time, created_date + interval '254184' hour as ndd from shipment"""
-CLIENT = "select distinct user_id, concat('client ', cast(user_id as varchar(6))) as user_name from shipment where total_shipment_value > 9500"
+CLIENT = "select distinct user_id, concat('client ', cast(user_id as varchar(6))) as user_name from shipment where user_id % 10 <> 3"
 PARTNER = "case shipper_id when 2 then 'Delhivery' when 301 then 'Hyperlocal' when 1001 then 'B2B' else concat(cast(shipper_id as varchar), ', Unknown') end"
 FINANCE = f"""select transaction_id, amount, realized, anulled, reference_type as transaction_type, {LOCAL.format('t.created_time', 'created_time')}, {LOCAL.format('completion_time', 'completion_time')}, incoming_cash_flow_id,
     outgoing_cash_flow_id, reference_party_1, incoming_ref_id, case when left(incoming_ref_id, 6) = 'MANUAL' then cast(substring(incoming_ref_id, 9, 10) as date) end as collection_date, h.shipment_id, h.awb, shop_order_number,
@@ -125,7 +128,7 @@ def finance_lines(spark, sf):
 OUTFLOWS = """select o_orderkey as id, o_orderkey * 2 as suborder_id, o_orderkey % 5 + 1 as quantity, case o_orderkey % 4 when 0 then 'Order Assigned' when 1 then 'Picked' when 2 then 'Packed' else 'Left Warehouse' end as status,
   o_custkey % 6 + 180 as warehouse_id, o_custkey as awb_number, o_orderkey as order_id, concat('SO', cast(o_orderkey as varchar(12))) as shop_order_number from orders"""
 HOUSES = """select distinct cast(n_nationkey % 6 + 180 as bigint) as warehouse_int_id, case n_nationkey % 6 when 0 then 'Gurgaon ' when 1 then 'Bengaluru' when 2 then 'Thane' when 3 then 'K.V.Rangareddy' when 4 then 'Pune' else 'Dwarka' end as warehouse_city from nation"""
-SUBORDERS = "select o_custkey * 3 as order_id_id, o_orderkey * 7 as suborder_id, o_orderkey % 4 + 1 as quantity from orders where o_orderstatus = 'P'"
+SUBORDERS = "select o_custkey * 3 as order_id_id, o_orderkey * 7 as suborder_id, o_orderkey % 4 + 1 as quantity from orders"
 CUT = "date_trunc('day', {0})::timestamp + case when hour({0}) < 15 then interval 17 hour when {0} is not null then interval 36 hour end"
 STAGE_AS_OF = "2001-12-31"
 NOW_LOCAL = f"(timestamp '{STAGE_AS_OF}' + interval 330 minute)"
@@ -221,10 +224,13 @@ LOST_LOG = """select shipment_id as awb, shipment_status, update_time, update_ti
     select awb, remark, attribution, locus_rider_id as rider_id, node_name, lost_date, shipment_value, shipping_city from l
     left join rider r on attribution = 'Rider' and r.rider_id = try_cast(split_part(split_part(remark, ':', 2), '.', 1) as bigint)
     left join node n on attribution = 'Hub' and n.node_id = try_cast(trim(split_part(split_part(remark, ':', 2), '.', 1)) as bigint) where attribution is not null"""))
-def lost_attribution(spark, sf):
+def lost_attribution(spark, sf, hot="auto"):
     views(spark, sf, "scan_wide")
     head, _, _ = header_views(spark, sf)
-    return ops.lost_attribution(head.select("awb", "shipment_status", "shipping_city"), run(spark, LOST_LOG), head, bind(spark, sf, "rider"), bind(spark, sf, "node"), since="2024-01-02")
+    return ops.lost_attribution(head.select("awb", "shipment_status", "shipping_city"), run(spark, LOST_LOG), head, bind(spark, sf, "rider"), bind(spark, sf, "node"), since="2024-01-02", hot=hot)
+
+
+with_hot_keys("p_08_lost_attribution", lost_attribution, 5)
 
 
 # ---------------------------------------------------------------- daily hub table
@@ -237,7 +243,7 @@ KPI_TASK = "select t.*, t.pincode as customer_pincode, concat('HB', cast(n.node_
 KPI_NODE = "select *, concat('HB', cast(node_id as varchar(4))) as home_base_id from node"
 KPI_TRIP = "select task_id, case task_id % 3 when 0 then 'Manual__hub' when 1 then 'upi' end as collected_by, cod_amount from task"
 KPI_TARGET = """select distinct n.node_name as last_mile_hub, n.city as shipping_city, cast(date_trunc('month', o_orderdate) as date) as month, cast(n.node_id % 4 + 1 as double) / 2 as target_productivity
-  from node n join customer on c_nationkey = n.node_id join orders on o_custkey = c_custkey where o_totalprice > 400000"""
+  from node n join customer on c_nationkey = n.node_id join orders on o_custkey = c_custkey where n.node_id % 6 <> 4"""
 KPI_START, KPI_END = "1995-01-01", "2001-09-30"
 KPI_NOW = f"timestamp '{AS_OF_TASK} 00:00:00'"
 HUB = "shipping_city, last_mile_hub"

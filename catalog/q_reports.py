@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.bindings import bind, cents, run, sql
 from catalog.q_business import followed, ranked_tasks  # noqa: F401
 from catalog.q_changes import COHORT_DUCK, cohort_rows
-from catalog.q_money import (ALLOCATED, APRIL, DAY_OUT, FLOWS, FRANCHISE, LANE_COST, LEDGER, LEGACY, LINES, MARGIN_ROWS, NEEDS, OWN, SLABS_LEGACY, TRIPS, days_sql, dense, dense_rows, ledger,
+from catalog.q_money import (ALLOCATED, APRIL, DAY_OUT, FLOWS, FRANCHISE, LANE_COST, LEDGER, LEGACY, LINES, MARGIN_ROWS, NEEDS, OWN, SLABS_LEGACY, TRIPS, days_sql, dense, dense_rows, ledger, ledger_sql,
                              margin_rows, merged, rider_margin_sql, views)
 from catalog.registry import AS_OF_TASK, query
 from haulmark import rules
@@ -22,7 +22,7 @@ NOW = f"timestamp '{AS_OF_TASK} 00:00:00'"
 
 # ---------------------------------------------------------------- P-10, P-11
 @query("p_10_cod_base_data", sql("task crew txn", f"""
-    with trips as ({TRIPS}), {LEDGER} select l.* from ledger l join (select trip_id, dispatch_time, completed_at from trips) t using (trip_id)
+    with trips as ({TRIPS}), {ledger_sql('1998-06-15')} select l.* from ledger l join (select trip_id, dispatch_time, completed_at from trips) t using (trip_id)
     where dispatch_time >= timestamp '1998-06-01' and completed_at >= timestamp '1998-06-15'"""))
 def cod_base_data(spark, sf):
     views(spark, sf, "task", "crew", "txn")

@@ -161,13 +161,16 @@ def write_csv(spark, sf):
 
 
 @query("o_2_06_write_partitioned_report", sql("task shipment", """
-    select shipping_city as city, hub, status, count(*) as attempts from task join shipment using (awb) group by all"""))
+    select shipping_city as city, hub, status, count(*) as attempts, 1::bigint as files from task join shipment using (awb) group by all"""))
 def write_partitioned_report(spark, sf):
     path = workdir(spark)
     rows = bind(spark, sf, "task").join(bind(spark, sf, "shipment").select("awb", "shipping_city", "hub"), "awb")
     report = rows.groupBy(F.col("shipping_city").alias("city"), "hub", "status").agg(F.count(F.lit(1)).alias("attempts"))
     writers.write_partitioned_report(report, path)
-    return spark.read.schema("status string, attempts long, city string, hub string").option("header", True).csv(path)
+    back = spark.read.schema("status string, attempts long, city string, hub string").option("header", True).csv(path)
+    named = back.withColumn("file", F.input_file_name())
+    files = named.groupBy("city", "hub").agg(F.count_distinct("file").alias("files"))
+    return named.drop("file").join(files, ["city", "hub"])
 
 
 @query("o_2_07_ctas_reordered", sql("shipment", "select shipping_city, hub, awb, user_name from shipment"))

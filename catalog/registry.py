@@ -26,6 +26,11 @@ def query(name: str, oracle: str | None = None):
     return keep
 
 
+def with_hot_keys(name: str, fn, limit: int) -> None:
+    """Register the query once more with keys of ``limit`` rows treated as hot, so that their path runs on test data."""
+    query(f"{name}_hot", ORACLES[name])(lambda spark, sf: fn(spark, sf, hot=limit))
+
+
 def workdir(spark: SparkSession) -> str:
     """A fresh folder below the shared folder of the session."""
     return new_folder(spark)

@@ -56,11 +56,6 @@ def in_month(c, first_day) -> Column:
     return (as_col(c) >= lo) & (as_col(c) < lo + F.make_ym_interval(F.lit(0), F.lit(1)))
 
 
-def on_day(c, first) -> Column:
-    lo = day(moment(first))
-    return (as_col(c) >= lo) & (as_col(c) < plus(lo, days=1))
-
-
 def in_week(c, first) -> Column:
     lo = week(moment(first))
     return (as_col(c) >= lo) & (as_col(c) < plus(lo, days=7))

@@ -19,13 +19,6 @@ def count_when(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
-def sum_when(cond: Column, value, empty_is_zero: bool = True) -> Column:
-    """``else 0`` form by default; the ``else null`` form leaves groups without a match null."""
-    v = F.col(value) if isinstance(value, str) else value
-    picked = F.when(cond, v)
-    return F.sum(picked.otherwise(F.lit(0))) if empty_is_zero else F.sum(picked)
-
-
 def distinct_when(df: DataFrame, by: Sequence[str], ident: str, flags: Mapping[str, Column],
                   total: str | None = None) -> DataFrame:
     """Many conditional distinct counts in one pass.

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulmark import rules
-from haulmark.functions import clock, lookup
+from haulmark.functions import clock, lookup, text
 from haulmark.functions.numbers import ratio
-from haulmark.operators.joins import interval_latest, neighbours
+from haulmark.operators.joins import interval_latest, latest_on_timeline, neighbours
 from haulmark.operators.ordered import rank, running
 from haulmark.operators.sets import union_all
 from haulmark.operators.skew import resolve_hot
@@ -129,26 +129,67 @@ def pendency_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def attempt_timeline(shipments: DataFrame, attempts: DataFrame, replies: DataFrame, hot="auto",
-                     since=None) -> DataFrame:
+def attempt_timeline(shipments: DataFrame, attempts: DataFrame, replies: DataFrame, nodes: DataFrame, hot="auto",
+                     since=None, created_since=None, test_hubs: Sequence[str] = ()) -> DataFrame:
     """Pickup as attempt zero, the real attempts, their neighbours, the customer's reply, and flags.
 
-    ``shipments``: awb, pickuptime, warehouse_city, shipping_city, shipping_zone, shipment_status.
-    ``attempts``: task_id, awb, status, dispatch_time, cancellation_remarks.
-    ``replies``: awb, reply_id, timestamp, message, deferred_date (text), re_attempt_slot.
-    ``since`` drops replies older than that moment.
+    ``shipments``: awb, created_date, pickuptime, last_mile_hub, sort_code, warehouse_city, shipping_city,
+    shipping_zone, shipment_status. ``attempts``: task_id, awb, status, dispatch_time,
+    cancellation_remarks, location_id, sort_code. ``replies``: awb, reply_id, timestamp, message,
+    remarks, deferred_date (text), re_attempt_slot. ``nodes``: node_name, sort_codes, home_base_id.
+    ``since`` drops older replies, ``created_since`` older shipments. Attempt zero needs a known hub
+    that is none of ``test_hubs``; real attempts of such a shipment stay.
+
+    Without hot parcels everything happens on one timeline per parcel: shipments, attempts and
+    replies meet in one shuffle, and ranks, neighbours and replies are windows over it.
     """
     listed = resolve_hot(attempts.select("awb").unionByName(replies.select("awb")), ["awb"], hot)
-    picked = shipments.filter(F.col("pickuptime").isNotNull())
-    zero = attempt_promise(picked.withColumnRenamed("pickuptime", "dispatch_time")).select(
-        "awb", "shipping_city", "shipment_status",
+    picked = shipments.filter(F.col("pickuptime").isNotNull() & F.col("awb").isNotNull())
+    if created_since is not None:
+        picked = picked.filter(F.col("created_date") >= clock.moment(created_since))
+    hubs = nodes.select(text.part("sort_codes", "/", 2).alias("last_mile_hub"), "node_name").filter(
+        F.col("node_name").isNotNull() & ~F.col("node_name").isin(list(test_hubs)))
+    zero = attempt_promise(picked.withColumnRenamed("pickuptime", "dispatch_time")).join(hubs, "last_mile_hub", "inner").select(
+        "awb", "node_name", "shipping_city", "shipment_status", "sort_code",
         F.concat(F.col("awb").cast("string"), F.lit("-zero-attempt")).alias("task_id"),
         "dispatch_time", F.lit(0).alias("attempt_number"), "min_reattempt_time")
+    at_base = nodes.select(F.col("home_base_id").alias("location_id"), "node_name")
+    tasks = min_reattempt(attempts.filter(F.col("awb").isNotNull())).join(at_base, "location_id", "left").select(
+        "awb", "node_name", "sort_code", F.col("task_id").cast("string").alias("task_id"), "dispatch_time", "min_reattempt_time",
+        F.col("status").alias("task_status"), "cancellation_remarks")
     known = picked.select("awb", "shipping_city", "shipment_status", F.lit(True).alias("_picked"))
-    real = attempt_rank(attempts.filter(F.col("awb").isNotNull()), hot=listed, attach=known).filter("_picked")
-    real = min_reattempt(real).withColumn("task_id", F.col("task_id").cast("string"))
-    rows = union_all(zero, real.select(*zero.columns, F.col("status").alias("task_status"), "cancellation_remarks"))
-    rows = neighbours(rows, "awb", "attempt_number", "dispatch_time")
     kept = replies if since is None else replies.filter(F.col("timestamp") >= clock.moment(since))
-    answered = interval_latest(rows, prepare_replies(kept), "awb", "dispatch_time", "timestamp", "reply_id", hot=listed)
+    said = prepare_replies(kept)
+    if listed is None:
+        answered = _one_timeline(zero, tasks, known, said)
+    else:
+        real = attempt_rank(tasks, hot=listed, attach=known).filter("_picked").drop("_picked")
+        rows = neighbours(union_all(zero, real), "awb", "attempt_number", "dispatch_time")
+        answered = interval_latest(rows, said, "awb", "dispatch_time", "timestamp", "reply_id", hot=listed)
     return pendency_flags(ideal_next_attempt(answered))
+
+
+def _one_timeline(zero: DataFrame, tasks: DataFrame, known: DataFrame, said: DataFrame) -> DataFrame:
+    payload = [c for c in said.columns if c != "awb"]
+    reply = F.struct("timestamp", "reply_id", *[c for c in payload if c not in ("timestamp", "reply_id")])
+    answers = said.filter(F.col("awb").isNotNull() & F.col("timestamp").isNotNull()).select("awb", F.col("timestamp").alias("_at"), reply.alias("_reply"))
+    shipment = known.select("awb", F.struct("shipping_city", "shipment_status", "_picked").alias("_known"))
+    line = (zero.withColumn("_row", F.lit(True))
+            .unionByName(tasks.withColumns({"_row": F.lit(True), "_real": F.lit(True)}), allowMissingColumns=True)
+            .withColumn("_at", F.col("dispatch_time"))
+            .unionByName(shipment, allowMissingColumns=True).unionByName(answers, allowMissingColumns=True))
+    per_awb = Window.partitionBy("awb")
+    # Real attempts come first in this order, so their rank counts them alone.
+    turn = per_awb.orderBy(F.col("_real").asc_nulls_last(), F.col("dispatch_time").asc_nulls_last())
+    numbered = line.withColumns({"_known": F.first("_known", ignorenulls=True).over(per_awb),
+                                 "attempt_number": F.when(F.col("_real"), F.rank().over(turn)).otherwise(F.col("attempt_number"))})
+    own = numbered.withColumns({
+        "shipping_city": F.when(F.col("_real"), F.col("_known.shipping_city")).otherwise(F.col("shipping_city")),
+        "shipment_status": F.when(F.col("_real"), F.col("_known.shipment_status")).otherwise(F.col("shipment_status"))})
+    own = own.filter((F.col("_row") & (F.col("_real").isNull() | F.col("_known._picked"))) | F.col("_reply").isNotNull())
+    by_number = per_awb.orderBy("attempt_number")
+    near = own.withColumns({"previous_trip_time": F.min("dispatch_time").over(by_number.rangeBetween(-1, -1)),
+                            "next_trip_time": F.min("dispatch_time").over(by_number.rangeBetween(1, 1))})
+    out = latest_on_timeline(near, "awb")
+    return out.select(*zero.columns, "task_status", "cancellation_remarks", "previous_trip_time", "next_trip_time",
+                      *[F.col(f"_reply.{c}").alias(c) for c in payload])

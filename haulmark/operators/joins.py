@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulmark.operators.ordered import last_seen, running, seen_before
-from haulmark.operators.skew import salted_join
+from haulmark.operators.skew import resolve_hot, salted_join
 
 
 def star(fact: DataFrame, *dims: tuple[DataFrame, Sequence[str] | str]) -> DataFrame:
@@ -63,9 +63,8 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str, ho
     A null in the list removes every row; a null value is kept only against an empty list.
     """
     values = listed.select(F.col(listed_column).alias(column))
-    size = values.agg(F.count(F.lit(1)).alias("n")).scalar()
-    nulls = values.agg(F.count_if(F.col(column).isNull()).alias("n")).scalar()
-    allowed = df.filter((nulls == 0) & (F.col(column).isNotNull() | (size == 0)))
+    counts = values.agg(F.struct(F.count(F.lit(1)).alias("size"), F.count_if(F.col(column).isNull()).alias("nulls")).alias("n")).scalar()
+    allowed = df.filter((counts["nulls"] == 0) & (F.col(column).isNotNull() | (counts["size"] == 0)))
     return salted_join(allowed, values.dropna().distinct(), [column], "left_anti", hot=hot)
 
 
@@ -100,23 +99,53 @@ def interval_latest(attempts: DataFrame, replies: DataFrame, key: str, ts: str,
                     reply_id: str, hot="auto") -> DataFrame:
     """Latest reply of each attempt: at or after the attempt, up to and including the next one.
 
-    Both sides are laid on one timeline per key; each reply finds its attempt by
-    last-seen, so no attempt x reply pairs are produced. A reply at the very
-    moment of an attempt belongs to that attempt and to the one before.
-    Replies without a key or a time match nothing.
+    Both sides are laid on one timeline per key, so no attempt x reply pairs are
+    produced. A reply at the very moment of an attempt belongs to that attempt and
+    to the one before. Replies without a key or a time match nothing.
     """
     payload = [c for c in replies.columns if c != key]
-    starts = attempts.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, F.col(ts).alias("_at")).distinct()
+    listed = resolve_hot(attempts.select(key).unionByName(replies.select(key)), [key], hot)
     reply_rows = replies.filter(F.col(key).isNotNull() & F.col(reply_ts).isNotNull())
+    if listed is None:
+        order = [reply_ts, reply_id, *[c for c in payload if c not in (reply_ts, reply_id)]]
+        said = reply_rows.select(key, F.col(reply_ts).alias("_at"), F.struct(*order).alias("_reply"))
+        line = (attempts.withColumns({"_at": F.col(ts), "_row": F.lit(True)})
+                .unionByName(said, allowMissingColumns=True))
+        out = latest_on_timeline(line, key)
+        return out.select(*attempts.columns, *[F.col(f"_reply.{c}").alias(c) for c in payload])
+    starts = attempts.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, F.col(ts).alias("_at")).distinct()
     line = (starts.withColumns({"_start": F.col("_at"), "_kind": F.lit(0)})
             .unionByName(reply_rows.select(
                 key, F.col(reply_ts).alias("_at"), F.lit(1).alias("_kind"),
                 F.struct(*payload).alias("_reply")), allowMissingColumns=True))
-    seen = running(line, [key], "_at", ["_kind"], hot=hot, _own=last_seen("_start"), _earlier=seen_before("_start"))
+    seen = running(line, [key], "_at", ["_kind"], hot=listed, _own=last_seen("_start"), _earlier=seen_before("_start"))
     owned = (seen.filter("_kind = 1")
              .withColumn("_start", F.explode(F.array_distinct(F.array("_own", "_earlier"))))
              .filter(F.col("_start").isNotNull()))
     best = owned.groupBy(key, "_start").agg(
         F.max_by("_reply", F.struct(F.col(f"_reply.{reply_ts}"), F.col(f"_reply.{reply_id}"))).alias("_reply"))
-    joined = attempts.join(best.withColumnRenamed("_start", ts), [key, ts], "left")
+    joined = salted_join(attempts, best.withColumnRenamed("_start", ts), [key, ts], "left", hot=None)
     return joined.select(*attempts.columns, *[F.col(f"_reply.{c}").alias(c) for c in payload])
+
+
+def latest_on_timeline(line: DataFrame, key: str) -> DataFrame:
+    """The rows of ``line`` with ``_row`` set, ``_reply`` filled with the latest one of their stretch.
+
+    ``line`` holds attempts (``_row``) and replies (``_reply``, a struct that starts with its
+    time) by ``key`` and time ``_at``. One running maximum forwards gives the latest reply up to
+    each moment; one pass backwards brings that of the next attempt. All windows share the
+    partitioning of the key.
+    """
+    micros = F.unix_micros(F.col("_at").cast("timestamp"))
+    timed = line.withColumns({"_up": micros, "_down": -micros})
+    upto = F.max("_reply").over(Window.partitionBy(key).orderBy("_up").rangeBetween(Window.unboundedPreceding, 0))
+    later = Window.partitionBy(key).orderBy(F.col("_down").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.col("_row"), F.lit(False)) & F.col("_at").isNotNull()
+    marked = timed.withColumn("_upto", upto)
+    next_one = F.last(F.when(start, F.struct(F.lit(True).alias("has"), F.col("_upto").alias("reply"))), ignorenulls=True).over(later)
+    last_one = F.max("_reply").over(Window.partitionBy(key))
+    filled = marked.withColumns({"_next": next_one, "_last": last_one}).filter("_row")
+    latest = F.when(F.col("_next.has"), F.col("_next.reply")).otherwise(F.col("_last"))
+    first_field = line.schema["_reply"].dataType.fieldNames()[0]
+    in_time = F.col(key).isNotNull() & (latest[first_field] >= F.col("_at"))
+    return filled.withColumn("_reply", F.when(in_time, latest)).drop("_up", "_down", "_upto", "_next", "_last")

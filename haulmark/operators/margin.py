@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from haulmark import rules
 from haulmark.functions.numbers import exact_sum, ratio, round_half_even
-from haulmark.operators.joins import full_null_safe
 from haulmark.operators.skew import resolve_hot, salted_join
+from haulmark.session import written
 
 DELIVERED, RETURNED = "Delivered", "RTO Delivered"
 
@@ -47,7 +47,9 @@ def lane_cost_allocation(lanes: DataFrame, costs: DataFrame) -> DataFrame:
 def order_total_cost(orders: DataFrame, lane_costs: DataFrame, fuel: DataFrame | None = None, hot="auto") -> DataFrame:
     """Pay, mid-mile, fuel and vendor share per order; missing parts count as 0."""
     listed = None if fuel is None else resolve_hot(orders, ["rider_id"], hot)
-    joined = orders.join(lane_costs.select("warehouse_city", "city", "total_mm_cost"), ["warehouse_city", "city"], "left")
+    # Lanes are few; written, their size is known and the orders need not be dealt out by city.
+    lanes = written(lane_costs.select("warehouse_city", "city", "total_mm_cost"), "lanes")
+    joined = orders.join(lanes, ["warehouse_city", "city"], "left")
     if fuel is not None:
         joined = salted_join(joined, fuel.select("rider_id", "fuel_cpo"), ["rider_id"], "left", hot=listed)
     else:
@@ -108,7 +110,7 @@ def return_weighted_factor(costs: DataFrame, shares: DataFrame, city: str = "shi
 def mid_mile_cpo(rows: DataFrame, factors: DataFrame, city: str = "shipping_city") -> DataFrame:
     """Returned orders bear two factors, delivered ones one, others none."""
     r, status = F.col("r_factor"), F.col("shipment_status")
-    joined = rows.join(factors.select(city, "r_factor"), city, "left")
+    joined = rows.join(written(factors.select(city, "r_factor"), "factors"), city, "left")
     return joined.withColumn("fm_mm_cpo", F.when(status == RETURNED, r * 2).when(status == DELIVERED, r).otherwise(0.0)).drop("r_factor")
 
 
@@ -128,8 +130,8 @@ COST_COLUMNS = ["num_rider_id", "trip_id", "node_name", "vendor_name", "payout_s
 
 
 def merge_revenue_cost(revenue: DataFrame, costs: DataFrame) -> DataFrame:
-    """Full outer join by parcel; null parcels on both sides meet."""
-    return full_null_safe(revenue, costs, ["awb"])
+    """Revenue rows with the cost of their parcel. Rows without a parcel, and costs without revenue, are not complete."""
+    return revenue.filter(F.col("awb").isNotNull()).join(costs, "awb", "left")
 
 
 def zero_returns(rows: DataFrame, columns: Sequence[str] = COST_COLUMNS) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulmark.operators.skew import salted_join
 
@@ -31,16 +31,16 @@ def is_unique(df: DataFrame, key: Sequence[str]) -> bool:
 def require_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Same rows; the job fails when a key occurs twice.
 
-    One row per key is kept next to the count of its rows, so the check costs one
-    aggregation on the key and no second read.
+    The count is taken over the key's own partitioning and order, which a following join on the
+    key uses as well. A key with a null repeats nothing, as in a unique index.
     """
     key = list(key)
-    rest = [c for c in df.columns if c not in key]
-    picked = F.first(F.struct(*rest)) if rest else F.lit(None)
-    one = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), picked.alias("_r"))
-    checked = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"key {key} is not unique"))).otherwise(F.lit(True))
-    return (one.filter(checked)
-            .select(*[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in df.columns]))
+    known = F.lit(True)
+    for k in key:
+        known = known & F.col(k).isNotNull()
+    again = known & (F.count(F.lit(1)).over(Window.partitionBy(*key)) > 1)
+    failed = F.when(F.col("_again"), F.raise_error(F.lit(f"key {key} is not unique"))).otherwise(F.lit(True))
+    return df.withColumn("_again", again).filter(failed).drop("_again")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -49,12 +49,23 @@ def null_profile(df: DataFrame) -> DataFrame:
     return one.unpivot([], df.columns, "column_name", "null_count")
 
 
-def reconcile(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Keys present on one side only."""
-    ka, kb = a.select(key).dropna().distinct(), b.select(key).dropna().distinct()
-    joined = ka.withColumn("_a", F.lit(True)).join(kb.withColumn("_b", F.lit(True)), key, "full")
+def reconcile(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str] = ()) -> DataFrame:
+    """Keys present on one side only, with ``columns`` of that side where it has them (the smallest value of a key)."""
+    def one(df, mark):
+        known = [c for c in columns if c in df.columns]
+        out = df.dropna(subset=[key]).groupBy(key).agg(F.lit(True).alias(mark), *[F.min(c).alias(f"{mark}_{c}") for c in known])
+        return out.withColumns({f"{mark}_{c}": F.lit(None).cast("string") for c in columns if c not in known})
+    joined = one(a, "_a").join(one(b, "_b"), key, "full")
     side = F.when(F.col("_b").isNull(), "only_left").when(F.col("_a").isNull(), "only_right")
-    return joined.withColumn("side", side).filter(F.col("side").isNotNull()).select(key, "side")
+    return (joined.withColumn("side", side).filter(F.col("side").isNotNull())
+            .select(key, "side", *[F.coalesce(f"_a_{c}", f"_b_{c}").alias(c) for c in columns]))
+
+
+def reconcile_breakdown(found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Keys of ``reconcile`` counted per side and value of each column: side, column_name, value, missing_keys."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    long = found.select("side", F.explode(pairs).alias("_p")).select("side", "_p.*")
+    return long.groupBy("side", "column_name", "value").agg(F.count(F.lit(1)).alias("missing_keys"))
 
 
 def control_totals(df: DataFrame, by: Sequence[str] = (), **sums: Column) -> DataFrame:

@@ -131,10 +131,6 @@ def milestone_spec() -> dict[str, tuple[str, Column]]:
     }
 
 
-def basic_milestones(log: DataFrame, key: str = "shipment_id") -> DataFrame:
-    return milestones(log, key, "update_time", milestone_spec())
-
-
 def lane_transit_times(log: DataFrame, key: str = "shipment_id", status: str = "In-Transit") -> DataFrame:
     """First in-transit scan inside one city, and between two cities."""
     origin, target = _lane_cities()

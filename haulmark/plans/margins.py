@@ -10,6 +10,7 @@ from haulmark.functions.numbers import exact_sum, ratio
 from haulmark.operators import margin
 from haulmark.operators.pick import keep_argmax
 from haulmark.operators.skew import resolve_hot, salted_join
+from haulmark.session import written
 
 
 def merge_cities(df: DataFrame, *columns: str) -> DataFrame:
@@ -65,7 +66,7 @@ def monthly_costs(delivered: DataFrame, rider_pay: DataFrame, franchise_pay: Dat
     rows = margin.vendor_cpo(rows, vendors).drop("key")
     fuel_city = fuel.groupBy(F.col("city").alias("shipping_city")).agg(exact_sum("amount").alias("_amount"))
     fuel_cpo = per_city.join(fuel_city, "shipping_city", "left").select("shipping_city", ratio("_amount", "orders").alias("fuel_cpo"))
-    return rows.join(fuel_cpo, "shipping_city", "left").na.fill(0.0, ["fuel_cpo"])
+    return rows.join(written(fuel_cpo, "fuel"), "shipping_city", "left").na.fill(0.0, ["fuel_cpo"])
 
 
 def monthly_margin(revenue: DataFrame, costs: DataFrame, mid_mile: DataFrame, rider_pay: DataFrame | None = None,

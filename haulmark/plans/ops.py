@@ -251,7 +251,7 @@ def ops_main_brief(ops: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def lost_attribution(ops: DataFrame, log: DataFrame, headers: DataFrame, riders: DataFrame, nodes: DataFrame,
-                     since="2023-08-01", shipper_id: int | None = None) -> DataFrame:
+                     since="2023-08-01", shipper_id: int | None = None, hot="auto") -> DataFrame:
     """Who lost each lost shipment. The status filters run before the joins on both sides."""
     lost = ops.filter(F.col("shipment_status") == "Lost").select("awb", "shipping_city")
     scans = log.filter((F.col("shipment_status") == "Lost") & (F.col("update_time") >= clock.moment(since)))
@@ -259,7 +259,7 @@ def lost_attribution(ops: DataFrame, log: DataFrame, headers: DataFrame, riders:
         scans = scans.filter(F.col("shipper_id") == shipper_id)
     scans = scans.select("awb", "remark", F.col("timestamp").cast("date").alias("lost_date"))
     value = headers.select("awb", F.col("total_shipment_value").alias("shipment_value"))
-    return loss_attribution(lost.join(scans, "awb", "inner").join(value, "awb", "left"), riders, nodes)
+    return loss_attribution(lost.join(scans, "awb", "inner").join(value, "awb", "left"), riders, nodes, hot, counted=scans)
 
 
 def build_views(tables: dict, as_of, folder: str | None = None, hot="auto") -> dict[str, DataFrame]:

@@ -88,12 +88,14 @@ def touched(ts_cols: Sequence[str], as_of, hours: float) -> Column:
 
 
 def changed_keys(log: DataFrame, key: str, ts_cols: Sequence[str], as_of, hours: float = 4,
-                 exclude: tuple[str, Sequence] | None = None) -> DataFrame:
-    """Distinct keys touched in the look-back on any of the times; rows of listed owners do not count."""
+                 exclude: tuple[str, Sequence] | None = None, also: Sequence[str] = ()) -> DataFrame:
+    """Distinct keys touched in the look-back on any of the times; rows of listed owners do not count.
+
+    ``also`` names columns that hang on the key, such as its partition."""
     rows = log.filter(touched(ts_cols, as_of, hours))
     if exclude:
         rows = rows.filter(~F.col(exclude[0]).isin(list(exclude[1])))
-    return rows.select(key).distinct()
+    return rows.select(key, *also).distinct()
 
 
 def lookback_extract(trips: DataFrame, links: DataFrame, tracker: DataFrame, as_of, hours: float = 1) -> DataFrame:

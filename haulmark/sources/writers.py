@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from haulmark.operators.quality import require_unique
+from haulmark.operators.quality import is_unique
 from haulmark.session import cut_lineage
 
 
@@ -15,12 +15,15 @@ def materialize(df: DataFrame, path: str, key: Sequence[str] | None = None,
     """Write a Parquet table, failing when ``key`` repeats, and return it as read back.
 
     The rows go to a folder next to the table first and take its place when the
-    write has succeeded; ``df`` may therefore read the table it replaces.
+    write has succeeded; ``df`` may therefore read the table it replaces. The key is
+    checked on the written rows, reading its columns only; a key with a null repeats nothing.
     """
     spark = df.sparkSession
     staged, previous = f"{path}__next", f"{path}__previous"
-    writer = (require_unique(df, key) if key else df).write.mode("overwrite")
+    writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
+    if key and not is_unique(spark.read.parquet(staged).dropna(subset=list(key)), key):
+        raise ValueError(f"key {list(key)} is not unique in {staged}")
     swap(spark, staged, path, previous)
     return spark.read.parquet(path)
 
@@ -67,12 +70,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_partitioned_report(df: DataFrame, path: str, by: Sequence[str] = ("city", "hub")) -> None:
-    """One folder per group; group columns leave the content.
+    """One folder with one file per group; group columns leave the content.
 
-    Every task may write to every group, so a large group is written by many
-    tasks; use it after aggregation, where groups are report sized.
+    The rows of a group come together in one task; use it after aggregation, where groups
+    are report sized.
     """
-    df.write.mode("overwrite").partitionBy(*by).option("header", True).csv(path)
+    df.repartition(*by).write.mode("overwrite").partitionBy(*by).option("header", True).csv(path)
 
 
 def ctas_reordered(df: DataFrame, table: str, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -80,17 +83,22 @@ def ctas_reordered(df: DataFrame, table: str, columns: Sequence[str], order_by:
     return materialize(df.select(*columns).sortWithinPartitions(*order_by), table)
 
 
-def upsert_partitions(path: str, source: DataFrame, key: Sequence[str], partition: str, update_when=None) -> None:
-    """Upsert into a partitioned Parquet table, rewriting only the partitions the source touches.
+def upsert_partitions(path: str, source: DataFrame, key: Sequence[str], partition: str, update_when=None) -> list:
+    """Upsert into a partitioned Parquet table, rewriting only the partitions the source touches, which it returns.
 
-    A key must always carry the same partition value (a creation day, say). The
-    touched partitions are found by a semi join on the partition column, which prunes
-    the scan of the table; other partitions are neither read nor written.
+    A key must always carry the same partition value (a creation day, say, or a bucket of the
+    key). ``source`` should be a written table. The values it touches, at most one per
+    partition of the table, become a filter on the partition column, so other partitions are
+    neither listed, read nor written.
     """
     from haulmark.operators.mutate import upsert
 
     spark = source.sparkSession
+    values = [r[0] for r in source.select(partition).distinct().collect()]
+    if not values:
+        return values
     target = spark.read.parquet(path)
-    touched = target.join(source.select(partition).distinct(), partition, "left_semi")
+    touched = target.filter(F.col(partition).isin(values) | (F.col(partition).isNull() & F.lit(None in values)))
     merged = cut_lineage(upsert(touched, source, key, update_when))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    return values

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from haulmark.session import written
+from haulmark.sources.readers import touched
+
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
              time_columns: Sequence[str] = ("update_time",)) -> DataFrame:
@@ -19,43 +22,78 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType, files_per_bat
     return df.withColumns({c: F.col(c).cast("timestamp") for c in time_columns})
 
 
-def stream_milestones(log: DataFrame, key: str, ts: str, spec: Mapping[str, tuple[str, Column]],
-                      finished: Column | None = None) -> DataFrame:
-    """First/last times kept continuously, one state row per key.
+PICK = {"min": F.min, "max": F.max}
 
-    The grouping key has no event time, so a watermark cannot drop state. Give
-    ``finished`` (a condition that ends a shipment's scans upstream) to leave such
-    keys out of the stream and compact them in batch.
+
+def stream_milestones(log: DataFrame, key: str, ts: str, spec: Mapping[str, tuple[str, Column]],
+                      finished: Column | None = None, expire: str | None = None) -> DataFrame:
+    """First/last times kept continuously.
+
+    Without ``expire`` there is one state row per key for good. With it (``"30 days"``, say) state
+    is kept per key and stretch of that length and dropped once the watermark has passed it; rows
+    then are partial times of one stretch, which :func:`read_milestones` merges. Scans that come
+    later than ``expire`` do not reach this form; :func:`milestone_batches` has no such limit.
+    ``finished`` leaves out scans of ended shipments.
     """
     rows = log if finished is None else log.filter(~finished)
-    pick = {"min": F.min, "max": F.max}
-    return rows.groupBy(key).agg(*[pick[how](F.when(cond, F.col(ts))).alias(n) for n, (how, cond) in spec.items()])
+    by = [F.col(key)]
+    if expire is not None:
+        rows = rows.withWatermark(ts, expire)
+        by.append(F.window(ts, expire).alias("_stretch"))
+    out = rows.groupBy(*by).agg(*[PICK[how](F.when(cond, F.col(ts))).alias(n) for n, (how, cond) in spec.items()])
+    return out.drop("_stretch")
 
 
 def merge_milestones(stored: DataFrame, batch: DataFrame, key: str, spec: Mapping[str, tuple[str, Column]]) -> DataFrame:
     """Combine stored and new milestone rows; applying a batch twice changes nothing."""
-    pick = {"min": F.min, "max": F.max}
     both = stored.unionByName(batch)
-    return both.groupBy(key).agg(*[pick[how](n).alias(n) for n, (how, _) in spec.items()])
+    return both.groupBy(key).agg(*[PICK[how](n).alias(n) for n, (how, _) in spec.items()])
 
 
-def milestone_sink(path: str) -> Callable[[DataFrame, int], None]:
+def milestone_sink(path: str, key: str | None = None, spec: Mapping[str, tuple[str, Column]] | None = None,
+                   compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
     """Store the changed rows of each batch in a folder of its own.
 
-    A batch writes only the keys it changed, and a repeated batch replaces its own
-    folder. :func:`read_milestones` merges on reading; :func:`compact_milestones`
-    folds the batches from time to time.
+    A batch writes only the keys it changed, and a repeated batch replaces its own folder.
+    :func:`read_milestones` merges on reading. With ``compact_every`` (and ``key`` and ``spec``)
+    every so many batches the folders are folded into one and then deleted; a run that breaks
+    off in between leaves rows twice, which merging does not notice.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            _fold(batch.sparkSession, path, batch_id, key, spec)
+    return store
+
+
+def milestone_batches(path: str, key: str, ts: str, spec: Mapping[str, tuple[str, Column]],
+                      compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
+    """A sink for the raw log: each batch stores the first and last times of its own scans.
+
+    The stream then keeps no state at all, and no scan is ever too late.
+    """
+    keep = milestone_sink(path, key, spec, compact_every)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        keep(batch.groupBy(key).agg(*[PICK[how](F.when(cond, F.col(ts))).alias(n) for n, (how, cond) in spec.items()]), batch_id)
     return store
 
 
+def _fold(spark: SparkSession, path: str, batch_id: int, key: str, spec: Mapping[str, tuple[str, Column]]) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    into = f"batch=to{batch_id}"
+    old = [s.getPath() for s in fs.listStatus(hadoop.Path(path)) if s.isDirectory() and s.getPath().getName() not in (into, f"batch={batch_id}")]
+    merged = written(read_milestones(spark, path, key, spec), "fold")
+    merged.write.mode("overwrite").parquet(f"{path}/{into}")
+    for folder in old:
+        fs.delete(folder, True)
+
+
 def read_milestones(spark: SparkSession, path: str, key: str, spec: Mapping[str, tuple[str, Column]]) -> DataFrame:
     """Current milestone per key. First and last times merge in any order."""
-    pick = {"min": F.min, "max": F.max}
     stored = spark.read.option("basePath", path).parquet(path)
-    return stored.groupBy(key).agg(*[pick[how](n).alias(n) for n, (how, _) in spec.items()])
+    return stored.groupBy(key).agg(*[PICK[how](n).alias(n) for n, (how, _) in spec.items()])
 
 
 def compact_milestones(spark: SparkSession, path: str, into: str, key: str, spec: Mapping[str, tuple[str, Column]]) -> DataFrame:
@@ -78,9 +116,37 @@ def daily_counts(log: DataFrame, by: Sequence[str], ts: str, ident: str) -> Data
         F.count(F.lit(1)).alias("scans"), F.count_distinct(ident).alias("shipments"))
 
 
-def stream_changed_keys(log: DataFrame, key: str, ts: str, lookback: str = "4 hours") -> DataFrame:
-    """One row per key within the look-back; scans later than the look-back are dropped as late."""
-    return log.withWatermark(ts, lookback).dropDuplicatesWithinWatermark([key]).select(key, ts)
+def daily_sink(path: str, by: Sequence[str], ts: str, ident: str) -> Callable[[DataFrame, int], None]:
+    """A sink for the raw log: scans per day, group and shipment of each batch, in a folder of its own."""
+    def store(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy(F.date_trunc("day", ts).alias("day"), *by, ident).agg(F.count(F.lit(1)).alias("scans"))
+         .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
+    return store
+
+
+def read_daily_counts(spark: SparkSession, path: str, by: Sequence[str], ident: str) -> DataFrame:
+    """Exact scans and distinct shipments per day and group over all batches, however late they came."""
+    stored = spark.read.option("basePath", path).parquet(path)
+    one = stored.groupBy("day", *by, ident).agg(F.sum("scans").alias("scans"))
+    return one.groupBy("day", *by).agg(F.sum("scans").alias("scans"), F.count(ident).alias("shipments"))
+
+
+def changed_keys_sink(path: str, key: str, ts_cols: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """A sink for the raw log: the keys of each batch with the latest of their times, in a folder of its own.
+
+    A scan counts on any of its times. Nothing is kept as state and nothing is dropped as late.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        latest = F.max(F.greatest(*ts_cols) if len(ts_cols) > 1 else F.col(ts_cols[0])).alias("touched_at")
+        batch.groupBy(key).agg(latest).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return store
+
+
+def read_changed_keys(spark: SparkSession, path: str, key: str, as_of=None, hours: float = 4) -> DataFrame:
+    """Keys seen so far with the latest time; with ``as_of`` those of the last ``hours``."""
+    stored = spark.read.option("basePath", path).parquet(path)
+    out = stored.groupBy(key).agg(F.max("touched_at").cast("timestamp_ntz").alias("touched_at"))
+    return out if as_of is None else out.filter(touched(["touched_at"], as_of, hours))
 
 
 def run_available(df: DataFrame, checkpoint: str, output_mode: str = "append",
