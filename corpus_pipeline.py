@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from haulmark.llm import mixing, near_dup, packing, quality_model, quality_rules, tokens
 from haulmark.llm.common import read, table
+from haulmark.session import named_folder
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +53,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents`` of ``sf_dir``."""
-    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
-    if unset and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="haulmark-"))
+    master = spark.sparkContext.master
+    if not named_folder(spark) and master.startswith("local") and not master.startswith("local-cluster"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="haulmark-"))  # one process: no executors to share with
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = table(stage(spark, docs, sf_dir), name.replace(" ", "-"))

@@ -29,7 +29,7 @@ from haulmark.llm.common import components, ship, table
 #: Posting lists up to this long are compared in one go.
 SHORT = 32
 #: Members of a chunk of a longer list, and of a cluster whose full sets meet; a block holds two chunks.
-LIST_CHUNK, CLUSTER_CHUNK = 256, 128
+LIST_CHUNK, CLUSTER_CHUNK = 2048, 128
 #: Columns of the dense matrices that count shared shingles.
 SLAB = 2048
 EDGES = "a long, b long"

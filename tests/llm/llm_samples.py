@@ -6,6 +6,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from haulmark.session import named_folder
+
 SF = "/root/testdata/sf0.001"
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -13,8 +15,8 @@ WORD = re.compile("[^\x20\x09-\x0d]+")
 @pytest.fixture(scope="session", autouse=True)
 def folder(spark, tmp_path_factory):
     """The folder for written tables, where the session has none."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    if not named_folder(spark):
+        spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
 
 
 def words(text):
