@@ -14,6 +14,7 @@ from haulmark.operators.attempts import COMPLETED, payment_mode
 from haulmark.operators.joins import not_in
 from haulmark.operators.mutate import delete_in, update_where
 from haulmark.operators.shape import with_rows
+from haulmark.session import written
 
 
 def cells() -> list[tuple[str, str, float, str]]:
@@ -105,6 +106,8 @@ def cohort_scorecard(cohort: DataFrame, ranked: DataFrame, closing: bool = False
     Start form: no data is a pass. Closing form: no data is a fail and tours
     without any delivery do not count; ranks are taken before that removal.
     """
+    if closing:  # the ranked attempts are read for the rows, and twice for the list of tours
+        ranked = written(ranked, "ranked")
     rows = not_in(ranked, "tour_id", lost_tours(ranked), "tour_id") if closing else ranked
     fresh, done = F.col("attempt_number") == 1, F.col("status") == COMPLETED
     kind = F.concat_ws("-", clock.slot_of("dispatch_time", "program"), payment_mode())

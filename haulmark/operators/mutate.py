@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from haulmark.operators.quality import require_unique
+from haulmark.operators.skew import salted_join
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], update_when: Column | None = None,
@@ -47,11 +48,11 @@ def updated_rows(df: DataFrame, cond: Column, values: Mapping[str, object]) -> D
     return update_where(df.filter(cond), F.lit(True), values)
 
 
-def update_from(target: DataFrame, source: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def update_from(target: DataFrame, source: DataFrame, key: Sequence[str], columns: Sequence[str], hot="auto") -> DataFrame:
     """Take ``columns`` from the matching source row (one per key), also when it is null there."""
     key = list(key)
     s = require_unique(source.select(*key, *[F.col(c).alias(f"_new_{c}") for c in columns]), key)
-    joined = target.join(s.withColumn("_hit", F.lit(True)), key, "left")
+    joined = salted_join(target, s.withColumn("_hit", F.lit(True)), key, "left", hot=hot)
     return joined.select(*[
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
         for c in target.columns])
@@ -72,10 +73,10 @@ def delete_where(df: DataFrame, cond: Column) -> DataFrame:
     return df.filter(~F.coalesce(cond, F.lit(False)))
 
 
-def delete_in(df: DataFrame, cond: Column, column: str, listed: DataFrame) -> DataFrame:
+def delete_in(df: DataFrame, cond: Column, column: str, listed: DataFrame, hot="auto") -> DataFrame:
     """Delete rows that meet ``cond`` and whose ``column`` is in the list."""
     hit = listed.select(F.col(column).alias(column)).dropna().distinct().withColumn("_hit", F.lit(True))
-    joined = df.join(hit, [column], "left")
+    joined = salted_join(df, hit, [column], "left", hot=hot)
     gone = F.coalesce(cond, F.lit(False)) & F.col("_hit").isNotNull()
     return joined.filter(~gone).select(*df.columns)
 

@@ -37,14 +37,18 @@ def spark_session(app: str = "haulmark", master: str | None = None,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; there is no other."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder the cluster names in ``spark.checkpoint.dir``, or one given to ``setCheckpointDir``; there is no other."""
+    named = named_folder(spark)
     if not named:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return named
 
 
+def named_folder(spark: SparkSession) -> str | None:
+    sc = spark.sparkContext
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
 def new_folder(spark: SparkSession, name: str = "work") -> str:
     """A fresh folder below the shared one."""
     return f"{shared_folder(spark).rstrip('/')}/haulmark-{uuid.uuid4().hex[:12]}-{name}"

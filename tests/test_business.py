@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from haulmark import rules
 from haulmark.functions import clock
 from haulmark.operators import aggregate, attempts, cash, cohort, fulfilment, margin, payout, report, service, tracking
+from haulmark.plans import pay
 
 
 def scans(rows, data):
@@ -222,3 +223,35 @@ def test_ageing_bounds(rows):
                (4, "2024-04-01 00:00:00", "Failed Delivered", "2024-05-30 00:00:00", None), (5, "2024-04-01 00:00:00", "Failed Delivered", "2024-05-31 00:00:00", None)],
               "awb int, pickuptime ts, shipment_status string, delivertime ts, rto_delivered_time ts")
     assert values(service.ageing(df, "2024-05-31", "2024-05-01"), "awb", "age_interval") == [(1, 30), (5, 60)]
+
+
+def test_ledger_has_one_row_per_trip(rows):
+    trips = rows([(1, "a", 7, "COMPLETED", "2024-03-02 10:00:00", 50.0, True, False), (2, "b", 8, "COMPLETED", "2024-03-03 10:00:00", 60.0, False, False),
+                  (3, "c", 9, "COMPLETED", "2024-03-03 10:00:00", 70.0, False, True), (4, "d", 7, "COMPLETED", "2023-01-01 10:00:00", 50.0, True, False)],
+                 "trip_id int, awb string, shipment_id int, status string, dispatch_time ts, cod_amount double, is_collected boolean, is_realized boolean").withColumns({
+                     "completed_at": F.col("dispatch_time"), "rider_id": F.lit(1), "rider_name": F.lit("r"), "hub_name": F.lit("h"), "shipping_city": F.lit("x"),
+                     "reconciled_at": F.col("dispatch_time"), "collected_by": F.lit("a__b__c__d")})
+    lines = rows([(7, 20.0, "cod_amount", 100), (7, 30.0, "cod_amount", None), (7, 9.0, "freight", 100), (9, 70.0, "cod_amount", 101), (9, 1.0, "cod_amount", 102)],
+                 "shipment_id int, amount double, reference_type string, incoming_cash_flow_id int")
+    flows = rows([(100, "2024-03-04 00:00:00"), (101, "2024-03-05 00:00:00"), (102, "2023-11-05 00:00:00")], "id int, created_time ts")
+    for hot in ("auto", 1):
+        out = cash.cod_ledger(trips, lines, flows, "2024-03-10", months=3, hot=hot)
+        assert values(out, "trip_id", "amount", "collected", "deposited", "deposited_on") == [
+            (1, 50.0, 1, 0, "2024-03-04"), (2, 60.0, 0, 0, None), (3, 71.0, 1, 1, "2024-03-05")]
+    assert cash.cod_ledger(trips, lines, flows).count() == 4
+
+
+def test_service_per_due_day_and_intake(rows):
+    df = rows([("x", "a", "2024-01-01 00:00:00", 1, 1, "Delivered", 5.0, "2024-01-01 09:00:00", 4000.0), ("x", "b", "2024-01-01 00:00:00", 0, 1, "Lost", None, "2024-01-01 10:00:00", 100.0),
+               ("x", "c", None, 1, 1, "Delivered", 3.0, None, 100.0)],
+              "city string, awb string, pickup_date ts, otd int, ofd int, shipment_status string, rating double, datetime ts, chargeable_weight double")
+    assert values(service.delivery_by_edd(df, ["city"]), "efd", "otd", "ofd", "delivered", "otd_ratio", "no_ratings", "avg_rating") == [(2, 1, 2, 1, 0.5, 1, 5.0)]
+    assert values(service.intake_by_day(df, ["city"]), "datetime", "drr", "heavy_shipments") == [("2024-01-01 00:00:00", 2, 1)]
+
+
+def test_rider_master_with_overrides(rows):
+    riders = rows([(1, "a", 10, 5, "ORDER"), (2, "b", 11, 6, "FIXED")], "rider_id int, rider_name string, node_id int, vendor_id int, payout_structure string")
+    nodes, vendors = rows([(10, "hub", "x")], "node_id int, node_name string, city string"), rows([(5, "v5"), (6, "v6")], "vendor_id int, vendor_name string")
+    changes = rows([(2, "ORDER", None)], "rider_id int, payout_structure string, vendor_name string")
+    assert values(pay.rider_info(riders, nodes, vendors, changes)) == [(1, "a", "hub", "x", "ORDER", "v5"), (2, "b", None, None, "ORDER", "v6")]
+    assert values(pay.rider_info(riders, nodes, vendors), "payout_structure") == [("FIXED",), ("ORDER",)]

@@ -141,14 +141,107 @@ def test_stream_milestones_equal_batch(spark, tmp_path):
     assert merged.exceptAll(batch).isEmpty()
 
 
-def test_late_scans_are_dropped_on_purpose(spark, tmp_path):
+def test_late_scans_still_count(spark, tmp_path):
+    """The later half of the log comes first; a batch that is repeated changes nothing."""
+    src, keys = f"{tmp_path}/in", f"{tmp_path}/keys"
+    sink = streams.changed_keys_sink(keys, "shipment_id", ["update_time", "received"])
+    for a, b in (("2024-01-15", "2024-02-01"), ("2024-01-01", "2024-01-15")):
+        part = events(spark, a, b).withColumn("received", F.col("update_time") - F.expr("interval '1' hour"))
+        part.coalesce(1).write.mode("append").parquet(src)
+        log = streams.read_log(spark, src, part.schema, time_columns=("update_time", "received"))
+        streams.run_available(log, f"{tmp_path}/cp", each=sink)
+    sink(spark.read.parquet(src).limit(0).unionByName(events(spark, "2024-01-01", "2024-01-15").withColumn("received", F.col("update_time"))), 1)
+    every = events(spark, "2024-01-01", "2024-02-01")
+    assert streams.read_changed_keys(spark, keys, "shipment_id").count() == every.select("shipment_id").distinct().count()
+    recent = streams.read_changed_keys(spark, keys, "shipment_id", "2024-01-30 12:00:00", 24)
+    assert values(recent, "shipment_id") == values(every.filter("update_time >= timestamp_ntz'2024-01-29 12:00:00'").select("shipment_id").distinct())
+
+
+def test_milestones_with_expiry_and_folding(spark, tmp_path):
     src = f"{tmp_path}/in"
-    events(spark, "2024-01-15", "2024-02-01").coalesce(1).write.mode("append").parquet(src)
-    log = streams.read_log(spark, src, spark.read.parquet(src).schema)
-    keys = streams.stream_changed_keys(log, "tracking_id", "update_time", "4 hours")
-    streams.run_available(keys, f"{tmp_path}/cp", path=f"{tmp_path}/keys")
-    first = spark.read.parquet(f"{tmp_path}/keys").count()
-    assert first == events(spark, "2024-01-15", "2024-02-01").count()
-    events(spark, "2024-01-01", "2024-01-10").coalesce(1).write.mode("append").parquet(src)
-    streams.run_available(keys, f"{tmp_path}/cp", path=f"{tmp_path}/keys")
-    assert spark.read.parquet(f"{tmp_path}/keys").count() == first
+    for a, b in (("2024-01-12", "2024-01-20"), ("2024-01-01", "2024-01-12"), ("2024-01-20", "2024-02-01"), ("2024-01-03", "2024-01-04")):
+        events(spark, a, b).coalesce(1).write.mode("append").parquet(src)
+    log = streams.read_log(spark, src, spark.read.parquet(src).schema, files_per_batch=1)
+    batch = streams.stream_milestones(spark.read.parquet(src).withColumn("update_time", F.col("update_time").cast("timestamp")), "shipment_id", "update_time", spec())
+    kept = f"{tmp_path}/state"
+    streams.run_available(streams.stream_milestones(log, "shipment_id", "update_time", spec(), expire="31 days"), f"{tmp_path}/cp1", "update", each=streams.milestone_sink(kept))
+    folded = f"{tmp_path}/folded"
+    sink = streams.milestone_batches(folded, "shipment_id", "update_time", spec(), compact_every=3)
+    streams.run_available(log, f"{tmp_path}/cp2", each=sink)
+    for path in (kept, folded):
+        got = streams.read_milestones(spark, path, "shipment_id", spec())
+        assert got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
+    assert sorted(os.listdir(folded)) == ["batch=2", "batch=3", "batch=to2"]
+    streams._fold(spark, folded, 3, "shipment_id", spec())
+    streams._fold(spark, folded, 3, "shipment_id", spec())
+    assert sorted(os.listdir(folded)) == ["batch=3", "batch=to3"]
+    got = streams.read_milestones(spark, folded, "shipment_id", spec())
+    assert got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
+
+
+def test_expired_state_is_dropped(spark, tmp_path):
+    """A scan later than the stretch allows reaches the batch form, not the state."""
+    src = f"{tmp_path}/in"
+    for a, b in (("2024-01-20", "2024-02-01"), ("2024-01-25", "2024-01-26"), ("2024-01-01", "2024-01-05")):
+        events(spark, a, b).coalesce(1).write.mode("append").parquet(src)
+    log = streams.read_log(spark, src, spark.read.parquet(src).schema, files_per_batch=1)
+    table = f"{tmp_path}/out"
+    streams.run_available(streams.stream_milestones(log, "shipment_id", "update_time", spec(), expire="2 days"), f"{tmp_path}/cp", "update", each=streams.milestone_sink(table))
+    got = streams.read_milestones(spark, table, "shipment_id", spec()).agg(F.min("picked")).first()[0]
+    assert str(got) >= "2024-01-20"
+
+
+def test_refresh_touches_only_changed_partitions(spark, rows, tmp_path):
+    log = rows([(k, f"2024-01-{1 + n:02d} 00:00:00") for k in range(20) for n in range(3)], "k int, at ts")
+    target, store = f"{tmp_path}/t", f"{tmp_path}/log"
+    compute = lambda df: df.groupBy("k").agg(F.max("at").alias("last"))
+    incremental.write_buckets(compute(log), target, "k", 8)
+    more = rows([(3, "2024-01-09 00:00:00"), (99, "2024-01-09 00:00:00")], "k int, at ts")
+    incremental.write_buckets(log.unionByName(more), store, "k", 8)
+    before = {d: sorted(os.listdir(f"{target}/{d}")) for d in os.listdir(target) if d.startswith("bucket")}
+    touched = incremental.refresh_partitions(spark, target, store, compute, "k", ["at"], "2024-01-09 01:00:00", hours=4)
+    expected = {r[0] for r in more.select(incremental.bucket_of("k", 8)).collect()}
+    assert set(touched) == expected
+    after = {d: sorted(os.listdir(f"{target}/{d}")) for d in os.listdir(target) if d.startswith("bucket")}
+    assert {d for d in after if after[d] != before.get(d)} == {f"bucket={b}" for b in expected}
+    assert values(spark.read.parquet(target).select("k", "last")) == values(compute(log.unionByName(more)))
+    assert incremental.refresh_partitions(spark, target, store, compute, "k", ["at"], "2025-01-01", hours=1) == []
+
+
+def test_require_unique_lets_null_keys_repeat(rows):
+    df = rows([(1, "a"), (None, "b"), (None, "c")], "k int, v string")
+    assert quality.require_unique(df, ["k"]).count() == 3
+    with pytest.raises(Exception, match="not unique"):
+        quality.require_unique(df.unionByName(df), ["k"]).collect()
+
+
+def test_reconcile_names_side_and_columns(rows):
+    a = rows([(1, "x", "p"), (1, "y", "p"), (2, "x", "q"), (None, "z", "q")], "k int, s string, c string")
+    found = quality.reconcile(a, rows([(2,), (3,)], "k int"), "k", ["s", "c"])
+    assert values(found) == [(1, "only_left", "x", "p"), (3, "only_right", None, None)]
+    assert values(quality.reconcile_breakdown(found, ["s", "c"])) == [("only_left", "c", "p", 1), ("only_left", "s", "x", 1), ("only_right", "c", None, 1), ("only_right", "s", None, 1)]
+
+
+def test_report_has_one_file_per_group(rows, tmp_path):
+    df = rows([(f"c{i % 3}", f"h{i % 2}", i) for i in range(60)], "city string, hub string, n int").repartition(8)
+    writers.write_partitioned_report(df, f"{tmp_path}/r")
+    counts = [len([f for f in files if f.endswith(".csv")]) for _, _, files in os.walk(f"{tmp_path}/r") if any(f.endswith(".csv") for f in files)]
+    assert counts == [1] * 6
+
+
+def test_refresh_uses_the_shared_folder(spark, rows):
+    built = views.refresh(spark, {"t": rows([(1,), (2,)], "k int")}, {"double": lambda t: t.select((F.col("k") * 2).alias("k"))}, keep=["double"])
+    assert values(built["double"]) == [(2,), (4,)]
+
+
+def test_no_folder_is_made_up(spark, monkeypatch):
+    from haulmark import session
+    assert session.new_folder(spark).startswith(session.named_folder(spark))
+    monkeypatch.setattr(session, "named_folder", lambda _: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(spark)
+
+
+def test_jdbc_options_reach_the_source(spark):
+    with pytest.raises(Exception, match="no.such.Driver"):
+        readers.read_jdbc(spark, {"url": "jdbc:none:db", "driver": "no.such.Driver"}, "orders", "id", (0, 10), 2)
