@@ -22,9 +22,9 @@ from haulmark.llm.common import new_folder, ship, table
 
 LIMIT = 1024
 END_ID = 2
-#: Records in a shard and in a block of a shard.
+#: Records in a shard and in a block of a shard. Blocks are rows of the stored shards, so a batch of them must stay small.
 SHARD_RECORDS = 8192
-BLOCK_RECORDS = 256
+BLOCK_RECORDS = 16
 ROUNDS = 6
 KEY = 20260101
 
@@ -148,8 +148,8 @@ def read_shards(spark: SparkSession, path: str, from_slot: int = 0, limit: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, payload in zip(batch.column("first_slot").to_pylist(), batch.column("payload").to_pylist()):
-                records = np.frombuffer(payload, kind)
+            for first, payload in zip(batch.column("first_slot").to_pylist(), batch.column("payload")):
+                records = np.frombuffer(payload.as_buffer(), kind)
                 slots = first + np.arange(len(records))
                 records, slots = records[slots >= from_slot], slots[slots >= from_slot]
                 ids = [r["ids"][:r["length"]] for r in records]
