@@ -194,11 +194,11 @@ def mix(docs: DataFrame) -> DataFrame:
     Rows alike in all columns are interchangeable and share their copies.
     """
     plain = [c for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
-    marked = docs.withColumn("__row", F.xxhash64(*plain))
     # The id and a hash of the whole row stand for the row while copies are planned.
-    small = sized(docs.withColumn("doc_id", F.struct("doc_id", F.xxhash64(*plain).alias("row"))))
-    of_row = (copies(small).groupBy(F.col("doc_id.row").alias("__row"), F.col("doc_id.doc_id").alias("__id"))
-              .agg(F.sum("copies").cast("int").alias("__copies")).filter(F.col("__copies") > 0))
-    one = marked.dropDuplicates(["__row", "doc_id"])
-    joined = one.join(of_row, (one["__row"] == of_row["__row"]) & one["doc_id"].eqNullSafe(of_row["__id"]))
-    return (joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[one[c] for c in docs.columns]))
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(*plain).alias("hash"))
+    small = sized(docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64(*plain).alias("hash")).alias("doc_id"), "text", "source"))
+    of_row = (copies(small).groupBy(F.col("doc_id.id").alias("of_id"), F.col("doc_id.hash").alias("of_hash"))
+              .agg(F.sum("copies").cast("int").alias("copies")).filter(F.col("copies") > 0))
+    one = marked.dropDuplicates(["id", "hash"])
+    joined = one.join(of_row, (F.col("hash") == F.col("of_hash")) & F.col("id").eqNullSafe(F.col("of_id")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

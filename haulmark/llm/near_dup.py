@@ -371,8 +371,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Of rows that repeat an id one stays; rows without an id stay when no row with an id has their shingles, one per text.
     """
-    kept = linked(docs, **options).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")).distinct()
-    marked = docs.withColumn("__hash", F.xxhash64("text"))
-    one = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__text")), "left_semi")
-    return (one.withColumn("__hash", F.when(F.col("doc_id").isNull(), F.col("__hash")))
-            .dropDuplicates(["doc_id", "__hash"]).drop("__hash"))
+    kept = linked(docs, **options).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    one = marked.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi")
+    return one.withColumn("hash", F.when(F.col("id").isNull(), F.col("hash"))).dropDuplicates(["id", "hash"]).select("row.*")

@@ -61,7 +61,7 @@ def _bucket(k: int, scanned: bool):
         longest = norms[0]
         unit = rows / np.maximum(norms, 1e-300)[:, None]
         lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        out = []
+        asked, near, products = [], [], []
         for qid, v, norm, least in zip(queries["vec_id"], queries["v"], queries["norm"], queries["least"]):
             q = np.asarray(v, np.int64)
             some = np.arange(len(ids))
@@ -93,14 +93,15 @@ def _bucket(k: int, scanned: bool):
             if not scanned and not np.isnan(least):
                 good = scores >= least
                 some, scores = some[good], scores[good]
-            if len(scores) > k and len(np.unique(ids[some])) == len(some):
-                cut = np.partition(scores, len(scores) - k)[len(scores) - k]
-                good = scores >= cut
-                some, scores = some[good], scores[good]
-            best = (pd.DataFrame({"query_id": qid, "vec_id": ids[some], "score": scores})
-                    .sort_values(["score", "vec_id"], ascending=[False, True]).drop_duplicates("vec_id").head(k))
-            out.append(best)
-        return pd.concat(out) if out else none
+            best = np.lexsort((ids[some], ~scores))  # ~ turns the order of longs around
+            _, first = np.unique(ids[some][best], return_index=True)
+            best = best[np.sort(first)[:k]]
+            asked.append(np.full(len(best), qid))
+            near.append(ids[some][best])
+            products.append(scores[best])
+        if not asked:
+            return none
+        return pd.DataFrame({"query_id": np.concatenate(asked), "vec_id": np.concatenate(near), "score": np.concatenate(products)})
     return run
 
 
