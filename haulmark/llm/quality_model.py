@@ -12,6 +12,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +23,11 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from haulmark.llm.common import ship, table
 
-#: Buckets of hashed words and of hashed word shapes.
-WORDS, SHAPES = 3584, 512
-TERMS = WORDS + SHAPES
+#: Buckets of hashed words and of hashed word shapes, and terms of the text's texture: words that repeat the one before, and
+#: lines that repeat an earlier one, as far as they make up the text. Texture weighs so many times the mentions of a word.
+WORDS, SHAPES, TEXTURE = 3584, 510, 2
+TERMS = WORDS + SHAPES + TEXTURE
+TEXTURE_WEIGHT = 4.0
 RANK = 48
 NEIGHBOURS = 25
 #: Labelled texts per class that the model learns from at most.
@@ -56,13 +60,19 @@ def _terms(word: bytes) -> tuple[int, int]:
 
 def term_counts(text: str | None) -> np.ndarray:
     """log(1 + count) of each term of the whole text."""
-    found = Counter(text.encode().split()) if text else {}
-    if not found:
+    raw = text.encode() if text else b""
+    words = raw.split()
+    if not words:
         return np.zeros(TERMS, np.float32)
+    found = Counter(words)
+    lines = [x for x in raw.split(b"\n") if x]
     get = _known.get
     ids = np.array([get(w) or _terms(w) for w in found], np.int64)
     n = np.fromiter(found.values(), np.float64, len(found))
-    return np.log1p(np.bincount(ids.ravel(), np.repeat(n, 2), TERMS)).astype(np.float32)
+    out = np.log1p(np.bincount(ids.ravel(), np.repeat(n, 2), TERMS))
+    again = np.array([sum(map(eq, words, islice(words, 1, None))), len(lines) - len(set(lines))])
+    out[-TEXTURE:] = TEXTURE_WEIGHT * np.log1p(again) * again / (len(words), max(1, len(lines)))
+    return out.astype(np.float32)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:

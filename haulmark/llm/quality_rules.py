@@ -71,6 +71,7 @@ def of_text(text: Column) -> dict[str, Column]:
         "n_lines": F.size(lines).cast("long"),
         "n_dup_lines": let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
         "n_repeat_words": let(words(text), _repeated),
+        "n_stutter": let(words(text), lambda w: F.size(F.filter(w, lambda x, i: x == F.get(w, i + 1))).cast("long")),
         "n_upper": F.length(F.regexp_replace(text, r"\P{Lu}+", "")).cast("long"),
         "n_lower": F.length(F.regexp_replace(text, r"\P{Ll}+", "")).cast("long"),
     }
@@ -81,10 +82,12 @@ BASE = [
     Rule("short", lambda m: m("n_words") < 20),
     Rule("repeated", lambda m: 100 * m("n_repeat_words") > 30 * m("n_words")),
 ]
-#: Thresholds are far from prose: more than one symbol to four words, three lines in ten copied, hardly any lower case.
+#: Thresholds are far from prose: more than one symbol to four words, most lines copied, three words in ten said twice in a
+#: row, more capitals than small letters.
 RULES = [
     Rule("symbols", lambda m: 100 * m("n_symbols") > 25 * m("n_words")),
-    Rule("copied_lines", lambda m: 100 * m("n_dup_lines") > 30 * m("n_lines")),
+    Rule("copied_lines", lambda m: 2 * m("n_dup_lines") > m("n_lines")),
+    Rule("stutter", lambda m: 100 * m("n_stutter") > 30 * m("n_words")),
     Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 25 * m("n_words"))),
     Rule("shouting", lambda m: m("n_upper") > m("n_lower")),
 ]
@@ -176,14 +179,14 @@ covered as (
   select r, sum(least(8, coalesce(n - i, 8)))::bigint as n_repeat_words
   from (select r, i, lead(i) over (partition by r order by i) as n from marked where c > 1) group by r),
 measured as (
-  select doc_id, text, len(w) as n_words, len(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
+  select doc_id, text, w, len(w) as n_words, len(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
          len(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) as n_symbols, len(l) as n_lines,
          len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words
   from base left join covered using (r)),
 judged as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from measured)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not (base_failed or 100 * n_symbols > 25 * n_words or 100 * n_dup_lines > 30 * n_lines
-            or word_chars < 2 * n_words or word_chars > 25 * n_words
+       not (base_failed or 100 * n_symbols > 25 * n_words or 2 * n_dup_lines > n_lines
+            or 100 * len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) > 30 * n_words or word_chars < 2 * n_words or word_chars > 25 * n_words
             or len(regexp_replace(text, '\P{Lu}+', '', 'g')) > len(regexp_replace(text, '\P{Ll}+', '', 'g'))) as kept
 from judged
 """
