@@ -24,7 +24,10 @@ NO_CLASS = frozenset("ad ads adv advert adverts advertisement advertising adsens
                      "navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer foot masthead topbar cookie cookies consent gdpr notice "
                      "notices notification popup modal overlay newsletter subscribe subscription signup share sharing social related recommended "
                      "recommendations comment comments commentlist disqus discussion reply replies respond pagination pager search searchbox login "
-                     "toolbar widget widgets skip alert alerts paywall feedback copyright".split())
+                     "toolbar widget widgets skip alert alerts paywall feedback copyright subnav topnav sidenav megamenu popover lightbox "
+                     "disclaimer leaderboard skyscraper".split())
+#: First words of class names that say how a page is laid out, not what a branch is.
+LAYOUT = frozenset("has with no without is hide show".split())
 MAIN_CLASS = frozenset("article articlebody post entry story content maincontent main".split())
 #: Elements without main text of their own that may yet be wrapped around an article.
 WRAPPERS = frozenset("nav form header fieldset".split())
@@ -37,6 +40,16 @@ _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ARTICLE, MAIN, NAMED, ANY = 3, 2, 1, 0
 
 
+def _words(*names: str | None) -> list[str]:
+    """The words of class names and ids, and neighbours run together, so that side-bar and sideBar read as sidebar."""
+    out = []
+    for name in " ".join(n for n in names if n).split():
+        found = [w.lower() for w in _WORD.findall(name)]
+        if found and found[0] not in LAYOUT:
+            out += found + [a + b for a, b in zip(found, found[1:])]
+    return out
+
+
 class _Element:
     __slots__ = ("tag", "path", "dropped", "level", "inline", "by_name", "children")
 
@@ -103,8 +116,7 @@ class _Reader(HTMLParser):
             self.flush()
         parent = self.open[-1]
         named = dict(attrs)
-        names = (named.get("class") or "") + " " + (named.get("id") or "")
-        words = [w.lower() for w in _WORD.findall(names)] if names != " " else []
+        words = _words(named.get("class"), named.get("id"))
         label = tag + ("." + _DIGITS.sub("", "-".join(words[:3])) if words else "")
         up = next(e for e in reversed(self.open) if not e.inline)
         path = up.path if inline else f"{up.path}/{label}"

@@ -30,6 +30,7 @@ def kept(html):
     ("<div hidden>no</div><div style='display: none'>no</div><div role='dialog'>no</div><div aria-hidden=true>no</div><p>yes</p>", ["yes"]),
     ("<header>site</header><article><header><h1>T</h1></header>x</article>", ["T", "x"]),
     ("<div class='cookieNotice'>no</div><div id='site-sidebar2'>no</div><div class='post-content'>yes</div><div>else</div>", ["yes"]),
+    ("<div class='has-sidebar with-comments'><p>yes</p></div><div class='side-bar'>no</div><div id='sideBar'>no</div>", ["yes"]),
     ("<p>a<script>x</script>b <span class='ad'>no</span>c</p>", ["ab c"]), ("<article><p>open", ["open"]), ("</div></p><p>x</b></p>", ["x"]),
 ])
 def test_blocks(html, expected):
