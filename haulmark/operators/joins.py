@@ -37,16 +37,24 @@ def on_cast(left: DataFrame, right: DataFrame, left_key: str, right_key: str, to
 
 
 def full_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Full outer join where a null key matches a null key."""
-    cond = None
-    for k in on:
-        c = F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-        cond = c if cond is None else cond & c
-    joined = left.alias("l").join(right.alias("r"), cond, "full")
-    keys = [F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in on]
-    rest = [F.col(f"l.{c}") for c in left.columns if c not in on]
-    rest += [F.col(f"r.{c}") for c in right.columns if c not in on]
-    return joined.select(*keys, *rest)
+    """Full outer join where a null key matches a null key.
+
+    Written as a left join plus the right rows without a match: a full outer join is never
+    split by the engine, whereas a hot key on the left of a left join is.
+    """
+    def matches(r):
+        cond = None
+        for i, k in enumerate(on):
+            c = F.col(k).eqNullSafe(r[f"_r{i}"])
+            cond = c if cond is None else cond & c
+        return cond
+
+    rest = [c for c in right.columns if c not in on]
+    r = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(on)], *[F.col(c).alias(f"_v{i}") for i, c in enumerate(rest)])
+    both = left.join(r, matches(r), "left").select(*on, *[c for c in left.columns if c not in on], *[F.col(f"_v{i}").alias(c) for i, c in enumerate(rest)])
+    seen = left.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(on)]).distinct()
+    alone = right.join(seen, matches(seen), "left_anti").select(*on, *rest)
+    return both.unionByName(alone, allowMissingColumns=True)
 
 
 def semi(df: DataFrame, keep: DataFrame, on: Sequence[str], hot=None) -> DataFrame:
