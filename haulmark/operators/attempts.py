@@ -13,6 +13,7 @@ from haulmark.operators.joins import interval_latest, latest_on_timeline, neighb
 from haulmark.operators.ordered import rank, running
 from haulmark.operators.sets import union_all
 from haulmark.operators.skew import resolve_hot
+from haulmark.session import written
 
 COMPLETED, CANCELLED = "COMPLETED", "CANCELLED"
 
@@ -147,6 +148,8 @@ def attempt_timeline(shipments: DataFrame, attempts: DataFrame, replies: DataFra
     picked = shipments.filter(F.col("pickuptime").isNotNull() & F.col("awb").isNotNull())
     if created_since is not None:
         picked = picked.filter(F.col("created_date") >= clock.moment(created_since))
+    # Written, the few hubs have a known size, and neither shipments nor attempts are dealt out by hub.
+    nodes = written(nodes.select("node_name", "sort_codes", "home_base_id"), "hubs")
     hubs = nodes.select(text.part("sort_codes", "/", 2).alias("last_mile_hub"), "node_name").filter(
         F.col("node_name").isNotNull() & ~F.col("node_name").isin(list(test_hubs)))
     zero = attempt_promise(picked.withColumnRenamed("pickuptime", "dispatch_time")).join(hubs, "last_mile_hub", "inner").select(

@@ -12,6 +12,7 @@ from haulmark.functions.numbers import chargeable_weight, exact_sum, int_ratio,
 from haulmark.operators.attempts import COMPLETED, attempt_rank
 from haulmark.operators.pick import max_dims
 from haulmark.operators.service import PENDING, action_bucket, action_date, hub_grid, on_time_known
+from haulmark.session import written
 
 BY = ["shipping_city", "last_mile_hub"]
 OPS_COLUMNS = ["awb", "shipment_id", "shipping_city", "last_mile_hub", "user_name", "shipment_status", "shipping_partner",
@@ -31,8 +32,10 @@ def shipment_base(ops: DataFrame, events: DataFrame, headers: DataFrame, weights
     rows = ops.select(*OPS_COLUMNS).filter((F.col("shipping_partner") == rules.OWN_CARRIER) & F.col("shipping_city").isNotNull())
     if months is not None:
         rows = rows.filter(F.col("created_date") >= clock.months_before(clock.month(now), months))
-    hubs = nodes.select(text.part("sort_codes", "/", 2).alias("last_mile_hub"), "node_name")
-    rows = rows.join(hubs.filter(~F.col("node_name").isin(list(excluded_hubs))), "last_mile_hub", "inner")
+    # Written, the few hubs have a known size, and the shipments are not dealt out by hub.
+    hubs = written(nodes.select(text.part("sort_codes", "/", 2).alias("last_mile_hub"), "node_name")
+                   .filter(~F.col("node_name").isin(list(excluded_hubs))), "hubs")
+    rows = rows.join(hubs, "last_mile_hub", "inner")
     e = events.select("shipment_id", "last_ofd", "lost_mark_time",
                       F.col("rto_freeze_time").cast("date").alias("rto_freeze_date"), F.col("rto_ofd_time").cast("date").alias("rto_ofd_date"))
     dims = max_dims(weights).withColumnRenamed("shipment_awb", "awb")
@@ -102,8 +105,8 @@ def attempt_metrics(tasks: DataFrame, nodes: DataFrame, trips: DataFrame, as_of,
     rows = tasks.filter(F.col("dispatch_time").isNotNull())
     if months is not None:
         rows = rows.filter(F.col("dispatch_time") >= clock.months_before(clock.moment(as_of), months, days))
-    hubs = nodes.select(F.col("home_base_id").alias("location_id"), F.col("node_name").alias("last_mile_hub"),
-                        lookup.decode("city_name", rules.CITY_CODES, F.col("city_name")).alias("shipping_city"))
+    hubs = written(nodes.select(F.col("home_base_id").alias("location_id"), F.col("node_name").alias("last_mile_hub"),
+                                lookup.decode("city_name", rules.CITY_CODES, F.col("city_name")).alias("shipping_city")), "hubs")
     paid = trips.select("task_id", "collected_by", F.col("cod_amount").alias("_paid"))
     return _attempt_figures(attempt_rank(rows, hot=hot).join(hubs, "location_id", "left").join(paid, "task_id", "left"))
 
