@@ -375,3 +375,26 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
     one = marked.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi")
     return one.withColumn("hash", F.when(F.col("id").isNull(), F.col("hash"))).dropDuplicates(["id", "hash"]).select("row.*")
+
+
+def brute_sql(width: int = 2, percent: int = 80) -> str:
+    """DuckDB SQL for ``near_duplicates``: all pairs that share a shingle, and the closure of their links.
+
+    Meant for small tables with unique ids.
+    """
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    run = " || ' ' || ".join(f"w[i + {k}]" for k in range(width))
+    return f"""
+with recursive base as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) >= {width} then list_distinct(list_transform(range(1, len(w) - {width - 2}), lambda i: {run}))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from base),
+posts as (select doc_id, len(s) as n, unnest(s) as t from sets),
+pairs as (select a.doc_id as x, b.doc_id as y, a.n as nx, b.n as ny, count(*) as c from posts a join posts b on a.t = b.t and a.doc_id < b.doc_id group by all),
+links as (select x, y from pairs where 100 * c >= {percent} * (nx + ny - c)),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (select doc_id, doc_id as other from sets union select r.doc_id, b.y from reach r join both_ways b on b.x = r.other),
+named as (select doc_id, min(other) as component_id from reach group by 1)
+select doc_id, len(s) as n_shingles, component_id, doc_id = component_id as kept from sets join named using (doc_id)
+"""

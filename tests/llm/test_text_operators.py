@@ -13,7 +13,7 @@ from haulmark.llm import chat, mixing, packing, quality_model, quality_rules, sh
 
 def duck(sql):
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "conversations"):
+    for name in ("documents", "embeddings", "conversations", "pages"):
         con.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
     cursor = con.execute(sql)
     return [d[0] for d in cursor.description], cursor.fetchall()
