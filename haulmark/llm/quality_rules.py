@@ -20,8 +20,9 @@ from haulmark.llm.common import GAP, let
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-#: Rows of the sample that ``plan`` takes from the first partitions.
-SAMPLE_ROWS = 256
+#: Rows of the sample that ``plan`` takes from the first partitions, and bytes of a text it may hold: what reaches the driver
+#: is bounded by their product. The rules themselves read all texts, whole.
+SAMPLE_ROWS, SAMPLE_BYTES = 256, 65_536
 
 Metrics = Callable[[str], Column]
 
@@ -94,9 +95,10 @@ RULES = [
 
 
 def plan(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """``rules`` in the order of rejections per second on a sample of at most ``sample_rows`` texts."""
+    """``rules`` in the order of rejections per second on a sample of at most ``sample_rows`` texts of bounded size."""
     spark = docs.sparkSession
-    taken = docs.select("text").limit(sample_rows).collect()  # reads only as many partitions as it needs
+    short = F.octet_length(F.coalesce("text", F.lit(""))) <= SAMPLE_BYTES
+    taken = docs.select("text").filter(short).limit(sample_rows).collect()  # reads only as many partitions as it needs
     if not taken:
         return list(rules)
     sample = spark.createDataFrame(taken, "text string").coalesce(1)
