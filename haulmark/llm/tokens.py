@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Callable
 
@@ -11,6 +12,9 @@ import numpy as np
 #: Fixed values of the byte-level scheme: its splitting pattern, and the bytes that stand for themselves.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: White-space runs from this many characters on are left to ``tokenizers``: ``tiktoken`` fails on runs of a million.
+LONG_RUN = 10_000
+_RUNS = re.compile(r"\s\s+")
 
 _encoders: dict[str, Callable[[str], list[int]]] = {}
 
@@ -25,7 +29,8 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     """Text to ids without special tokens, whose strings count as ordinary text. Loaded once per worker.
 
     Where the file's ids follow its merges, as in all files of this scheme, the ids come from the same vocabulary as ranks,
-    which is four times as fast as reading the file with ``tokenizers``; any other file is read with ``tokenizers``.
+    which is four times as fast as reading the file with ``tokenizers``; any other file, and any text with a white-space run
+    of ``LONG_RUN``, is read with ``tokenizers``.
     """
     if path not in _encoders:
         _encoders[path] = _ranked(path) or _plain(path)
@@ -56,7 +61,21 @@ def _ranked(path: str):
     others = [b for b in range(256) if b not in set(PRINTABLE)]
     to_byte = {chr(b): b for b in PRINTABLE} | {chr(256 + i): b for i, b in enumerate(others)}
     ranks = {bytes(to_byte[c] for c in token): i for token, i in vocab.items()}
-    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    slow: list[Callable[[str], list[int]]] = []  # loaded when a text needs it
+
+    def encode(text: str) -> list[int]:
+        if not _long_run(text):
+            return fast(text)
+        if not slow:
+            slow.append(_plain(path))
+        return slow[0](text)
+
+    return encode
+
+
+def _long_run(text: str) -> bool:
+    return len(text) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in _RUNS.finditer(text))
 
 
 def pieces(n: int, limit: int) -> list[tuple[int, int]]:

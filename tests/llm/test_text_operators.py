@@ -180,6 +180,23 @@ def test_ids_equal_the_tokenizer(plain):
     assert all(encode(t) == plain(t) for t in texts)
 
 
+def test_long_white_space(spark, folder, plain, tmp_path):  # noqa: F811
+    rows = [(1, " " * 2_000_000), (2, "\n" * 2_000_000), (3, "a" + " \n" * 1_000_000 + "b"), (4, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = cut(rows, plain, 1024)
+    check_packed(packing.packed_documents(docs, tokens.default_path()).collect(), expected, 1024)
+    path = str(tmp_path / "shards")
+    assert training_order.write_shards(docs, path, tokens.default_path()) == len(expected)
+    out = training_order.read_shards(spark, path).collect()
+    assert sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in out) == sorted((d, i, x, c) for d, i, _, x, c in expected)
+
+
+@pytest.mark.parametrize("n", [tokens.LONG_RUN - 1, tokens.LONG_RUN, tokens.LONG_RUN + 1])
+def test_ids_around_the_long_run(plain, n):
+    encode = tokens.encoder(tokens.default_path())
+    assert all(encode(t) == plain(t) for t in (f"a{c * n}b{c * n}" for c in " \n\t\u2003\x1f"))
+
+
 def check_packed(out, expected, capacity):
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out), key=repr) == sorted(expected, key=repr)
     placed = defaultdict(list)
