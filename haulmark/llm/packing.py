@@ -21,9 +21,9 @@ END_ID = 2
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _cut(path: str, limit: int, end_id: int, with_ids: bool):
+def _cut(path: str, limit: int, end_id: int, with_ids: bool, ordinary: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path)
+        encode = tokens.encoder(path, ordinary)
         for batch in batches:
             rows: list[tuple] = []
             kept = []
@@ -45,13 +45,15 @@ def _cut(path: str, limit: int, end_id: int, with_ids: bool):
     return run
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, limit: int = 1024, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def cut_documents(docs: DataFrame, tokenizer: str, limit: int = 1024, end_id: int = END_ID, with_ids: bool = False,
+                  ordinary: bool = False) -> DataFrame:
     """Pieces of at most ``limit`` tokens of ``docs`` (doc_id, text), each document closed by ``end_id``.
 
     Columns: doc_id, piece, start, length, ids_crc32 and, if asked for, ids. A null text is empty: the end token alone.
+    A string of a special token is that token, or with ``ordinary`` text like any other.
     """
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_cut(tokenizer, limit, end_id, with_ids), PIECE + (", ids array<int>" if with_ids else ""))
+    return docs.select("doc_id", "text").mapInArrow(_cut(tokenizer, limit, end_id, with_ids, ordinary), PIECE + (", ids array<int>" if with_ids else ""))
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int, int]]]]:
@@ -129,7 +131,7 @@ def assemble(packed: DataFrame) -> DataFrame:
         "sequence_id", F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids"), F.transform("p", lambda x: x["offset"]).alias("doc_starts"))
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024) -> DataFrame:
+def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, ordinary: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of ``docs``."""
-    cut = table(cut_documents(docs, tokenizer, capacity), "pieces")
+    cut = table(cut_documents(docs, tokenizer, capacity, ordinary=ordinary), "pieces")
     return pack(cut, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

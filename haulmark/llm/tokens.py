@@ -16,7 +16,7 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 LONG_RUN = 10_000
 _RUNS = re.compile(r"\s\s+")
 
-_encoders: dict[str, Callable[[str], list[int]]] = {}
+_encoders: dict[tuple[str, bool], Callable[[str], list[int]]] = {}
 
 
 def default_path() -> str:
@@ -25,27 +25,28 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str) -> Callable[[str], list[int]]:
-    """Text to ids without special tokens, whose strings count as ordinary text. Loaded once per worker.
+def encoder(path: str, ordinary: bool = True) -> Callable[[str], list[int]]:
+    """Text to ids, nothing added. Loaded once per worker.
 
-    Where the file's ids follow its merges, as in all files of this scheme, the ids come from the same vocabulary as ranks,
-    which is four times as fast as reading the file with ``tokenizers``; any other file, and any text with a white-space run
-    of ``LONG_RUN``, is read with ``tokenizers``.
+    Strings of the file's special tokens get the ids of those tokens, or those of ordinary text if ``ordinary``. Where the
+    file's ids follow its merges, as in all files of this scheme, the ids come from the same vocabulary as ranks, which is four
+    times as fast as reading the file with ``tokenizers``; any other file, any text with a white-space run of ``LONG_RUN`` and
+    any text that holds an added token is read with ``tokenizers``.
     """
-    if path not in _encoders:
-        _encoders[path] = _ranked(path) or _plain(path)
-    return _encoders[path]
+    if (path, ordinary) not in _encoders:
+        _encoders[path, ordinary] = _ranked(path, ordinary) or _plain(path, ordinary)
+    return _encoders[path, ordinary]
 
 
-def _plain(path: str):
+def _plain(path: str, ordinary: bool):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = ordinary
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def _ranked(path: str):
+def _ranked(path: str, ordinary: bool):
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     model, before = spec["model"], spec.get("pre_tokenizer") or {}
@@ -62,13 +63,14 @@ def _ranked(path: str):
     to_byte = {chr(b): b for b in PRINTABLE} | {chr(256 + i): b for i, b in enumerate(others)}
     ranks = {bytes(to_byte[c] for c in token): i for token, i in vocab.items()}
     fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    added = [t["content"] for t in spec.get("added_tokens") or [] if not (ordinary and t.get("special"))]
     slow: list[Callable[[str], list[int]]] = []  # loaded when a text needs it
 
     def encode(text: str) -> list[int]:
-        if not _long_run(text):
+        if not _long_run(text) and not any(t in text for t in added):
             return fast(text)
         if not slow:
-            slow.append(_plain(path))
+            slow.append(_plain(path, ordinary))
         return slow[0](text)
 
     return encode

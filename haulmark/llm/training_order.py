@@ -58,9 +58,9 @@ def permute(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _sequences(path: str, limit: int, end_id: int, ids_type: str):
+def _sequences(path: str, limit: int, end_id: int, ids_type: str, ordinary: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seen = tokens.encoder(path), TaskContext.get().partitionId(), 0
+        encode, part, seen = tokens.encoder(path, ordinary), TaskContext.get().partitionId(), 0
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -103,12 +103,14 @@ def _blocks(limit: int, ids_type: str, shard_records: int, block_records: int):
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, limit: int = LIMIT, end_id: int = END_ID, key: int = KEY,
-                 ids_type: str = "<u2", shard_records: int = SHARD_RECORDS, block_records: int = BLOCK_RECORDS) -> int:
+                 ids_type: str = "<u2", shard_records: int = SHARD_RECORDS, block_records: int = BLOCK_RECORDS,
+                 ordinary: bool = False) -> int:
     """Tokenise ``docs`` (doc_id, text), permute the sequences and write shards below ``path``; gives their number.
 
     A document is its ids and ``end_id``, cut into sequences of ``limit`` ids of which only the first may be shorter. A null
     text is empty, a null doc_id is kept as such, repeated rows are sequences of their own, other columns are ignored, and an
-    empty table writes an empty folder. ``ids_type`` must hold the vocabulary. Numbers follow the splits of the input, so
+    empty table writes an empty folder. A string of a special token is that token, or with ``ordinary`` text like any other.
+    ``ids_type`` must hold the vocabulary. Numbers follow the splits of the input, so
     the same files and split size give the same slots; ``key`` alone chooses the permutation.
     """
     if shard_records % block_records:
@@ -116,7 +118,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, limit: int = LIMIT,
     spark = docs.sparkSession
     ship(spark)
     found = table(docs.select("doc_id", "text").mapInArrow(
-        _sequences(tokenizer, limit, end_id, ids_type), "part int, pos long, doc_id long, piece int, length int, ids binary"), "sequences")
+        _sequences(tokenizer, limit, end_id, ids_type, ordinary), "part int, pos long, doc_id long, piece int, length int, ids binary"), "sequences")
     counts = sorted(found.groupBy("part").agg(F.count("*").alias("n")).collect())  # one row per input split
     firsts, n = [], 0
     for r in counts:

@@ -197,6 +197,28 @@ def test_ids_around_the_long_run(plain, n):
     assert all(encode(t) == plain(t) for t in (f"a{c * n}b{c * n}" for c in " \n\t\u2003\x1f"))
 
 
+@pytest.mark.parametrize("ordinary", [False, True])
+def test_special_tokens(spark, folder, tmp_path, ordinary):  # noqa: F811
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokens.default_path())
+    tokenizer.encode_special_tokens = ordinary
+
+    def ids(text):
+        return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+    assert (50256 in ids("a<|endoftext|>b")) != ordinary
+    rows = [(1, "a<|endoftext|>b"), (2, "<|endoftext|>"), (3, "x  <|endoftext|>  <|endoftext|>\n\ny <|endoftext|"), (4, "plain"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = cut(rows, ids, 8)
+    options = {"ordinary": True} if ordinary else {}
+    check_packed(packing.packed_documents(docs, tokens.default_path(), 8, **options).collect(), expected, 8)
+    path = str(tmp_path / "shards")
+    training_order.write_shards(docs, path, tokens.default_path(), limit=8, **options)
+    out = training_order.read_shards(spark, path, limit=8).collect()
+    assert sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in out) == sorted((d, i, x, c) for d, i, _, x, c in expected)
+
+
 def check_packed(out, expected, capacity):
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out), key=repr) == sorted(expected, key=repr)
     placed = defaultdict(list)
