@@ -26,6 +26,13 @@ NO_CLASS = frozenset("ad ads adv advert adverts advertisement advertising adsens
                      "recommendations comment comments commentlist disqus discussion reply replies respond pagination pager search searchbox login "
                      "toolbar widget widgets skip alert alerts paywall feedback copyright subnav topnav sidenav megamenu popover lightbox "
                      "disclaimer leaderboard skyscraper".split())
+#: Outside of the article a header is the site's.
+OUTSIDE = NO_CLASS | {"header"}
+#: Words that say nothing beside a word of that list: sidebar-primary is a sidebar, content-sidebar-wrap need not be one.
+NEUTRAL = frozenset("area bar block box bottom btn button buttons col column container group inner item items left link links list outer page post posts "
+                    "primary right secondary section site thread top wrap wrapper".split())
+#: Elements in which an article's own text flows: inside an article no name takes them out.
+FLOW = frozenset("h1 h2 h3 h4 h5 h6 p li td th dt dd blockquote section pre figure figcaption".split())
 #: First words of class names that say how a page is laid out, not what a branch is.
 LAYOUT = frozenset("has with no without is hide show".split())
 MAIN_CLASS = frozenset("article articlebody post entry story content maincontent main".split())
@@ -36,8 +43,10 @@ _DIGITS = re.compile(r"\d+")
 _BLANK = re.compile(r"\s+")
 _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
-#: How surely a branch is the article: an article element, a main element, a class that says so, or nothing.
-ARTICLE, MAIN, NAMED, ANY = 3, 2, 1, 0
+#: How surely a branch is the article: an article element, a main element, either of them in a branch that its name would take
+#: out, a class that says so, nothing, or a name that takes the branch out. Only the surest blocks of a page are kept.
+ARTICLE, MAIN, NAMED, ANY, OUT = 5, 4, 1, 0, -1
+HELD = 2
 
 
 def _words(*names: str | None) -> list[str]:
@@ -50,11 +59,27 @@ def _words(*names: str | None) -> list[str]:
     return out
 
 
+def _out(out_words: frozenset[str], *names: str | None) -> bool | None:
+    """True where a class or id says no more than that a branch is not main text, None where it says so among other words."""
+    doubt = False
+    for name in " ".join(n for n in names if n).split():
+        found = [w.lower() for w in _WORD.findall(name)]
+        if not found or found[0] in LAYOUT:
+            continue
+        listed = {i for i, w in enumerate(found) if w in out_words}
+        listed |= {j for i, (a, b) in enumerate(zip(found, found[1:])) if a + b in out_words for j in (i, i + 1)}
+        if listed:
+            if all(i in listed or w in NEUTRAL or w.isdigit() for i, w in enumerate(found)):
+                return True
+            doubt = True
+    return None if doubt else False
+
+
 class _Element:
-    __slots__ = ("tag", "path", "dropped", "level", "inline", "by_name", "children")
+    __slots__ = ("tag", "path", "dropped", "level", "inline", "held", "children")
 
-    def __init__(self, tag, path, dropped, level, inline, by_name):
-        self.tag, self.path, self.dropped, self.level, self.inline, self.by_name = tag, path, dropped, level, inline, by_name
+    def __init__(self, tag, path, dropped, level, inline, held):
+        self.tag, self.path, self.dropped, self.level, self.inline, self.held = tag, path, dropped, level, inline, held
         self.children: list[str] = []
 
 
@@ -73,9 +98,9 @@ class _Reader(HTMLParser):
             text = _BLANK.sub(" ", "".join(self.text)).strip()
             self.text = []
             if text:
-                at = next(e for e in reversed(self.open) if not e.inline)
+                at = self.block()
                 if not at.dropped:
-                    self.blocks.append((at.path, max(e.level for e in self.open), text))
+                    self.blocks.append((at.path, at.level, text))
 
     def close_to(self, i):
         if any(not e.inline for e in self.open[i:]):
@@ -116,32 +141,43 @@ class _Reader(HTMLParser):
             self.flush()
         parent = self.open[-1]
         named = dict(attrs)
-        words = _words(named.get("class"), named.get("id"))
-        label = tag + ("." + _DIGITS.sub("", "-".join(words[:3])) if words else "")
-        up = next(e for e in reversed(self.open) if not e.inline)
-        path = up.path if inline else f"{up.path}/{label}"
+        names = named.get("class"), named.get("id")
+        words = _words(*names)
         level = self._level(tag, named, words)
-        dropped = self._dropped(tag, named, words)
+        # No name takes out the article, what it flows in, or the page.
+        out = False
+        if words and level < MAIN and tag not in ("html", "body") and not (parent.level > ANY and tag in FLOW):
+            out = _out(NO_CLASS if parent.level > ANY else OUTSIDE, *names)
+        # The mark leaves a branch to its entropy, with a higher bar.
+        label = tag + ("." + _DIGITS.sub("", "-".join(words[:3])) if words else "") + ("?" if out is None else "")
+        up = self.block()
+        path = up.path if inline else f"{up.path}/{label}"
+        dropped, held = self._dropped(tag, named), parent.held or out is True
         if parent.dropped and not dropped:
             # An article stays the article where an unclosed menu, a page-wide form or a header holds it.
             outer = [e.tag for e, above in zip(self.open[1:], self.open) if e.dropped and not above.dropped]
-            dropped = not (level >= MAIN and outer[-1] in WRAPPERS and not parent.by_name)
+            dropped = not (level >= MAIN and outer[-1] in WRAPPERS)
+        if dropped:
+            level = parent.level
+        elif level >= MAIN:
+            level = max(parent.level, level - HELD if held else level)
+        elif out is True or parent.level == OUT:
+            level = OUT
+        else:
+            level = max(parent.level, level)
         if not inline:
             up.children.append(label)
-        self.open.append(_Element(tag, path, dropped, ANY if dropped else level, inline, parent.by_name or self._by_name(tag, words)))
+        self.open.append(_Element(tag, path, dropped, level, inline, held))
+
+    def block(self) -> _Element:
+        return next(e for e in reversed(self.open) if not e.inline)
 
-    def _dropped(self, tag, named, words) -> bool:
+    def _dropped(self, tag, named) -> bool:
         if tag in NO_TEXT or "hidden" in named or (named.get("aria-hidden") or "").lower() == "true":
             return True
         if (named.get("role") or "").lower() in NO_ROLE or _INVISIBLE.search(named.get("style") or ""):
             return True
-        if (tag == "header" or "header" in words) and not any(e.level for e in self.open):
-            return True
-        return self._by_name(tag, words)
-
-    @staticmethod
-    def _by_name(tag, words) -> bool:
-        return bool(words) and tag not in ("html", "body", "main") and not NO_CLASS.isdisjoint(words)
+        return tag == "header" and self.open[-1].level <= ANY
 
     @staticmethod
     def _level(tag, named, words) -> int:
@@ -162,7 +198,8 @@ class _Reader(HTMLParser):
             self.flush()
 
     def handle_data(self, data):
-        if not self.open[-1].dropped:
+        e = self.open[-1]
+        if not e.dropped and not (e.inline and e.level == OUT and self.block().level > OUT):
             self.text.append(data)
 
 

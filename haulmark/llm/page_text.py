@@ -3,7 +3,7 @@
 Every page becomes a tree of blocks. Pages of one host are merged: for each branch of the merged tree the entropy of its
 presentation (which children it shows) and of its content over the pages tells how important it is. A branch that looks and
 reads the same on all pages, such as a notice, has next to none and is cut from each page, at its top. Branches that HTML
-itself names as menus, forms, adverts or comments never hold main text; the article element, or else the main element, or
+itself names as menus, forms, adverts or comments never hold main text, unless they are wrapped around the article; the article element, or else the main element, or
 else a branch named as content, bounds what is kept. Blocks that flow in the article itself always stay, so an article that
 several pages share is not taken for a template.
 """
@@ -26,6 +26,8 @@ CONTENT_SHARE = 0.9
 #: Branches below this importance go, if at least so many pages of the host have them.
 LEAST = 0.15
 LEAST_PAGES = 4
+#: The same for branches whose class or id names a menu, an advert or the like among other words.
+LEAST_NAMED = 0.5
 #: Elements in which an article's own text flows.
 FLOW = r"^(.*/)?(article|main)[^/]*(/(p|h[1-6]|blockquote|ul|ol|li|dl|dt|dd|pre|table|tbody|thead|tfoot|tr|td|th|figure|figcaption)[^/]*)*$"
 
@@ -106,7 +108,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     ship(pages.sparkSession)
     trees = table(pages.select("page_id", "url", "html").mapInArrow(_read, _TREE).withColumn("host", host_of(F.col("url"))), "trees")
-    low = (importance(trees).filter((F.col("importance") < LEAST) & (F.col("pages") >= LEAST_PAGES) & ~F.col("path").rlike(FLOW)))
+    least = F.when(F.endswith(F.col("path"), F.lit("?")), LEAST_NAMED).otherwise(LEAST)
+    low = (importance(trees).filter((F.col("importance") < least) & (F.col("pages") >= LEAST_PAGES) & ~F.col("path").rlike(FLOW)))
     cuts = table(low.groupBy("host").agg(F.collect_set("path").alias("cut")), "cuts")
     best = F.array_max(F.transform("blocks", lambda b: b["level"]))
     inside = F.filter("blocks", lambda b: b["level"] == F.col("best"))

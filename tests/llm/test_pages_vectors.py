@@ -37,6 +37,24 @@ def test_blocks(html, expected):
     assert kept(html) == expected
 
 
+@pytest.mark.parametrize("html, expected", [
+    ("<article class='post tag-social category-notices'><p>a</p></article><div>no</div>", ["a"]),
+    ("<article id='comments'><p>a</p></article>", ["a"]), ("<div role='main' class='widget'><p>a</p></div><p>no</p>", ["a"]),
+    ("<div class='content-sidebar-wrap'><main><article><p>a</p></article></main></div><footer>no</footer>", ["a"]),
+    ("<div class='sidebar'><main><article><p>a</p></article></main></div><div>no</div>", ["a"]),
+    ("<a id='skip'><main class='notice'><p>a</p></main>", ["a"]), ("<form class='search'>no<article>a</article></form>", ["a"]),
+    ("<div class='page-header'><h1>no</h1><article><p>a</p></article></div>", ["a"]),
+    ("<article><h2 id='discussion'>a</h2><h2 id='social-media'>b</h2><section id='discussion'><p>c</p></section></article>", ["a", "b", "c"]),
+    ("<main><p class='notice'>a</p><ul><li id='related'>b</ul><blockquote class='reply'>c</blockquote><table><tr><td class='comment'>d</table></main>", list("abcd")),
+    ("<article><div class='social-history'><p>a</p></div><div class='share-buttons'>no</div><p>b</p></article>", ["a", "b"]),
+    ("<article><p>a</p><div class='related'><article>no</article></div></article>", ["a"]),
+    ("<article>a</article><div class='related-posts'><article>no</article></div>", ["a"]),
+    ("<div class='post-content'><h3 id='discussion'>a</h3>b</div>", ["a", "b"]), ("<div id='sidebar'><p>all there is</p></div>", ["all there is"]),
+])
+def test_names_do_not_take_the_article(html, expected):
+    assert kept(html) == expected
+
+
 def page(i, rng, host, article=True):
     text = [" ".join(rng.choice("alpha beta gamma delta eps zeta eta".split()) + str(rng.randrange(99)) for _ in range(rng.randrange(3, 30))) for _ in range(4)]
     body = "".join(f"<p>{t}</p>" for t in text)
@@ -55,6 +73,13 @@ def test_repeated_branches_go(spark, folder, article):  # noqa: F811
     assert out[50] == "\n".join([*pages[-1][3], "The same words on all pages of this site."])  # one page tells nothing
 
 
+def test_entropy_decides_doubtful_names(spark, folder):  # noqa: F811
+    rows = [(i, "http://n.example/", f"<article><p>story {i}</p><div class='social-history'><p>part {i}</p></div>"
+             f"<div class='my-sidebar-text'><p>same</p></div></article>") for i in range(6)]
+    out = page_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == {i: f"story {i}\npart {i}" for i, _, _ in rows}
+
+
 def test_shared_articles_stay(spark, folder):  # noqa: F811
     html = "<body><article><p>A story that ten pages carry.</p></article></body>"
     rows = [(i, "http://copies.example/x", html) for i in range(10)]
