@@ -2,14 +2,16 @@
 
 Every page becomes a tree of blocks. Pages of one host are merged: for each branch of the merged tree the entropy of its
 presentation (which children it shows) and of its content over the pages tells how important it is. A branch that looks and
-reads the same on all pages, such as a notice, has next to none and is cut from each page, at its top. Branches that HTML
+reads the same on all pages, such as a notice, has next to none and is cut from each page, at its top. Blocks that share a
+branch, such as the paragraphs of an article, are nodes of their own by their text. Branches that HTML
 itself names as menus, forms, adverts or comments never hold main text, unless they are wrapped around the article; the article element, or else the main element, or
-else a branch named as content, bounds what is kept. Blocks that flow in the article itself always stay, so an article that
-several pages share is not taken for a template.
+else a branch named as content, bounds what is kept. Pages of a host whose whole main text is the same count once, so an
+article that several pages share is not taken for a template.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -28,11 +30,8 @@ LEAST = 0.15
 LEAST_PAGES = 4
 #: The same for branches whose class or id names a menu, an advert or the like among other words.
 LEAST_NAMED = 0.5
-#: Elements in which an article's own text flows.
-FLOW = r"^(.*/)?(article|main)[^/]*(/(p|h[1-6]|blockquote|ul|ol|li|dl|dt|dd|pre|table|tbody|thead|tfoot|tr|td|th|figure|figcaption)[^/]*)*$"
-
-_TREE = ("page_id long, url string, blocks array<struct<path:string,level:int,text:string>>, "
-         "branches array<struct<path:string,style:long,content:long>>")
+_TREE = ("page_id long, url string, blocks array<struct<path:string,hash:long,text:string>>, "
+         "branches array<struct<path:string,style:long,content:long,texts:array<long>>>, body long")
 
 
 def _lists(rows: list[list[tuple]], kinds: list[tuple[str, pa.DataType]]) -> pa.ListArray:
@@ -42,15 +41,37 @@ def _lists(rows: list[list[tuple]], kinds: list[tuple[str, pa.DataType]]) -> pa.
     return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(columns, [n for n, _ in kinds]))
 
 
-def _branches(blocks, nodes) -> list[tuple[str, int, int | None]]:
-    """Per path of one page a checksum of the children it shows and one of the text directly in it."""
-    style: dict[str, int] = {}
-    for path, runs in nodes:
-        style[path] = zlib.crc32(runs.encode(), style.get(path, 0))
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _inside(blocks: list[tuple[str, int, str]]) -> list[tuple[str, int, str]]:
+    """(path, hash, text) of the blocks of the highest level."""
+    best = max((level for _, level, _ in blocks), default=0)
+    return [(path, _hash(text), text) for path, level, text in blocks if level == best]
+
+
+def _branches(inside, nodes) -> list[tuple[str, int, int | None, list[int]]]:
+    """Per path above a block of one page: a checksum of the children it shows, one of the text directly in it, and its texts."""
     content: dict[str, int] = {}
-    for path, _, text in blocks:
+    texts: dict[str, set[int]] = {}
+    for path, key, text in inside:
         content[path] = zlib.crc32(text.encode("utf-8", "surrogatepass"), content.get(path, 0))
-    return [(path, s, content.get(path)) for path, s in style.items()]
+        texts.setdefault(path, set()).add(key)
+    wanted = {""}
+    for path in content:
+        while path not in wanted:
+            wanted.add(path)
+            path = path.rpartition("/")[0]
+    style: dict[str, int] = {"": 0} if "" in content else {}
+    for path, runs in nodes:
+        if path in wanted:
+            style[path] = zlib.crc32(runs.encode(), style.get(path, 0))
+    return [(path, s, content.get(path), sorted(texts.get(path, ()))) for path, s in style.items()]
+
+
+def _body(inside) -> int:
+    return _hash("\n".join(f"{path} {key}" for path, key, _ in inside))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,26 +81,38 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blocks, branches = [], []
             for html in part.column("html"):
                 b, nodes = page_dom.parse(html.as_py())
-                blocks.append(b)
-                branches.append(_branches(b, nodes))
+                blocks.append(_inside(b))
+                branches.append(_branches(blocks[-1], nodes))
             yield pa.RecordBatch.from_arrays(
                 [part.column("page_id"), part.column("url"),
-                 _lists(blocks, [("path", pa.string()), ("level", pa.int32()), ("text", pa.string())]),
-                 _lists(branches, [("path", pa.string()), ("style", pa.int64()), ("content", pa.int64())])],
-                ["page_id", "url", "blocks", "branches"])
+                 _lists(blocks, [("path", pa.string()), ("hash", pa.int64()), ("text", pa.string())]),
+                 _lists(branches, [("path", pa.string()), ("style", pa.int64()), ("content", pa.int64()), ("texts", pa.list_(pa.int64()))]),
+                 pa.array([_body(b) for b in blocks], pa.int64())],
+                ["page_id", "url", "blocks", "branches", "body"])
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def importance(trees: DataFrame) -> DataFrame:
-    """The merged tree of each host: host, path, pages, importance from 0 to 1."""
-    seen = trees.select("host", F.explode("branches").alias("b")).select("host", "b.*")
-    values = seen.select("host", "path", F.explode(F.array(
-        F.struct(F.lit("style").alias("kind"), F.col("style").alias("value")),
-        F.struct(F.lit("content").alias("kind"), F.col("content").alias("value")))).alias("v")).filter(F.col("v.value").isNotNull())
-    counts = values.groupBy("host", "path", F.col("v.kind").alias("kind"), F.col("v.value").alias("value")).agg(F.count("*").alias("c"))
+def importance(trees: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The merged tree of each host, pages of one body counted once.
+
+    Branches: host, path, pages, importance from 0 to 1. Texts that several pages show: host, path, hash, pages (that have the
+    branch), importance.
+    """
+    bodies = trees.groupBy("host", "body").agg(F.min("branches").alias("branches"))
+    seen = bodies.select("host", F.explode("branches").alias("b")).select("host", "b.*")
+
+    def value(kind, of):
+        return F.struct(F.lit(kind).alias("kind"), of.alias("value"))
+
+    values = seen.select("host", "path", F.explode(F.concat(
+        F.array(value("style", F.col("style")), value("content", F.col("content"))),
+        F.transform("texts", lambda t: value("text", t)))).alias("v")).filter(F.col("v.value").isNotNull())
+    counts = (values.groupBy("host", "path", F.col("v.kind").alias("kind"), F.col("v.value").alias("value")).agg(F.count("*").alias("c"))
+              .filter((F.col("kind") != "text") | (F.col("c") >= LEAST_PAGES)))
+    counts = table(counts, "counts")
 
     def spread(kind):  # entropy over the pages that have the branch, 1 when all differ
         c = F.when(F.col("kind") == kind, F.col("c")).otherwise(0)
@@ -92,11 +125,16 @@ def importance(trees: DataFrame) -> DataFrame:
     nodes = table(nodes, "nodes")
     # A branch is as important as the text below it, each text path counted by the pages that have it.
     steps = F.split(F.col("path"), "/")
-    above = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))
+    above = F.transform(F.sequence(F.lit(2), F.greatest(F.size(steps), F.lit(2))), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))
     below = (nodes.filter(F.col("texts") > 0).select("host", F.explode(above).alias("path"), "texts", "content")
              .groupBy("host", "path").agg((F.sum(F.col("texts") * F.col("content")) / F.sum("texts")).alias("below")))
-    return (nodes.join(below, ["host", "path"])
-            .select("host", "path", "pages", (CONTENT_SHARE * F.col("below") + (1 - CONTENT_SHARE) * F.col("style")).alias("importance")))
+    branches = (nodes.join(below, ["host", "path"])
+                .select("host", "path", "pages", (CONTENT_SHARE * F.col("below") + (1 - CONTENT_SHARE) * F.col("style")).alias("importance")))
+    # The entropy of one text's place: the pages that show it agree, each of the others has something else there.
+    c, n = F.col("c").cast("double"), F.col("pages").cast("double")
+    texts = (counts.filter(F.col("kind") == "text").join(nodes.select("host", "path", "pages"), ["host", "path"])
+             .select("host", "path", F.col("value").alias("hash"), "pages", (1 - c * F.log(c) / (n * F.log(n))).alias("importance")))
+    return branches, texts
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -108,19 +146,23 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     ship(pages.sparkSession)
     trees = table(pages.select("page_id", "url", "html").mapInArrow(_read, _TREE).withColumn("host", host_of(F.col("url"))), "trees")
+    branches, texts = importance(trees)
     least = F.when(F.endswith(F.col("path"), F.lit("?")), LEAST_NAMED).otherwise(LEAST)
-    low = (importance(trees).filter((F.col("importance") < least) & (F.col("pages") >= LEAST_PAGES) & ~F.col("path").rlike(FLOW)))
-    cuts = table(low.groupBy("host").agg(F.collect_set("path").alias("cut")), "cuts")
-    best = F.array_max(F.transform("blocks", lambda b: b["level"]))
-    inside = F.filter("blocks", lambda b: b["level"] == F.col("best"))
-    left = F.filter("inside", lambda b: ~F.exists("cut", lambda c: (b["path"] == c) | F.startswith(b["path"], F.concat(c, F.lit("/")))))
+    low = branches.filter((F.col("importance") < least) & (F.col("pages") >= LEAST_PAGES)).select("host", "path", F.lit(None).cast("long").alias("hash"))
+    low = low.unionByName(texts.filter(F.col("importance") < LEAST).select("host", "path", "hash"))
+    cuts = table(low.groupBy("host").agg(F.collect_set(F.when(F.col("hash").isNull(), F.col("path"))).alias("cut"),
+                                         F.collect_set(F.when(F.col("hash").isNotNull(), F.struct("path", "hash"))).alias("cut_texts")), "cuts")
+
+    def stays(b):
+        under = F.exists("cut", lambda c: (b["path"] == c) | F.startswith(b["path"], F.concat(c, F.lit("/"))))
+        return ~under & ~F.exists("cut_texts", lambda c: (b["hash"] == c["hash"]) & (b["path"] == c["path"]))
 
     def chars(blocks):
         return F.aggregate(blocks, F.lit(0).cast("long"), lambda a, b: a + F.length(b["text"]))
 
-    found = (trees.join(cuts, "host", "left").withColumn("best", best).withColumn("inside", inside)
-             .withColumn("left", F.when(F.col("cut").isNull(), F.col("inside")).otherwise(left))
-             .withColumn("kept", F.when(2 * chars(F.col("left")) > chars(F.col("inside")), F.col("left")).otherwise(F.col("inside"))))
+    found = (trees.join(cuts, "host", "left")
+             .withColumn("left", F.when(F.col("cut").isNull(), F.col("blocks")).otherwise(F.filter("blocks", stays)))
+             .withColumn("kept", F.when(2 * chars(F.col("left")) > chars(F.col("blocks")), F.col("left")).otherwise(F.col("blocks"))))
     return found.select("page_id", "url", F.coalesce(F.array_join(F.transform("kept", lambda b: b["text"]), "\n"), F.lit("")).alias("text")) \
         .withColumn("n_chars", F.length("text").cast("long"))
 

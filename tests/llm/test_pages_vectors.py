@@ -80,6 +80,20 @@ def test_entropy_decides_doubtful_names(spark, folder):  # noqa: F811
     assert {r.page_id: r.text for r in out} == {i: f"story {i}\npart {i}" for i, _, _ in rows}
 
 
+@pytest.mark.parametrize("note", ["<p>Share this story.</p>", "<ul><li>Share this story.</li></ul>"])
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+def test_repeated_lines_of_articles_go(spark, folder, note, around):  # noqa: F811
+    rows = [(i, "http://lines.example/", f"<{around}><h1>Title {i}</h1><p>first words of {i}</p>{note if i else ''}<p>more words of {i}</p></{around}>")
+            for i in range(20)]
+    rows += [(100 + i, "http://lines.example/", rows[5][2]) for i in range(30)]  # one story copied whole, with its line
+    rows += [(200 + i, "http://quotes.example/", f"<article><p>own {i}</p>{'<p>a quoted line</p>' if i < 5 else ''}</article>") for i in range(20)]
+    out = {r.page_id: r.text for r in page_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in [*range(20), *range(100, 130)]:
+        n = i if i < 100 else 5
+        assert out[i] == f"Title {n}\nfirst words of {n}\nmore words of {n}"
+    assert all(out[200 + i] == f"own {i}" + ("\na quoted line" if i < 5 else "") for i in range(20))  # few pages share it
+
+
 def test_shared_articles_stay(spark, folder):  # noqa: F811
     html = "<body><article><p>A story that ten pages carry.</p></article></body>"
     rows = [(i, "http://copies.example/x", html) for i in range(10)]
