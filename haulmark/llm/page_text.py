@@ -142,7 +142,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Blocks are in page order, white space inside one is a single space, blocks are parted by one line feed. A null or empty
     page gives an empty text; pages without a host form one site; repeated rows each get a row; other columns are ignored.
-    No cut takes half or more of a page's text: such a page keeps its branches.
+    A page of which the cuts would leave nothing has no text of its own to tell from the host's and keeps all of it.
     """
     ship(pages.sparkSession)
     trees = table(pages.select("page_id", "url", "html").mapInArrow(_read, _TREE).withColumn("host", host_of(F.col("url"))), "trees")
@@ -157,12 +157,9 @@ def main_text(pages: DataFrame) -> DataFrame:
         under = F.exists("cut", lambda c: (b["path"] == c) | F.startswith(b["path"], F.concat(c, F.lit("/"))))
         return ~under & ~F.exists("cut_texts", lambda c: (b["hash"] == c["hash"]) & (b["path"] == c["path"]))
 
-    def chars(blocks):
-        return F.aggregate(blocks, F.lit(0).cast("long"), lambda a, b: a + F.length(b["text"]))
-
     found = (trees.join(cuts, "host", "left")
              .withColumn("left", F.when(F.col("cut").isNull(), F.col("blocks")).otherwise(F.filter("blocks", stays)))
-             .withColumn("kept", F.when(2 * chars(F.col("left")) > chars(F.col("blocks")), F.col("left")).otherwise(F.col("blocks"))))
+             .withColumn("kept", F.when(F.size("left") > 0, F.col("left")).otherwise(F.col("blocks"))))
     return found.select("page_id", "url", F.coalesce(F.array_join(F.transform("kept", lambda b: b["text"]), "\n"), F.lit("")).alias("text")) \
         .withColumn("n_chars", F.length("text").cast("long"))
 

@@ -94,6 +94,15 @@ def test_repeated_lines_of_articles_go(spark, folder, note, around):  # noqa: F8
     assert all(out[200 + i] == f"own {i}" + ("\na quoted line" if i < 5 else "") for i in range(20))  # few pages share it
 
 
+def test_short_pages_lose_long_notices(spark, folder):  # noqa: F811
+    notice = " ".join(f"n{k}" for k in range(100))
+    own = {i: " ".join(f"w{i}x{k}" for k in range(60 if i % 2 else 300)) for i in range(10)}
+    rows = [(i, "http://short.example/", f"<body><div class='x'><p>{t}</p></div><div class='y'><p>{notice}</p></div></body>") for i, t in own.items()]
+    rows += [(20, "http://short.example/", f"<body><div class='y'><p>{notice}</p></div></body>")]  # nothing of its own
+    out = {r.page_id: r.text for r in page_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {**own, 20: notice}
+
+
 def test_shared_articles_stay(spark, folder):  # noqa: F811
     html = "<body><article><p>A story that ten pages carry.</p></article></body>"
     rows = [(i, "http://copies.example/x", html) for i in range(10)]
