@@ -366,15 +366,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     return linked(docs, width, percent, k, match).drop("text_hash")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, by_text: bool = False, **options) -> DataFrame:
     """One row of ``docs`` per component, all columns as they are: a row of the smallest doc_id.
 
-    Of rows that repeat an id one stays; rows without an id stay when no row with an id has their shingles, one per text.
+    Of rows that repeat an id one stays, with ``by_text`` one for each of its texts that is linked with none kept: there a
+    document is an id and a text, ordered by the text's hash within an id. Rows without an id stay when no row with an id has
+    their shingles, one per text. Among rows that are alike, hashes of text and row choose, so reruns agree.
     """
+    own = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), own.alias("own"))
+    if by_text:
+        pairs = marked.select("id", "hash").filter(F.col("id").isNotNull())
+        if pairs.groupBy("id").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).filter("a <> b").limit(1).collect():
+            # Numbers in the order of id and hash stand for the pairs.
+            nodes = table(pairs.distinct().orderBy("id", "hash").withColumn("node", F.monotonically_increasing_id()), "pairs")
+            numbered = table(marked.join(nodes, ["id", "hash"], "left")
+                             .select(F.col("node").alias("doc_id"), F.col("row.text").alias("text"), "row"), "numbered")
+            return keep_one(numbered, **options).select("row.*")
     kept = linked(docs, **options).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
-    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
     one = marked.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi")
-    return one.withColumn("hash", F.when(F.col("id").isNull(), F.col("hash"))).dropDuplicates(["id", "hash"]).select("row.*")
+    return (one.groupBy("id", F.when(F.col("id").isNull(), F.col("hash")).alias("text_of_none"))
+            .agg(F.min_by("row", F.struct("hash", "own")).alias("row")).select("row.*"))
 
 
 def brute_sql(width: int = 2, percent: int = 80) -> str:

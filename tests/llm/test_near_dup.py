@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from llm_samples import ODD, SAMPLE, SF, empty, folder, low, odd, table, words  # noqa: F401
+from pyspark.sql import functions as F
 from test_text_operators import same_as_sql
 
 from haulmark.llm import near_dup, shingles
@@ -75,6 +76,19 @@ def test_keep_one_leaves_one_of_each(odd):
     assert sorted((i for i in ids if i is not None)) == [1, 4, 5, 6, 7, 9, 11, 13, 14, 15]
 
 
+def test_texts_of_one_id_stay(spark, folder):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    rows = [(11, one, "x"), (11, two, "x"), (11, two + " tail", "x"), (20, two + " end", "x"), (21, one + " end", "x"), (5, three, "x"), (30, three, "x"),
+            (30, "other words here", "x"), (30, "other words here", "y"), (None, one, "x"), (None, "no id", "x"), (None, "no id", "x"), (7, None, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit("z") for c in ("row", "node", "hash", "id", "own")})
+    outs = [sorted(map(tuple, near_dup.keep_one(d, by_text=True).collect()), key=repr) for d in (df, df.orderBy("text"), df.repartition(5))]
+    assert outs[0] == outs[1] == outs[2] and near_dup.keep_one(df, by_text=True).columns == df.columns
+    kept = [r[:2] for r in outs[0]]
+    of_two = [t for i, t in kept if i == 11 and t != one]
+    assert len(of_two) == 1 and of_two[0] in (two, two + " tail")
+    assert sorted(kept, key=repr) == sorted([(5, three), (7, None), (11, one), (11, of_two[0]), (30, "other words here"), (None, "no id")], key=repr)
+
+
 def test_empty(empty):
     assert near_dup.near_duplicates(empty).collect() == []
     assert near_dup.keep_one(empty).columns == empty.columns
