@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, mixing, near_dup, packing, page_text, quality_model, quality_rules, sharding, tokens, topk, training_order
+from haulmark.llm import (byte_pairs, chat, mixing, near_dup, packing, page_text, quality_model, quality_rules, sharding, tokens, topk,
+                          training_order)
 from haulmark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +84,8 @@ def op10_page_text(spark, sf_dir):
 
 
 ORACLES["op10_page_text"] = page_text.SQL
+
+
+@query
+def op11_byte_pairs(spark, sf_dir):
+    return byte_pairs.round_trip(read(spark, sf_dir, "documents"), tokens.default_path())
