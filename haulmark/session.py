@@ -62,7 +62,19 @@ def written(df: DataFrame, name: str = "work") -> DataFrame:
     """
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the folder of a written table that nothing reads any more; any other frame is left alone."""
+    path = getattr(table, "_written_to", None)
+    if path:
+        sc = table.sparkSession.sparkContext
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+        table._written_to = None
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
