@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from haulmark.session import shared_folder
+from haulmark.session import discard, shared_folder  # noqa: F401
 
 #: A word is a run of anything but blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,7 +46,7 @@ def ship(spark: SparkSession) -> None:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one that all executors share."""
-    return f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex[:12]}/{name}"
+    return f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex[:12]}-{name}"
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
@@ -56,7 +56,9 @@ def table(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
 
 
 def let(value: Column, body) -> Column:

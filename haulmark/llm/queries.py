@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import (byte_pairs, chat, mixing, near_dup, packing, page_text, quality_model, quality_rules, sharding, tokens, topk,
-                          training_order)
+from haulmark.llm import (byte_pairs, chat, manifest, mixing, near_dup, packing, page_text, quality_model, quality_rules, sharding, tokens,
+                          topk, training_order, vector_codes)
 from haulmark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,19 @@ ORACLES["op10_page_text"] = page_text.SQL
 @query
 def op11_byte_pairs(spark, sf_dir):
     return byte_pairs.round_trip(read(spark, sf_dir, "documents"), tokens.default_path())
+
+
+@query
+def op12_manifest(spark, sf_dir):
+    return manifest.manifest(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_manifest"] = manifest.brute_sql()
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes.report(read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_vector_codes"] = vector_codes.brute_sql()
