@@ -31,8 +31,8 @@ from haulmark.llm.common import ship
 from haulmark.llm.tokens import PATTERN, PRINTABLE
 
 #: Characters of text laid out in one index, and words a partition remembers. Neither changes a result.
-INDEX_CHARS = 4_000_000
-KNOWN_RUNS = 1_000_000
+INDEX_CHARS = 2_000_000
+KNOWN_RUNS = 250_000
 #: From this many positions on a list is joined by array operations.
 MANY = 48
 #: White space of the splitting pattern.
