@@ -13,7 +13,7 @@ from haulmark.operators.payout import PAYOUT_TOTALS
 from haulmark.operators.tracking import MILESTONE_COLUMNS, tracking_events
 from haulmark.session import written
 from haulmark.sources import readers
-from haulmark.streaming import incremental, streams
+from haulmark.streaming import incremental, layout, streams
 
 FULL = "with c as (" + CANON.format(log="scan_wide") + f"), {ALL_MILESTONES}"
 
@@ -53,6 +53,47 @@ def refresh_partitions(spark, sf):
         "some_untouched": F.lit(len(touched) < BUCKETS)})
 
 
+# Three scans of a parcel within 16 days of its order, in the order of their times.
+PARCEL_LOG = """select o_orderkey as parcel, k as step, o_orderdate + (k * (o_orderkey % 9)) * interval '1' day as seen
+  from orders join (values (0), (1), (2)) v(k) on true"""
+PARCEL_END, PARCEL_HOURS = "2001-08-10", 20 * 24
+
+
+def parcel_state(log):
+    return log.groupBy("parcel").agg(F.min("seen").alias("first_seen"), F.max("seen").alias("last_seen"), F.count(F.lit(1)).alias("scans"))
+
+
+@query("o_11_01_refresh_by_home", sql("", f"""
+    with log as ({PARCEL_LOG}), k as (select parcel, date_trunc('month', min(seen)) as home,
+        max(seen) >= timestamp '{PARCEL_END}' - interval {PARCEL_HOURS} hour as changed from log group by 1)
+    select count(*) as parcels, count(*) filter (changed) as changed, count(distinct home) as partitions, count(distinct home) filter (changed) as rewritten,
+      true as equals_full, true as others_untouched from k"""))
+def refresh_by_home(spark, sf):
+    """Twenty days of changes, more keys than there are partitions: the two or three newest months are rewritten."""
+    folder = workdir(spark)
+    bind(spark, sf, "orders")
+    log = run(spark, PARCEL_LOG)
+    since = F.lit(PARCEL_END).cast("timestamp_ntz") - F.expr(f"interval '{PARCEL_HOURS}' hour")
+    layout.append(spark, folder, log.filter(F.col("seen") < "1999-01-01"), "parcel", "seen", 0, "month")
+    layout.append(spark, folder, log.filter((F.col("seen") >= "1999-01-01") & (F.col("seen") < since)), "parcel", "seen", 1, "month")
+    layout.build(spark, folder, parcel_state, "parcel")
+    layout.append(spark, folder, log.filter(F.col("seen") >= since), "parcel", "seen", 2, "month")
+
+    def files():
+        return layout.read_table(spark, folder).select("home", F.input_file_name().alias("file")).distinct()
+
+    before = written(files(), "before")
+    homes = layout.refresh(spark, folder, parcel_state, "parcel", ["seen"], PARCEL_END, PARCEL_HOURS)
+    gone = before.join(files(), ["home", "file"], "left_anti").select("home").distinct()
+    full, now = parcel_state(log), layout.read_table(spark, folder)
+    stored = now.select(*full.columns)
+    same = full.exceptAll(stored).isEmpty() and stored.exceptAll(full).isEmpty()
+    changed = readers.changed_keys(log, "parcel", ["seen"], PARCEL_END, PARCEL_HOURS).count()
+    return now.agg(F.count(F.lit(1)).alias("parcels"), F.count_distinct("home").alias("partitions")).withColumns({
+        "changed": F.lit(changed), "rewritten": F.lit(len(homes)), "equals_full": F.lit(same),
+        "others_untouched": F.lit(gone.filter(~F.col("home").isin(homes)).isEmpty())})
+
+
 SPEC = {"picked": ("min", "Picked-up"), "last_out": ("max", "Out For Delivery"), "delivered": ("min", "Delivered")}
 
 
@@ -108,13 +149,33 @@ def stream_daily_counts(spark, sf):
     folder = workdir(spark)
     sink = streams.daily_sink(f"{folder}/daily", ["shipment_status"], "update_time", "shipment_id")
     streams.run_available(out_of_order(spark, sf, folder), f"{folder}/checkpoint", each=sink)
-    out = streams.read_daily_counts(spark, f"{folder}/daily", ["shipment_status"], "shipment_id")
+    out = streams.read_daily_counts(spark, f"{folder}/daily", ["shipment_status"], "shipment_id").drop("exact")
     return out.withColumn("day", F.col("day").cast("timestamp_ntz"))
 
 
-def changed_keys_folder(spark, sf):
+@query("o_11_03_stream_daily_counts_lots", sql("scan", """
+    select date_trunc('day', update_time)::timestamp as day, shipment_status, count(*) as scans, true as close,
+      count(distinct case when tracking_id % 3 = 0 then 0 when update_time >= timestamp '2024-01-16' then 1 else 2 end) = 1
+        or min(date_trunc('day', update_time)) >= (select date_trunc('day', max(update_time)) - interval 2 day from scan) as exact from scan group by 1, 2"""))
+def stream_daily_counts_lots(spark, sf):
+    """A third of the scans come again and again too late: closed days of several lots are estimated, within 3 %."""
     folder = workdir(spark)
-    sink = streams.changed_keys_sink(f"{folder}/keys", "shipment_id", ["update_time", "received"])
+    log = bind(spark, sf, "scan").withColumn("update_time", F.col("update_time").cast("timestamp"))
+    early = F.col("update_time") < F.lit("2024-01-16").cast("timestamp_ntz").cast("timestamp")
+    third = F.col("tracking_id") % 3 == 0
+    sink = streams.daily_sink(f"{folder}/daily", ["shipment_status"], "update_time", "shipment_id", fan=2)
+    for i, part in enumerate((~third & ~early, ~third & early, third)):
+        sink(log.filter(part), i)
+    counted = streams.read_daily_counts(spark, f"{folder}/daily", ["shipment_status"], "shipment_id")
+    right = streams.daily_counts(log, ["shipment_status"], "update_time", "shipment_id").withColumnRenamed("shipments", "right").drop("scans")
+    close = F.abs(F.col("shipments") - F.col("right")) <= F.greatest(F.lit(0.03) * F.col("right"), F.when(F.col("exact"), 0).otherwise(1))
+    return (counted.join(right, ["day", "shipment_status"], "left")
+            .select(F.col("day").cast("timestamp_ntz").alias("day"), "shipment_status", "scans", F.coalesce(close, F.lit(False)).alias("close"), "exact"))
+
+
+def changed_keys_folder(spark, sf, horizon=None):
+    folder = workdir(spark)
+    sink = streams.changed_keys_sink(f"{folder}/keys", "shipment_id", ["update_time", "received"], horizon)
     streams.run_available(out_of_order(spark, sf, folder), f"{folder}/checkpoint", each=sink)
     return f"{folder}/keys"
 
@@ -131,6 +192,20 @@ def stream_changed_keys_lookback(spark, sf):
     return streams.read_changed_keys(spark, changed_keys_folder(spark, sf), "shipment_id", AS_OF_SCAN).select("shipment_id")
 
 
+@query("o_11_04_stream_changed_keys_expiring", sql("scan", f"""
+    with t as (select shipment_id, greatest(update_time, {RECEIVED}) as touched_at, update_time < timestamp '2024-01-16' as early from scan),
+      k as (select shipment_id, early, max(touched_at) as touched_at, count(*) as scans from t group by 1, 2),
+      c as (select max(touched_at) - interval 10 day as cut from t),
+      late as (select count(*) as late_keys, sum(scans) as late_scans from k, c where touched_at < cut)
+    select shipment_id, max(touched_at) as touched_at, any_value(late_keys) as late_keys, any_value(late_scans)::bigint as late_scans
+    from k, c, late where touched_at >= cut group by 1"""))
+def stream_changed_keys_expiring(spark, sf):
+    """What was touched in the last ten days; the second, older file is counted as late."""
+    folder = changed_keys_folder(spark, sf, "10 days")
+    late = streams.late_changes(spark, folder)
+    return streams.read_changed_keys(spark, folder, "shipment_id").withColumns({k: F.lit(v).cast("long") for k, v in late.items()})
+
+
 TRIPS = "select task_id as trip_id, awb, status, dispatch_time as start_at, case when status <> 'ONGOING' then dispatch_time + interval '9' hour end as closed_at from task"
 LINKS = "select l_orderkey as trip_id, l_orderkey * 10 + l_linenumber as transaction_id from lineitem group by l_orderkey, l_linenumber"
 TRACKER = "select l_orderkey * 10 + l_linenumber as transaction_id, max(l_shipdate) as created_at from lineitem group by l_orderkey, l_linenumber"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.bindings import bind, cents, sql
+from catalog.bindings import bind, cents, run, sql
 from catalog.registry import query, with_hot_keys
 from haulmark.functions import clock, text
 from haulmark.functions.numbers import exact_sum
@@ -48,6 +48,22 @@ def full_null_safe(spark, sf):
     return joins.full_null_safe(left, right, ["pincode"])
 
 
+NULL_TASKS = "select task_id, case when task_id % 4 = 0 then null else pincode * 10 end as pincode from task"
+NULL_PARCELS = "select shipment_id, case when shipment_id % 3 = 0 then null else pincode * 5 end as pincode from shipment"
+
+
+@query("o_5_04_full_null_safe_hot", sql("task shipment", f"""
+    select coalesce(l.pincode, r.pincode) as pincode, count(*) as pairs, count(distinct task_id) as tasks, count(distinct shipment_id) as parcels, sum(task_id % 1000 * (shipment_id % 1000))::bigint as checked
+    from ({NULL_TASKS}) l full join ({NULL_PARCELS}) r on l.pincode is not distinct from r.pincode group by 1"""))
+def full_null_safe_hot(spark, sf):
+    """Null meets null: rows times rows pairs of one key, met on a grid of tasks."""
+    for name in ("task", "shipment"):
+        bind(spark, sf, name).createOrReplaceTempView(name)
+    met = joins.full_null_safe(run(spark, NULL_TASKS), run(spark, NULL_PARCELS), ["pincode"], hot=100)
+    return met.groupBy("pincode").agg(F.count(F.lit(1)).alias("pairs"), F.count_distinct("task_id").alias("tasks"), F.count_distinct("shipment_id").alias("parcels"),
+                                      F.sum(F.col("task_id") % 1000 * (F.col("shipment_id") % 1000)).alias("checked"))
+
+
 @query("o_5_05_paired_rows", sql("node task", """
     select node_name, slot, mode, threshold, d as day from node
     cross join (values ('Morning', 'Prepaid', 0.85::double), ('Morning', 'COD', 0.6::double), ('Evening', 'Prepaid', 0.8::double),

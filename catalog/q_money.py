@@ -425,9 +425,27 @@ def margin_sql(dims: str) -> str:
         from m where shipping_city is not null group by all) select *, shipment_charges - total_cost as margin from g""")
 
 
+CUTS = {"client": "shipping_city, user_name", "pincode": "shipping_city, drop_pincode", "lane": "shipping_city, warehouse_city",
+        "lane_client": "shipping_city, warehouse_city, user_name"}
+CUT_DIMS = ["shipping_city", "user_name", "drop_pincode", "warehouse_city"]
+
+
+def cuts_sql() -> str:
+    parts = [f"""select '{name}' as cut, {', '.join(d if d in dims.split(', ') else f'null as {d}' for d in CUT_DIMS)}, count(distinct awb) as orders,
+        {cents('coalesce(shipment_charges, 0)')} as shipment_charges, {cents('coalesce(total_cost, 0)')} as total_cost from m where shipping_city is not null group by {dims}"""
+             for name, dims in CUTS.items()]
+    return sql("task shipment charge node", f"with {MARGIN_ROWS}, g as ({' union all '.join(parts)}) select *, shipment_charges - total_cost as margin from g")
+
+
+@query("o_10_39_margin_cuts", cuts_sql())
+def margin_cuts(spark, sf):
+    """The four cuts from one pass over the orders."""
+    return margin.margin_cuts(margin_rows(spark, sf), {name: dims.split(", ") for name, dims in CUTS.items()}).select(
+        "cut", *CUT_DIMS, "orders", "shipment_charges", "total_cost", "margin")
+
+
 def _register_margins():
-    for name, dims in (("client", "shipping_city, user_name"), ("pincode", "shipping_city, drop_pincode"), ("lane", "shipping_city, warehouse_city"),
-                       ("lane_client", "shipping_city, warehouse_city, user_name")):
+    for name, dims in CUTS.items():
         def by(spark, sf, dims=dims):
             return margin.margin_by(margin_rows(spark, sf), dims.split(", "))
         query(f"o_10_39_margin_by_{name}", margin_sql(dims))(by)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.bindings import bind, sql
+from catalog.bindings import bind, run, sql
 from catalog.registry import query, with_hot_keys
 from haulmark.operators import pick
 from haulmark.operators.attempts import attempt_rank, order_type
@@ -74,6 +74,19 @@ def ranks(spark, sf, hot="auto"):
 with_hot_keys("o_7_01_attempt_rank", ranks, 16)
 
 
+# A third of the attempts name no parcel and have one moment or none.
+ONE_MOMENT = """select task_id, case when task_id % 3 = 0 then null else awb end as awb,
+  case when task_id % 6 = 0 then null when task_id % 3 = 0 then timestamp '1998-01-01 00:00:00' else dispatch_time end as dispatch_time from task"""
+
+
+@query("o_7_01_attempt_rank_one_moment", sql("task", f"""
+    select task_id, cast(rank() over (partition by awb order by dispatch_time nulls last) as int) as attempt_number from ({ONE_MOMENT}) t"""))
+def ranks_of_one_moment(spark, sf):
+    """Equal and missing times of one key are cut like any other stretch of its order."""
+    bind(spark, sf, "task").createOrReplaceTempView("task")
+    return attempt_rank(run(spark, ONE_MOMENT), hot=60).select("task_id", "attempt_number")
+
+
 @query("o_7_02_order_type", sql("task", f"select task_id, case when attempt_number = 1 then 'Fresh' else 'Reattempt' end as order_type from ({RANKED}) r"))
 def order_types(spark, sf):
     return order_type(attempt_rank(bind(spark, sf, "task").select("task_id", "awb", "dispatch_time"))).select("task_id", "order_type")

@@ -117,6 +117,34 @@ def view_dag(spark, sf):
                           folder=workdir(spark))["per_hub"]
 
 
+@query("o_1_09_refresh_changed", sql("task shipment", f"""
+    with d as (select shipping_city, hub, count(*) as attempts from task join shipment using (awb) group by all)
+    select shipping_city, count(*) as hubs, cast(sum(attempts) as bigint) as attempts, 'daily per_city' as second_run from d group by 1"""))
+def refresh_changed(spark, sf):
+    """A second refresh after one of two inputs has grown: the view of the other input is not built again."""
+    folder = workdir(spark)
+
+    def daily(task, places):
+        return task.join(places, "awb").groupBy("shipping_city", "hub").agg(F.count(F.lit(1)).alias("attempts"))
+
+    def places(shipment):
+        return shipment.select("awb", "shipping_city", "hub")
+
+    def per_city(daily):
+        return daily.groupBy("shipping_city").agg(F.count(F.lit(1)).alias("hubs"), F.sum("attempts").alias("attempts"))
+
+    task = bind(spark, sf, "task").select("task_id", "awb", "dispatch_time")
+    early = F.col("dispatch_time") < clock.moment(AS_OF_TASK)
+    task.filter(early).write.parquet(f"{folder}/task")
+    for built in ([], second := []):
+        tables = {"task": spark.read.parquet(f"{folder}/task"), "shipment": bind(spark, sf, "shipment")}
+        out = views.refresh(spark, tables, {"places": places, "daily": daily, "per_city": per_city}, keep=["places", "daily", "per_city"],
+                            folder=f"{folder}/views", built=built)["per_city"]
+        if not second:
+            task.filter(~F.coalesce(early, F.lit(False))).write.mode("append").parquet(f"{folder}/task")
+    return out.withColumn("second_run", F.lit(" ".join(second)))
+
+
 PER_AWB = f"select awb, count(*) as attempts, {cents('cod_amount')} as cod_total from task group by awb"
 
 

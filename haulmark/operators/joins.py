@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulmark.operators.ordered import last_seen, running, seen_before
-from haulmark.operators.skew import resolve_hot, salted_join
+from haulmark.operators.skew import mark_hot, resolve_hot, salt, salted_join
 
 
 def star(fact: DataFrame, *dims: tuple[DataFrame, Sequence[str] | str]) -> DataFrame:
@@ -36,25 +36,55 @@ def on_cast(left: DataFrame, right: DataFrame, left_key: str, right_key: str, to
     return on_expressions(left, right, [(F.col(left_key).try_cast(to), F.col(right_key).cast(to))], how, hot)
 
 
-def full_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def full_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], hot="auto") -> DataFrame:
     """Full outer join where a null key matches a null key.
 
-    Written as a left join plus the right rows without a match: a full outer join is never
-    split by the engine, whereas a hot key on the left of a left join is.
+    Without hot keys a left join plus the right rows without a match: a full outer join is never split by the engine, whereas a
+    hot key on the left of a left join is. A key that is hot on both sides, as null often is, has rows times rows results:
+    its left rows are dealt into rows and its right rows into columns of a grid, by content, each goes to every cell of its row or
+    column, and every pair meets in one cell. Rows without a match are found by semi joins and never repeated.
     """
-    def matches(r):
-        cond = None
-        for i, k in enumerate(on):
-            c = F.col(k).eqNullSafe(r[f"_r{i}"])
-            cond = c if cond is None else cond & c
-        return cond
+    listed = resolve_hot(left, on, hot), resolve_hot(right, on, hot)
+    if listed[0] is not None or listed[1] is not None:
+        return _on_grid(left, right, on, *listed)
 
     rest = [c for c in right.columns if c not in on]
     r = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(on)], *[F.col(c).alias(f"_v{i}") for i, c in enumerate(rest)])
-    both = left.join(r, matches(r), "left").select(*on, *[c for c in left.columns if c not in on], *[F.col(f"_v{i}").alias(c) for i, c in enumerate(rest)])
-    seen = left.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(on)]).distinct()
-    alone = right.join(seen, matches(seen), "left_anti").select(*on, *rest)
-    return both.unionByName(alone, allowMissingColumns=True)
+    both = left.join(r, _same(on, r), "left").select(*on, *[c for c in left.columns if c not in on], *[F.col(f"_v{i}").alias(c) for i, c in enumerate(rest)])
+    return both.unionByName(_alone(right, left, on).select(*on, *rest), allowMissingColumns=True)
+
+
+def _same(on: Sequence[str], other: DataFrame) -> Column:
+    """Null-safe equality with columns ``_r0``, ``_r1`` ... of the other frame."""
+    cond = F.lit(True)
+    for i, k in enumerate(on):
+        cond = cond & F.col(k).eqNullSafe(other[f"_r{i}"])
+    return cond
+
+
+def _alone(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose key the other frame does not have."""
+    seen = other.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(on)]).distinct()
+    return df.join(seen, _same(on, seen), "left_anti")
+
+
+def _on_grid(left: DataFrame, right: DataFrame, on: Sequence[str], hot_left: DataFrame | None, hot_right: DataFrame | None) -> DataFrame:
+    rest = [c for c in right.columns if c not in on]
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        marked = df
+        for name, listed in (("_rows", hot_left), ("_columns", hot_right)):
+            marked = marked.withColumn(name, F.lit(None).cast("int")) if listed is None else mark_hot(marked, on, listed, name)
+        rows, columns = ({"_rows": F.coalesce("_rows", F.lit(1)), "_columns": F.coalesce("_columns", F.lit(1))}[c] for c in (own, other))
+        return marked.withColumn("_own", salt(df.columns, rows)).withColumn("_all", F.explode(F.sequence(F.lit(0), columns - 1))).drop("_rows", "_columns")
+
+    l = dealt(left, "_rows", "_columns")
+    r = dealt(right, "_columns", "_rows").select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(on)], F.col("_own").alias("_column"), F.col("_all").alias("_row"),
+                                                 *[F.col(c).alias(f"_v{i}") for i, c in enumerate(rest)])
+    met = l.join(r, _same(on, r) & (F.col("_own") == F.col("_row")) & (F.col("_all") == F.col("_column")))
+    both = met.select(*on, *[c for c in left.columns if c not in on], *[F.col(f"_v{i}").alias(c) for i, c in enumerate(rest)])
+    return (both.unionByName(_alone(left, right, on), allowMissingColumns=True)
+            .unionByName(_alone(right, left, on).select(*on, *rest), allowMissingColumns=True))
 
 
 def semi(df: DataFrame, keep: DataFrame, on: Sequence[str], hot=None) -> DataFrame:

@@ -128,8 +128,13 @@ def _segmented(rows: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str]
     """
     parts = listed.agg(F.coalesce(F.sum("hot_parts"), F.lit(1))).first()[0]
     place = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(NO_TIME))
-    stored = written(rows.withColumn("_o", place).repartitionByRange(int(parts), *keys, "_o", *tie)
+    # Rows of one time and tie are told apart by their content, and copies by the task they come from: both are the same when a
+    # task is run again. So any number of equal or missing times can be cut.
+    hashed = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
+    stored = written(rows.withColumn("_o", place).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in hashed])).withColumn("_from", F.spark_partition_id())
+                     .repartitionByRange(int(parts), *keys, "_o", *tie, "_tie", "_from")
                      .withColumn("_seg", F.spark_partition_id()), "hot-rows")
+    tie = [*tie, "_tie"]
     carry = _carry(stored, keys, tie, specs)
     extra = [] if attach is None else [c for c in attach.columns if c not in keys]
     if attach is not None:  # one row per key meets one row per stretch

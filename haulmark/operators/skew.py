@@ -14,9 +14,10 @@ from __future__ import annotations
 import weakref
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from haulmark.session import written
+from haulmark import files
+from haulmark.session import discard, written
 
 HOT_MIN_ROWS = 2_000_000
 
@@ -41,13 +42,26 @@ def resolve_hot(df: DataFrame, keys: Sequence[str], hot) -> DataFrame | None:
     limit = HOT_MIN_ROWS if hot == "auto" else int(hot)
     known = _listed.setdefault(df.sparkSession, {})
     narrow = df.select(*keys)
-    name = (narrow.semanticHash(), tuple(keys), limit)
+    # Size of the input along with the plan: a table that was added to is counted again.
+    size = str(narrow._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    name = (narrow.semanticHash(), tuple(keys), limit, size)
+    if name in known and known[name] is not None and not files.exists(df.sparkSession, known[name]._written_to):
+        del known[name]
     if name not in known:
         stored = written(hot_keys(narrow, keys, limit), "hot")
         known[name] = None if stored.isEmpty() else stored
+        if known[name] is None:
+            discard(stored)
     return known[name]
 
 
+def forget(spark: SparkSession) -> None:
+    """Drop all lists of the session; frames that use one must not be run any more."""
+    for stored in _listed.pop(spark, {}).values():
+        if stored is not None:
+            discard(stored)
+
+
 def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, parts: str = "_parts") -> DataFrame:
     """Add the number of parts of each row's key, null for ordinary keys; null keys are matched too."""
     listed = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], F.col("hot_parts").alias(parts))
@@ -58,7 +72,8 @@ def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, parts: str = "_
     return df.join(listed, cond, "left").drop(*[f"_hk{i}" for i in range(len(keys))])
 
 
-def _salt(columns: Sequence[str], parts: Column) -> Column:
+def salt(columns: Sequence[str], parts: Column) -> Column:
+    """One of ``parts`` numbers for each row, by its content."""
     # The partition id spreads exact copies of a row; it is the same when a task is run again.
     return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), parts).cast("int")
 
@@ -77,7 +92,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     if listed is None:
         return left.join(right, list(on), how)
     parts = F.col("_parts")
-    spread = F.when(parts.isNotNull(), _salt(left.columns, parts)).otherwise(F.lit(0))
+    spread = F.when(parts.isNotNull(), salt(left.columns, parts)).otherwise(F.lit(0))
     copies = F.when(parts.isNotNull(), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
     lhs = mark_hot(left, on, listed).withColumn("_salt", spread).drop("_parts")
     rhs = mark_hot(right, on, listed).withColumn("_salt", F.explode(copies)).drop("_parts")

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from haulmark import files
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -71,9 +73,7 @@ def discard(table: DataFrame) -> None:
     """Delete the folder of a written table that nothing reads any more; any other frame is left alone."""
     path = getattr(table, "_written_to", None)
     if path:
-        sc = table.sparkSession.sparkContext
-        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+        files.delete(table.sparkSession, path)
         table._written_to = None
 
 

@@ -5,7 +5,8 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from haulmark.operators import joins, pick
+from haulmark import session
+from haulmark.operators import joins, ordered, pick, skew
 from haulmark.operators.attempts import attempt_rank
 from haulmark.operators.ordered import lag, last_seen, lead, least_so_far, previous_seen, rank, row_number, running, seen_before
 from haulmark.operators.skew import hot_keys, resolve_hot, salted_join
@@ -66,6 +67,19 @@ def test_keys_are_counted_once(log):
     assert resolve_hot(log, ["k"], "auto") is None
 
 
+def test_keys_are_counted_again_when_the_table_has_grown(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).select(F.lit("a").alias("k")).write.parquet(path)
+    first = resolve_hot(spark.read.parquet(path), ["k"], 50)
+    assert first is resolve_hot(spark.read.parquet(path), ["k"], 50)
+    spark.range(100).select(F.lit("b").alias("k")).write.mode("append").parquet(path)
+    assert values(resolve_hot(spark.read.parquet(path), ["k"], 50), "k") == [("a",), ("b",)]
+    session.discard(first)  # a list whose folder is gone is made again
+    assert values(resolve_hot(spark.read.parquet(path), ["k"], 50), "k") == [("a",), ("b",)]
+    skew.forget(spark)
+    assert values(resolve_hot(spark.read.parquet(path), ["k"], 50), "k") == [("a",), ("b",)]
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_join(log, rows, how):
     dims = rows([("hot", 1), ("a", 2), ("a", 3), (None, 4), ("z", 5)], "k string, v int")
@@ -97,6 +111,39 @@ def test_rank_ties_nulls_and_single(rows):
         assert values(attempt_rank(df, hot=hot), "id", "attempt_number") == [(1, 1), (2, 1), (3, 3), (4, 4), (5, 1)]
 
 
+@pytest.mark.parametrize("moment", ["2024-01-01 10:00:00", None])
+def test_one_moment_is_cut_into_stretches(rows, monkeypatch, moment):
+    """A key whose rows share one time or have none, and no tie to tell them apart: no stretch stays whole."""
+    seen = []
+    monkeypatch.setattr(ordered, "written", lambda df, name: seen.append(session.written(df, name)) or seen[-1])
+    data = [(i, None, moment) for i in range(3000)] + [(i, "a", f"2024-01-0{1 + i % 9} 00:00:00") for i in range(3000, 6000)]
+    df = rows(data, "id long, awb string, dispatch_time ts")
+    split = attempt_rank(df, hot=300)
+    plain = attempt_rank(df, hot=None)
+    assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
+    stretches = seen[-1].groupBy("awb", "_seg").count()
+    assert stretches.agg(F.max("count")).first()[0] <= 3 * 300
+
+
+def test_grid_equals_full_join(rows):
+    left = rows([(i, None if i % 3 else "a") for i in range(90)] + [(900, "left"), (901, "b")], "x int, k string")
+    right = rows([(i, None if i % 2 else "a") for i in range(60)] + [(900, "right"), (901, "b"), (902, "b")], "y int, k string")
+    plain = joins.full_null_safe(left, right, ["k"], hot=None)
+    assert plain.count() == 60 * 30 + 30 * 30 + 2 + 2
+    for limit in (2, 7, 35, 55):
+        grid = joins.full_null_safe(left, right, ["k"], hot=limit)
+        assert grid.columns == plain.columns
+        assert plain.exceptAll(grid).isEmpty() and grid.exceptAll(plain).isEmpty(), limit
+
+
+def test_null_times_null_is_split_over_cells(rows):
+    left, right = rows([(i, None) for i in range(400)], "x int, k string"), rows([(i, None) for i in range(300)], "y int, k string")
+    hot = resolve_hot(left, ["k"], 50), resolve_hot(right, ["k"], 50)
+    assert joins._on_grid(left, right, ["k"], *hot).count() == 400 * 300
+    per_row = left.select(joins.salt(left.columns, F.lit(hot[0].first()["hot_parts"])).alias("cell")).groupBy("cell").count()
+    assert per_row.agg(F.max("count")).first()[0] < 100 and per_row.count() == 9
+
+
 def test_runs(rows):
     df = rows([(1, "a", "2024-01-01 01:00:00", "O"), (2, "a", "2024-01-01 02:00:00", "O"), (3, "a", "2024-01-01 03:00:00", "F"),
                (4, "a", "2024-01-01 04:00:00", "F"), (5, "a", "2024-01-01 05:00:00", "O"), (6, "a", "2024-01-01 01:30:00", "other")],

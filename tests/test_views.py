@@ -1,9 +1,12 @@
 """The view graph end to end on the smallest data."""
+import os
+
 from pyspark.sql import functions as F
 
 from catalog import q_plans as q
 from catalog.bindings import bind, run
 from haulmark.plans import ops
+from haulmark.sources.views import refresh
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,3 +36,48 @@ def test_view_graph(spark, tmp_path):
     assert both.isEmpty()
     assert views["finance"].filter(F.col("awb").isNull()).isEmpty()
     views["lost"].count()
+
+
+def test_refresh_builds_only_what_changed(spark, tmp_path):
+    def table(name, rows):
+        spark.createDataFrame(rows, "k int, v int").write.mode("overwrite").parquet(f"{tmp_path}/{name}")
+
+    def tables():
+        return {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("a", "b")}
+
+    factor = 2
+
+    def doubled(a):
+        return a.withColumn("v", F.col("v") * factor)
+
+    def joined(doubled, b):
+        return doubled.join(b.withColumnRenamed("v", "w"), "k")
+
+    def counted(b, as_of):
+        return b.agg(F.count(F.lit(1)).alias("n"), F.lit(as_of).alias("as_of"))
+
+    def run_once(as_of="2024-01-01", stages=None, **more):
+        built = []
+        views = refresh(spark, more.pop("tables", None) or tables(), stages or {"doubled": doubled, "joined": joined, "counted": counted}, as_of,
+                        ["doubled", "joined", "counted"], {"doubled": ["k"]}, f"{tmp_path}/views", built=built, **more)
+        return views, built
+
+    table("a", [(1, 10), (2, 20)])
+    table("b", [(1, 5)])
+    views, built = run_once()
+    assert built == ["doubled", "joined", "counted"]
+    assert [tuple(r) for r in views["joined"].collect()] == [(1, 20, 5)]
+    assert run_once()[1] == []
+    table("a", [(1, 11), (2, 20)])
+    views, built = run_once()
+    assert built == ["doubled", "joined"] and views["joined"].first()["v"] == 22
+    assert run_once("2024-01-02")[1] == ["counted"]
+    table("b", [(2, 6)])
+    assert run_once("2024-01-02")[1] == ["joined", "counted"]
+    factor = 3
+    assert run_once("2024-01-02")[1] == ["doubled", "joined"]
+    loose = {**tables(), "b": spark.createDataFrame([(2, 6)], "k int, v int")}
+    assert run_once("2024-01-02", tables=loose)[1] == ["joined", "counted"]
+    assert run_once("2024-01-02", tables=loose, versions={"b": "1"})[1] == ["joined", "counted"]
+    assert run_once("2024-01-02", tables=loose, versions={"b": "1"})[1] == []
+    assert all(len(os.listdir(f"{tmp_path}/views/{n}")) <= 3 for n in ("doubled", "joined", "counted"))  # folder, mark, check sum
