@@ -191,12 +191,20 @@ def report(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: rows of ``docs`` repeated as often as their copies say, all columns as they are.
 
-    Rows alike in all columns are interchangeable and share their copies.
+    Rows alike in all columns are interchangeable and share their copies. Columns may have any name and type; maps that hold
+    the same in another order are different.
     """
-    plain = [c for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    def named(c):
+        return F.col("`" + c.replace("`", "``") + "`")
+
+    odd = [c for c, t in docs.dtypes if "map<" in t or "variant" in t]  # they cannot be hashed, but written out
+    parts = [named(c) for c, _ in docs.dtypes if c not in odd]
+    if odd:
+        parts.append(F.to_json(F.struct(*(named(c).alias(f"c{i}") for i, c in enumerate(odd))), {"ignoreNullFields": "false"}))
+    own = F.xxhash64(*parts)
     # The id and a hash of the whole row stand for the row while copies are planned.
-    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(*plain).alias("hash"))
-    small = sized(docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64(*plain).alias("hash")).alias("doc_id"), "text", "source"))
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), own.alias("hash"))
+    small = sized(docs.select(F.struct(F.col("doc_id").alias("id"), own.alias("hash")).alias("doc_id"), "text", "source"))
     of_row = (copies(small).groupBy(F.col("doc_id.id").alias("of_id"), F.col("doc_id.hash").alias("of_hash"))
               .agg(F.sum("copies").cast("int").alias("copies")).filter(F.col("copies") > 0))
     one = marked.dropDuplicates(["id", "hash"])
