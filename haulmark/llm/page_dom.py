@@ -28,6 +28,8 @@ NO_CLASS = frozenset("ad ads adv advert adverts advertisement advertising adsens
                      "disclaimer leaderboard skyscraper".split())
 #: Outside of the article a header is the site's.
 OUTSIDE = NO_CLASS | {"header"}
+#: Words that take out even an article element: what readers say about the article is marked up as one.
+COMMENTS = frozenset("comment comments commentlist reply replies".split())
 #: Words that say nothing beside a word of that list: sidebar-primary is a sidebar, content-sidebar-wrap need not be one.
 NEUTRAL = frozenset("area bar block box bottom btn button buttons col column container group inner item items left link links list outer page post posts "
                     "primary right secondary section site thread top wrap wrapper".split())
@@ -76,10 +78,11 @@ def _out(out_words: frozenset[str], *names: str | None) -> bool | None:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "dropped", "level", "inline", "held", "children")
+    __slots__ = ("tag", "path", "dropped", "level", "inline", "held", "article", "children")
 
-    def __init__(self, tag, path, dropped, level, inline, held):
+    def __init__(self, tag, path, dropped, level, inline, held, article=None):
         self.tag, self.path, self.dropped, self.level, self.inline, self.held = tag, path, dropped, level, inline, held
+        self.article = article  # the outermost article element around it: its path and its number on the page
         self.children: list[str] = []
 
 
@@ -90,7 +93,8 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open = [_Element("", "", False, ANY, False, False)]
         self.text: list[str] = []
-        self.blocks: list[tuple[str, int, str]] = []
+        self.blocks: list[tuple[str, int, str, tuple[str, int] | None]] = []
+        self.articles = 0
         self.nodes: list[tuple[str, str]] = []
 
     def flush(self):
@@ -100,7 +104,7 @@ class _Reader(HTMLParser):
             if text:
                 at = self.block()
                 if not at.dropped:
-                    self.blocks.append((at.path, at.level, text))
+                    self.blocks.append((at.path, at.level, text, at.article))
 
     def close_to(self, i):
         if any(not e.inline for e in self.open[i:]):
@@ -144,15 +148,20 @@ class _Reader(HTMLParser):
         names = named.get("class"), named.get("id")
         words = _words(*names)
         level = self._level(tag, named, words)
-        # No name takes out the article, what it flows in, or the page.
-        out = False
-        if words and level < MAIN and tag not in ("html", "body") and not (parent.level > ANY and tag in FLOW):
+        # No name takes out the article, what it flows in, or the page; but an article element may be a reader's comment, and one that is
+        # named as a teaser, say, comes behind all others.
+        out, behind = False, False
+        if tag == "article" and words:
+            behind = _out(NO_CLASS, *names) is True
+            if _out(COMMENTS, *names) is True:
+                level, out = ANY, True
+        elif words and level < MAIN and tag not in ("html", "body") and not (parent.level > ANY and tag in FLOW):
             out = _out(NO_CLASS if parent.level > ANY else OUTSIDE, *names)
         # The mark leaves a branch to its entropy, with a higher bar.
         label = tag + ("." + _DIGITS.sub("", "-".join(words[:3])) if words else "") + ("?" if out is None else "")
         up = self.block()
         path = up.path if inline else f"{up.path}/{label}"
-        dropped, held = self._dropped(tag, named), parent.held or out is True
+        dropped, held = self._dropped(tag, named), parent.held or out is True or behind
         if parent.dropped and not dropped:
             # An article stays the article where an unclosed menu, a page-wide form or a header holds it.
             outer = [e.tag for e, above in zip(self.open[1:], self.open) if e.dropped and not above.dropped]
@@ -167,7 +176,11 @@ class _Reader(HTMLParser):
             level = max(parent.level, level)
         if not inline:
             up.children.append(label)
-        self.open.append(_Element(tag, path, dropped, level, inline, held))
+        article = parent.article
+        if article is None and tag == "article" and level > ANY:
+            self.articles += 1
+            article = (path, self.articles)
+        self.open.append(_Element(tag, path, dropped, level, inline, held, article))
 
     def block(self) -> _Element:
         return next(e for e in reversed(self.open) if not e.inline)
@@ -203,8 +216,8 @@ class _Reader(HTMLParser):
             self.text.append(data)
 
 
-def parse(html: str | None) -> tuple[list[tuple[str, int, str]], list[tuple[str, str]]]:
-    """Blocks (path, level, text) in page order and nodes (path, runs of children); empty for a null page."""
+def parse(html: str | None) -> tuple[list[tuple[str, int, str, tuple[str, int] | None]], list[tuple[str, str]]]:
+    """Blocks (path, level, text, outermost article) in page order and nodes (path, runs of children); empty for a null page."""
     reader = _Reader()
     reader.feed(html or "")
     reader.close()

@@ -45,10 +45,22 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _inside(blocks: list[tuple[str, int, str]]) -> list[tuple[str, int, str]]:
-    """(path, hash, text) of the blocks of the highest level."""
-    best = max((level for _, level, _ in blocks), default=0)
-    return [(path, _hash(text), text) for path, level, text in blocks if level == best]
+def _inside(blocks) -> list[tuple[str, int, str]]:
+    """(path, hash, text) of the blocks of the highest level, if that may hold main text at all.
+
+    Where they lie in several article elements, those count that hang on one branch with the longest of them: posts in a row, but not
+    the teasers beside an article.
+    """
+    best = max((b[1] for b in blocks), default=page_dom.OUT)
+    if best == page_dom.OUT:
+        return []
+    inside = [b for b in blocks if b[1] == best]
+    sizes: dict[tuple[str, int], int] = {}
+    for _, _, text, article in inside:
+        if article:
+            sizes[article] = sizes.get(article, 0) + len(text)
+    branch = max(sizes, key=lambda a: (sizes[a], -a[1]))[0] if sizes else None
+    return [(path, _hash(text), text) for path, _, text, article in inside if not article or article[0] == branch]
 
 
 def _branches(inside, nodes) -> list[tuple[str, int, int | None, list[int]]]:
@@ -142,7 +154,8 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Blocks are in page order, white space inside one is a single space, blocks are parted by one line feed. A null or empty
     page gives an empty text; pages without a host form one site; repeated rows each get a row; other columns are ignored.
-    A page of which the cuts would leave nothing has no text of its own to tell from the host's and keeps all of it.
+    A page without main text, be it menus, notices and comments alone or nothing that other pages of its host do not show as well, has
+    an empty text.
     """
     ship(pages.sparkSession)
     trees = table(pages.select("page_id", "url", "html").mapInArrow(_read, _TREE).withColumn("host", host_of(F.col("url"))), "trees")
@@ -157,9 +170,7 @@ def main_text(pages: DataFrame) -> DataFrame:
         under = F.exists("cut", lambda c: (b["path"] == c) | F.startswith(b["path"], F.concat(c, F.lit("/"))))
         return ~under & ~F.exists("cut_texts", lambda c: (b["hash"] == c["hash"]) & (b["path"] == c["path"]))
 
-    found = (trees.join(cuts, "host", "left")
-             .withColumn("left", F.when(F.col("cut").isNull(), F.col("blocks")).otherwise(F.filter("blocks", stays)))
-             .withColumn("kept", F.when(F.size("left") > 0, F.col("left")).otherwise(F.col("blocks"))))
+    found = trees.join(cuts, "host", "left").withColumn("kept", F.when(F.col("cut").isNull(), F.col("blocks")).otherwise(F.filter("blocks", stays)))
     return found.select("page_id", "url", F.coalesce(F.array_join(F.transform("kept", lambda b: b["text"]), "\n"), F.lit("")).alias("text")) \
         .withColumn("n_chars", F.length("text").cast("long"))
 

@@ -100,7 +100,7 @@ def test_short_pages_lose_long_notices(spark, folder):  # noqa: F811
     rows = [(i, "http://short.example/", f"<body><div class='x'><p>{t}</p></div><div class='y'><p>{notice}</p></div></body>") for i, t in own.items()]
     rows += [(20, "http://short.example/", f"<body><div class='y'><p>{notice}</p></div></body>")]  # nothing of its own
     out = {r.page_id: r.text for r in page_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert out == {**own, 20: notice}
+    assert out == {**own, 20: ""}
 
 
 def test_shared_articles_stay(spark, folder):  # noqa: F811
