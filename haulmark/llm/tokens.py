@@ -38,6 +38,12 @@ def encoder(path: str, ordinary: bool = True) -> Callable[[str], list[int]]:
     return _encoders[path, ordinary]
 
 
+def array_encoder(path: str, ordinary: bool = True) -> Callable[[str], np.ndarray]:
+    """As ``encoder``, into arrays: without a Python number per id where the ids come from ranks."""
+    encode = encoder(path, ordinary)
+    return getattr(encode, "arrays", None) or (lambda text: np.array(encode(text), np.uint32))
+
+
 def _plain(path: str, ordinary: bool):
     from tokenizers import Tokenizer
 
@@ -62,17 +68,25 @@ def _ranked(path: str, ordinary: bool):
     others = [b for b in range(256) if b not in set(PRINTABLE)]
     to_byte = {chr(b): b for b in PRINTABLE} | {chr(256 + i): b for i, b in enumerate(others)}
     ranks = {bytes(to_byte[c] for c in token): i for token, i in vocab.items()}
-    fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    by_rank = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     added = [t["content"] for t in spec.get("added_tokens") or [] if not (ordinary and t.get("special"))]
     slow: list[Callable[[str], list[int]]] = []  # loaded when a text needs it
 
-    def encode(text: str) -> list[int]:
-        if not _long_run(text) and not any(t in text for t in added):
-            return fast(text)
+    def is_plain(text: str) -> bool:
+        return not _long_run(text) and not any(t in text for t in added)
+
+    def other(text: str) -> list[int]:
         if not slow:
             slow.append(_plain(path, ordinary))
         return slow[0](text)
 
+    def encode(text: str) -> list[int]:
+        return by_rank.encode_ordinary(text) if is_plain(text) else other(text)
+
+    def arrays(text: str) -> np.ndarray:
+        return by_rank.encode_to_numpy(text, disallowed_special=()) if is_plain(text) else np.array(other(text), np.uint32)
+
+    encode.arrays = arrays
     return encode
 
 
