@@ -33,22 +33,50 @@ def pay_rows(spark, sf, franchise=False):
     return pay.pay_input(attempts, bind(spark, sf, "shipment"), weights, info, bind(spark, sf, "rate"), franchise=franchise)
 
 
-APRIL = """p as (select *, 0.0::double as org_id_pay,
-    case when status = 'COMPLETED' and payout_structure = 'ORDER' then case city when 'Mumbai' then 26 when 'Delhi' then 20 + delivered_rate when 'Bangalore' then 27
-      when 'Hyderabad' then 30 else 0 end else 0 end::double as delivery_incentive,
-    case when status = 'COMPLETED' and payout_structure = 'ORDER' then case when city = 'Mumbai' and chargeable_weight > 5000 then 60
-      when city = 'Mumbai' and chargeable_weight > 3000 then 30 when city = 'Delhi' and chargeable_weight > 4000 then 30 else 0 end else 0 end::double as weight_incentive,
-    0.0::double as failed_delivery_incentive,
-    case when status = 'COMPLETED' and payout_structure = 'ORDER' and city = 'Delhi' and hour(dispatch_time) >= 15 then 5 else 0 end::double as evening_order_incentive from x)"""
-LEGACY = """p as (select *, 0.0::double as org_id_pay,
-    case when status = 'COMPLETED' and payout_structure = 'ORDER' then
-      case when user_id in (2, 34) then case city when 'Delhi' then 25 when 'Mumbai' then 20 when 'Bangalore' then 22 else 0 end
-        when city = 'Mumbai' then 30 + delivered_rate when city = 'Delhi' then 20 + delivered_rate when city = 'Bangalore' then 22 else 0 end else 0 end::double as delivery_incentive,
-    case when status = 'COMPLETED' and payout_structure = 'ORDER' then case when city = 'Bangalore' then case when chargeable_weight > 350 then 8 else 0 end
-      when city = 'Mumbai' then case when chargeable_weight > 5000 then 60 when chargeable_weight > 3000 then 30 else 0 end
-      when city = 'Delhi' and chargeable_weight > 4000 then 25 else 0 end else 0 end::double as weight_incentive,
-    case when status = 'CANCELLED' and payout_structure = 'ORDER' and city = 'Mumbai' and lower(cancellation_remarks) not like '%operational constraint%' then 10 else 0 end::double as failed_delivery_incentive,
-    case when status = 'COMPLETED' and payout_structure = 'ORDER' and hour(dispatch_time) >= 15 then case city when 'Delhi' then 10 when 'Mumbai' then 15 else 0 end else 0 end::double as evening_order_incentive from x)"""
+# Pay per order by city, by city and weight above so many grams, and by franchise hub.
+APRIL_BASE = "('Mumbai', 26), ('Delhi', 20), ('Bangalore', 27), ('Hyderabad', 30)"
+APRIL_WEIGHT = "('Delhi', 4000, 30), ('Mumbai', 3000, 30), ('Mumbai', 5000, 60)"
+LEGACY_BASE = "('Mumbai', 30), ('Delhi', 20), ('Bangalore', 22)"
+LEGACY_SPECIAL = "('Mumbai', 20), ('Delhi', 25), ('Bangalore', 22)"
+LEGACY_WEIGHT = "('Bangalore', 350, 8), ('Delhi', 4000, 25), ('Mumbai', 3000, 30), ('Mumbai', 5000, 60)"
+LEGACY_EVENING = "('Delhi', 10), ('Mumbai', 15)"
+FRANCHISE_BASE = "('Bangalore', null, 38), ('Bangalore', 'BLDR-Franchise', 35), ('Delhi', null, 33), ('Hyderabad', null, 38), ('Mumbai', 'GRGN-Franchise', 40)"
+FRANCHISE_WEIGHT = "('Bangalore', null, 40, 3000), ('Bangalore', 'BLDR-Franchise', 45, 3000), ('Delhi', null, 30, 4000), ('Hyderabad', null, 40, 3000), ('Mumbai', null, 40, 3000)"
+
+
+def by_city(rates: str) -> str:
+    return f"coalesce((select max(amount) from (values {rates}) r(place, amount) where place = city), 0)"
+
+
+def by_weight(rates: str) -> str:
+    """The highest band that the weight is above."""
+    return f"coalesce((select max_by(amount, above) from (values {rates}) r(place, above, amount) where place = city and chargeable_weight > above), 0)"
+
+
+def by_hub(rates: str, weight: bool = False) -> str:
+    """The rate of the hub itself comes before that of its city."""
+    columns, more = ("place, own, amount, above", " and chargeable_weight > above") if weight else ("place, own, amount", "")
+    return (f"coalesce((select max_by(amount, case when own is null then 0 else 1 end) from (values {rates}) r({columns}) "
+            f"where place = city and (own is null or own = hub){more}), 0)")
+
+
+def order_pay_sql(**parts: tuple[str, str]) -> str:
+    """Rows with one pay column per part: its amount where its condition holds, for riders paid by order."""
+    columns = ", ".join(f"(case when payout_structure = 'ORDER' and {cond} then {amount} else 0 end)::double as {name}" for name, (cond, amount) in parts.items())
+    return f"p as (select *, 0.0::double as org_id_pay, {columns} from x)"
+
+
+PAID, LATE = "status = 'COMPLETED'", "status = 'COMPLETED' and hour(dispatch_time) >= 15"
+APRIL = order_pay_sql(
+    delivery_incentive=(PAID, f"{by_city(APRIL_BASE)} + case city when 'Delhi' then delivered_rate else 0 end"),
+    weight_incentive=(PAID, by_weight(APRIL_WEIGHT)), failed_delivery_incentive=("false", "0"),
+    evening_order_incentive=(LATE, by_city("('Delhi', 5)")))
+LEGACY = order_pay_sql(
+    delivery_incentive=(PAID, f"case when user_id in (2, 34) then {by_city(LEGACY_SPECIAL)} else {by_city(LEGACY_BASE)} + case when city in ('Delhi', 'Mumbai') then delivered_rate else 0 end end"),
+    weight_incentive=(PAID, by_weight(LEGACY_WEIGHT)),
+    failed_delivery_incentive=("status = 'CANCELLED' and lower(cancellation_remarks) not like '%operational constraint%'", by_city("('Mumbai', 10)")),
+    evening_order_incentive=(LATE, by_city(LEGACY_EVENING)))
+FRANCHISE_DELIVERY, FRANCHISE_HEAVY = by_hub(FRANCHISE_BASE), by_hub(FRANCHISE_WEIGHT, weight=True)
 ORDER_OUT = "task_id, city, hub, org_id_pay, delivery_incentive, weight_incentive, failed_delivery_incentive, evening_order_incentive"
 
 SLABS_APRIL = """case city when 'Mumbai' then case when {d} <= 3 then {d} * 45 else 642 end
@@ -91,11 +119,8 @@ def order_pay_legacy(spark, sf):
 
 
 @query("o_10_27_order_pay_franchise", sql(NEEDS, f"""
-    with {FRANCHISE} select task_id, city, hub,
-      case when status <> 'COMPLETED' then 0 when city = 'Bangalore' then case when hub = 'BLDR-Franchise' then 35 else 38 end when city = 'Delhi' then 33
-        when city = 'Mumbai' and hub = 'GRGN-Franchise' then 40 when city = 'Hyderabad' then 38 else 0 end::double as delivery_incentive,
-      case when status <> 'COMPLETED' then 0 when city = 'Delhi' and chargeable_weight > 4000 then 30 when city = 'Bangalore' and chargeable_weight > 3000 then
-        case when hub = 'BLDR-Franchise' then 45 else 40 end when city in ('Mumbai', 'Hyderabad') and chargeable_weight > 3000 then 40 else 0 end::double as weight_incentive from x"""))
+    with {FRANCHISE} select task_id, city, hub, (case when {PAID} then {FRANCHISE_DELIVERY} else 0 end)::double as delivery_incentive,
+      (case when {PAID} then {FRANCHISE_HEAVY} else 0 end)::double as weight_incentive from x"""))
 def order_pay_franchise(spark, sf):
     return payout.franchise_order_pay(pay_rows(spark, sf, True)).select("task_id", "city", "hub", "delivery_incentive", "weight_incentive")
 

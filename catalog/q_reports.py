@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.bindings import bind, cents, run, sql
 from catalog.q_business import followed, ranked_tasks  # noqa: F401
 from catalog.q_changes import COHORT_DUCK, cohort_rows
-from catalog.q_money import (ALLOCATED, APRIL, DAY_OUT, FLOWS, FRANCHISE, LANE_COST, LEDGER, LEGACY, LINES, MARGIN_ROWS, NEEDS, OWN, SLABS_LEGACY, TRIPS, days_sql, dense, dense_rows, ledger, ledger_sql,
+from catalog.q_money import (ALLOCATED, APRIL, DAY_OUT, FLOWS, FRANCHISE, FRANCHISE_DELIVERY, FRANCHISE_HEAVY, LANE_COST, LEDGER, LEGACY, LINES, MARGIN_ROWS, NEEDS, OWN, SLABS_LEGACY, TRIPS, days_sql, dense, dense_rows, ledger, ledger_sql,
                              margin_rows, merged, rider_margin_sql, views)
 from catalog.registry import AS_OF_TASK, query
 from haulmark import rules
@@ -80,9 +80,7 @@ def april_hub_view(spark, sf):
 
 
 COST_OUT = "awb, task_id, dispatch_date, slot, city, warehouse_city, hub, rider_id, awb_pay, status, payout_structure"
-F_PAY = """case when city = 'Bangalore' then case when hub = 'BLDR-Franchise' then 35 else 38 end when city = 'Delhi' then 33 when city = 'Mumbai' and hub = 'GRGN-Franchise' then 40 when city = 'Hyderabad' then 38 else 0 end::double
-  + case when city = 'Delhi' and chargeable_weight > 4000 then 30 when city = 'Bangalore' and chargeable_weight > 3000 then case when hub = 'BLDR-Franchise' then 45 else 40 end
-    when city in ('Mumbai', 'Hyderabad') and chargeable_weight > 3000 then 40 else 0 end::double"""
+F_PAY = f"({FRANCHISE_DELIVERY} + {FRANCHISE_HEAVY})::double"
 
 
 def franchise_ctes() -> str:
@@ -218,7 +216,7 @@ def corrected_city(spark, sf):
 REPORT_TASK = """select task_id, awb, status, t.rider_id, rider_name, city, hub, timestamp '2001-06-01 00:00:00' + (day(dispatch_time) - 1) * interval '1' day + hour(dispatch_time) * interval '1' hour as dispatch_time, cod_amount,
   task_id % 3 <> 0 as is_realized, task_id % 5 <> 0 as is_collected, cod_amount > 470000 as is_fake_attempt from task t join crew c on c.rider_id = t.rider_id"""
 REPORT_CASH = "select rider_id, cast(dispatch_time as date) as delivery_date, cod_amount / 100 as amount, case when is_collected then 1 else 0 end as collected from rt where status = 'COMPLETED'"
-REPORT_LOSS = "select rider_id, task_id as awb, cast(dispatch_time as date) as lost_date, cod_amount / 300 as shipment_value from rt where status = 'CANCELLED' and cod_amount > 485000"
+REPORT_LOSS = "select rider_id, task_id as awb, cast(dispatch_time as date) as lost_date, cod_amount / 3000 as shipment_value from rt where status = 'CANCELLED'"
 REPORT_PAY = "select rider_id, dispatch_time - hour(dispatch_time) * interval '1' hour as trip_date, cod_amount / 800 as amount from rt where status = 'COMPLETED' and is_realized"
 REPORT_PIP = "select rider_id, date '2001-06-11' as pip_date, 'running' as pip_status, case when vendor_name = 'vendor 1' then 'failed' else '' end as pip_result from crew where vendor_name in ('vendor 1', 'vendor 3')"
 REPORT_DAY = "2001-06-15"

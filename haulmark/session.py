@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,9 +53,28 @@ def named_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
 
 
+_run: ContextVar[str | None] = ContextVar("haulmark_run", default=None)
+
+
 def new_folder(spark: SparkSession, name: str = "work") -> str:
-    """A fresh folder below the shared one."""
-    return f"{shared_folder(spark).rstrip('/')}/haulmark-{uuid.uuid4().hex[:12]}-{name}"
+    """A fresh folder below that of the current run, or else below the shared one."""
+    return f"{_run.get() or shared_folder(spark).rstrip('/')}/haulmark-{uuid.uuid4().hex[:12]}-{name}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession):
+    """Own what is written on the way: all intermediate tables made inside lie in one folder, which goes when the block ends.
+
+    Write or collect results inside; frames made inside cannot be read after it. A run inside a run has a folder of its
+    own. Functions that a stream calls for its batches run elsewhere and delete their own tables.
+    """
+    path = f"{shared_folder(spark).rstrip('/')}/haulmark-run-{uuid.uuid4().hex[:12]}"
+    before = _run.set(path)
+    try:
+        yield path
+    finally:
+        _run.reset(before)
+        files.delete(spark, path)
 
 
 def written(df: DataFrame, name: str = "work") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from haulmark.operators import mutate, quality
 from haulmark.operators.tracking import tracking_events
 from haulmark.sources import readers, views, writers
+from haulmark import session
 from haulmark.streaming import incremental, streams
 
 
@@ -242,6 +243,31 @@ def test_refresh_uses_the_shared_folder(spark, rows):
     assert values(built["double"]) == [(2,), (4,)]
 
 
+def test_a_run_leaves_nothing_behind(spark, rows, tmp_path):
+    from haulmark import files
+    from haulmark.operators import skew
+    from haulmark.operators.attempts import attempt_rank
+
+    skew.forget(spark)
+    df = rows([(i, "a" if i % 3 else "b", f"2024-01-0{1 + i % 9} 00:00:00") for i in range(300)], "id long, awb string, dispatch_time ts")
+    plain = values(attempt_rank(df, hot=None), "id", "attempt_number")
+    before = files.names(spark, session.shared_folder(spark))
+    for n in range(2):  # the list of hot keys went with the first run and is made again
+        with session.run_folder(spark) as folder:
+            out = attempt_rank(df, hot=20)
+            assert files.names(spark, folder)
+            with session.run_folder(spark):
+                session.written(df).count()
+            out.write.parquet(f"{tmp_path}/out{n}")
+        assert not files.exists(spark, folder)
+        assert values(spark.read.parquet(f"{tmp_path}/out{n}"), "id", "attempt_number") == plain
+    with pytest.raises(ZeroDivisionError), session.run_folder(spark):
+        session.written(df)
+        1 / 0
+    assert files.names(spark, session.shared_folder(spark)) == before
+    skew.forget(spark)
+
+
 def test_no_folder_is_made_up(spark, monkeypatch):
     from haulmark import session
     assert session.new_folder(spark).startswith(session.named_folder(spark))
