@@ -190,7 +190,8 @@ def changed_keys_sink(path: str, key: str, ts_cols: Sequence[str], horizon: str
     A scan counts on any of its times. With ``horizon`` ("7 days", say) the store holds what was touched within that stretch
     before the largest time seen: a folder goes when its last touch is older, and folding leaves older rows out, so storage follows the
     keys of the stretch, not of all time. Scans that come with older times are not stored but counted, as ``late_keys`` and
-    ``late_scans`` of the store (see :func:`late_changes`). A key without any time is stored, and goes with its folder.
+    ``late_scans`` of the store (see :func:`late_changes`). With a horizon, a key without
+    any time counts as touched at the largest time seen when it came.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -209,8 +210,9 @@ def changed_keys_sink(path: str, key: str, ts_cols: Sequence[str], horizon: str
         cut = F.lit(clock).cast("timestamp") - F.expr(f"interval {horizon}")
         fresh = F.coalesce(F.col("touched_at") >= cut, F.lit(True))
         limit, late_keys, late_scans = rows.agg(F.max(cut).cast("string"), F.count(F.when(~fresh, 1)), F.coalesce(F.sum(F.when(~fresh, F.col("scans"))), F.lit(0))).first()
-        target.add(batch_id, rows.filter(fresh).drop("scans"), latest, clock, {"late_keys": late_keys, "late_scans": late_scans},
-                   lambda r: _last_touch(r, key).filter(fresh), lambda f: limit is not None and (f.latest or "") < limit)
+        kept = rows.filter(fresh).select(key, F.coalesce("touched_at", F.lit(clock).cast("timestamp")).alias("touched_at"))
+        target.add(batch_id, kept, latest or clock, clock, {"late_keys": late_keys, "late_scans": late_scans},
+                   lambda r: _last_touch(r, key).filter(fresh), lambda f: limit is not None and f.latest is not None and f.latest < limit)
         discard(rows)
     return store
 

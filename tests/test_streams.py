@@ -92,6 +92,15 @@ def test_changed_keys_stay_within_their_horizon(spark, tmp_path):
     assert all(rows_live[r[0]] >= r[1] for r in rows if r[1] >= seen - timedelta(days=3))
 
 
+def test_keys_without_a_time_expire_too(spark, tmp_path):
+    path = str(tmp_path / "k")
+    sink = streams.changed_keys_sink(path, "k", ["at"], "2 days", fan=2, keep=1)
+    for d in range(6):
+        sink(log(spark, [(d, day(d), "x"), (100 + d, None, "x")] if d != 3 else [(103, None, "x")]), d)
+    assert values(streams.read_changed_keys(spark, path, "k"), "k", "touched_at") == [
+        (104, str(day(4))), (105, str(day(5))), (4, str(day(4))), (5, str(day(5)))]
+
+
 def test_closed_days_do_not_grow_with_shipments(spark, tmp_path):
     path, rng = str(tmp_path / "d"), random.Random(9)
     sink = streams.daily_sink(path, ["s"], "at", "k", open_days=2, fan=2, keep=1)
