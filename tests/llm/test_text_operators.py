@@ -67,6 +67,15 @@ def test_cascade_stops_at_the_first_hit(spark):
     assert [r.by for r in out] == ["first", None]
 
 
+def test_plan_puts_the_cheap_rule_first(spark):
+    """Two rules reject the same rows; one of them looks for repeated passages on the way."""
+    df = spark.createDataFrame([(" ".join(f"w{i}x{j % 90}" for j in range(300 if i % 2 else 5)),) for i in range(200)], "text string")
+    dear = quality_rules.Rule("dear", lambda m: (m("n_repeat_words") >= 0) & (m("n_words") < 20))
+    cheap = quality_rules.Rule("cheap", lambda m: m("n_words") < 20)
+    few = quality_rules.Rule("few", lambda m: m("n_words") < 0)
+    assert [r.name for r in quality_rules.plan(df, [dear, few, cheap])][0] == "cheap"
+
+
 def test_plan_prefers_rejections_for_their_cost(spark):
     df = spark.createDataFrame([("x y",)] * 50 + [("z",)] * 5, "text string")
     rules = [quality_rules.Rule("never", lambda m: m("n_words") < 0), quality_rules.Rule("most", lambda m: m("n_words") == 2)]
