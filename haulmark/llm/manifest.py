@@ -162,7 +162,9 @@ def manifest(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     empty table gives no rows. Other columns are ignored, whatever they are called. ``levels`` sets the size of a superblock.
     """
     ship(docs.sparkSession)
-    placed = numbered(leaves(docs), ["doc_id", "leaf"]).withColumnRenamed("leaf", "node")
+    hashed = table(leaves(docs), "leaves")  # sorting reads its rows twice: texts are read and hashed once
+    placed = numbered(hashed, ["doc_id", "leaf"]).withColumnRenamed("leaf", "node")
+    discard(hashed)
     steps = climb(placed, levels)
     forest = numbered(steps[-1].select(F.lit("").alias("tree"), F.col("tree").alias("name"), "node"), ["name"])
     above = climb(forest, levels)
