@@ -92,6 +92,10 @@ def _with_micros(df: DataFrame, ts: str, specs: dict[str, Spec]) -> DataFrame:
 # Place of rows without a time: behind all others.
 NO_TIME = 2 ** 63 - 1
 
+# Rows of hot keys are cut as finely as their list asks for, into at most this many tasks; beyond that, into tasks of STRETCH_ROWS rows.
+STRETCH_TASKS = 256
+STRETCH_ROWS = 2_000_000
+
 
 def running(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = (),
             hot: DataFrame | str | int | None = "auto", attach: DataFrame | None = None, **specs: Spec) -> DataFrame:
@@ -125,14 +129,15 @@ def _segmented(rows: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str]
     order, of about equal size whatever the times are: one hour, one moment or no time at all
     may be cut. They are written with the number of their stretch; windows then run inside
     (key, stretch), and one summary row per (key, stretch) carries what the next one needs.
+    A task holds the stretches of many keys where the keys are many and small.
     """
-    parts = listed.agg(F.coalesce(F.sum("hot_parts"), F.lit(1))).first()[0]
+    parts = _tasks(listed)
     place = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(NO_TIME))
     # Rows of one time and tie are told apart by their content, and copies by the task they come from: both are the same when a
     # task is run again. So any number of equal or missing times can be cut.
     hashed = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
     stored = written(rows.withColumn("_o", place).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in hashed])).withColumn("_from", F.spark_partition_id())
-                     .repartitionByRange(int(parts), *keys, "_o", *tie, "_tie", "_from")
+                     .repartitionByRange(parts, *keys, "_o", *tie, "_tie", "_from")
                      .withColumn("_seg", F.spark_partition_id()), "hot-rows")
     tie = [*tie, "_tie"]
     carry = _carry(stored, keys, tie, specs)
@@ -172,6 +177,15 @@ def _segmented(rows: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str]
     return out.withColumns(cols).select(*[c for c in rows.columns], *extra, *specs)
 
 
+def _tasks(listed: DataFrame) -> int:
+    """How many tasks share the rows of hot keys: a number that does not follow the length of the list."""
+    asked = listed.agg(F.coalesce(F.sum("hot_parts"), F.lit(1)).alias("parts"),
+                       (F.sum("hot_rows") if "hot_rows" in listed.columns else F.lit(None)).cast("bigint").alias("rows")).first()
+    if asked["rows"] is None:  # a list of other origin: its parts are taken as meant
+        return int(asked["parts"])
+    return min(int(asked["parts"]), max(STRETCH_TASKS, -(-asked["rows"] // STRETCH_ROWS)))
+
+
 def _carry(stored: DataFrame, keys: Sequence[str], tie: Sequence[str], specs: dict[str, Spec]) -> DataFrame:
     """What each stretch needs from its neighbours: one row per hot key and stretch."""
     order = F.struct("_o", *tie)

@@ -26,9 +26,12 @@ _listed: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame:
     """Keys with many rows and their ``hot_parts``: the number of tasks that share them."""
-    min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows)
-    return counted.select(*keys, (F.floor(F.col("_rows") / min_rows) + 1).cast("int").alias("hot_parts"))
+    return _counted(df, keys, HOT_MIN_ROWS if min_rows is None else min_rows).drop("hot_rows")
+
+
+def _counted(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("hot_rows")).filter(F.col("hot_rows") >= min_rows)
+    return counted.select(*keys, (F.floor(F.col("hot_rows") / min_rows) + 1).cast("int").alias("hot_parts"), "hot_rows")
 
 
 def resolve_hot(df: DataFrame, keys: Sequence[str], hot) -> DataFrame | None:
@@ -48,7 +51,7 @@ def resolve_hot(df: DataFrame, keys: Sequence[str], hot) -> DataFrame | None:
     if name in known and known[name] is not None and not files.exists(df.sparkSession, known[name]._written_to):
         del known[name]
     if name not in known:
-        stored = written(hot_keys(narrow, keys, limit), "hot")
+        stored = written(_counted(narrow, keys, limit), "hot")
         known[name] = None if stored.isEmpty() else stored
         if known[name] is None:
             discard(stored)

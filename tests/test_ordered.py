@@ -125,6 +125,20 @@ def test_one_moment_is_cut_into_stretches(rows, monkeypatch, moment):
     assert stretches.agg(F.max("count")).first()[0] <= 3 * 300
 
 
+def test_many_hot_keys_share_few_tasks(rows, monkeypatch):
+    """The number of stretches does not follow the number of hot keys, and no stretch grows beyond its rows."""
+    seen = []
+    monkeypatch.setattr(ordered, "written", lambda df, name: seen.append(session.written(df, name)) or seen[-1])
+    df = rows([(i, i % 500, f"2024-01-0{1 + i % 7} 00:00:00", i % 3) for i in range(2000)], "id long, k long, at ts, s long")
+    plain = running(df, ["k"], "at", ["id"], hot=None, r=rank(), p=lag("s"), x=lead("s"))
+    for tasks, size, least, most in ((ordered.STRETCH_TASKS, ordered.STRETCH_ROWS, 100, 256), (4, 100, 10, 20)):
+        monkeypatch.setattr(ordered, "STRETCH_TASKS", tasks)
+        monkeypatch.setattr(ordered, "STRETCH_ROWS", size)
+        split = running(df, ["k"], "at", ["id"], hot=1, r=rank(), p=lag("s"), x=lead("s"))
+        assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
+        assert least <= seen[-1].select("_seg").distinct().count() <= most
+
+
 def test_grid_equals_full_join(rows):
     left = rows([(i, None if i % 3 else "a") for i in range(90)] + [(900, "left"), (901, "b")], "x int, k string")
     right = rows([(i, None if i % 2 else "a") for i in range(60)] + [(900, "right"), (901, "b"), (902, "b")], "y int, k string")
