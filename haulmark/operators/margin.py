@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulmark import rules
 from haulmark.functions.numbers import exact_sum, ratio, round_half_even
-from haulmark.operators.skew import resolve_hot, salted_join
+from haulmark.operators.skew import resolve_hot, salt, salted_join
 from haulmark.session import written
 
 DELIVERED, RETURNED = "Delivered", "RTO Delivered"
 
+# Rows that name no order are dealt over this many groups.
+NULL_PARTS = 1024
+
 
 def lane_orders(orders: DataFrame) -> DataFrame:
     """Orders per lane, local or between cities."""
@@ -65,28 +68,45 @@ def margin_by(rows: DataFrame, dims: Sequence[str], revenue: str = "shipment_cha
     The first dimension is the city: rows without it are left out. Nulls in other
     dimensions form a group of their own.
     """
-    per_awb = rows.dropna(subset=[dims[0]]).groupBy(*dims, "awb").agg(
-        exact_sum(F.coalesce(F.col(revenue), F.lit(0.0))).alias("_r"),
-        exact_sum(F.coalesce(F.col(cost), F.lit(0.0))).alias("_c"))
-    out = per_awb.groupBy(*dims).agg(F.count("awb").alias("orders"), exact_sum("_r").alias(revenue), exact_sum("_c").alias(cost))
+    per = _per_combination(rows.dropna(subset=[dims[0]]), dims, revenue, cost)
+    out = per.groupBy(*dims).agg((F.sum("_n") + F.count("_order")).alias("orders"), exact_sum("_r").alias(revenue), exact_sum("_c").alias(cost))
     return out.withColumn("margin", F.col(revenue) - F.col(cost))
 
 
+def _per_combination(rows: DataFrame, dims: Sequence[str], revenue: str, cost: str) -> DataFrame:
+    """Sums per combination of ``dims``: ``_r``, ``_c`` and ``_n``, the orders all of whose rows have this combination.
+
+    An order with several combinations keeps a row for each, under its id in ``_order``, and is not in ``_n``: who merges
+    combinations counts it once. One look along the rows of each order tells the two apart, so no table of all orders is
+    held in memory. Rows without an order are spread; they have sums but no order.
+    """
+    spread = F.when(F.col("awb").isNull(), salt([*dims, revenue, cost], F.lit(NULL_PARTS))).otherwise(F.lit(0))
+    same = Window.partitionBy("awb", "_salt").orderBy("awb")
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    combination = F.struct(*dims)
+    seen = rows.withColumn("_salt", spread).withColumns({
+        "_one": F.col("awb").isNull() | F.min(combination).over(whole).eqNullSafe(F.max(combination).over(whole)),
+        "_first": F.row_number().over(same) == 1})
+    return seen.groupBy(*dims, F.when(~F.col("_one"), F.col("awb")).alias("_order")).agg(
+        exact_sum(F.coalesce(F.col(revenue), F.lit(0.0))).alias("_r"), exact_sum(F.coalesce(F.col(cost), F.lit(0.0))).alias("_c"),
+        F.count_if(F.col("_one") & F.col("_first") & F.col("awb").isNotNull()).alias("_n"))
+
+
 def margin_cuts(rows: DataFrame, cuts: Mapping[str, Sequence[str]], revenue: str = "shipment_charges", cost: str = "total_cost") -> DataFrame:
     """``margin_by`` for several cuts at once: cut, all dimensions (null outside of a cut), orders, revenue, cost and margin.
 
-    The rows are read once and summed per order and all dimensions; only those sums are repeated per cut. Distinct orders
+    The rows are read once and summed per combination of all dimensions; only those sums are repeated per cut. Distinct orders
     stay exact where an order has several values of a dimension: a cut counts it once per group.
     """
     dims = list(dict.fromkeys(d for c in cuts.values() for d in c))
-    sums = [exact_sum("_r").alias("_r"), exact_sum("_c").alias("_c")]
-    per_order = rows.withColumns({"_r": F.coalesce(F.col(revenue), F.lit(0.0)), "_c": F.coalesce(F.col(cost), F.lit(0.0))}).groupBy(*dims, "awb").agg(*sums)
-    kinds = dict(per_order.dtypes)
+    per = _per_combination(rows, dims, revenue, cost)
+    kinds = dict(per.dtypes)
     one = [F.struct(F.lit(name).alias("cut"), *[(F.col(d) if d in cut else F.lit(None).cast(kinds[d])).alias(d) for d in dims], F.col(cut[0]).isNotNull().alias("_in"))
            for name, cut in cuts.items()]
-    spread = per_order.select(F.explode(F.array(*one)).alias("_s"), "awb", "_r", "_c").select("_s.*", "awb", "_r", "_c").filter("_in")
-    per_cut = spread.groupBy("cut", *dims, "awb").agg(*sums)
-    out = per_cut.groupBy("cut", *dims).agg(F.count("awb").alias("orders"), exact_sum("_r").alias(revenue), exact_sum("_c").alias(cost))
+    kept = ["_order", "_n", "_r", "_c"]
+    spread = per.select(F.explode(F.array(*one)).alias("_s"), *kept).select("_s.*", *kept).filter("_in")
+    per_cut = spread.groupBy("cut", *dims, "_order").agg(F.sum("_n").alias("_n"), exact_sum("_r").alias("_r"), exact_sum("_c").alias("_c"))
+    out = per_cut.groupBy("cut", *dims).agg((F.sum("_n") + F.count("_order")).alias("orders"), exact_sum("_r").alias(revenue), exact_sum("_c").alias(cost))
     return out.withColumn("margin", F.col(revenue) - F.col(cost))
 
 

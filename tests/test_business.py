@@ -255,3 +255,26 @@ def test_rider_master_with_overrides(rows):
     changes = rows([(2, "ORDER", None)], "rider_id int, payout_structure string, vendor_name string")
     assert values(pay.rider_info(riders, nodes, vendors, changes)) == [(1, "a", "hub", "x", "ORDER", "v5"), (2, "b", None, None, "ORDER", "v6")]
     assert values(pay.rider_info(riders, nodes, vendors), "payout_structure") == [("FIXED",), ("ORDER",)]
+
+
+def test_margin_cuts_keep_no_table_of_orders(rows):
+    """Orders of one combination are counted along their rows; only orders with several keep their id. Null ids, cities and copies."""
+    data = [(i % 400, "Pune" if i % 2 else "Delhi", "c%d" % (i % 4), 1.25 * (i % 7), None if i % 5 == 0 else 0.5) for i in range(800)]
+    data += [(7, "Pune", "other", 3.0, 1.0), (7, "Pune", "other", 3.0, 1.0), (8, None, "c0", 2.0, 1.0), (None, "Pune", "c1", 4.0, None), (None, "Pune", "c1", 4.0, None),
+             (900, None, "c2", 5.0, 1.0), (901, "Delhi", None, 6.0, 2.0)]
+    df = rows(data, "awb long, city string, client string, shipment_charges double, total_cost double")
+    per = margin._per_combination(df, ["city", "client"], "shipment_charges", "total_cost")
+    assert {r["_order"] for r in per.collect()} == {None, 7, 8}
+    out = margin.margin_cuts(df, {"both": ["city", "client"], "city": ["city"]})
+    for name, dims in (("both", ("city", "client")), ("city", ("city",))):
+        want = {}
+        for awb, city, client, r, c in data:
+            if city is not None:
+                group = want.setdefault((city, client)[:len(dims)], [set(), 0.0, 0.0])
+                group[0].add(awb)
+                group[1] += r
+                group[2] += c or 0.0
+        want = sorted(((*k, len(v[0] - {None}), round(v[1], 2), round(v[2], 2), round(v[1] - v[2], 2)) for k, v in want.items()), key=repr)
+        columns = [*dims, "orders", "shipment_charges", "total_cost", "margin"]
+        assert values(out.filter(F.col("cut") == name), *columns) == want
+        assert values(margin.margin_by(df, list(dims)), *columns) == want
