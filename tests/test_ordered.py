@@ -158,6 +158,21 @@ def test_null_times_null_is_split_over_cells(rows):
     assert per_row.agg(F.max("count")).first()[0] < 100 and per_row.count() == 9
 
 
+def test_grid_repeats_rows_no_more_often_on_larger_tables(rows, monkeypatch):
+    """Cells stay few whatever the limit is: a row meets a bounded number of columns, and all pairs are made."""
+    left, right = rows([(i, None) for i in range(800)] + [(i, i % 9) for i in range(800, 1700)], "x int, k int"), rows([(i, None) for i in range(600)] + [(i, i % 9) for i in range(600, 1500)], "y int, k int")
+    hot = resolve_hot(left, ["k"], 2), resolve_hot(right, ["k"], 2)
+    asked = sum((r["hot_parts"] * s["hot_parts"]) for r in hot[0].collect() for s in hot[1].collect() if r["k"] == s["k"])
+    by = joins._coarser(["k"], *hot)
+    assert asked > 50 * joins.GRID_CELLS and asked / by ** 2 <= 1.01 * joins.GRID_CELLS
+    cells = joins._on_grid(left, right, ["k"], *hot)
+    assert cells.count() == 800 * 600 + 9 * 100 * 100
+    monkeypatch.setattr(joins, "HOT_MIN_ROWS", 4)  # no side of a cell beyond this many rows
+    assert joins._coarser(["k"], *hot) <= 2.01
+    assert joins._coarser(["k"], hot[0].drop("hot_rows"), hot[1]) == 1.0
+    assert joins._coarser(["k"], hot[0], None) >= 1.0 and joins._coarser(["k"], None, hot[1]) >= 1.0
+
+
 def test_runs(rows):
     df = rows([(1, "a", "2024-01-01 01:00:00", "O"), (2, "a", "2024-01-01 02:00:00", "O"), (3, "a", "2024-01-01 03:00:00", "F"),
                (4, "a", "2024-01-01 04:00:00", "F"), (5, "a", "2024-01-01 05:00:00", "O"), (6, "a", "2024-01-01 01:30:00", "other")],
